@@ -70,9 +70,9 @@ def coverage(child: DataFrame, parent: DataFrame, key: str, label: str,
     pk = parent_key or key
     keys = child.select(key).distinct()
     parents = parent.select(F.col(pk).alias("__pk__")).distinct()
-    flagged = keys.join(parents, keys[key].eqNullSafe(parents["__pk__"]) & keys[key].isNotNull(), "left") \
-        .select((F.col("__pk__").isNull()).alias("orphan"))
-    agg = flagged.agg(F.count(F.lit(1)).alias("n"), F.count_if("orphan").alias("u"))
+    # a NULL child key never matches, so it counts as unmatched
+    flagged = keys.join(parents, keys[key] == parents["__pk__"], "left")
+    agg = flagged.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("__pk__").isNull()).alias("u"))
     return agg.select(
         F.lit(label).alias("relationship_check"),
         F.col("u").cast("bigint").alias("unmatched_count"),

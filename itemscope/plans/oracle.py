@@ -164,3 +164,152 @@ SELECT * FROM (VALUES
   ('movies with tags', (SELECT count(*) FROM feature_frame WHERE tag_event_count > 0)),
   ('movies with genres', (SELECT count(*) FROM feature_frame WHERE genre_count > 0))
 ) v("check", value)""", ["feature_frame"])
+
+
+# --- profile and audit -------------------------------------------------------------------
+
+from itemscope.roles import ALL_TABLES, CORE_TABLES, RAW_SCHEMAS  # noqa: E402
+
+# Types of the cleaned tables as Spark names them (the schema side of Q10).
+CLEAN_SCHEMAS = {
+    "catalog": [("movieId", "bigint"), ("title", "string"), ("genres", "string"), ("imdbId", "bigint"),
+                ("tmdbId", "bigint"), ("release_year", "bigint"), ("genres_raw", "string"),
+                ("genres_list", "array<string>"), ("imdb_title_id", "string")],
+    "ratings_clean": [("userId", "bigint"), ("movieId", "bigint"), ("rating", "double"),
+                      ("timestamp", "bigint"), ("rated_at", "timestamp_ntz")],
+    "tags_clean": [("userId", "bigint"), ("movieId", "bigint"), ("tag", "string"), ("timestamp", "bigint"),
+                   ("tag_normalized", "string"), ("tagged_at", "timestamp_ntz")],
+    "item_genres": [("movieId", "bigint"), ("genre", "string")],
+}
+RAW_COLS = {t: [(f.name, f.dataType.simpleString()) for f in RAW_SCHEMAS[t].fields] for t in ALL_TABLES}
+
+
+def _q(c: str) -> str:
+    return f'"{c}"'
+
+
+def _missing_sql(schemas: dict[str, list[tuple[str, str]]], with_type: bool = False) -> str:
+    parts = []
+    for t, cols in schemas.items():
+        for c, typ in cols:
+            tcol = f"'{typ}' AS dtype, " if with_type else ""
+            parts.append(
+                f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", {tcol}"
+                f"CAST(count(*) FILTER (WHERE {_q(c)} IS NULL) AS BIGINT) AS null_count, "
+                f"CASE WHEN count(*) > 0 THEN round(100.0 * count(*) FILTER (WHERE {_q(c)} IS NULL) / count(*), 4) "
+                f"ELSE 0.0 END AS null_pct FROM {t}")
+    return "\nUNION ALL ".join(parts)
+
+
+def _dup_sql(table: str, keys: list[str]) -> str:
+    k = ", ".join(_q(c) for c in keys)
+    return (f"SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_members FROM "
+            f"(SELECT count(*) AS n FROM {table} GROUP BY {k} HAVING count(*) > 1) d")
+
+
+_ALL_RAW = list(ALL_TABLES)
+
+ORACLE["table_shapes"] = with_ctes("\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({len(RAW_COLS[t])} AS BIGINT) AS cols, "
+    f"'{'core' if t in CORE_TABLES else 'optional'}' AS scope FROM {t}" for t in ALL_TABLES), _ALL_RAW)
+
+ORACLE["load_summary"] = with_ctes("\nUNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({len(cols)} AS BIGINT) AS cols, 'core' AS scope FROM {t}"
+    for t, cols in CLEAN_SCHEMAS.items()), list(CLEAN_SCHEMAS))
+
+_SCHEMA_VALUES = ", ".join(f"('{t}', '{c}', '{typ}')" for t in ALL_TABLES for c, typ in RAW_COLS[t])
+ORACLE["schema_listing"] = f"SELECT * FROM (VALUES {_SCHEMA_VALUES}) v(\"table\", \"column\", sample_dtype)"
+
+_MISSING = {"missing": _missing_sql(RAW_COLS)}
+ORACLE["missing_profile"] = with_ctes(f"SELECT \"table\", \"column\", null_count, {rnd('null_pct', 'null_pct')} FROM missing",
+                                      _ALL_RAW + ["missing"], _MISSING)
+ORACLE["missing_nonzero"] = with_ctes(
+    f"SELECT \"table\", \"column\", null_count, {rnd('null_pct', 'null_pct')} FROM missing WHERE null_count > 0",
+    _ALL_RAW + ["missing"], _MISSING)
+
+ORACLE["quality_checks"] = with_ctes(f"""
+SELECT 'ratings_missing_required' AS "check", CAST(count(*) FILTER (WHERE userId IS NULL OR movieId IS NULL OR rating IS NULL OR "timestamp" IS NULL) AS BIGINT) AS value FROM ratings
+UNION ALL SELECT 'ratings_out_of_range', CAST(count(*) FILTER (WHERE rating < 0.5 OR rating > 5.0) AS BIGINT) FROM ratings
+UNION ALL SELECT 'ratings_duplicate_user_movie_pairs', * FROM ({_dup_sql('ratings', ['userId', 'movieId'])})
+UNION ALL SELECT 'movies_duplicate_movieId', * FROM ({_dup_sql('movies', ['movieId'])})
+UNION ALL SELECT 'movies_missing_title', CAST(count(*) FILTER (WHERE title IS NULL) AS BIGINT) FROM movies
+UNION ALL SELECT 'movies_missing_genres', CAST(count(*) FILTER (WHERE genres IS NULL) AS BIGINT) FROM movies
+UNION ALL SELECT 'tags_missing_tag_text', CAST(count(*) FILTER (WHERE tag IS NULL) AS BIGINT) FROM tags
+UNION ALL SELECT 'tags_duplicate_full_rows', * FROM ({_dup_sql('tags', ['userId', 'movieId', 'tag', 'timestamp'])})
+UNION ALL SELECT 'links_missing_imdbId', CAST(count(*) FILTER (WHERE imdbId IS NULL) AS BIGINT) FROM links
+UNION ALL SELECT 'links_missing_tmdbId', CAST(count(*) FILTER (WHERE tmdbId IS NULL) AS BIGINT) FROM links
+UNION ALL SELECT 'links_duplicate_movieId', * FROM ({_dup_sql('links', ['movieId'])})
+UNION ALL SELECT 'genome_scores_duplicate_movie_tag', * FROM ({_dup_sql('genome_scores', ['movieId', 'tagId'])})
+UNION ALL SELECT 'genome_tags_duplicate_tagId', * FROM ({_dup_sql('genome_tags', ['tagId'])})""", _ALL_RAW)
+
+ORACLE["duplicate_members_single"] = with_ctes(_dup_sql("ratings", ["movieId"]), ["ratings"])
+ORACLE["duplicate_members_composite"] = with_ctes(_dup_sql("ratings", ["userId", "movieId"]), ["ratings"])
+ORACLE["duplicate_members_fullrow"] = with_ctes(_dup_sql("tags", ["userId", "movieId", "tag", "timestamp"]), ["tags"])
+
+
+def _coverage_sql(child: str, parent: str, key: str, label: str) -> str:
+    return (f"SELECT '{label}' AS relationship_check, "
+            f"CAST(count(*) FILTER (WHERE p.k IS NULL) AS BIGINT) AS unmatched_count, "
+            f"round(round((1 - count(*) FILTER (WHERE p.k IS NULL) / greatest(count(*), 1)) * 100, 4), {R}) AS coverage_pct "
+            f"FROM (SELECT DISTINCT {key} AS k FROM {child}) c "
+            f"LEFT JOIN (SELECT DISTINCT {key} AS k FROM {parent}) p ON c.k = p.k")
+
+
+ORACLE["join_coverage"] = with_ctes("\nUNION ALL ".join([
+    _coverage_sql("ratings", "movies", "movieId", "ratings movieId matched in movies"),
+    _coverage_sql("tags", "movies", "movieId", "tags movieId matched in movies"),
+    _coverage_sql("genome_scores", "movies", "movieId", "genome_scores movieId matched in movies"),
+    _coverage_sql("genome_scores", "genome_tags", "tagId", "genome_scores tagId matched in genome_tags"),
+]), _ALL_RAW)
+
+ORACLE["orphan_keys"] = with_ctes("""
+SELECT 'ratings.movieId in movies_clean.movieId' AS relationship,
+       (SELECT count(*) FROM (SELECT DISTINCT movieId FROM ratings_clean) c ANTI JOIN (SELECT DISTINCT movieId FROM catalog) p ON c.movieId = p.movieId) AS unmatched_count
+UNION ALL
+SELECT 'tags.movieId in movies_clean.movieId',
+       (SELECT count(*) FROM (SELECT DISTINCT movieId FROM tags_clean) c ANTI JOIN (SELECT DISTINCT movieId FROM catalog) p ON c.movieId = p.movieId)""",
+    ["ratings_clean", "tags_clean", "catalog"])
+
+ORACLE["scale_metrics"] = with_ctes(f"""
+SELECT users, items, interactions, users * items AS possible_user_item_pairs,
+       CASE WHEN users * items > 0 THEN round(round(interactions / (users * items) * 100, 6), {R}) ELSE 0.0 END AS density_pct,
+       CASE WHEN users * items > 0 THEN round(round((1 - interactions / (users * items)) * 100, 6), {R}) ELSE 0.0 END AS sparsity_pct
+FROM (SELECT CAST(count(DISTINCT userId) AS BIGINT) AS users, CAST(count(DISTINCT movieId) AS BIGINT) AS items,
+             CAST(count(*) AS BIGINT) AS interactions FROM ratings) s""", ["ratings"])
+
+ORACLE["score_distribution"] = with_ctes(
+    f"SELECT {rnd('rating', 'rating')}, count(*) AS len FROM ratings GROUP BY rating", ["ratings"])
+
+ORACLE["top_categories_raw"] = with_ctes("""
+SELECT genres, count(*) AS len FROM (SELECT unnest(string_split(genres, '|')) AS genres FROM movies) x
+GROUP BY genres ORDER BY len DESC, genres ASC NULLS LAST LIMIT 15""", ["movies"])
+
+ORACLE["event_time_range"] = with_ctes("""
+SELECT min("timestamp") AS min_ts, max("timestamp") AS max_ts,
+       make_timestamp(min("timestamp") * 1000000) AS min_time, make_timestamp(max("timestamp") * 1000000) AS max_time
+FROM ratings""", ["ratings"])
+
+ORACLE["data_dictionary"] = with_ctes(f"""
+SELECT s."table", s."column", s.sample_dtype, coalesce(m.null_count, 0) AS null_count,
+       {rnd('coalesce(m.null_pct, 0.0)', 'null_pct')}
+FROM (VALUES {_SCHEMA_VALUES}) s("table", "column", sample_dtype)
+LEFT JOIN missing m ON s."table" = m."table" AND s."column" = m."column" """, _ALL_RAW + ["missing"], _MISSING)
+
+ORACLE["processed_dictionary"] = with_ctes(
+    f"SELECT \"table\", \"column\", dtype, null_count, {rnd('null_pct', 'null_pct')} FROM pmissing",
+    list(CLEAN_SCHEMAS) + ["pmissing"], {"pmissing": _missing_sql(CLEAN_SCHEMAS, with_type=True)})
+
+ORACLE["rows_before_after"] = with_ctes("""
+SELECT "table", raw_rows, clean_rows, raw_rows - clean_rows AS rows_removed FROM (
+  SELECT 'movies' AS "table", (SELECT count(*) FROM movies) AS raw_rows, (SELECT count(*) FROM catalog) AS clean_rows
+  UNION ALL SELECT 'ratings', (SELECT count(*) FROM ratings), (SELECT count(*) FROM ratings_clean)
+  UNION ALL SELECT 'tags', (SELECT count(*) FROM tags), (SELECT count(*) FROM tags_clean)
+  UNION ALL SELECT 'links_as_joined_columns', (SELECT count(*) FROM links), (SELECT count(*) FROM catalog)) x""",
+    ["movies", "ratings", "tags", "links", "catalog", "ratings_clean", "tags_clean"])
+
+ORACLE["uniqueness_report"] = with_ctes(f"""
+SELECT 'movies_catalog' AS "table", 'movieId' AS key_columns, duplicate_members, duplicate_members = 0 AS "unique"
+FROM ({_dup_sql('catalog', ['movieId'])})
+UNION ALL
+SELECT 'ratings_clean', 'userId,movieId', duplicate_members, duplicate_members = 0
+FROM ({_dup_sql('ratings_clean', ['userId', 'movieId'])})""", ["catalog", "ratings_clean"])

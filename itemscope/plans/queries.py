@@ -84,3 +84,123 @@ def feature_frame(t: Tables) -> DataFrame:
 @query("sanity_checks")
 def sanity_checks(t: Tables) -> DataFrame:
     return FE.sanity_checks(t.feature_frame)
+
+
+# --- phase 3: profile and audit --------------------------------------------------------
+
+from itemscope.operators import clean as CL  # noqa: E402
+from itemscope.operators import profile as PR  # noqa: E402
+from itemscope.roles import ALL_TABLES  # noqa: E402
+
+
+def _raw(t: Tables) -> dict[str, DataFrame]:
+    return {name: t.raw(name) for name in ALL_TABLES}
+
+
+def _clean(t: Tables) -> dict[str, DataFrame]:
+    return {"catalog": t.catalog, "ratings_clean": t.ratings_clean,
+            "tags_clean": t.tags_clean, "item_genres": t.item_genres}
+
+
+@query("table_shapes")
+def table_shapes(t: Tables) -> DataFrame:
+    """Q1: rows and columns of every input table."""
+    return PR.table_shapes(_raw(t))
+
+
+@query("load_summary")
+def load_summary(t: Tables) -> DataFrame:
+    """Rows and columns of the cleaned tables."""
+    return PR.table_shapes(_clean(t), core=tuple(_clean(t)))
+
+
+@query("schema_listing")
+def schema_listing(t: Tables) -> DataFrame:
+    return PR.schema_listing(t.spark, _raw(t))
+
+
+@query("missing_profile")
+def missing_profile(t: Tables) -> DataFrame:
+    return PR.missing_profile(_raw(t))
+
+
+@query("missing_nonzero")
+def missing_nonzero(t: Tables) -> DataFrame:
+    return PR.missing_nonzero(_raw(t))
+
+
+@query("quality_checks")
+def quality_checks(t: Tables) -> DataFrame:
+    return PR.quality_checks(_raw(t))
+
+
+@query("duplicate_members_single")
+def duplicate_members_single(t: Tables) -> DataFrame:
+    """A10 on a single key: catalog items in the raw interactions table."""
+    from itemscope.operators.aggregates import duplicate_members
+    return duplicate_members(t.ratings, ["movieId"])
+
+
+@query("duplicate_members_composite")
+def duplicate_members_composite(t: Tables) -> DataFrame:
+    from itemscope.operators.aggregates import duplicate_members
+    return duplicate_members(t.ratings, ["userId", "movieId"])
+
+
+@query("duplicate_members_fullrow")
+def duplicate_members_fullrow(t: Tables) -> DataFrame:
+    from itemscope.operators.aggregates import duplicate_members
+    return duplicate_members(t.tags)
+
+
+@query("join_coverage")
+def join_coverage(t: Tables) -> DataFrame:
+    return PR.join_coverage(_raw(t))
+
+
+@query("orphan_keys")
+def orphan_keys(t: Tables) -> DataFrame:
+    """Q12 after cleaning."""
+    return PR.orphan_check(_clean(t))
+
+
+@query("scale_metrics")
+def scale_metrics(t: Tables) -> DataFrame:
+    return PR.scale_metrics(t.ratings)
+
+
+@query("score_distribution")
+def score_distribution(t: Tables) -> DataFrame:
+    return PR.score_distribution(t.ratings)
+
+
+@query("top_categories_raw")
+def top_categories_raw(t: Tables) -> DataFrame:
+    return PR.top_categories_raw(t.movies, 15)
+
+
+@query("event_time_range")
+def event_time_range(t: Tables) -> DataFrame:
+    return PR.event_time_range(t.ratings)
+
+
+@query("data_dictionary")
+def data_dictionary(t: Tables) -> DataFrame:
+    return PR.data_dictionary(t.spark, _raw(t))
+
+
+@query("processed_dictionary")
+def processed_dictionary(t: Tables) -> DataFrame:
+    return PR.processed_dictionary(_clean(t))
+
+
+@query("rows_before_after")
+def rows_before_after(t: Tables) -> DataFrame:
+    return PR.rows_before_after(_raw(t), _clean(t))
+
+
+@query("uniqueness_report")
+def uniqueness_report(t: Tables) -> DataFrame:
+    """Q13 in report mode: duplicates left after cleaning (never raises)."""
+    return CL.uniqueness_report([("movies_catalog", t.catalog, ["movieId"]),
+                                 ("ratings_clean", t.ratings_clean, ["userId", "movieId"])])
