@@ -30,6 +30,18 @@ NUMERIC_MODEL_FEATURES = [
 ]
 
 
+def unique_names(names: list[str]) -> list[str]:
+    """Spark resolves column names case-insensitively: the n-th name equal to an
+    earlier one (ignoring case) gets the suffix ``_n``."""
+    seen: dict[str, int] = {}
+    out = []
+    for n in names:
+        k = n.lower()
+        seen[k] = seen.get(k, 0) + 1
+        out.append(n if seen[k] == 1 else f"{n}_{seen[k]}")
+    return out
+
+
 # --- per-item aggregates --------------------------------------------------
 
 def rating_stats(ratings: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
@@ -228,7 +240,7 @@ def model_spec(item_categories: DataFrame, frame: DataFrame, k_genres: int = 20,
     tags = tag_vocab(frame, k_tags).orderBy("rank").collect()
     return ModelSpec(
         genre_tokens=genres,
-        genre_features=[f"genre_{X.slugify(g)}" for g in genres],
+        genre_features=unique_names([f"genre_{X.slugify(g)}" for g in genres]),
         tag_tokens=[t["tag_tokens"] for t in tags],
         tag_features=[t["feature"] for t in tags],
         tag_item_counts=[int(t["len"]) for t in tags],
@@ -283,10 +295,12 @@ def feature_profile(matrix: DataFrame, spec: ModelSpec) -> DataFrame:
 def category_pivot(item_categories: DataFrame, categories: list[str], r: Roles = DEFAULT_ROLES,
                    name: str = "genre") -> DataFrame:
     """One-hot then group sum; a repeated category counts twice.
-    The vocabulary is passed in, so the pivot needs no extra distinct job."""
-    piv = item_categories.groupBy(r.item).pivot(name, categories).agg(F.count(F.lit(1)))
-    return piv.select(r.item, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(f"{name}_{c}")
-                                for c in categories])
+    The vocabulary is passed in; one conditional count per value in a single
+    aggregate (what ``pivot`` with explicit values plans), with names made
+    unique ignoring case."""
+    names = unique_names([f"{name}_{c}" for c in categories])
+    return item_categories.groupBy(r.item).agg(*[
+        F.count_if(F.col(name) == F.lit(c)).cast("bigint").alias(n) for c, n in zip(categories, names)])
 
 
 def category_values(item_categories: DataFrame, name: str = "genre") -> list[str]:
@@ -322,3 +336,28 @@ def numeric_feature_matrix(ratings_clean: DataFrame, item_categories: DataFrame,
     tc = tags.groupBy(r.item).agg(F.count(F.lit(1)).cast("bigint").alias("tag_count"))
     j = rs.join(cp, r.item, "left").join(tc, r.item, "left")
     return j.na.fill(0)
+
+
+def model_matrix_long(frame: DataFrame, item_categories: DataFrame, spec: ModelSpec,
+                      r: Roles = DEFAULT_ROLES) -> DataFrame:
+    """F10 in long form (item, feature, value): the numeric features of every
+    item plus the indicator entries that are 1.0 (zeros are implicit).
+
+    The indicators come from the category bridge and the item-token pairs
+    semi-joined with the vocabularies (at most k rows each: a bounded
+    broadcast), never from an items x vocabulary product.
+    """
+    spark = frame.sparkSession
+    wide = model_matrix(frame, spec, r)
+    numeric = wide.select(r.item, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in NUMERIC_MODEL_FEATURES
+    ])).alias("kv")).select(r.item, "kv.feature", "kv.value")
+    gv = spark.createDataFrame(list(zip(spec.genre_tokens, spec.genre_features)) or [("", "")],
+                               "token string, feature string").filter(F.col("feature") != "")
+    tv = spark.createDataFrame(list(zip(spec.tag_tokens, spec.tag_features)) or [("", "")],
+                               "token string, feature string").filter(F.col("feature") != "")
+    g = (item_categories.select(r.item, F.col("genre").alias("token")).distinct()
+         .join(F.broadcast(gv), "token").select(r.item, "feature", F.lit(1.0).alias("value")))
+    t = (frame.select(r.item, F.explode("tag_tokens").alias("token"))
+         .join(F.broadcast(tv), "token").select(r.item, "feature", F.lit(1.0).alias("value")))
+    return numeric.unionByName(g).unionByName(t)

@@ -313,3 +313,100 @@ FROM ({_dup_sql('catalog', ['movieId'])})
 UNION ALL
 SELECT 'ratings_clean', 'userId,movieId', duplicate_members, duplicate_members = 0
 FROM ({_dup_sql('ratings_clean', ['userId', 'movieId'])})""", ["catalog", "ratings_clean"])
+
+
+# --- vocabularies, scaling, model matrix, script features -----------------------------------
+
+def _slug(x: str) -> str:
+    s = f"trim(regexp_replace(lower(trim({x})), '[^a-zA-Z0-9]+', '_', 'g'), '_')"
+    return f"CASE WHEN length({s}) > 0 THEN {s} ELSE 'token' END"
+
+
+_VOCAB = {
+    "genre_vocab": """
+    SELECT genre, count(*) AS len FROM item_genres GROUP BY genre ORDER BY len DESC, genre ASC LIMIT 20""",
+    "tag_vocab": """
+    SELECT tok AS tag_tokens, count(*) AS len
+    FROM (SELECT unnest(tag_tokens) AS tok FROM feature_frame) x WHERE tok IS NOT NULL
+    GROUP BY tok ORDER BY len DESC, tok ASC LIMIT 20""",
+    "stats": """
+    SELECT avg(release_year_filled) AS release_year_mean,
+           coalesce(nullif(CASE WHEN isnan(stddev_samp(release_year_filled)) THEN 0 ELSE stddev_samp(release_year_filled) END, 0), 1.0) AS release_year_std,
+           coalesce(avg(avg_rating) FILTER (WHERE rating_count > 0), 0.0) AS avg_rating_mean,
+           coalesce(nullif(stddev_samp(avg_rating) FILTER (WHERE rating_count > 0), 0), 1.0) AS avg_rating_std,
+           avg(rating_span_seconds) AS rating_span_mean,
+           coalesce(nullif(stddev_samp(rating_span_seconds), 0), 1.0) AS rating_span_std,
+           avg(tag_span_seconds) AS tag_span_mean,
+           coalesce(nullif(stddev_samp(tag_span_seconds), 0), 1.0) AS tag_span_std
+    FROM feature_frame""",
+}
+_VOCAB_NEEDS = ["feature_frame", "item_genres", "genre_vocab", "tag_vocab", "stats"]
+
+ORACLE["category_vocab"] = with_ctes(
+    "SELECT genre, len, CAST(row_number() OVER (ORDER BY len DESC, genre ASC) - 1 AS INTEGER) AS rank FROM genre_vocab",
+    _VOCAB_NEEDS, _VOCAB)
+
+_TAG_RANK = "row_number() OVER (ORDER BY len DESC, tag_tokens ASC) - 1"
+ORACLE["tag_vocab"] = with_ctes(
+    f"SELECT tag_tokens, len, CAST({_TAG_RANK} AS INTEGER) AS rank, "
+    f"'tag_' || lpad(CAST({_TAG_RANK} AS VARCHAR), 3, '0') || '_' || {_slug('tag_tokens')} AS feature FROM tag_vocab",
+    _VOCAB_NEEDS, _VOCAB)
+
+ORACLE["scaling_stats"] = with_ctes("SELECT " + ", ".join(rnd(c, c) for c in [
+    "release_year_mean", "release_year_std", "avg_rating_mean", "avg_rating_std",
+    "rating_span_mean", "rating_span_std", "tag_span_mean", "tag_span_std"]) + " FROM stats", _VOCAB_NEEDS, _VOCAB)
+
+_NUMERIC_LONG = """
+    SELECT f.movieId, v.feature, v.value FROM (
+      SELECT movieId,
+        coalesce((CAST(release_year_filled AS DOUBLE) - s.release_year_mean) / s.release_year_std, 0.0) AS release_year_z,
+        coalesce((avg_rating - s.avg_rating_mean) / s.avg_rating_std, 0.0) AS avg_rating_z,
+        rating_std,
+        ln(1 + coalesce(CAST(rating_count AS DOUBLE), 0.0)) AS rating_count_log,
+        ln(1 + coalesce(CAST(unique_tag_count AS DOUBLE), 0.0)) AS unique_tag_count_log,
+        ln(1 + coalesce(CAST(genre_count AS DOUBLE), 0.0)) AS genre_count_log
+      FROM feature_frame, stats s) f,
+    LATERAL (VALUES ('release_year_z', f.release_year_z), ('avg_rating_z', f.avg_rating_z),
+                    ('rating_std', f.rating_std), ('rating_count_log', f.rating_count_log),
+                    ('unique_tag_count_log', f.unique_tag_count_log), ('genre_count_log', f.genre_count_log)) v(feature, value)"""
+_GENRE_FEATURES = (
+    "SELECT token, CASE WHEN n = 1 THEN feature ELSE feature || '_' || CAST(n AS VARCHAR) END AS feature FROM ("
+    f"SELECT genre AS token, 'genre_' || {_slug('genre')} AS feature, row_number() OVER ("
+    f"PARTITION BY lower('genre_' || {_slug('genre')}) ORDER BY len DESC, genre ASC) AS n FROM genre_vocab) gv")
+_TAG_FEATURES = (f"SELECT tag_tokens AS token, 'tag_' || lpad(CAST({_TAG_RANK} AS VARCHAR), 3, '0') || '_' || "
+                 f"{_slug('tag_tokens')} AS feature FROM tag_vocab")
+
+ORACLE["model_matrix_long"] = with_ctes(f"""
+SELECT movieId, feature, {rnd('value', 'value')} FROM (
+  {_NUMERIC_LONG}
+  UNION ALL
+  SELECT g.movieId, gf.feature, 1.0 FROM (SELECT DISTINCT movieId, genre FROM item_genres) g
+  JOIN ({_GENRE_FEATURES}) gf ON g.genre = gf.token
+  UNION ALL
+  SELECT t.movieId, tf.feature, 1.0 FROM (SELECT movieId, unnest(tag_tokens) AS token FROM feature_frame) t
+  JOIN ({_TAG_FEATURES}) tf ON t.token = tf.token) x""", _VOCAB_NEEDS, _VOCAB)
+
+ORACLE["feature_catalog"] = with_ctes(f"""
+SELECT feature, 'numeric' AS feature_group, 'week03 aggregates' AS source, CAST(NULL AS VARCHAR) AS token, 1.0 AS weight
+FROM (VALUES ('release_year_z'), ('avg_rating_z'), ('rating_std'), ('rating_count_log'),
+             ('unique_tag_count_log'), ('genre_count_log')) v(feature)
+UNION ALL SELECT feature, 'genre_top20', 'movie_genres', token, 1.0 FROM ({_GENRE_FEATURES})
+UNION ALL SELECT feature, 'tag_top20', 'tag_tokens', token, 1.0 FROM ({_TAG_FEATURES})""", _VOCAB_NEEDS, _VOCAB)
+
+ORACLE["feature_profile"] = with_ctes("""
+SELECT * FROM (VALUES
+  ('numeric', CAST(6 AS BIGINT)),
+  ('genre_top20', (SELECT count(*) FROM genre_vocab)),
+  ('tag_top20', (SELECT count(*) FROM tag_vocab)),
+  ('total_features', 6 + (SELECT count(*) FROM genre_vocab) + (SELECT count(*) FROM tag_vocab)),
+  ('movies', (SELECT count(*) FROM feature_frame))) v(block, "count")""", _VOCAB_NEEDS, _VOCAB)
+
+_TAG_TEXT = {"tag_text": """
+    SELECT movieId, array_to_string(list_sort(list_distinct(list(tag))), ' ') AS tag_text, count(*) AS tag_count
+    FROM tags_clean GROUP BY movieId"""}
+ORACLE["tag_text"] = with_ctes("SELECT movieId, tag_text, CAST(tag_count AS BIGINT) AS tag_count FROM tag_text",
+                               ["tags_clean", "tag_text"], _TAG_TEXT)
+ORACLE["text_corpus"] = with_ctes("""
+SELECT c.movieId, coalesce(c.title, '') || ' ' || coalesce(t.tag_text, '') AS text_blob,
+       CAST(coalesce(t.tag_count, 0) AS BIGINT) AS tag_count
+FROM catalog c LEFT JOIN tag_text t ON c.movieId = t.movieId""", ["catalog", "tags_clean", "tag_text"], _TAG_TEXT)

@@ -204,3 +204,72 @@ def uniqueness_report(t: Tables) -> DataFrame:
     """Q13 in report mode: duplicates left after cleaning (never raises)."""
     return CL.uniqueness_report([("movies_catalog", t.catalog, ["movieId"]),
                                  ("ratings_clean", t.ratings_clean, ["userId", "movieId"])])
+
+
+# --- phase 4: vocabularies, scaling, model matrix, script features ----------------------
+
+
+def _spec(t: Tables) -> FE.ModelSpec:
+    return FE.model_spec(t.item_genres, t.feature_frame)
+
+
+@query("category_vocab")
+def category_vocab(t: Tables) -> DataFrame:
+    """top-20 categories by item count."""
+    return FE.category_vocab(t.item_genres, 20)
+
+
+@query("tag_vocab")
+def tag_vocab(t: Tables) -> DataFrame:
+    """F8 + WN3: top-20 tokens by item frequency with feature names."""
+    return FE.tag_vocab(t.feature_frame, 20)
+
+
+@query("scaling_stats")
+def scaling_stats(t: Tables) -> DataFrame:
+    return FE.scaling_stats(t.feature_frame)
+
+
+@query("model_matrix")
+def model_matrix(t: Tables) -> DataFrame:
+    """F10 wide (column names depend on the vocabularies: rows-only check)."""
+    return FE.model_matrix(t.feature_frame, _spec(t)).drop("genres_list", "tag_tokens")
+
+
+@query("model_matrix_long")
+def model_matrix_long(t: Tables) -> DataFrame:
+    return FE.model_matrix_long(t.feature_frame, t.item_genres, _spec(t))
+
+
+@query("feature_catalog")
+def feature_catalog(t: Tables) -> DataFrame:
+    return FE.feature_catalog(t.spark, _spec(t))
+
+
+@query("feature_profile")
+def feature_profile(t: Tables) -> DataFrame:
+    spec = _spec(t)
+    return FE.feature_profile(t.feature_frame, spec)
+
+
+@query("category_pivot")
+def category_pivot(t: Tables) -> DataFrame:
+    """F1/A12 (one column per category value: rows-only check)."""
+    return FE.category_pivot(t.item_genres, FE.category_values(t.item_genres))
+
+
+@query("tag_text")
+def tag_text(t: Tables) -> DataFrame:
+    return FE.tag_text(t.tags_clean)
+
+
+@query("text_corpus")
+def text_corpus(t: Tables) -> DataFrame:
+    return FE.text_corpus(t.catalog, FE.tag_text(t.tags_clean))
+
+
+@query("numeric_feature_matrix")
+def numeric_feature_matrix(t: Tables) -> DataFrame:
+    """rated items only (one column per category value: rows-only check)."""
+    return FE.numeric_feature_matrix(t.ratings_clean, t.item_genres, t.tags_clean,
+                                     FE.category_values(t.item_genres))
