@@ -410,3 +410,31 @@ ORACLE["text_corpus"] = with_ctes("""
 SELECT c.movieId, coalesce(c.title, '') || ' ' || coalesce(t.tag_text, '') AS text_blob,
        CAST(coalesce(t.tag_count, 0) AS BIGINT) AS tag_count
 FROM catalog c LEFT JOIN tag_text t ON c.movieId = t.movieId""", ["catalog", "tags_clean", "tag_text"], _TAG_TEXT)
+
+
+# --- PCA inputs -----------------------------------------------------------------------------
+
+_FULL = dict(_VOCAB)
+_FULL["full_long"] = f"""
+    {_NUMERIC_LONG}
+    UNION ALL
+    SELECT f.movieId, gf.feature, CASE WHEN coalesce(list_contains(f.genres_list, gf.token), false) THEN 1.0 ELSE 0.0 END
+    FROM feature_frame f CROSS JOIN ({_GENRE_FEATURES}) gf
+    UNION ALL
+    SELECT f.movieId, tf.feature, CASE WHEN coalesce(list_contains(f.tag_tokens, tf.token), false) THEN 1.0 ELSE 0.0 END
+    FROM feature_frame f CROSS JOIN ({_TAG_FEATURES}) tf"""
+_FULL["zlong"] = """
+    SELECT movieId, feature, value, stddev_pop(value) OVER (PARTITION BY feature) AS sd,
+           (value - avg(value) OVER (PARTITION BY feature)) /
+           CASE WHEN stddev_pop(value) OVER (PARTITION BY feature) > 0
+                THEN stddev_pop(value) OVER (PARTITION BY feature) ELSE 1.0 END AS z
+    FROM full_long"""
+_FULL_NEEDS = _VOCAB_NEEDS + ["full_long", "zlong"]
+
+ORACLE["standardized_matrix"] = with_ctes(f"SELECT movieId, feature, {rnd('z', 'value')} FROM zlong",
+                                          _FULL_NEEDS, _FULL)
+ORACLE["correlation_matrix"] = with_ctes(f"""
+SELECT a.feature AS feature_a, b.feature AS feature_b,
+       {rnd('CASE WHEN max(a.sd) > 0 AND max(b.sd) > 0 THEN sum(a.z * b.z) / count(*) END', 'correlation')}
+FROM zlong a JOIN zlong b ON a.movieId = b.movieId
+GROUP BY a.feature, b.feature""", _FULL_NEEDS, _FULL)

@@ -273,3 +273,124 @@ def numeric_feature_matrix(t: Tables) -> DataFrame:
     """rated items only (one column per category value: rows-only check)."""
     return FE.numeric_feature_matrix(t.ratings_clean, t.item_genres, t.tags_clean,
                                      FE.category_values(t.item_genres))
+
+
+# --- phase 5: PCA -------------------------------------------------------------------------
+
+from itemscope.operators import decomposition as DC  # noqa: E402
+
+
+def _notebook_pca(t: Tables) -> tuple[FE.ModelSpec, DC.PCAFit]:
+    spec = _spec(t)
+    mat = FE.model_matrix(t.feature_frame, spec).select("movieId", "title", *spec.feature_columns)
+    return spec, DC.fit_pca(mat, spec.feature_columns)
+
+
+def _script_pca(t: Tables) -> tuple[list[str], DC.PCAFit, int]:
+    nm = FE.numeric_feature_matrix(t.ratings_clean, t.item_genres, t.tags_clean,
+                                   FE.category_values(t.item_genres))
+    cols = [c for c in nm.columns if c != "movieId"]
+    fit = DC.fit_pca(nm, cols)
+    return cols, fit, fit.components_for(0.9, strict=True)
+
+
+@query("standardized_matrix")
+def standardized_matrix(t: Tables) -> DataFrame:
+    """M2: z-scores (ddof 0, zero std -> 1) of the model matrix, long form."""
+    spec, fit = _notebook_pca(t)
+    z = fit.matrix.select("movieId", *DC.standardized_columns(fit.features, fit.means, fit.stds))
+    return z.select("movieId", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("value")) for c in fit.features
+    ])).alias("kv")).select("movieId", "kv.feature", "kv.value")
+
+
+@query("correlation_matrix")
+def correlation_matrix(t: Tables) -> DataFrame:
+    """Pearson correlation of every feature pair (NULL for constant features)."""
+    _, fit = _notebook_pca(t)
+    return DC.correlation_long(t.spark, fit)
+
+
+@query("pca_summary")
+def pca_summary(t: Tables) -> DataFrame:
+    _, fit = _notebook_pca(t)
+    return DC.variance_table(t.spark, fit)
+
+
+@query("pca_thresholds")
+def pca_thresholds(t: Tables) -> DataFrame:
+    _, fit = _notebook_pca(t)
+    return DC.thresholds_table(t.spark, fit)
+
+
+@query("pca_profile")
+def pca_profile(t: Tables) -> DataFrame:
+    _, fit = _notebook_pca(t)
+    return DC.pca_profile(t.spark, fit)
+
+
+@query("pca_scores")
+def pca_scores(t: Tables) -> DataFrame:
+    """M6: pc1..pc3 per item (0.0 beyond the number of features)."""
+    _, fit = _notebook_pca(t)
+    return DC.pca_scores(fit, ["movieId", "title"], 3, pad_to=3)
+
+
+@query("reconstruction_error")
+def reconstruction_error(t: Tables) -> DataFrame:
+    _, fit = _notebook_pca(t)
+    return DC.reconstruction_error(t.spark, fit)
+
+
+@query("top_loadings")
+def top_loadings(t: Tables) -> DataFrame:
+    _, fit = _notebook_pca(t)
+    return DC.top_loadings(t.spark, fit, 12)
+
+
+@query("loading_magnitude")
+def loading_magnitude(t: Tables) -> DataFrame:
+    _, fit = _notebook_pca(t)
+    return DC.loading_magnitude(t.spark, fit, 5)
+
+
+@query("feature_redundancy")
+def feature_redundancy(t: Tables) -> DataFrame:
+    _, fit = _notebook_pca(t)
+    return DC.feature_redundancy(t.spark, fit)
+
+
+@query("scree_points")
+def scree_points(t: Tables) -> DataFrame:
+    """The first min(50, p) components of the spectrum."""
+    _, fit = _notebook_pca(t)
+    return DC.variance_table(t.spark, fit, k=min(50, fit.p))
+
+
+@query("scatter_sample")
+def scatter_sample(t: Tables) -> DataFrame:
+    """M17 + O4: seeded sample of min(10000, n) items: pc1, pc2, pc3, log1p(rating_count)."""
+    _, fit = _notebook_pca(t)
+    scores = DC.pca_scores(fit, ["movieId"], 3, pad_to=3)
+    counts = t.feature_frame.select("movieId", F.log1p(F.col("rating_count").cast("double")).alias("rating_count"))
+    return DC.scatter_sample(scores.join(counts, "movieId"), "movieId", 10000, 42)
+
+
+@query("pca_target_variance")
+def pca_target_variance(t: Tables) -> DataFrame:
+    """M3: PCA of the script's numeric matrix keeping > 90 % of the variance."""
+    _, fit, k = _script_pca(t)
+    return DC.variance_table(t.spark, fit, k=k, cumulative_name="cumulative_variance")
+
+
+@query("pca_target_scores")
+def pca_target_scores(t: Tables) -> DataFrame:
+    _, fit, k = _script_pca(t)
+    return DC.pca_scores(fit, ["movieId"], k)
+
+
+@query("pca_target_error")
+def pca_target_error(t: Tables) -> DataFrame:
+    """M9: mean squared error per cell of the > 90 % reconstruction."""
+    _, fit, k = _script_pca(t)
+    return DC.reconstruction_error(t.spark, fit, [k]).select("components", "mse")
