@@ -438,3 +438,32 @@ SELECT a.feature AS feature_a, b.feature AS feature_b,
        {rnd('CASE WHEN max(a.sd) > 0 AND max(b.sd) > 0 THEN sum(a.z * b.z) / count(*) END', 'correlation')}
 FROM zlong a JOIN zlong b ON a.movieId = b.movieId
 GROUP BY a.feature, b.feature""", _FULL_NEEDS, _FULL)
+
+
+# --- TF-IDF -------------------------------------------------------------------------------------
+
+from itemscope.operators.text import spark_stop_words  # noqa: E402
+
+_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in spark_stop_words())
+_TEXT = dict(_TAG_TEXT)
+_TEXT["corpus"] = """
+    SELECT c.movieId, coalesce(c.title, '') || ' ' || coalesce(t.tag_text, '') AS text_blob
+    FROM catalog c LEFT JOIN tag_text t ON c.movieId = t.movieId"""
+_TEXT["tf"] = rf"""
+    SELECT movieId, term, count(*) AS tf FROM (
+      SELECT movieId, unnest(regexp_extract_all(lower(text_blob), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM corpus) x
+    WHERE term NOT IN ({_STOP}) GROUP BY movieId, term"""
+_TEXT["vocab"] = """
+    SELECT term, CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS term_idx, df,
+           ln((1 + n) / (1 + df)) + 1 AS idf
+    FROM (SELECT term, count(*) AS df, sum(tf) AS total FROM tf GROUP BY term
+          HAVING count(*) >= 2 ORDER BY total DESC, term ASC LIMIT 5000) v,
+         (SELECT CAST(count(*) AS DOUBLE) AS n FROM corpus) c"""
+_TEXT_NEEDS = ["catalog", "tags_clean", "tag_text", "corpus", "tf", "vocab"]
+
+ORACLE["tfidf_vocab"] = with_ctes(f"SELECT term, term_idx, CAST(df AS BIGINT) AS df, {rnd('idf', 'idf')} FROM vocab",
+                                  _TEXT_NEEDS, _TEXT)
+ORACLE["tfidf_long"] = with_ctes(f"""
+SELECT movieId, term_idx, term, {rnd('w / sqrt(sum(w * w) OVER (PARTITION BY movieId))', 'weight')}
+FROM (SELECT tf.movieId, v.term_idx, v.term, tf.tf * v.idf AS w FROM tf JOIN vocab v ON tf.term = v.term) x""",
+    _TEXT_NEEDS, _TEXT)

@@ -394,3 +394,108 @@ def pca_target_error(t: Tables) -> DataFrame:
     """M9: mean squared error per cell of the > 90 % reconstruction."""
     _, fit, k = _script_pca(t)
     return DC.reconstruction_error(t.spark, fit, [k]).select("components", "mse")
+
+
+# --- phase 6: TF-IDF, truncated SVD, comparison -------------------------------------------
+
+from itemscope.operators import svd as SV  # noqa: E402
+from itemscope.operators import text as TX  # noqa: E402
+
+MAX_FEATURES, MIN_DF = 5000, 2
+
+
+def _corpus(t: Tables) -> DataFrame:
+    return FE.text_corpus(t.catalog, FE.tag_text(t.tags_clean))
+
+
+def _text_parts(t: Tables) -> DataFrame:
+    """The corpus of F4 as parts: each title and each distinct (item, tag)."""
+    titles = t.catalog.select("movieId", F.col("title").alias("text"))
+    tags = t.tags_clean.select("movieId", F.col("tag").alias("text")).distinct()
+    return titles.unionByName(tags)
+
+
+def _tfidf(t: Tables) -> tuple[DataFrame, DataFrame]:
+    return TX.tfidf(_text_parts(t), "movieId", "text", MAX_FEATURES, MIN_DF, all_ids=t.catalog.select("movieId"))
+
+
+def _svd(t: Tables):
+    """TF-IDF partitioned by item and checkpointed once, then
+    k = min(200, vocabulary - 1) (1 if the vocabulary has at most one term)."""
+    weights, _ = _tfidf(t)
+    x = SV.prepare(weights.select("movieId", F.col("term_idx").alias("col_idx"), F.col("weight").alias("value")),
+                   "movieId")
+    n_cols = (x.agg(F.max("col_idx")).first()[0] or 0) + 1
+    ids = t.catalog.select("movieId")
+    n_rows = ids.count()
+    k = min(200, n_cols - 1) if n_cols > 1 else 1
+    fit = SV.truncated_svd(x, "movieId", n_rows, max(n_cols, 1), k)
+    emb = SV.embeddings(x, "movieId", ids, fit)
+    fit = SV.with_explained_variance(fit, emb)
+    return fit, emb
+
+
+@query("tfidf_long")
+def tfidf_long(t: Tables) -> DataFrame:
+    """M1: non-zero TF-IDF weights (item, term index, term, weight)."""
+    return _tfidf(t)[0]
+
+
+@query("tfidf_vocab")
+def tfidf_vocab(t: Tables) -> DataFrame:
+    """The vocabulary with document frequency and idf."""
+    return _tfidf(t)[1]
+
+
+@query("svd_variance")
+def svd_variance(t: Tables) -> DataFrame:
+    """Explained variance ratio of every kept SVD component."""
+    fit, _ = _svd(t)
+    ratio = fit.explained_variance_ratio
+    rows = [(j + 1, float(ratio[j]), float(ratio[: j + 1].sum())) for j in range(fit.k)]
+    return t.spark.createDataFrame(rows, "component int, explained_variance_ratio double, cumulative_variance double")
+
+
+@query("svd_embeddings")
+def svd_embeddings(t: Tables) -> DataFrame:
+    """U * Sigma for every item of the corpus."""
+    return _svd(t)[1]
+
+
+@query("svd_reconstruction_error")
+def svd_reconstruction_error(t: Tables) -> DataFrame:
+    """Squared error per row (closed form)."""
+    fit, _ = _svd(t)
+    return t.spark.createDataFrame([(fit.k, SV.reconstruction_error_per_row(fit))],
+                                   "components int, error_per_row double")
+
+
+def _comparison_rows(t: Tables):
+    _, pfit, pk = _script_pca(t)
+    sfit, _ = _svd(t)
+    pca_err = float(pfit.tail_variance(pk) / pfit.p)
+    return pfit, pk, sfit, pca_err, SV.reconstruction_error_per_row(sfit)
+
+
+@query("method_comparison")
+def method_comparison(t: Tables) -> DataFrame:
+    """M12, with the unit of each error named."""
+    pfit, pk, sfit, pca_err, svd_err = _comparison_rows(t)
+    rows = [("PCA", pk, float(pfit.cumulative[pk - 1]), pca_err, "mean squared error per cell"),
+            ("TruncatedSVD", sfit.k, float(sfit.explained_variance_ratio.sum()), svd_err,
+             "squared error per row")]
+    return t.spark.createDataFrame(rows, "method string, components int, cumulative_variance double, "
+                                         "reconstruction_error double, error_unit string")
+
+
+@query("run_summary")
+def run_summary(t: Tables) -> DataFrame:
+    """Sizes, components, variance and errors of the representation run."""
+    pfit, pk, sfit, pca_err, svd_err = _comparison_rows(t)
+    rows = [("numeric_features", "rows", float(pfit.n)), ("numeric_features", "columns", float(pfit.p + 1)),
+            ("text_features", "rows", float(sfit.n_rows)), ("text_features", "columns", float(sfit.n_cols)),
+            ("pca", "components", float(pk)), ("pca", "cumulative_variance", float(pfit.cumulative[pk - 1])),
+            ("svd", "components", float(sfit.k)),
+            ("svd", "cumulative_variance", float(sfit.explained_variance_ratio.sum())),
+            ("reconstruction_error", "pca", pca_err), ("reconstruction_error", "svd", svd_err)]
+    return t.spark.createDataFrame(rows, "section string, metric string, value double")
