@@ -16,7 +16,9 @@ def present(df: DataFrame, digits: int = DIGITS) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.round(c.cast("double"), digits)
-        elif isinstance(f.dataType, T.ArrayType):
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StringType):
             c = F.array_join(c, "|")
+        elif isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            c = F.to_json(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -499,3 +499,50 @@ def run_summary(t: Tables) -> DataFrame:
             ("svd", "cumulative_variance", float(sfit.explained_variance_ratio.sum())),
             ("reconstruction_error", "pca", pca_err), ("reconstruction_error", "svd", svd_err)]
     return t.spark.createDataFrame(rows, "section string, metric string, value double")
+
+
+# --- sources, sizes and nested reports ------------------------------------------------------
+
+from itemscope.operators import reports as RP  # noqa: E402
+from itemscope.sources import fixtures as FX  # noqa: E402
+from itemscope.sources import readers as RD  # noqa: E402
+
+
+def _sizes(t: Tables) -> DataFrame:
+    paths = FX.role_source_paths(t.sf_dir)
+    RD.preflight(t.spark, {f"{r}/{i}": p for r, ps in paths.items() for i, p in enumerate(ps)})
+    return RD.input_sizes(t.spark, paths)
+
+
+@query("input_sizes")
+def input_sizes(t: Tables) -> DataFrame:
+    """Stored size of every input role in MB (file-system metadata)."""
+    return _sizes(t)
+
+
+@query("table_memory_estimate")
+def table_memory_estimate(t: Tables) -> DataFrame:
+    """Q1 complete: rows, columns, size and scope per input table."""
+    return PR.table_shapes(_raw(t)).join(F.broadcast(_sizes(t)), "table") \
+        .select("table", "rows", "cols", "size_mb", "scope")
+
+
+@query("profile_report")
+def profile_report(t: Tables) -> DataFrame:
+    """Q16 (+ Q18): the nested profile summary, one row."""
+    raw = _raw(t)
+    shapes = PR.table_shapes(raw).join(F.broadcast(_sizes(t)), "table").select("table", "rows", "cols", "size_mb", "scope")
+    return RP.profile_report(
+        t.spark, shapes, PR.missing_nonzero(raw), PR.quality_checks(raw), PR.join_coverage(raw),
+        PR.scale_metrics(t.ratings), shapes, PR.score_distribution(t.ratings).orderBy("rating"),
+        PR.top_categories_raw(t.movies, 15))
+
+
+@query("cleaning_report")
+def cleaning_report(t: Tables) -> DataFrame:
+    """Q15: input tables, row changes, join checks, decisions, outputs; one row."""
+    raw = {k: t.raw(k) for k in ("ratings", "movies", "tags", "links")}
+    inputs = PR.table_shapes(raw).join(F.broadcast(_sizes(t)), "table").select("table", "rows", "size_mb")
+    outputs = ["movies_catalog", "ratings_clean", "tags_clean", "movie_genres", "processed_dictionary_profile"]
+    return RP.cleaning_report(t.spark, inputs, PR.rows_before_after(_raw(t), _clean(t)), PR.orphan_check(_clean(t)),
+                              outputs)

@@ -174,3 +174,18 @@ def sql_with(body: str, roles: list[str] | None = None) -> str:
         wanted.insert(wanted.index("genome_tags"), "genome_scores")
     ctes = ",\n".join(f"{name} AS ({SQL_ROLES[name]})" for name in wanted)
     return f"WITH {ctes}\n{body}"
+
+
+# Stored tables behind every role (for input sizes).
+ROLE_SOURCES = {
+    "movies": ["part"],
+    "ratings": ["lineitem", "orders"],
+    "tags": ["documents"],
+    "links": ["supplier"],
+    "genome_scores": ["embeddings"],
+    "genome_tags": ["embeddings"],
+}
+
+
+def role_source_paths(sf_dir: str) -> dict[str, list[str]]:
+    return {role: [f"{sf_dir}/{t}.parquet" for t in tables] for role, tables in ROLE_SOURCES.items()}
