@@ -80,12 +80,11 @@ def rating_stats_script(ratings: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFra
     ).withColumn("rating_span_days", X.span_days("rating_first_ts", "rating_last_ts"))
 
 
-def tag_token_pairs(tags_clean: DataFrame, r: Roles = DEFAULT_ROLES, exact_unicode: bool = True) -> DataFrame:
+def tag_token_pairs(tags_clean: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
     """Distinct (item, normalised tag) pairs with event counts and the X9 token.
 
     Pre-aggregating on (item, tag) spreads a hot item over its tags and cuts
-    the rows before any per-item step. Tags with non-ASCII characters take the
-    Arrow UDF (NFKC); all others stay on the native chain.
+    the rows before the token rule and any per-item step.
     """
     norm = f"{r.tag}_normalized"
     pairs = tags_clean.groupBy(r.item, norm).agg(
@@ -93,17 +92,13 @@ def tag_token_pairs(tags_clean: DataFrame, r: Roles = DEFAULT_ROLES, exact_unico
         F.min(r.epoch).alias("first_ts"),
         F.max(r.epoch).alias("last_ts"),
     )
-    if not exact_unicode:
-        return pairs.withColumn("tag_token", X.token_ascii_chain(norm))
-    ascii_part = pairs.filter(~X.has_non_ascii(norm)).withColumn("tag_token", X.token_ascii_chain(norm))
-    other = pairs.filter(X.has_non_ascii(norm)).withColumn("tag_token", X.nfkc_token_udf(F.col(norm)))
-    return ascii_part.unionByName(other)
+    return pairs.withColumn("tag_token", X.normalize_token(norm))
 
 
-def tag_stats(tags_clean: DataFrame, r: Roles = DEFAULT_ROLES, exact_unicode: bool = True) -> DataFrame:
+def tag_stats(tags_clean: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
     """A4: events, distinct tokens, sorted distinct token list, first/last time.
     NULL tokens still count as events."""
-    pairs = tag_token_pairs(tags_clean, r, exact_unicode)
+    pairs = tag_token_pairs(tags_clean, r)
     return pairs.groupBy(r.item).agg(
         F.sum("events").cast("bigint").alias("tag_event_count"),
         F.array_sort(F.collect_set("tag_token")).alias("tag_tokens"),
@@ -119,11 +114,10 @@ def category_counts(item_categories: DataFrame, r: Roles = DEFAULT_ROLES) -> Dat
 # --- F6 feature frame ------------------------------------------------------
 
 def feature_frame(catalog: DataFrame, ratings_clean: DataFrame, tags_clean: DataFrame,
-                  item_categories: DataFrame, r: Roles = DEFAULT_ROLES,
-                  exact_unicode: bool = True) -> DataFrame:
+                  item_categories: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
     """one row per catalog item (unrated items kept), 17 columns."""
     ra = rating_stats(ratings_clean, r)
-    ta = tag_stats(tags_clean, r, exact_unicode)
+    ta = tag_stats(tags_clean, r)
     ga = category_counts(item_categories, r)
     # Global median of the year: one-row aggregate (value->count map bounded by
     # the distinct years), joined back as a broadcast of exactly one row.

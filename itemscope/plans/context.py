@@ -67,3 +67,11 @@ class Tables:
     @cached_property
     def feature_frame(self) -> DataFrame:
         return FE.feature_frame(self.catalog, self.ratings_clean, self.tags_clean, self.item_genres)
+
+    @cached_property
+    def feature_frame_saved(self) -> DataFrame:
+        """The feature frame written once to the checkpoint folder: the model
+        matrix reads it three times (two vocabularies, the matrix itself)."""
+        from itemscope.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.spark)
+        return self.feature_frame.checkpoint(eager=True)

@@ -210,7 +210,7 @@ def uniqueness_report(t: Tables) -> DataFrame:
 
 
 def _spec(t: Tables) -> FE.ModelSpec:
-    return FE.model_spec(t.item_genres, t.feature_frame)
+    return FE.model_spec(t.item_genres, t.feature_frame_saved)
 
 
 @query("category_vocab")
@@ -233,12 +233,12 @@ def scaling_stats(t: Tables) -> DataFrame:
 @query("model_matrix")
 def model_matrix(t: Tables) -> DataFrame:
     """F10 wide (column names depend on the vocabularies: rows-only check)."""
-    return FE.model_matrix(t.feature_frame, _spec(t)).drop("genres_list", "tag_tokens")
+    return FE.model_matrix(t.feature_frame_saved, _spec(t)).drop("genres_list", "tag_tokens")
 
 
 @query("model_matrix_long")
 def model_matrix_long(t: Tables) -> DataFrame:
-    return FE.model_matrix_long(t.feature_frame, t.item_genres, _spec(t))
+    return FE.model_matrix_long(t.feature_frame_saved, t.item_genres, _spec(t))
 
 
 @query("feature_catalog")
@@ -249,7 +249,7 @@ def feature_catalog(t: Tables) -> DataFrame:
 @query("feature_profile")
 def feature_profile(t: Tables) -> DataFrame:
     spec = _spec(t)
-    return FE.feature_profile(t.feature_frame, spec)
+    return FE.feature_profile(t.feature_frame_saved, spec)
 
 
 @query("category_pivot")
@@ -282,7 +282,7 @@ from itemscope.operators import decomposition as DC  # noqa: E402
 
 def _notebook_pca(t: Tables) -> tuple[FE.ModelSpec, DC.PCAFit]:
     spec = _spec(t)
-    mat = FE.model_matrix(t.feature_frame, spec).select("movieId", "title", *spec.feature_columns)
+    mat = FE.model_matrix(t.feature_frame_saved, spec).select("movieId", "title", *spec.feature_columns)
     return spec, DC.fit_pca(mat, spec.feature_columns)
 
 
@@ -372,7 +372,7 @@ def scatter_sample(t: Tables) -> DataFrame:
     """M17 + O4: seeded sample of min(10000, n) items: pc1, pc2, pc3, log1p(rating_count)."""
     _, fit = _notebook_pca(t)
     scores = DC.pca_scores(fit, ["movieId"], 3, pad_to=3)
-    counts = t.feature_frame.select("movieId", F.log1p(F.col("rating_count").cast("double")).alias("rating_count"))
+    counts = t.feature_frame_saved.select("movieId", F.log1p(F.col("rating_count").cast("double")).alias("rating_count"))
     return DC.scatter_sample(scores.join(counts, "movieId"), "movieId", 10000, 42)
 
 
