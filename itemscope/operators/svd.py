@@ -40,6 +40,7 @@ class SVDFit:
     frob2: float                     # |X|_F^2
     col_var_total: float             # sum of the population variances of the columns
     explained_variance: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    projected_norm2: float | None = None  # |X V_k|_F^2, set from the embeddings
 
     @property
     def explained_variance_ratio(self) -> np.ndarray:
@@ -164,11 +165,17 @@ def embeddings(x: DataFrame, row_id: str, all_rows: DataFrame, fit: SVDFit, pref
 
 def with_explained_variance(fit: SVDFit, emb: DataFrame, prefix: str = "svd_") -> SVDFit:
     """Population variance of every embedding column (one aggregate)."""
-    row = emb.agg(*[F.var_pop(F.col(f"{prefix}{j + 1}")).alias(f"v{j}") for j in range(fit.k)]).first()
+    cols = [F.col(f"{prefix}{j + 1}") for j in range(fit.k)]
+    sq = sum((c * c for c in cols), F.lit(0.0))
+    row = emb.agg(*[F.var_pop(c).alias(f"v{j}") for j, c in enumerate(cols)], F.sum(sq).alias("ss")).first()
     fit.explained_variance = np.array([row[f"v{j}"] or 0.0 for j in range(fit.k)])
+    fit.projected_norm2 = float(row["ss"] or 0.0)
     return fit
 
 
 def reconstruction_error_per_row(fit: SVDFit) -> float:
-    """Squared error per row, (|X|_F^2 - sum sigma_k^2) / n."""
-    return max(fit.frob2 - float((fit.singular_values ** 2).sum()), 0.0) / max(fit.n_rows, 1)
+    """Squared error per row of the reconstruction X V_k V_k', closed form
+    (|X|_F^2 - |X V_k|_F^2) / n; before the embeddings exist, sum sigma_k^2
+    stands in for |X V_k|_F^2 (equal for exact singular vectors)."""
+    kept = fit.projected_norm2 if fit.projected_norm2 is not None else float((fit.singular_values ** 2).sum())
+    return max(fit.frob2 - kept, 0.0) / max(fit.n_rows, 1)
