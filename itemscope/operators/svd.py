@@ -6,10 +6,10 @@ subspace iteration (the method of the reference's solver). The long-form
 matrix is hash-partitioned by row once and checkpointed; then every
 iteration is ONE distributed pass:
 
-  each task takes its whole rows, forms dense row blocks (bounded to a few
-  million cells), and with BLAS computes Y_b = X_b Z, adds X_b' Y_b and
-  Y_b' Y_b to its partials; partials are emitted as (kind, index, vector)
-  rows and summed with ``Summarizer`` (partial aggregation map-side).
+  each task takes its whole rows and, with sparse products in bounded
+  chunks (O(nnz * l), numpy sort + reduceat), computes its Y = X Z, X'Y and
+  Y'Y; partials are emitted as row-block slices and each slice is summed
+  over the tasks in one grouped step (bounded by the number of tasks).
 
 Z (n_cols x l) travels as a broadcast bounded by n_cols * l; only n_cols x l
 and l x l matrices reach the driver. The n x k embeddings are one more pass
@@ -22,12 +22,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_CELLS = 4_000_000  # dense cells per row block inside a task (32 MB)
+CHUNK_ENTRIES = 32_768  # non-zeros per vectorised chunk inside a task (chunk x l doubles)
 
 
 @dataclass
@@ -47,57 +45,89 @@ class SVDFit:
         return self.explained_variance / self.col_var_total if self.col_var_total > 0 else np.zeros(self.k)
 
 
-def _row_blocks(pdf: pd.DataFrame, row_id: str, n_cols: int):
-    """Yield (row ids, dense block) for the rows of one partition."""
-    if pdf.empty:
-        return
-    ids, inv = np.unique(pdf[row_id].to_numpy(), return_inverse=True)
-    cols = pdf["col_idx"].to_numpy().astype(np.int64)
-    vals = pdf["value"].to_numpy().astype(float)
-    order = np.argsort(inv, kind="stable")
-    inv, cols, vals = inv[order], cols[order], vals[order]
-    per_block = max(1, BLOCK_CELLS // max(n_cols, 1))
-    bounds = np.searchsorted(inv, np.arange(0, len(ids) + per_block, per_block))
-    for b in range(len(bounds) - 1):
-        lo, hi = bounds[b], bounds[b + 1]
-        if lo >= hi:
-            continue
-        first = b * per_block
-        nb = min(per_block, len(ids) - first)
-        block = np.zeros((nb, n_cols))
-        np.add.at(block, (inv[lo:hi] - first, cols[lo:hi]), vals[lo:hi])
-        yield ids[first:first + nb], block
+class _LocalRows:
+    """The non-zeros of one partition (whole rows), sorted by row."""
+
+    def __init__(self, pdf: pd.DataFrame, row_id: str):
+        self.ids, inv = np.unique(pdf[row_id].to_numpy(), return_inverse=True)
+        order = np.argsort(inv, kind="stable")
+        self.rows = inv[order]
+        self.cols = pdf["col_idx"].to_numpy().astype(np.int64)[order]
+        self.vals = pdf["value"].to_numpy().astype(float)[order]
+
+    def times(self, mat: np.ndarray) -> np.ndarray:
+        """X_local @ mat (one dense row per local row), O(nnz * l)."""
+        out = np.zeros((len(self.ids), mat.shape[1]))
+        for lo in range(0, len(self.vals), CHUNK_ENTRIES):
+            hi = min(lo + CHUNK_ENTRIES, len(self.vals))
+            r = self.rows[lo:hi]
+            prod = self.vals[lo:hi, None] * mat[self.cols[lo:hi]]
+            starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
+            out[r[starts]] += np.add.reduceat(prod, starts, axis=0)
+        return out
+
+    def transpose_times(self, y: np.ndarray, n_cols: int) -> np.ndarray:
+        """X_local' @ y (n_cols x l), O(nnz * l)."""
+        out = np.zeros((n_cols, y.shape[1]))
+        for lo in range(0, len(self.vals), CHUNK_ENTRIES):
+            hi = min(lo + CHUNK_ENTRIES, len(self.vals))
+            o = np.argsort(self.cols[lo:hi], kind="stable")
+            c = self.cols[lo:hi][o]
+            prod = self.vals[lo:hi][o, None] * y[self.rows[lo:hi][o]]
+            starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+            out[c[starts]] += np.add.reduceat(prod, starts, axis=0)
+        return out
+
+
+def _partition_frame(batches, row_id: str) -> pd.DataFrame | None:
+    frames = [b for b in batches]
+    return pd.concat(frames) if frames else None
+
+
+SUM_BLOCK_ROWS = 256  # rows of a partial matrix summed together in one group
+
+
+def _sum_partials(parts: DataFrame, n_rows_total: int, width: int) -> np.ndarray:
+    """Add the per-task partial matrices: rows (blk, data) where ``data`` is a
+    flattened SUM_BLOCK_ROWS x width slice; one group per slice receives one
+    slice per task (bounded by the number of tasks) and adds them with numpy."""
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum(np.stack(pdf["data"].to_numpy()), axis=0)
+        return pd.DataFrame({"blk": [int(pdf["blk"].iloc[0])], "data": [total]})
+
+    rows = parts.groupBy("blk").applyInPandas(add, "blk int, data array<double>").collect()
+    out = np.zeros((n_rows_total, width))
+    for r in rows:
+        lo = r["blk"] * SUM_BLOCK_ROWS
+        block = np.asarray(r["data"]).reshape(-1, width)
+        out[lo:lo + block.shape[0]] = block
+    return out
+
+
+def _emit_blocks(mat: np.ndarray) -> pd.DataFrame:
+    blks = range(0, mat.shape[0], SUM_BLOCK_ROWS)
+    return pd.DataFrame({"blk": [b // SUM_BLOCK_ROWS for b in blks],
+                         "data": [mat[b:b + SUM_BLOCK_ROWS].ravel() for b in blks]})
 
 
 def _products(x: DataFrame, row_id: str, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One pass: (X'Y, Y'Y) for Y = X z."""
+    """One pass: (X'Y, Y'Y) for Y = X z, stacked as one (n_cols + l) x l sum."""
     n_cols, l = z.shape
     zb = x.sparkSession.sparkContext.broadcast(z)
 
     def partial(batches):
-        frames = [b for b in batches]
-        pdf = pd.concat(frames) if frames else pd.DataFrame({row_id: [], "col_idx": [], "value": []})
-        zz = zb.value
-        xty = np.zeros((n_cols, l))
-        yty = np.zeros((l, l))
-        for _, block in _row_blocks(pdf, row_id, n_cols):
-            yb = block @ zz
-            xty += block.T @ yb
-            yty += yb.T @ yb
-        kinds = np.r_[np.zeros(n_cols, dtype=np.int32), np.ones(l, dtype=np.int32)]
-        idx = np.r_[np.arange(n_cols, dtype=np.int32), np.arange(l, dtype=np.int32)]
-        yield pd.DataFrame({"kind": kinds, "idx": idx, "vec": list(np.vstack([xty, yty]))})
-
-    parts = x.mapInPandas(partial, "kind int, idx int, vec array<double>")
-    rows = (parts.select("kind", "idx", array_to_vector("vec").alias("v"))
-            .groupBy("kind", "idx").agg(Summarizer.sum(F.col("v")).alias("v"))
-            .select("kind", "idx", vector_to_array("v").alias("v")).collect())
+        pdf = _partition_frame(batches, row_id)
+        acc = np.zeros((n_cols + l, l))
+        if pdf is not None and len(pdf):
+            local = _LocalRows(pdf, row_id)
+            y = local.times(zb.value)
+            acc[:n_cols] = local.transpose_times(y, n_cols)
+            acc[n_cols:] = y.T @ y
+        yield _emit_blocks(acc)
+
+    total = _sum_partials(x.mapInPandas(partial, "blk int, data array<double>"), n_cols + l, l)
     zb.unpersist()
-    xty = np.zeros((n_cols, l))
-    yty = np.zeros((l, l))
-    for r in rows:
-        (xty if r["kind"] == 0 else yty)[r["idx"]] = r["v"]
-    return xty, yty
+    return total[:n_cols], total[n_cols:]
 
 
 def _orth_factor(g: np.ndarray, rtol: float = 1e-12) -> np.ndarray:
@@ -135,10 +165,23 @@ def truncated_svd(x: DataFrame, row_id: str, n_rows: int, n_cols: int, k: int,
     for j in range(k):  # sign rule: largest-magnitude loading positive
         if vt[j, int(np.argmax(np.abs(vt[j])))] < 0:
             vt[j] = -vt[j]
-    stats = x.groupBy("col_idx").agg(F.sum("value").alias("s1"), F.sum(F.col("value") ** 2).alias("s2")) \
-        .agg(F.sum("s2").alias("frob2"),
-             F.sum(F.col("s2") / F.lit(float(n_rows)) - (F.col("s1") / F.lit(float(n_rows))) ** 2).alias("var")).first()
-    return SVDFit(n_rows, n_cols, k, s[:k], vt, float(stats["frob2"] or 0.0), float(stats["var"] or 0.0))
+    # column sums and squares of X (n_cols rows, bounded by the vocabulary)
+    col = {r["col_idx"]: (r["s1"], r["s2"]) for r in
+           x.groupBy("col_idx").agg(F.sum("value").alias("s1"), F.sum(F.col("value") ** 2).alias("s2")).collect()}
+    s1 = np.zeros(n_cols)
+    s2 = np.zeros(n_cols)
+    for c, (a, b) in col.items():
+        s1[c], s2[c] = a, b
+    nr = float(max(n_rows, 1))
+    # one more pass with Z = V_k': diag(Y'Y) = sum of squares of every
+    # embedding column; its mean is (column sums of X) . v_j / n
+    _, yty = _products(x, row_id, vt.T.copy())
+    sq = np.diag(yty)
+    means = (s1 @ vt.T) / nr
+    fit = SVDFit(n_rows, n_cols, k, s[:k], vt, float(s2.sum()), float((s2 / nr - (s1 / nr) ** 2).sum()))
+    fit.explained_variance = sq / nr - means ** 2
+    fit.projected_norm2 = float(sq.sum())
+    return fit
 
 
 def embeddings(x: DataFrame, row_id: str, all_rows: DataFrame, fit: SVDFit, prefix: str = "svd_") -> DataFrame:
@@ -148,14 +191,13 @@ def embeddings(x: DataFrame, row_id: str, all_rows: DataFrame, fit: SVDFit, pref
     id_type = dict(x.dtypes)[row_id]
 
     def project(batches):
-        frames = [b for b in batches]
-        if not frames:
+        pdf = _partition_frame(batches, row_id)
+        if pdf is None or not len(pdf):
             return
-        pdf = pd.concat(frames)
-        for ids, block in _row_blocks(pdf, row_id, fit.n_cols):
-            out = pd.DataFrame(block @ vb.value, columns=names)
-            out.insert(0, row_id, ids)
-            yield out
+        local = _LocalRows(pdf, row_id)
+        out = pd.DataFrame(local.times(vb.value), columns=names)
+        out.insert(0, row_id, local.ids)
+        yield out
 
     schema = f"`{row_id}` {id_type}, " + ", ".join(f"`{n}` double" for n in names)
     y = x.mapInPandas(project, schema)

@@ -68,7 +68,8 @@ def vocabulary(tf: DataFrame, id_col: str, n_docs: DataFrame, max_features: int
 
 
 def tfidf(parts: DataFrame, id_col: str, text_col: str, max_features: int = 5000, min_df: int = 2,
-          stop_words: tuple[str, ...] | None = None, all_ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+          stop_words: tuple[str, ...] | None = None, all_ids: DataFrame | None = None,
+          materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """Return (weights, vocabulary): weights = (id, term_idx, term, weight) for
     the non-zero entries; documents without vocabulary terms have no rows.
 
@@ -76,8 +77,14 @@ def tfidf(parts: DataFrame, id_col: str, text_col: str, max_features: int = 5000
     distinct tag): a token never spans the blank that would join them, so the
     counts equal those of the joined text, without building one long string
     per document. ``all_ids`` lists every document (for n); default: the ids
-    present in ``parts``."""
+    present in ``parts``. ``materialize`` writes the (id, term, count) table
+    once to the checkpoint folder: both the vocabulary and the weights read it,
+    so the corpus is tokenised one time."""
     tf = term_counts(parts, id_col, text_col, stop_words=stop_words)
+    if materialize:
+        from itemscope.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(parts.sparkSession)
+        tf = tf.checkpoint(eager=True)
     ids = all_ids if all_ids is not None else parts.select(id_col).distinct()
     n_docs = ids.agg(F.count(F.lit(1)).cast("double").alias("n_docs"))
     vocab = vocabulary(tf, id_col, n_docs, max_features, min_df)

@@ -430,9 +430,7 @@ def _svd(t: Tables):
     n_rows = ids.count()
     k = min(200, n_cols - 1) if n_cols > 1 else 1
     fit = SV.truncated_svd(x, "movieId", n_rows, max(n_cols, 1), k)
-    emb = SV.embeddings(x, "movieId", ids, fit)
-    fit = SV.with_explained_variance(fit, emb)
-    return fit, emb
+    return fit, SV.embeddings(x, "movieId", ids, fit)
 
 
 @query("tfidf_long")

@@ -35,6 +35,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.driver.memory", os.environ.get("ITEMSCOPE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        # one BLAS thread per Python worker: Spark already runs one task per core
+        .config("spark.executorEnv.OPENBLAS_NUM_THREADS", "1")
+        .config("spark.executorEnv.OMP_NUM_THREADS", "1")
     )
     for key, value in {**REQUIRED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)

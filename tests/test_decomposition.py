@@ -125,7 +125,11 @@ def test_truncated_svd_matches_numpy(spark):
     assert np.allclose(full.singular_values, s[: m - 1], rtol=1e-9)
     ids = spark.createDataFrame([(i,) for i in range(n)], "rid bigint")
     emb = SV.embeddings(x, "rid", ids, fit)
+    from_pass = fit.explained_variance.copy()
+    norm_pass = fit.projected_norm2
     fit = SV.with_explained_variance(fit, emb)
+    assert np.allclose(from_pass, fit.explained_variance, rtol=1e-9, atol=1e-12)
+    assert norm_pass == pytest.approx(fit.projected_norm2, rel=1e-9)
     u = np.array([[r[f"svd_{j + 1}"] for j in range(k)] for r in emb.orderBy("rid").collect()])
     assert np.allclose(np.abs(u), np.abs(dense @ fit.components.T), atol=1e-9)
     exp_var = u.var(axis=0)
