@@ -48,40 +48,44 @@ def missing_nonzero(tables: dict[str, DataFrame]) -> DataFrame:
     return missing_profile(tables).filter(F.col("null_count") > 0)
 
 
-def quality_checks(tables: dict[str, DataFrame], r: Roles = DEFAULT_ROLES,
-                   lo: float = 0.5, hi: float = 5.0) -> DataFrame:
-    """Q4: the 13 named checks as (check, value)."""
-    ratings, movies, tags, links = (tables[k] for k in ("ratings", "movies", "tags", "links"))
-    gs, gt = tables["genome_scores"], tables["genome_tags"]
-
-    def counts(df, named):
-        wide = df.agg(*[F.count_if(cond).alias(n) for n, cond in named])
-        return wide.selectExpr("stack(%d, %s) AS (`check`, value)" % (
-            len(named), ", ".join(f"'{n}', CAST(`{n}` AS BIGINT)" for n, _ in named)))
+def _grouped_checks(df: DataFrame, keys: list[str] | None, dup_name: str | None,
+                    named: list[tuple[str, "F.Column"]]) -> DataFrame:
+    """One grouped aggregate per table: the duplicate-member count of the key
+    plus any conditional row counts (summed over the groups), as (check, value).
+    One scan and one shuffle (map-side combined) per table."""
+    keys = list(keys or df.columns)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                    *[F.count_if(cond).alias(f"_c{i}") for i, (_, cond) in enumerate(named)])
+    aggs = [F.coalesce(F.sum(F.col(f"_c{i}")), F.lit(0)).cast("bigint").alias(n) for i, (n, _) in enumerate(named)]
+    if dup_name:
+        aggs.append(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias(dup_name))
+    wide = per_key.agg(*aggs)
+    names = [n for n, _ in named] + ([dup_name] if dup_name else [])
+    return wide.selectExpr("stack(%d, %s) AS (`check`, value)" % (
+        len(names), ", ".join(f"'{n}', `{n}`" for n in names)))
 
-    def dup(df, keys, name):
-        return A.duplicate_members(df, keys).select(F.lit(name).alias("check"), F.col("duplicate_members").alias("value"))
 
+def quality_checks(tables: dict[str, DataFrame], r: Roles = DEFAULT_ROLES,
+                   lo: float = 0.5, hi: float = 5.0) -> DataFrame:
+    """Q4: the 13 named checks as (check, value), one grouped aggregate per table."""
     parts = [
-        counts(ratings, [
+        _grouped_checks(tables["ratings"], [r.user, r.item], "ratings_duplicate_user_movie_pairs", [
             ("ratings_missing_required", X.any_null([r.user, r.item, r.score, r.epoch])),
             ("ratings_out_of_range", X.outside_range(r.score, lo, hi)),
         ]),
-        dup(ratings, [r.user, r.item], "ratings_duplicate_user_movie_pairs"),
-        dup(movies, [r.item], "movies_duplicate_movieId"),
-        counts(movies, [
+        _grouped_checks(tables["movies"], [r.item], "movies_duplicate_movieId", [
             ("movies_missing_title", F.col(r.title).isNull()),
             ("movies_missing_genres", F.col(r.categories).isNull()),
         ]),
-        counts(tags, [("tags_missing_tag_text", F.col(r.tag).isNull())]),
-        dup(tags, None, "tags_duplicate_full_rows"),
-        counts(links, [
+        _grouped_checks(tables["tags"], None, "tags_duplicate_full_rows", [
+            ("tags_missing_tag_text", F.col(r.tag).isNull()),
+        ]),
+        _grouped_checks(tables["links"], [r.item], "links_duplicate_movieId", [
             ("links_missing_imdbId", F.col(r.imdb).isNull()),
             ("links_missing_tmdbId", F.col(r.tmdb).isNull()),
         ]),
-        dup(links, [r.item], "links_duplicate_movieId"),
-        dup(gs, [r.item, r.tag_id], "genome_scores_duplicate_movie_tag"),
-        dup(gt, [r.tag_id], "genome_tags_duplicate_tagId"),
+        _grouped_checks(tables["genome_scores"], [r.item, r.tag_id], "genome_scores_duplicate_movie_tag", []),
+        _grouped_checks(tables["genome_tags"], [r.tag_id], "genome_tags_duplicate_tagId", []),
     ]
     return _union(parts)
 
