@@ -119,14 +119,13 @@ def feature_frame(catalog: DataFrame, ratings_clean: DataFrame, tags_clean: Data
     ra = rating_stats(ratings_clean, r)
     ta = tag_stats(tags_clean, r)
     ga = category_counts(item_categories, r)
-    # Global median of the year: one-row aggregate (value->count map bounded by
-    # the distinct years), joined back as a broadcast of exactly one row.
-    year_median = catalog.agg(F.median("release_year").alias("_year_median"))
-    joined = (catalog.join(ra, r.item, "left").join(ta, r.item, "left").join(ga, r.item, "left")
-              .crossJoin(F.broadcast(year_median)))
+    # Global median of the year: a scalar subquery over a one-row aggregate
+    # (its value->count map is bounded by the distinct years).
+    year_median = catalog.agg(F.median("release_year")).scalar()
+    joined = catalog.join(ra, r.item, "left").join(ta, r.item, "left").join(ga, r.item, "left")
     out = joined.select(
         F.col(r.item), F.col(r.title), F.col("release_year"),
-        F.coalesce(F.col("release_year").cast("double"), F.col("_year_median")).alias("release_year_filled"),
+        F.coalesce(F.col("release_year").cast("double"), year_median).alias("release_year_filled"),
         F.col(f"{r.categories}_list").alias("genres_list"),
         F.coalesce("genre_count", F.lit(0)).cast("bigint").alias("genre_count"),
         F.col("tag_tokens"), F.col(r.imdb), F.col(r.tmdb),
@@ -244,22 +243,22 @@ def model_spec(item_categories: DataFrame, frame: DataFrame, k_genres: int = 20,
 def model_matrix(frame: DataFrame, spec: ModelSpec, r: Roles = DEFAULT_ROLES) -> DataFrame:
     """ids + 6 numeric + genre and tag indicators, one projection.
 
-    Scaling scalars come from a one-row aggregate broadcast back (exactly one
-    row, so the broadcast is size-bounded); Catalyst reuses the frame's
-    exchanges for both branches.
+    Scaling scalars are scalar subqueries over one aggregate of the frame
+    (Catalyst merges them into a single subquery).
     """
     stats = scaling_stats(frame)
-    j = frame.crossJoin(F.broadcast(stats))
+    st = {c: stats.select(c).scalar() for c in stats.columns}
+    j = frame
     cols = [
         F.col(r.item), F.col(r.title), F.col("genres_list"), F.col("tag_tokens"),
         F.col("rating_std"),
-        X.zscore("release_year_filled", F.col("release_year_mean"), F.col("release_year_std")).alias("release_year_z"),
-        X.zscore("avg_rating", F.col("avg_rating_mean"), F.col("avg_rating_std")).alias("avg_rating_z"),
+        X.zscore("release_year_filled", st["release_year_mean"], st["release_year_std"]).alias("release_year_z"),
+        X.zscore("avg_rating", st["avg_rating_mean"], st["avg_rating_std"]).alias("avg_rating_z"),
         X.log1p0("rating_count").alias("rating_count_log"),
         X.log1p0("tag_event_count").alias("tag_event_count_log"),
         X.log1p0("unique_tag_count").alias("unique_tag_count_log"),
-        X.zscore("rating_span_seconds", F.col("rating_span_mean"), F.col("rating_span_std")).alias("rating_span_seconds_z"),
-        X.zscore("tag_span_seconds", F.col("tag_span_mean"), F.col("tag_span_std")).alias("tag_span_seconds_z"),
+        X.zscore("rating_span_seconds", st["rating_span_mean"], st["rating_span_std"]).alias("rating_span_seconds_z"),
+        X.zscore("tag_span_seconds", st["tag_span_mean"], st["tag_span_std"]).alias("tag_span_seconds_z"),
         X.log1p0("genre_count").alias("genre_count_log"),
     ]
     cols += [X.contains_indicator("genres_list", g).alias(n) for g, n in zip(spec.genre_tokens, spec.genre_features)]

@@ -3,8 +3,6 @@ built from bounded profile results and written with ``write_report_json``."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +32,9 @@ def table_usage(spark: SparkSession) -> DataFrame:
 
 
 def _one_row(parts: list[DataFrame]) -> DataFrame:
-    # every part has exactly one row, so these products are one row
-    return reduce(lambda a, b: a.crossJoin(b), parts)
+    """One row holding every column of the one-row ``parts`` (scalar subqueries)."""
+    spark = parts[0].sparkSession
+    return spark.range(1).select(*[p.select(c).scalar().alias(c) for p in parts for c in p.columns])
 
 
 def profile_report(spark: SparkSession, shapes: DataFrame, missing_nonzero: DataFrame, checks: DataFrame,

@@ -62,9 +62,9 @@ def vocabulary(tf: DataFrame, id_col: str, n_docs: DataFrame, max_features: int
     stats = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     top = stats.filter(F.col("df") >= min_df).orderBy(F.desc("total"), F.asc("term")).limit(max_features)
     idx = F.row_number().over(Window.orderBy("term")) - 1
-    return (top.crossJoin(F.broadcast(n_docs))
-            .select("term", idx.cast("int").alias("term_idx"), F.col("df").cast("bigint").alias("df"),
-                    (F.log((F.lit(1.0) + F.col("n_docs")) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf")))
+    n = n_docs.select("n_docs").scalar()
+    return top.select("term", idx.cast("int").alias("term_idx"), F.col("df").cast("bigint").alias("df"),
+                      (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)).alias("idf"))
 
 
 def tfidf(parts: DataFrame, id_col: str, text_col: str, max_features: int = 5000, min_df: int = 2,

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from itemscope.operators import clean as C
 from itemscope.operators import features as FE
 from itemscope.sources import fixtures as FX
+from itemscope.sources import fixtures as FX
 
 
 class Tables:
@@ -75,3 +76,7 @@ class Tables:
         from itemscope.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(self.spark)
         return self.feature_frame.checkpoint(eager=True)
+
+    @cached_property
+    def tags_events(self) -> DataFrame:
+        return FX.tags_events(self.spark, self.sf_dir)

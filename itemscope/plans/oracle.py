@@ -467,3 +467,16 @@ ORACLE["tfidf_long"] = with_ctes(f"""
 SELECT movieId, term_idx, term, {rnd('w / sqrt(sum(w * w) OVER (PARTITION BY movieId))', 'weight')}
 FROM (SELECT tf.movieId, v.term_idx, v.term, tf.tf * v.idf AS w FROM tf JOIN vocab v ON tf.term = v.term) x""",
     _TEXT_NEEDS, _TEXT)
+
+
+# --- tag statistics on the events role ------------------------------------------------------
+
+_EV = {
+    "tags_clean_ev": CLEAN["tags_clean"].replace("FROM tags\n", "FROM tags_events\n"),
+}
+_EV["tag_tok_ev"] = DERIVED["tag_tok"].replace("tags_clean", "tags_clean_ev")
+_EV["tag_stats_ev"] = DERIVED["tag_stats"].replace("FROM tag_tok GROUP BY", "FROM tag_tok_ev GROUP BY")
+ORACLE["tag_features_events"] = with_ctes(f"""
+SELECT movieId, CAST(tag_event_count AS BIGINT) AS tag_event_count, {lst('tag_tokens', 'tag_tokens')},
+       first_tag_ts, last_tag_ts, CAST(unique_tag_count AS BIGINT) AS unique_tag_count
+FROM tag_stats_ev""", ["tags_events", "tags_clean_ev", "tag_tok_ev", "tag_stats_ev"], _EV)

@@ -544,3 +544,24 @@ def cleaning_report(t: Tables) -> DataFrame:
     outputs = ["movies_catalog", "ratings_clean", "tags_clean", "movie_genres", "processed_dictionary_profile"]
     return RP.cleaning_report(t.spark, inputs, PR.rows_before_after(_raw(t), _clean(t)), PR.orphan_check(_clean(t)),
                               outputs)
+
+
+# --- extra shapes of the same operators -----------------------------------------------------
+
+
+@query("tag_features_events")
+def tag_features_events(t: Tables) -> DataFrame:
+    """A4 on the small-vocabulary tag role (events): a handful of tags, each
+    holding a large share of all rows - the hot-key case of the tag plan."""
+    return FE.tag_stats(CL.clean_tags(t.tags_events))
+
+
+@query("genome_pca_summary")
+def genome_pca_summary(t: Tables) -> DataFrame:
+    """M4 on the item x tag relevance matrix (genome scores, one column per tag)."""
+    tag_ids = [r[0] for r in t.genome_tags.select("tagId").orderBy("tagId").collect()]  # bounded: tag dictionary
+    wide = t.genome_scores.groupBy("movieId").agg(*[
+        F.coalesce(F.max(F.when(F.col("tagId") == i, F.col("relevance"))), F.lit(0.0)).alias(f"tag_{i}")
+        for i in tag_ids])
+    fit = DC.fit_pca(wide, [f"tag_{i}" for i in tag_ids])
+    return DC.variance_table(t.spark, fit)
