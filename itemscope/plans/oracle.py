@@ -6,7 +6,7 @@ Doubles are rounded to 6 digits and lists are bar-joined text, exactly as
 
 from __future__ import annotations
 
-from itemscope.sources.fixtures import SQL_ROLES, sql_with
+from itemscope.sources.fixtures import SQL_ROLES
 
 R = 6  # rounding digits
 
