@@ -35,6 +35,15 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_before_explode(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Guard in front of a row-multiplying generator: a scan with fewer splits
+    than the cluster's parallelism (a small file with one row group) would
+    run the whole explosion in one task, so its rows are dealt round-robin
+    first. Inputs with enough splits (any large table) pass unchanged."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def epoch_seconds(col: str | Column) -> Column:
     """Whole epoch seconds of a timestamp_ntz (floor), independent of time zone."""
     c = F.col(col) if isinstance(col, str) else col
@@ -73,7 +82,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = _read(spark, sf_dir, "documents").select("doc_id", "n_chars", "text")
+    d = spread_before_explode(_read(spark, sf_dir, "documents").select("doc_id", "n_chars", "text"))
     words = d.select(
         "doc_id", "n_chars",
         F.posexplode(F.regexp_extract_all(F.col("text"), F.lit(WORD_PATTERN), F.lit(0))).alias("pos", "tag"),
