@@ -283,7 +283,8 @@ from itemscope.operators import decomposition as DC  # noqa: E402
 def _notebook_pca(t: Tables) -> tuple[FE.ModelSpec, DC.PCAFit]:
     spec = _spec(t)
     mat = FE.model_matrix(t.feature_frame_saved, spec).select("movieId", "title", *spec.feature_columns)
-    return spec, DC.fit_pca(mat, spec.feature_columns)
+    # the matrix is a projection of the saved frame: its lineage is already cut
+    return spec, DC.fit_pca(mat, spec.feature_columns, checkpoint=False)
 
 
 def _script_pca(t: Tables) -> tuple[list[str], DC.PCAFit, int]:
