@@ -8,8 +8,8 @@ iteration is ONE distributed pass:
 
   each task takes its whole rows and, with sparse products in bounded
   chunks (O(nnz * l), numpy sort + reduceat), computes its Y = X Z, X'Y and
-  Y'Y; partials are emitted as row-block slices and each slice is summed
-  over the tasks in one grouped step (bounded by the number of tasks).
+  Y'Y; partials are emitted as row-block slices and summed in a two-level
+  tree (each group holds about sqrt(#tasks) slices).
 
 Z (n_cols x l) travels as a broadcast bounded by n_cols * l; only n_cols x l
 and l x l matrices reach the driver. The n x k embeddings are one more pass
@@ -88,14 +88,19 @@ SUM_BLOCK_ROWS = 256  # rows of a partial matrix summed together in one group
 
 
 def _sum_partials(parts: DataFrame, n_rows_total: int, width: int) -> np.ndarray:
-    """Add the per-task partial matrices: rows (blk, data) where ``data`` is a
-    flattened SUM_BLOCK_ROWS x width slice; one group per slice receives one
-    slice per task (bounded by the number of tasks) and adds them with numpy."""
+    """Add the per-task partial matrices as a two-level tree.
+
+    ``parts`` rows are (grp, blk, data): ``data`` a flattened SUM_BLOCK_ROWS x
+    width slice of one task's partial, ``grp`` = task id modulo about
+    sqrt(#tasks). Level 1 sums the slices of one (blk, grp), level 2 the
+    level-1 sums of one blk; no group ever holds more than ~sqrt(#tasks)
+    slices, so the memory of a group does not grow with the cluster."""
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.sum(np.stack(pdf["data"].to_numpy()), axis=0)
         return pd.DataFrame({"blk": [int(pdf["blk"].iloc[0])], "data": [total]})
 
-    rows = parts.groupBy("blk").applyInPandas(add, "blk int, data array<double>").collect()
+    level1 = parts.groupBy("blk", "grp").applyInPandas(add, "blk int, data array<double>")
+    rows = level1.groupBy("blk").applyInPandas(add, "blk int, data array<double>").collect()
     out = np.zeros((n_rows_total, width))
     for r in rows:
         lo = r["blk"] * SUM_BLOCK_ROWS
@@ -104,9 +109,12 @@ def _sum_partials(parts: DataFrame, n_rows_total: int, width: int) -> np.ndarray
     return out
 
 
-def _emit_blocks(mat: np.ndarray) -> pd.DataFrame:
+def _emit_blocks(mat: np.ndarray, fanout: int) -> pd.DataFrame:
+    from pyspark import TaskContext
+    tc = TaskContext.get()
+    grp = (tc.partitionId() if tc is not None else 0) % max(fanout, 1)
     blks = range(0, mat.shape[0], SUM_BLOCK_ROWS)
-    return pd.DataFrame({"blk": [b // SUM_BLOCK_ROWS for b in blks],
+    return pd.DataFrame({"grp": [grp] * len(blks), "blk": [b // SUM_BLOCK_ROWS for b in blks],
                          "data": [mat[b:b + SUM_BLOCK_ROWS].ravel() for b in blks]})
 
 
@@ -114,6 +122,7 @@ def _products(x: DataFrame, row_id: str, z: np.ndarray) -> tuple[np.ndarray, np.
     """One pass: (X'Y, Y'Y) for Y = X z, stacked as one (n_cols + l) x l sum."""
     n_cols, l = z.shape
     zb = x.sparkSession.sparkContext.broadcast(z)
+    fanout = int(np.ceil(np.sqrt(max(x.rdd.getNumPartitions(), 1))))
 
     def partial(batches):
         pdf = _partition_frame(batches, row_id)
@@ -123,9 +132,9 @@ def _products(x: DataFrame, row_id: str, z: np.ndarray) -> tuple[np.ndarray, np.
             y = local.times(zb.value)
             acc[:n_cols] = local.transpose_times(y, n_cols)
             acc[n_cols:] = y.T @ y
-        yield _emit_blocks(acc)
+        yield _emit_blocks(acc, fanout)
 
-    total = _sum_partials(x.mapInPandas(partial, "blk int, data array<double>"), n_cols + l, l)
+    total = _sum_partials(x.mapInPandas(partial, "grp int, blk int, data array<double>"), n_cols + l, l)
     zb.unpersist()
     return total[:n_cols], total[n_cols:]
 
