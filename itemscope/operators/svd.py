@@ -122,7 +122,10 @@ def _products(x: DataFrame, row_id: str, z: np.ndarray) -> tuple[np.ndarray, np.
     """One pass: (X'Y, Y'Y) for Y = X z, stacked as one (n_cols + l) x l sum."""
     n_cols, l = z.shape
     zb = x.sparkSession.sparkContext.broadcast(z)
-    fanout = int(np.ceil(np.sqrt(max(x.rdd.getNumPartitions(), 1))))
+    try:
+        fanout = int(np.ceil(np.sqrt(max(x.rdd.getNumPartitions(), 1))))
+    except Exception:  # no RDD view of the plan: a fixed fan-out still bounds the groups
+        fanout = 32
 
     def partial(batches):
         pdf = _partition_frame(batches, row_id)

@@ -40,8 +40,12 @@ def spread_before_explode(df: DataFrame, min_partitions: int | None = None) -> D
     than the cluster's parallelism (a small file with one row group) would
     run the whole explosion in one task, so its rows are dealt round-robin
     first. Inputs with enough splits (any large table) pass unchanged."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def epoch_seconds(col: str | Column) -> Column:
