@@ -16,38 +16,20 @@ at most ``max_features`` rows), one window per document for the norm
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from itemscope.functions.stopwords import ENGLISH
+
 # Fixed value: a token is a run of at least two letters, digits or underscores.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
 
-@lru_cache(maxsize=8)
-def spark_stop_words(language: str = "english") -> tuple[str, ...]:
-    """Spark's own stop-word list (the one ``StopWordsRemover`` loads), read
-    from the bundled mllib jar without a JVM round trip."""
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    for jar in jars:
-        with zipfile.ZipFile(jar) as z:
-            name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-            if name in z.namelist():
-                return tuple(w for w in z.read(name).decode("utf-8").split() if w)
-    from pyspark.ml.feature import StopWordsRemover
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
-
-
 def tokens(corpus: DataFrame, id_col: str, text_col: str, pattern: str = TOKEN_PATTERN,
            stop_words: tuple[str, ...] | None = None) -> DataFrame:
     """(id, term) for every token of every document (whole texts)."""
-    stop = spark_stop_words() if stop_words is None else stop_words
+    stop = ENGLISH if stop_words is None else stop_words
     t = corpus.select(id_col, F.explode(F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(pattern), F.lit(0)))
                       .alias("term"))
     return t.filter(~F.col("term").isin(list(stop))) if stop else t

@@ -387,7 +387,7 @@ SELECT movieId, feature, {rnd('value', 'value')} FROM (
   JOIN ({_TAG_FEATURES}) tf ON t.token = tf.token) x""", _VOCAB_NEEDS, _VOCAB)
 
 ORACLE["feature_catalog"] = with_ctes(f"""
-SELECT feature, 'numeric' AS feature_group, 'week03 aggregates' AS source, CAST(NULL AS VARCHAR) AS token, 1.0 AS weight
+SELECT feature, 'numeric' AS feature_group, 'week03 aggregates' AS source, CAST(NULL AS VARCHAR) AS token, CAST(1.0 AS DOUBLE) AS weight
 FROM (VALUES ('release_year_z'), ('avg_rating_z'), ('rating_std'), ('rating_count_log'),
              ('unique_tag_count_log'), ('genre_count_log')) v(feature)
 UNION ALL SELECT feature, 'genre_top20', 'movie_genres', token, 1.0 FROM ({_GENRE_FEATURES})
@@ -442,9 +442,9 @@ GROUP BY a.feature, b.feature""", _FULL_NEEDS, _FULL)
 
 # --- TF-IDF -------------------------------------------------------------------------------------
 
-from itemscope.operators.text import spark_stop_words  # noqa: E402
+from itemscope.functions.stopwords import ENGLISH  # noqa: E402
 
-_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in spark_stop_words())
+_STOP = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH)
 _TEXT = dict(_TAG_TEXT)
 _TEXT["corpus"] = """
     SELECT c.movieId, coalesce(c.title, '') || ' ' || coalesce(t.tag_text, '') AS text_blob

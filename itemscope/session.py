@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -43,8 +44,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
+    return prepare(spark)
 
 
 def apply_required_conf(spark: SparkSession) -> SparkSession:
@@ -57,13 +57,48 @@ def apply_required_conf(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is only read. Only when
-    it is unset (local tests) a fresh scratch folder is taken.
+    On a cluster this setting names shared storage and is only read; leaving
+    it unset there is an error, because a folder of the driver's machine is
+    not visible to the executors. A local session (tests) gets a fresh scratch
+    folder instead.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="itemscope-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in tasks are pickled by reference, so the workers must
+    be able to import ``itemscope`` wherever the driver process was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="itemscope-pkg-"), "itemscope.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, dirs, names in os.walk(root):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.join("itemscope", os.path.relpath(path, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """What every query needs before it runs: settings, checkpoint folder, package."""
+    apply_required_conf(spark)
+    ensure_checkpoint_dir(spark)
+    ship_package(spark)
+    return spark

@@ -77,7 +77,7 @@ def test_tfidf_matches_bruteforce(spark):
         t.tags_clean.select("movieId", F.col("tag").alias("text")).distinct())
     w, vocab = TX.tfidf(parts, "movieId", "text", 300, 2, all_ids=t.catalog.select("movieId"))
     got = {(r.movieId, r.term): r.weight for r in w.collect()}
-    stop = set(TX.spark_stop_words())
+    stop = set(TX.ENGLISH)
     docs = {}
     for r in parts.collect():
         toks = [m for m in re.findall(r"[^\W]{2,}", (r.text or "").lower()) if m not in stop]
