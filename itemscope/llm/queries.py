@@ -6,12 +6,16 @@ production and derives the columns of its contract.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemscope.llm import quality, sharding
+from itemscope.llm import bpe, quality, sharding, simhash
 from itemscope.llm.common import ready, saved
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +76,36 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.place(items, eight, sharding.grown(eight, 8))
     return rows.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
                        "grown_shard", "virtual_slot", "map_version")
+
+
+# --- 5 BPE encoding and decoding ------------------------------------------------------------
+
+def _bpe_digests(batches):
+    for b in batches:
+        lists, texts = b.column("ids"), b.column("decoded")
+        at = lists.offsets.to_numpy()
+        numbers = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, lists.values.cast(pa.string())), " ")
+        ids = [hashlib.sha256(x.as_buffer()).hexdigest() for x in numbers]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array((at[1:] - at[:-1]).astype("int64")), pa.array(ids, pa.string()),
+             pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in texts], pa.string())],
+            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every whole text's token ids and of their decoding."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.apply(docs, public_tokenizers.path("word_bpe_49k.json"), decoded="decoded", carry=["doc_id"],
+                     then=_bpe_digests, then_schema="doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+
+
+# --- 1 SimHash near-duplicates --------------------------------------------------------------
+
+@query
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    prints = saved(simhash.with_fingerprint(docs, carry=["doc_id"]), "simhash")
+    groups = simhash.near_duplicates(prints)
+    return prints.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
