@@ -15,8 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemscope.llm import bpe, quality, sharding, simhash
-from itemscope.llm.common import ready, saved
+from itemscope.llm import bpe, quality, sharding, simhash, winnowing
+from itemscope.llm.common import ready, saved, text_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -109,3 +109,36 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = saved(simhash.with_fingerprint(docs, carry=["doc_id"]), "simhash")
     groups = simhash.near_duplicates(prints)
     return prints.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+# --- 9 benchmark decontamination ------------------------------------------------------------
+
+@query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words hit and items found in every document, by winnowing and extension."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = winnowing.contamination(docs, table(spark, sf_dir, "benchmark"))
+    counted = docs.select("doc_id", F.coalesce(F.regexp_count("text", F.lit(winnowing.WORD)), F.lit(0)).cast("bigint").alias("n_words"),
+                          *text_key("text"))
+    n_hit, items = F.coalesce("n_hit", F.lit(0)).cast("bigint"), F.coalesce("items", F.array().cast("array<string>"))
+    return counted.join(found, ["k1", "k2"], "left").select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size(items).cast("bigint").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+ORACLE["op9_decontamination"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+ip AS (SELECT item_id, ws, least(10, len(ws)) AS n, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS s FROM i WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(ws[s:s + n - 1], ' ') AS w FROM ip),
+dp AS (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM iw) k WHERE len(ws) >= n),
+dw AS (SELECT rid, n, s, array_to_string(ws[s:s + n - 1], ' ') AS w FROM dp),
+h AS (SELECT rid, s, dw.n, item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.w = iw.w),
+c AS (SELECT rid, count(DISTINCT p) AS k FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM h) x GROUP BY rid),
+t AS (SELECT rid, count(*) AS k, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS id FROM h) x GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(c.k, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(t.k, 0) AS BIGINT) AS n_items, sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(c.k, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.rid = c.rid LEFT JOIN t ON d.rid = t.rid"""

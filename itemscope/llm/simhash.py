@@ -50,7 +50,8 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     counts, n = np.zeros(64, dtype=np.int64), 0
     hashed = partial(xxhash.xxh64_intdigest, seed=SEED)
     for words in word_windows((text or "").encode().lower(), shingle - 1):
-        grams = map(b" ".join, zip(*[words[i:] for i in range(shingle)])) if len(words) >= shingle else iter([b" ".join(words)] if words else [])
+        whole = [b" ".join(words)] if words and not n and len(words) < shingle else []
+        grams = whole or map(b" ".join, zip(*[words[i:] for i in range(shingle)]))
         h = np.fromiter(map(hashed, grams), dtype="<u8")
         for lo in range(0, len(h), 1 << 16):
             part = h[lo:lo + (1 << 16)]
