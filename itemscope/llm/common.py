@@ -67,3 +67,17 @@ def word_windows(data: bytes, overlap: int, size: int = 1 << 20) -> Iterator[lis
             tail = words[len(words) - overlap:] if overlap else []
         else:
             tail = words
+
+
+#: A join side measured to be at most this many bytes is broadcast; a greater one shuffles.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def join_measured(left: DataFrame, right: DataFrame, on: list[str], how: str, width: Column | None = None,
+                  limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``left.join(right)`` where ``right`` is a saved table: it is broadcast if
+    its rows, ``width`` bytes each (64 by default), stay under the limit; beyond
+    it both sides shuffle. The result is the same."""
+    w = F.lit(64) if width is None else width
+    size = right.agg(F.coalesce(F.sum(w), F.lit(0))).first()[0]
+    return left.join(F.broadcast(right) if size <= limit else right, on, how)

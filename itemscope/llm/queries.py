@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemscope.llm import bpe, quality, sharding, simhash, winnowing
+from itemscope.llm import bpe, lines, quality, sharding, simhash, winnowing
 from itemscope.llm.common import ready, saved, text_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,12 @@ t AS (SELECT rid, count(*) AS k, string_agg(id, ',' ORDER BY id) AS ids
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(c.k, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(t.k, 0) AS BIGINT) AS n_items, sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(c.k, 0) > 0 AS contaminated
 FROM d LEFT JOIN c ON d.rid = c.rid LEFT JOIN t ON d.rid = t.rid"""
+
+
+# --- 4 fuzzy line deduplication -------------------------------------------------------------
+
+@query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text after fuzzy line deduplication, and how many lines went."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.deduplicate(docs, counts=True).select("doc_id", "n_lines", "n_dropped", "text")
