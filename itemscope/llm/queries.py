@@ -15,8 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemscope.llm import bpe, lines, quality, sharding, simhash, winnowing
-from itemscope.llm.common import ready, saved, text_key
+from itemscope.llm import bpe, lines, quality, secrets, sharding, simhash, warc, winnowing
+from itemscope.llm.common import ready, saved, shared_path, text_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -151,3 +151,53 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text after fuzzy line deduplication, and how many lines went."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return lines.deduplicate(docs, counts=True).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+# --- 3 WARC ---------------------------------------------------------------------------------
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records and read back, responses and revisits apart."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
+    rows = warc.with_revisits(pages, "page_id", "payload")
+    urn = lambda c: F.concat(F.lit("<urn:x-page:"), F.coalesce(F.col(c).cast("string"), F.lit("none")), F.lit(">"))
+    revisit = F.col("record_type") == "revisit"
+    archive = shared_path(warc.register(spark), "warc")
+    rows.select(
+        "record_type", urn("page_id").alias("record_id"), F.lit("2024-01-01T00:00:00Z").alias("warc_date"),
+        F.col("url").alias("target_uri"), F.concat(F.lit("sha1:"), "payload_digest").alias("payload_digest"),
+        F.when(revisit, urn("refers_to")).alias("refers_to"), F.when(revisit, warc.REVISIT_PROFILE).alias("profile"),
+        "payload_length", F.create_map(F.lit("WARC-X-Page-ID"), F.col("page_id").cast("string")).alias("extra"),
+        F.when(~revisit, F.col("payload")).alias("payload"),
+    ).write.format("warc").mode("append").save(archive)
+    page = F.col("extra")["WARC-X-Page-ID"].cast("bigint").alias("page_id")
+    # responses are hashed again from the payloads read; revisits are read without any block
+    responses = spark.read.format("warc").load(archive).filter("record_type = 'response'").select(
+        page, F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
+        "record_type", F.lit(None).cast("bigint").alias("refers_to"))
+    revisits = spark.read.format("warc").option("payload", "false").load(archive).filter("record_type = 'revisit'").select(
+        page, F.col("payload_length").alias("payload_bytes"), F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"),
+        "record_type", F.regexp_extract("refers_to", r"urn:x-page:(-?\d+)", 1).cast("bigint").alias("refers_to"))
+    return responses.unionByName(revisits)
+
+
+ORACLE["op3_warc"] = """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+                  sha1(coalesce(html, '')) AS payload_digest FROM pages),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_bytes, payload_digest) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM last THEN last END AS refers_to FROM g"""
+
+
+# --- 7 secret scans -------------------------------------------------------------------------
+
+@query
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of the plain kinds, and all spans with the confirmed ones."""
+    found = secrets.with_spans(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return found.select("doc_id", *[count(k) for k in secrets.BASE_KINDS],
+                        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
