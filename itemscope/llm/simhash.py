@@ -41,8 +41,9 @@ from itemscope.llm.graph import components
 
 BLOCKS = 4
 SEED = 42
-#: Pairs compared at once inside a bucket.
+#: Pairs compared at once inside a bucket; buckets up to SMALL members are compared pair by pair.
 COMPARED = 1 << 20
+SMALL = 16
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -108,32 +109,71 @@ def _forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
     return links
 
 
+def _met_here(keys: np.ndarray, fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For (key, fp) rows: the fingerprint without its block, and the variant it meets in."""
+    width = np.uint64(64 // BLOCKS)
+    low = np.uint64((1 << (64 - 64 // BLOCKS)) - 1)
+    k = keys.view("<u8")
+    turn = width * ((k >> (np.uint64(64) - width)) + np.uint64(1)) % np.uint64(64)
+    turned = np.where(turn == 0, fps, (fps >> turn) | (fps << ((np.uint64(64) - turn) % np.uint64(64))))
+    return turned & low, k & low
+
+
+def _bucket_pairs(keys: np.ndarray, fps: np.ndarray, radius: int) -> np.ndarray:
+    """Verified links (n x 2) inside whole buckets of sorted (key, fp) rows.
+
+    Fingerprints equal without the block meet in all variants of theirs; they
+    are compared only in the variant that is their own. Pairs of small buckets are
+    verified together, larger buckets give a forest."""
+    if len(keys) < 2:
+        return np.zeros((0, 2), dtype=np.int64)
+    same = keys[1:] == keys[:-1]
+    many = np.r_[False, same] | np.r_[same, False]
+    keys, fps = keys[many], fps[many]
+    if not len(keys):
+        return np.zeros((0, 2), dtype=np.int64)
+    rest, variant = _met_here(keys, fps)
+    cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    size = np.diff(np.r_[cuts, len(keys)])
+    large = np.repeat(size > SMALL, size)
+    links = [np.zeros((0, 2), dtype=np.int64)]
+    for d in range(1, SMALL):
+        at = np.flatnonzero((keys[d:] == keys[:-d]) & ~large[d:])
+        if not len(at):
+            break
+        new = (rest[at] != rest[at + d]) | (rest[at] == variant[at])
+        at = at[new & (np.bitwise_count(fps[at] ^ fps[at + d]) <= radius)]
+        links.append(np.stack([fps[at], fps[at + d]], axis=1).view("<i8"))
+    for lo, n in zip(cuts[size > SMALL], size[size > SMALL]):
+        part, r = fps[lo:lo + n], rest[lo:lo + n]
+        if r[0] == variant[lo] or (r != r[0]).any():
+            forest = _forest(part, radius)
+            links.append(np.array(forest, dtype=np.int64).reshape(-1, 2))
+    return np.unique(np.concatenate(links), axis=0)
+
+
 def bucket_links(rows: DataFrame, radius: int = 3) -> DataFrame:
     """(a, b): verified links inside the buckets of (key, fp) rows."""
 
     def run(batches):
         key_left, fp_left = np.zeros(0, dtype=np.int64), np.zeros(0, dtype="<u8")
-
-        def linked(keys, fps):
-            cuts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(keys) else np.zeros(1, dtype=int)
-            found = {x for lo, hi in zip(cuts[:-1], cuts[1:]) if hi - lo > 1 for x in _forest(fps[lo:hi], radius)}
-            a, b = zip(*found) if found else ((), ())
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
         for batch in batches:
             keys = np.concatenate([key_left, batch.column(0).to_numpy()])
             fps = np.concatenate([fp_left, batch.column(1).to_numpy().view("<u8")])
             if not len(keys):
                 continue
             open_from = int(np.searchsorted(keys, keys[-1]))  # the last bucket may go on
+            yield _links_batch(_bucket_pairs(keys[:open_from], fps[:open_from], radius))
             key_left, fp_left = keys[open_from:], fps[open_from:]
-            only = np.flatnonzero(keys[1:open_from] == keys[:open_from - 1]) if open_from > 1 else ()
-            if len(only):
-                yield linked(keys[:open_from], fps[:open_from])
-        if len(key_left) > 1:
-            yield linked(key_left, fp_left)
+        yield _links_batch(_bucket_pairs(key_left, fp_left, radius))
+
+    # keys compress so well that sizes say nothing of the work: the number of partitions is not left to be merged
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
+
 
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint")
+def _links_batch(links: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(links[:, 0].copy()), pa.array(links[:, 1].copy())], names=["a", "b"])
 
 
 def near_duplicates(prints: DataFrame, doc_id: str = "doc_id", fp: str = "fp", radius: int = 3) -> DataFrame:
