@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemscope.llm import bpe, lines, quality, secrets, sharding, simhash, warc, winnowing
+from itemscope.llm import bpe, lines, quality, secrets, sharding, simhash, toxicity, warc, winnowing
 from itemscope.llm.common import ready, saved, shared_path, text_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +201,14 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
     return found.select("doc_id", *[count(k) for k in secrets.BASE_KINDS],
                         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+# --- 10 toxicity ----------------------------------------------------------------------------
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents; the held-out fourth is never learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_score(docs, model, carry=["doc_id"]).select(
+        "doc_id", toxicity.is_held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
