@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemscope.llm import bpe, lines, quality, secrets, sharding, simhash, toxicity, warc, winnowing
+from itemscope.llm import bpe, lines, pii, quality, secrets, sharding, simhash, toxicity, warc, winnowing
 from itemscope.llm.common import ready, saved, shared_path, text_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +212,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.with_score(docs, model, carry=["doc_id"]).select(
         "doc_id", toxicity.is_held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+# --- 2 PII surrogates -----------------------------------------------------------------------
+
+#: The key of the registered query; a deployment passes its own secret.
+PII_KEY = b"itemscope registered query"
+
+
+@query
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates, and how many mentions were replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, PII_KEY, counts="n_replaced").select("doc_id", "n_replaced", "text")
