@@ -67,14 +67,15 @@ def rebalanced(slot_map: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
     m = m.withColumn("_end", end).withColumn("_offer", (F.col("_end") > mean) & (F.col("bytes") > 0))
     kept = m.groupBy("shard").agg(F.sum(F.when(~F.col("_offer"), F.col("bytes")).otherwise(0)).alias("kept"))
     every = slot_map.sparkSession.range(shards).select(F.col("id").cast("int").alias("shard"))
-    axis = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     room = every.join(kept, "shard", "left").select(F.col("shard").alias("to"), F.greatest(F.lit(0.0), mean - F.coalesce("kept", F.lit(0))).alias("room"))
-    room = room.withColumn("hi", F.sum("room").over(axis.orderBy("to"))).withColumn("lo", F.col("hi") - F.col("room"))
-    spans = room.agg(F.array_sort(F.collect_list(F.struct("lo", "to", "room"))).alias("spans")).select("spans").scalar()
-    offers = m.filter("_offer").withColumn("_at", F.sum("bytes").over(Window.orderBy(F.desc("bytes"), "slot").rowsBetween(Window.unboundedPreceding, -1)))
-    at = F.coalesce("_at", F.lit(0))
-    target = F.element_at(F.filter(spans, lambda s: (s["lo"] <= at) & (s["room"] > 0)), -1)["to"]
-    edits = offers.select("slot", F.coalesce(target, F.col("shard")).alias("_to"))
+    before = lambda order: Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    starts = room.select(F.coalesce(F.sum("room").over(before(["to"])), F.lit(0.0)).alias("at"), "room", "to").filter("room > 0")
+    offers = m.filter("_offer").select(
+        F.coalesce(F.sum("bytes").over(before([F.desc("bytes"), "slot"])), F.lit(0)).cast("double").alias("at"), "slot", "shard")
+    axis = starts.select("at", "to", F.lit(None).cast("int").alias("slot")).unionByName(
+        offers.select("at", F.lit(None).cast("int").alias("to"), "slot"))
+    owner = F.last("to", ignorenulls=True).over(Window.orderBy("at", F.col("slot").isNotNull(), "slot").rowsBetween(Window.unboundedPreceding, 0))
+    edits = axis.select("slot", owner.alias("_to")).filter("slot is not null")
     return slot_map.join(edits, "slot", "left").select((F.col("version") + 1).alias("version"), "slot",
                                                        F.coalesce("_to", "shard").cast("int").alias("shard"))
 
