@@ -84,12 +84,16 @@ def variants(fp: Column, radius: int = 3) -> Column:
     if radius != 3:
         raise ValueError("the balls are laid out for a radius of 3 bits")
     flips = F.array(*[F.lit(0).cast("bigint"), *[F.lit(1 << i).cast("bigint") for i in range(64 - width)]])
+
+    def ball(rest: Column) -> Column:
+        return F.transform(flips, lambda flip: rest.bitwiseXOR(flip))
+
     balls = []
     for block in range(BLOCKS):
         turn = width * (block + 1) % 64
         turned = F.shiftrightunsigned(fp, turn).bitwiseOR(F.shiftleft(fp, 64 - turn)) if turn else fp
         rest = turned.bitwiseAND(F.lit((1 << (64 - width)) - 1)).bitwiseOR(F.lit(block << (64 - width)))
-        balls.append(F.transform(flips, lambda f, rest=rest: rest.bitwiseXOR(f)))
+        balls.append(ball(rest))
     return F.flatten(F.array(*balls))
 
 

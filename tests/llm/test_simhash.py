@@ -63,6 +63,19 @@ def _rows(spark, pairs):
     return spark.createDataFrame([(i, f if f < 1 << 63 else f - (1 << 64)) for i, f in pairs], "doc_id bigint, fp bigint")
 
 
+def test_variants_are_the_balls_without_a_block(spark):
+    rng = random.Random(8)
+    fps = [0, (1 << 64) - 1] + [rng.getrandbits(64) for _ in range(3)]
+    rows = _rows(spark, enumerate(fps)).select("fp", simhash.variants(F.col("fp")).alias("v")).collect()
+    low = (1 << 48) - 1
+    for r in rows:
+        f, want = r.fp & (1 << 64) - 1, set()
+        for b in range(4):
+            rest = (f >> 16 * (b + 1) | f << 48 - 16 * b) & low if b < 3 else f & low
+            want |= {b << 48 | rest ^ flip for flip in [0] + [1 << i for i in range(48)]}
+        assert len(r.v) == len(want) == 196 and {x & (1 << 64) - 1 for x in r.v} == want
+
+
 def test_components_match_all_pairs(spark):
     rng = random.Random(7)
     pairs, base = [], [rng.getrandbits(64) for _ in range(6)]
