@@ -107,38 +107,70 @@ def tag_stats(tags_clean: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
     ).withColumn("unique_tag_count", F.size("tag_tokens").cast("bigint"))
 
 
+def item_tokens(tags_clean: DataFrame, catalog: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
+    """One row per (catalog item, token): events, first and last time; the events
+    of an item without a usable token stand in a row with a NULL token.
+
+    This long form is what vocabularies, indicators and counts need; no list of
+    an item's tokens is built."""
+    norm = f"{r.tag}_normalized"
+    by_tag = tag_token_pairs(tags_clean, r).drop(norm)
+    return by_tag.groupBy(r.item, "tag_token").agg(
+        F.sum("events").cast("bigint").alias("events"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
+    ).join(catalog.select(r.item), r.item, "left_semi")
+
+
+def tag_summary(pairs: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
+    """A4 without the token list, from ``item_tokens``."""
+    return pairs.groupBy(r.item).agg(
+        F.sum("events").cast("bigint").alias("tag_event_count"),
+        F.count("tag_token").alias("unique_tag_count"),
+        F.min("first_ts").alias("first_tag_ts"),
+        F.max("last_ts").alias("last_tag_ts"),
+    )
+
+
 def category_counts(item_categories: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
     return item_categories.groupBy(r.item).agg(F.count(F.lit(1)).alias("genre_count"))
 
 
 # --- F6 feature frame ------------------------------------------------------
 
-def feature_frame(catalog: DataFrame, ratings_clean: DataFrame, tags_clean: DataFrame,
-                  item_categories: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
-    """one row per catalog item (unrated items kept), 17 columns."""
-    ra = rating_stats(ratings_clean, r)
-    ta = tag_stats(tags_clean, r)
-    ga = category_counts(item_categories, r)
+def _frame(catalog: DataFrame, ra: DataFrame, ta: DataFrame, ga: DataFrame, r: Roles, lists: bool) -> DataFrame:
     # Global median of the year: a scalar subquery over a one-row aggregate
     # (its value->count map is bounded by the distinct years).
     year_median = catalog.agg(F.median("release_year")).scalar()
     joined = catalog.join(ra, r.item, "left").join(ta, r.item, "left").join(ga, r.item, "left")
-    out = joined.select(
+    whole = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    columns = [
         F.col(r.item), F.col(r.title), F.col("release_year"),
         F.coalesce(F.col("release_year").cast("double"), year_median).alias("release_year_filled"),
-        F.col(f"{r.categories}_list").alias("genres_list"),
-        F.coalesce("genre_count", F.lit(0)).cast("bigint").alias("genre_count"),
-        F.col("tag_tokens"), F.col(r.imdb), F.col(r.tmdb),
-        F.coalesce("rating_count", F.lit(0)).cast("bigint").alias("rating_count"),
+        F.col(f"{r.categories}_list").alias("genres_list") if lists else None,
+        whole("genre_count").alias("genre_count"),
+        F.col("tag_tokens") if lists else None, F.col(r.imdb), F.col(r.tmdb),
+        whole("rating_count").alias("rating_count"),
         F.coalesce("avg_rating", F.lit(0.0)).alias("avg_rating"),
         F.coalesce("rating_std", F.lit(0.0)).alias("rating_std"),
-        F.coalesce("unique_raters", F.lit(0)).cast("bigint").alias("unique_raters"),
-        F.coalesce(F.col("last_rating_ts") - F.col("first_rating_ts"), F.lit(0)).cast("bigint").alias("rating_span_seconds"),
-        F.coalesce("tag_event_count", F.lit(0)).cast("bigint").alias("tag_event_count"),
-        F.coalesce("unique_tag_count", F.lit(0)).cast("bigint").alias("unique_tag_count"),
-        F.coalesce(F.col("last_tag_ts") - F.col("first_tag_ts"), F.lit(0)).cast("bigint").alias("tag_span_seconds"),
-    )
-    return out
+        whole("unique_raters").alias("unique_raters"),
+        whole(F.col("last_rating_ts") - F.col("first_rating_ts")).alias("rating_span_seconds"),
+        whole("tag_event_count").alias("tag_event_count"),
+        whole("unique_tag_count").alias("unique_tag_count"),
+        whole(F.col("last_tag_ts") - F.col("first_tag_ts")).alias("tag_span_seconds"),
+    ]
+    return joined.select(*[c for c in columns if c is not None])
+
+
+def feature_frame(catalog: DataFrame, ratings_clean: DataFrame, tags_clean: DataFrame,
+                  item_categories: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
+    """one row per catalog item (unrated items kept), 17 columns."""
+    return _frame(catalog, rating_stats(ratings_clean, r), tag_stats(tags_clean, r), category_counts(item_categories, r), r, True)
+
+
+def model_frame(catalog: DataFrame, ratings_clean: DataFrame, pairs: DataFrame,
+                item_categories: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
+    """F6 without its two list columns: the input of the model matrix.
+    ``pairs`` comes from ``item_tokens``."""
+    return _frame(catalog, rating_stats(ratings_clean, r), tag_summary(pairs, r), category_counts(item_categories, r), r, False)
 
 
 def sanity_checks(frame: DataFrame) -> DataFrame:
@@ -171,10 +203,11 @@ def category_vocab(item_categories: DataFrame, k: int = 20, name: str = "genre")
     return top.withColumn("rank", (F.row_number().over(w) - 1).cast("int"))
 
 
-def tag_vocab(frame: DataFrame, k: int = 20) -> DataFrame:
+def tag_vocab(pairs: DataFrame, k: int = 20) -> DataFrame:
     """F8 + WN3: the k tokens found on the most items, their position index
-    and the feature name ``tag_<idx:03d>_<slug>``."""
-    tokens = frame.select(F.explode("tag_tokens").alias("tag_tokens")).filter(F.col("tag_tokens").isNotNull())
+    and the feature name ``tag_<idx:03d>_<slug>``. ``pairs`` holds one row per
+    (item, tag_token) (``item_tokens``)."""
+    tokens = pairs.select(F.col("tag_token").alias("tag_tokens")).filter(F.col("tag_tokens").isNotNull())
     top = top_k_by_count(tokens, "tag_tokens", k)
     w = Window.orderBy(F.desc("len"), F.asc("tag_tokens"))
     idx = (F.row_number().over(w) - 1)
@@ -227,30 +260,38 @@ class ModelSpec:
         return NUMERIC_MODEL_FEATURES + self.genre_features + self.tag_features
 
 
-def model_spec(item_categories: DataFrame, frame: DataFrame, k_genres: int = 20, k_tags: int = 20) -> ModelSpec:
+def model_spec(item_categories: DataFrame, pairs: DataFrame, k_genres: int = 20, k_tags: int = 20) -> ModelSpec:
     """Bring the two vocabularies (at most k rows each) to the driver."""
-    genres = [row["genre"] for row in category_vocab(item_categories, k_genres).orderBy("rank").collect()]
-    tags = tag_vocab(frame, k_tags).orderBy("rank").collect()
+    genres = category_vocab(item_categories, k_genres).withColumn("slug", X.slug_expr("genre")).orderBy("rank").collect()
+    tags = tag_vocab(pairs, k_tags).orderBy("rank").collect()
     return ModelSpec(
-        genre_tokens=genres,
-        genre_features=unique_names([f"genre_{X.slugify(g)}" for g in genres]),
+        genre_tokens=[g["genre"] for g in genres],
+        genre_features=unique_names([f"genre_{g['slug']}" for g in genres]),
         tag_tokens=[t["tag_tokens"] for t in tags],
         tag_features=[t["feature"] for t in tags],
         tag_item_counts=[int(t["len"]) for t in tags],
     )
 
 
-def model_matrix(frame: DataFrame, spec: ModelSpec, r: Roles = DEFAULT_ROLES) -> DataFrame:
-    """ids + 6 numeric + genre and tag indicators, one projection.
+def indicators(bridge: DataFrame, token: str, tokens: list[str], names: list[str], item: str) -> DataFrame:
+    """One row per item that has any of the tokens, one 0/1 column per token."""
+    hits = bridge.filter(F.col(token).isin(tokens))
+    return hits.groupBy(item).agg(*[F.max((F.col(token) == F.lit(t)).cast("double")).alias(n) for t, n in zip(tokens, names)])
 
-    Scaling scalars are scalar subqueries over one aggregate of the frame
-    (Catalyst merges them into a single subquery).
+
+def model_matrix(frame: DataFrame, spec: ModelSpec, item_categories: DataFrame, pairs: DataFrame,
+                 r: Roles = DEFAULT_ROLES) -> DataFrame:
+    """ids + numeric features + genre and tag indicators.
+
+    ``frame`` is ``model_frame`` or ``feature_frame``. Indicators come from the
+    category bridge and the (item, token) pairs, cut down to the vocabularies
+    before they are grouped by item. Scaling scalars are scalar subqueries over
+    one aggregate of the frame (Catalyst merges them into a single subquery).
     """
     stats = scaling_stats(frame)
     st = {c: stats.select(c).scalar() for c in stats.columns}
-    j = frame
     cols = [
-        F.col(r.item), F.col(r.title), F.col("genres_list"), F.col("tag_tokens"),
+        F.col(r.item), F.col(r.title),
         F.col("rating_std"),
         X.zscore("release_year_filled", st["release_year_mean"], st["release_year_std"]).alias("release_year_z"),
         X.zscore("avg_rating", st["avg_rating_mean"], st["avg_rating_std"]).alias("avg_rating_z"),
@@ -261,9 +302,13 @@ def model_matrix(frame: DataFrame, spec: ModelSpec, r: Roles = DEFAULT_ROLES) ->
         X.zscore("tag_span_seconds", st["tag_span_mean"], st["tag_span_std"]).alias("tag_span_seconds_z"),
         X.log1p0("genre_count").alias("genre_count_log"),
     ]
-    cols += [X.contains_indicator("genres_list", g).alias(n) for g, n in zip(spec.genre_tokens, spec.genre_features)]
-    cols += [X.contains_indicator("tag_tokens", t).alias(n) for t, n in zip(spec.tag_tokens, spec.tag_features)]
-    return j.select(*cols)
+    joined = frame
+    for bridge, token, tokens, names in ((item_categories, "genre", spec.genre_tokens, spec.genre_features),
+                                         (pairs, "tag_token", spec.tag_tokens, spec.tag_features)):
+        if names:
+            joined = joined.join(indicators(bridge, token, tokens, names, r.item), r.item, "left")
+            cols += [F.coalesce(F.col(f"`{n}`"), F.lit(0.0)).alias(n) for n in names]
+    return joined.select(*cols)
 
 
 def feature_catalog(spark, spec: ModelSpec) -> DataFrame:
@@ -331,26 +376,25 @@ def numeric_feature_matrix(ratings_clean: DataFrame, item_categories: DataFrame,
     return j.na.fill(0)
 
 
-def model_matrix_long(frame: DataFrame, item_categories: DataFrame, spec: ModelSpec,
+def model_matrix_long(frame: DataFrame, item_categories: DataFrame, pairs: DataFrame, spec: ModelSpec,
                       r: Roles = DEFAULT_ROLES) -> DataFrame:
     """F10 in long form (item, feature, value): the numeric features of every
     item plus the indicator entries that are 1.0 (zeros are implicit).
 
     The indicators come from the category bridge and the item-token pairs
-    semi-joined with the vocabularies (at most k rows each: a bounded
-    broadcast), never from an items x vocabulary product.
+    cut down to the vocabularies (at most k values each), never from an
+    items x vocabulary product.
     """
-    spark = frame.sparkSession
-    wide = model_matrix(frame, spec, r)
+    none = ModelSpec([], [], [], [], [])
+    wide = model_matrix(frame, none, item_categories, pairs, r)
     numeric = wide.select(r.item, F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("value")) for c in NUMERIC_MODEL_FEATURES
     ])).alias("kv")).select(r.item, "kv.feature", "kv.value")
-    gv = spark.createDataFrame(list(zip(spec.genre_tokens, spec.genre_features)) or [("", "")],
-                               "token string, feature string").filter(F.col("feature") != "")
-    tv = spark.createDataFrame(list(zip(spec.tag_tokens, spec.tag_features)) or [("", "")],
-                               "token string, feature string").filter(F.col("feature") != "")
-    g = (item_categories.select(r.item, F.col("genre").alias("token")).distinct()
-         .join(F.broadcast(gv), "token").select(r.item, "feature", F.lit(1.0).alias("value")))
-    t = (frame.select(r.item, F.explode("tag_tokens").alias("token"))
-         .join(F.broadcast(tv), "token").select(r.item, "feature", F.lit(1.0).alias("value")))
-    return numeric.unionByName(g).unionByName(t)
+    out = numeric
+    for bridge, token, tokens, names in ((item_categories, "genre", spec.genre_tokens, spec.genre_features),
+                                         (pairs, "tag_token", spec.tag_tokens, spec.tag_features)):
+        if names:
+            name_of = F.create_map(*[F.lit(x) for kv in zip(tokens, names) for x in kv])
+            hits = bridge.filter(F.col(token).isin(tokens)).select(r.item, token).distinct()
+            out = out.unionByName(hits.select(r.item, name_of[F.col(token)].alias("feature"), F.lit(1.0).alias("value")))
+    return out

@@ -103,10 +103,12 @@ def join_coverage(tables: dict[str, DataFrame], r: Roles = DEFAULT_ROLES) -> Dat
 
 
 def scale_metrics(ratings: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
-    """Users, items, interactions, possible pairs, density and sparsity (6 digits)."""
+    """Users, items, interactions, possible pairs, density and sparsity
+    (6 digits). NULL counts as one more user or item."""
+    has_null = lambda c: F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
     g = ratings.agg(
-        F.count_distinct(r.user).alias("users"),
-        F.count_distinct(r.item).alias("items"),
+        (F.count_distinct(r.user) + has_null(r.user)).alias("users"),
+        (F.count_distinct(r.item) + has_null(r.item)).alias("items"),
         F.count(F.lit(1)).alias("interactions"),
     )
     possible = (F.col("users") * F.col("items")).cast("bigint")
@@ -134,10 +136,10 @@ def top_categories_raw(movies: DataFrame, k: int = 15, r: Roles = DEFAULT_ROLES)
 
 def data_dictionary(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
     """Q9: schema listing left-joined with the missing profile (NULL -> 0).
-    The schema side is bounded metadata, so it is broadcast."""
+    Both sides hold one row per column."""
     schema = schema_listing(spark, tables)
     miss = missing_profile(tables)
-    j = F.broadcast(schema).join(miss, ["table", "column"], "left")
+    j = schema.join(miss, ["table", "column"], "left")
     return j.select("table", "column", "sample_dtype",
                     F.coalesce("null_count", F.lit(0)).cast("bigint").alias("null_count"),
                     F.coalesce("null_pct", F.lit(0.0)).alias("null_pct"))

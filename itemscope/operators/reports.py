@@ -18,14 +18,6 @@ TABLE_USAGE = [
     ("genome_tags", "optional", "lookup table for genome_scores tags"),
 ]
 
-# The decisions recorded in the cleaning report.
-KEY_DECISIONS = [
-    "Merged links into movies_catalog for direct imdbId/tmdbId access",
-    "Preserved null tmdbId values and documented them as expected source incompleteness",
-    "Deferred genome tables to Week 5 for representation work",
-]
-
-
 def table_usage(spark: SparkSession) -> DataFrame:
     """Q18."""
     return spark.createDataFrame(TABLE_USAGE, "table string, week3_use string, reason string")
@@ -41,24 +33,25 @@ def profile_report(spark: SparkSession, shapes: DataFrame, missing_nonzero: Data
                    coverage: DataFrame, scale: DataFrame, memory: DataFrame, distribution: DataFrame,
                    top_categories: DataFrame) -> DataFrame:
     """Q16: the profile summary with the key names of the reference's report."""
-    check_map = checks.agg(F.map_from_entries(F.collect_list(F.struct("check", "value"))).alias("quality_checks"))
+    check_map = checks.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("check", "value")))).alias("quality_checks"))
     return _one_row([
-        nest(shapes.orderBy(F.desc("rows")), "table_shapes"),
+        nest(shapes, "table_shapes", [("rows", True)]),
         nest(table_usage(spark), "recommended_table_usage"),
-        nest(missing_nonzero.orderBy(F.desc("table"), F.desc("null_count")), "missing_columns_nonzero"),
+        nest(missing_nonzero, "missing_columns_nonzero", [("table", True), ("null_count", True)]),
         check_map,
         nest(coverage, "join_coverage"),
         scale.select(F.struct(*scale.columns).alias("scale_metrics")),
-        nest(memory.orderBy(F.desc("size_mb")), "table_memory_estimate_mb"),
-        nest(distribution, "rating_distribution"),
-        nest(top_categories, "top_genres"),
+        nest(memory, "table_memory_estimate_mb", [("size_mb", True)]),
+        nest(distribution, "rating_distribution", [(distribution.columns[0], False)]),
+        nest(top_categories, "top_genres", [("len", True)]),
     ])
 
 
 def cleaning_report(spark: SparkSession, inputs: DataFrame, row_changes: DataFrame, join_checks: DataFrame,
-                    outputs: list[str]) -> DataFrame:
-    """Q15: inputs, row changes, join checks, decisions and output tables."""
-    lits = spark.createDataFrame([(KEY_DECISIONS, outputs)], "key_decisions array<string>, output_tables array<string>")
+                    outputs: list[str], decisions: list[str] = ()) -> DataFrame:
+    """Q15: inputs, row changes, join checks, and what the caller says it
+    decided and wrote."""
+    lits = spark.createDataFrame([(list(decisions), list(outputs))], "key_decisions array<string>, output_tables array<string>")
     return _one_row([
         nest(inputs, "input_tables"),
         nest(row_changes, "row_changes"),

@@ -1,23 +1,26 @@
 """Truncated SVD of a sparse long-form matrix.
 
-The matrix is given as rows (row_id, col_idx, value) with ``n_cols`` columns
-(a TF-IDF vocabulary: at most ``max_features``). The solver is randomized
-subspace iteration (the method of the reference's solver). The long-form
-matrix is hash-partitioned by row once and checkpointed; then every
-iteration is ONE distributed pass:
-
-  each task takes its whole rows and, with sparse products in bounded
-  chunks (O(nnz * l), numpy sort + reduceat), computes its Y = X Z, X'Y and
-  Y'Y; partials are emitted as row-block slices and summed in a two-level
-  tree (each group holds about sqrt(#tasks) slices).
+The matrix X is given as rows (row_id, col_idx, value) with ``n_cols`` columns
+(a TF-IDF vocabulary: at most ``max_features``). The solver is block Lanczos on
+X'X: the first block is random, every further one is X'X times the last,
+made orthogonal to all blocks so far, and Rayleigh-Ritz over all blocks gives the
+singular triplets. It stops when the residuals of the k kept pairs are below
+``tol`` (the values' own error is quadratic in it), or when the blocks span
+the whole column space, so the answer does not hang on a number of iterations.
+
+The long-form matrix is hash-partitioned by row, sorted by row and checkpointed
+once; then every block is ONE distributed pass. A task reads its rows as a
+stream, batch by batch, and adds X_b'(X_b Z) into one n_cols x l sum, which is
+all it holds and all it emits (as row-block slices, summed in a two-level tree).
 
 Z (n_cols x l) travels as a broadcast bounded by n_cols * l; only n_cols x l
-and l x l matrices reach the driver. The n x k embeddings are one more pass
-and stay distributed.
+matrices reach the driver. The n x k embeddings are one more pass and stay
+distributed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_ENTRIES = 32_768  # non-zeros per vectorised chunk inside a task (chunk x l doubles)
+FANOUT = 64             # groups in which the partial sums of a block meet first
 
 
 @dataclass
@@ -45,18 +49,19 @@ class SVDFit:
         return self.explained_variance / self.col_var_total if self.col_var_total > 0 else np.zeros(self.k)
 
 
-class _LocalRows:
-    """The non-zeros of one partition (whole rows), sorted by row."""
+class _Rows:
+    """Whole rows of the matrix, sorted by row: a stretch of a task's stream."""
 
     def __init__(self, pdf: pd.DataFrame, row_id: str):
-        self.ids, inv = np.unique(pdf[row_id].to_numpy(), return_inverse=True)
-        order = np.argsort(inv, kind="stable")
-        self.rows = inv[order]
-        self.cols = pdf["col_idx"].to_numpy().astype(np.int64)[order]
-        self.vals = pdf["value"].to_numpy().astype(float)[order]
+        ids = pdf[row_id].to_numpy()
+        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        self.ids = ids[first]
+        self.rows = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(ids)]))
+        self.cols = pdf["col_idx"].to_numpy().astype(np.int64)
+        self.vals = pdf["value"].to_numpy().astype(float)
 
     def times(self, mat: np.ndarray) -> np.ndarray:
-        """X_local @ mat (one dense row per local row), O(nnz * l)."""
+        """These rows times ``mat`` (one dense row per row), O(nnz * l)."""
         out = np.zeros((len(self.ids), mat.shape[1]))
         for lo in range(0, len(self.vals), CHUNK_ENTRIES):
             hi = min(lo + CHUNK_ENTRIES, len(self.vals))
@@ -66,9 +71,8 @@ class _LocalRows:
             out[r[starts]] += np.add.reduceat(prod, starts, axis=0)
         return out
 
-    def transpose_times(self, y: np.ndarray, n_cols: int) -> np.ndarray:
-        """X_local' @ y (n_cols x l), O(nnz * l)."""
-        out = np.zeros((n_cols, y.shape[1]))
+    def add_transpose_times(self, y: np.ndarray, out: np.ndarray) -> None:
+        """out += (these rows)' @ y, O(nnz * l)."""
         for lo in range(0, len(self.vals), CHUNK_ENTRIES):
             hi = min(lo + CHUNK_ENTRIES, len(self.vals))
             o = np.argsort(self.cols[lo:hi], kind="stable")
@@ -76,12 +80,23 @@ class _LocalRows:
             prod = self.vals[lo:hi][o, None] * y[self.rows[lo:hi][o]]
             starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
             out[c[starts]] += np.add.reduceat(prod, starts, axis=0)
-        return out
 
 
-def _partition_frame(batches, row_id: str) -> pd.DataFrame | None:
-    frames = [b for b in batches]
-    return pd.concat(frames) if frames else None
+def _whole_rows(batches, row_id: str) -> Iterator[_Rows]:
+    """The stream of a task as stretches of whole rows; a row that a batch cuts
+    goes over to the next stretch."""
+    held = None
+    for pdf in batches:
+        if held is not None:
+            pdf = pd.concat([held, pdf])
+        if not len(pdf):
+            continue
+        last = pdf[row_id].to_numpy() == pdf[row_id].iloc[-1]
+        held, whole = pdf[last], pdf[~last]
+        if len(whole):
+            yield _Rows(whole, row_id)
+    if held is not None and len(held):
+        yield _Rows(held, row_id)
 
 
 SUM_BLOCK_ROWS = 256  # rows of a partial matrix summed together in one group
@@ -91,10 +106,9 @@ def _sum_partials(parts: DataFrame, n_rows_total: int, width: int) -> np.ndarray
     """Add the per-task partial matrices as a two-level tree.
 
     ``parts`` rows are (grp, blk, data): ``data`` a flattened SUM_BLOCK_ROWS x
-    width slice of one task's partial, ``grp`` = task id modulo about
-    sqrt(#tasks). Level 1 sums the slices of one (blk, grp), level 2 the
-    level-1 sums of one blk; no group ever holds more than ~sqrt(#tasks)
-    slices, so the memory of a group does not grow with the cluster."""
+    width slice of one task's partial, ``grp`` = task id modulo the fan-out.
+    Level 1 sums the slices of one (blk, grp) as a stream, level 2 the level-1
+    sums of one blk (at most ``fanout`` slices)."""
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.sum(np.stack(pdf["data"].to_numpy()), axis=0)
         return pd.DataFrame({"blk": [int(pdf["blk"].iloc[0])], "data": [total]})
@@ -118,63 +132,74 @@ def _emit_blocks(mat: np.ndarray, fanout: int) -> pd.DataFrame:
                          "data": [mat[b:b + SUM_BLOCK_ROWS].ravel() for b in blks]})
 
 
-def _products(x: DataFrame, row_id: str, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One pass: (X'Y, Y'Y) for Y = X z, stacked as one (n_cols + l) x l sum."""
+def _gram_times(x: DataFrame, row_id: str, z: np.ndarray, fanout: int) -> np.ndarray:
+    """One pass: X'(X z)."""
     n_cols, l = z.shape
     zb = x.sparkSession.sparkContext.broadcast(z)
-    try:
-        fanout = int(np.ceil(np.sqrt(max(x.rdd.getNumPartitions(), 1))))
-    except Exception:  # no RDD view of the plan: a fixed fan-out still bounds the groups
-        fanout = 32
 
     def partial(batches):
-        pdf = _partition_frame(batches, row_id)
-        acc = np.zeros((n_cols + l, l))
-        if pdf is not None and len(pdf):
-            local = _LocalRows(pdf, row_id)
-            y = local.times(zb.value)
-            acc[:n_cols] = local.transpose_times(y, n_cols)
-            acc[n_cols:] = y.T @ y
-        yield _emit_blocks(acc, fanout)
-
-    total = _sum_partials(x.mapInPandas(partial, "grp int, blk int, data array<double>"), n_cols + l, l)
+        acc = np.zeros((n_cols, l))
+        any_rows = False
+        for rows in _whole_rows(batches, row_id):
+            any_rows = True
+            rows.add_transpose_times(rows.times(zb.value), acc)
+        if any_rows:
+            yield _emit_blocks(acc, fanout)
+
+    total = _sum_partials(x.mapInPandas(partial, "grp int, blk int, data array<double>"), n_cols, l)
     zb.unpersist()
-    return total[:n_cols], total[n_cols:]
-
-
-def _orth_factor(g: np.ndarray, rtol: float = 1e-12) -> np.ndarray:
-    """M with (Y M)'(Y M) = I from G = Y'Y (directions with tiny energy dropped)."""
-    vals, vecs = np.linalg.eigh(g)
-    keep = vals > rtol * max(vals.max(), 1e-300)
-    return vecs[:, keep] / np.sqrt(vals[keep])
+    return total
 
 
 def prepare(x: DataFrame, row_id: str) -> DataFrame:
-    """Partition the long-form matrix by row and cut its lineage (reliable
-    checkpoint), so every pass reads whole rows without recomputing it."""
+    """Partition the long-form matrix by row, sort by row and cut its lineage
+    (reliable checkpoint), so every pass streams whole rows without recomputing them."""
     from itemscope.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(x.sparkSession)
-    return x.repartition(row_id).checkpoint(eager=True)
+    return x.repartition(row_id).sortWithinPartitions(row_id).checkpoint(eager=True)
 
 
-def truncated_svd(x: DataFrame, row_id: str, n_rows: int, n_cols: int, k: int,
-                  n_iter: int | None = None, oversamples: int = 10, seed: int = 42) -> SVDFit:
+def _outside(block: np.ndarray, basis: np.ndarray, size: float, rtol: float = 1e-10) -> np.ndarray:
+    """Orthonormal directions of ``block`` outside the span of ``basis``; what is
+    left of a direction below ``rtol`` times ``size`` counts as nothing."""
+    for _ in range(2):  # once more against rounding
+        block = block - basis @ (basis.T @ block)
+    u, s, _ = np.linalg.svd(block, full_matrices=False)
+    u = u[:, s > rtol * max(size, 1e-300)]
+    u = u - basis @ (basis.T @ u)
+    return np.linalg.qr(u)[0] if u.shape[1] else u
+
+
+def truncated_svd(x: DataFrame, row_id: str, n_rows: int, n_cols: int, k: int, tol: float = 1e-4,
+                  oversamples: int = 10, seed: int = 42, fanout: int = FANOUT) -> SVDFit:
     """Top-k singular values/vectors of X (n_rows x n_cols). ``x`` must come
-    from ``prepare`` (rows co-located); ``n_rows`` counts all-zero rows too."""
+    from ``prepare`` (rows co-located); ``n_rows`` counts all-zero rows too.
+
+    ``tol`` bounds the residual |X'Xv - s^2 v| / s^2 of every kept pair whose s^2
+    is above rounding."""
     k = max(1, min(k, n_cols))
     l = min(k + oversamples, n_cols)
-    if n_iter is None:
-        n_iter = 7 if k < 0.1 * min(n_rows, n_cols) else 4
-    z = np.random.default_rng(seed).standard_normal((n_cols, l))
-    for _ in range(n_iter):
-        xty, yty = _products(x, row_id, z)
-        z, _ = np.linalg.qr(xty @ _orth_factor(yty))
-    xty, yty = _products(x, row_id, z)
-    b = (xty @ _orth_factor(yty)).T
-    _, s, vt = np.linalg.svd(b, full_matrices=False)
-    k = min(k, len(s))
-    vt = vt[:k]
-    for j in range(k):  # sign rule: largest-magnitude loading positive
+    basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_cols, l)))[0]
+    images = np.zeros((n_cols, 0))
+    block = basis
+    while True:
+        images = np.hstack([images, _gram_times(x, row_id, block, fanout)])
+        small = basis.T @ images
+        theta, s = np.linalg.eigh((small + small.T) / 2)
+        theta, s = theta[::-1][:k], s[:, ::-1][:, :k]
+        ritz = basis @ s
+        residual = np.linalg.norm(images @ s - ritz * theta, axis=0)
+        top = max(float(theta[0]), 0.0) if len(theta) else 0.0
+        done = residual <= tol * np.maximum(theta, 1e-9 * top)
+        if done.all() or basis.shape[1] >= n_cols:
+            break
+        block = _outside(images[:, -block.shape[1]:], basis, top)
+        if not block.shape[1]:
+            break  # the blocks span everything X'X reaches
+        block = block[:, :n_cols - basis.shape[1]]
+        basis = np.hstack([basis, block])
+    vt = ritz.T.copy()
+    for j in range(len(vt)):  # sign rule: largest-magnitude loading positive
         if vt[j, int(np.argmax(np.abs(vt[j])))] < 0:
             vt[j] = -vt[j]
     # column sums and squares of X (n_cols rows, bounded by the vocabulary)
@@ -185,12 +210,10 @@ def truncated_svd(x: DataFrame, row_id: str, n_rows: int, n_cols: int, k: int,
     for c, (a, b) in col.items():
         s1[c], s2[c] = a, b
     nr = float(max(n_rows, 1))
-    # one more pass with Z = V_k': diag(Y'Y) = sum of squares of every
-    # embedding column; its mean is (column sums of X) . v_j / n
-    _, yty = _products(x, row_id, vt.T.copy())
-    sq = np.diag(yty)
+    # the sum of squares of embedding column j is v_j'X'Xv_j, its mean (column sums of X) . v_j / n
+    sq = np.maximum(theta, 0.0)
     means = (s1 @ vt.T) / nr
-    fit = SVDFit(n_rows, n_cols, k, s[:k], vt, float(s2.sum()), float((s2 / nr - (s1 / nr) ** 2).sum()))
+    fit = SVDFit(n_rows, n_cols, len(vt), np.sqrt(sq), vt, float(s2.sum()), float((s2 / nr - (s1 / nr) ** 2).sum()))
     fit.explained_variance = sq / nr - means ** 2
     fit.projected_norm2 = float(sq.sum())
     return fit
@@ -203,13 +226,10 @@ def embeddings(x: DataFrame, row_id: str, all_rows: DataFrame, fit: SVDFit, pref
     id_type = dict(x.dtypes)[row_id]
 
     def project(batches):
-        pdf = _partition_frame(batches, row_id)
-        if pdf is None or not len(pdf):
-            return
-        local = _LocalRows(pdf, row_id)
-        out = pd.DataFrame(local.times(vb.value), columns=names)
-        out.insert(0, row_id, local.ids)
-        yield out
+        for rows in _whole_rows(batches, row_id):
+            out = pd.DataFrame(rows.times(vb.value), columns=names)
+            out.insert(0, row_id, rows.ids)
+            yield out
 
     schema = f"`{row_id}` {id_type}, " + ", ".join(f"`{n}` double" for n in names)
     y = x.mapInPandas(project, schema)

@@ -1,6 +1,7 @@
 """Raw and cleaned tables for one data folder, built once per call site.
 
-Nothing here executes a job: every property is a lazy DataFrame.
+Every property is a lazy DataFrame, except the ``_saved`` ones, which run once
+and write their rows to the checkpoint folder.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from itemscope.operators import clean as C
 from itemscope.operators import features as FE
-from itemscope.sources import fixtures as FX
+from itemscope.session import ensure_checkpoint_dir
 from itemscope.sources import fixtures as FX
 
 
@@ -70,12 +71,18 @@ class Tables:
         return FE.feature_frame(self.catalog, self.ratings_clean, self.tags_clean, self.item_genres)
 
     @cached_property
-    def feature_frame_saved(self) -> DataFrame:
-        """The feature frame written once to the checkpoint folder: the model
-        matrix reads it three times (two vocabularies, the matrix itself)."""
-        from itemscope.session import ensure_checkpoint_dir
+    def item_tokens_saved(self) -> DataFrame:
+        """The (item, token) pairs written once to the checkpoint folder: the
+        vocabulary, the indicators and the counts per item all read them."""
+        ensure_checkpoint_dir(self.spark)
+        return FE.item_tokens(self.tags_clean, self.catalog).checkpoint(eager=True)
+
+    @cached_property
+    def model_frame_saved(self) -> DataFrame:
+        """The model frame written once to the checkpoint folder: the scaling
+        statistics and the matrix read it."""
         ensure_checkpoint_dir(self.spark)
-        return self.feature_frame.checkpoint(eager=True)
+        return FE.model_frame(self.catalog, self.ratings_clean, self.item_tokens_saved, self.item_genres).checkpoint(eager=True)
 
     @cached_property
     def tags_events(self) -> DataFrame:

@@ -213,12 +213,16 @@ ORACLE["table_shapes"] = with_ctes("\nUNION ALL ".join(
     f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({len(RAW_COLS[t])} AS BIGINT) AS cols, "
     f"'{'core' if t in CORE_TABLES else 'optional'}' AS scope FROM {t}" for t in ALL_TABLES), _ALL_RAW)
 
+# the names the cleaned tables are stored under
+STORED_NAMES = {"catalog": "movies_catalog", "ratings_clean": "ratings_clean", "tags_clean": "tags_clean",
+                "item_genres": "movie_genres"}
+_STORED_CASE = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STORED_NAMES.items())
+
 ORACLE["load_summary"] = with_ctes("\nUNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST({len(cols)} AS BIGINT) AS cols, 'core' AS scope FROM {t}"
+    f"SELECT '{STORED_NAMES[t]}' AS \"table\", count(*) AS rows, CAST({len(cols)} AS BIGINT) AS cols, 'core' AS scope FROM {t}"
     for t, cols in CLEAN_SCHEMAS.items()), list(CLEAN_SCHEMAS))
 
 _SCHEMA_VALUES = ", ".join(f"('{t}', '{c}', '{typ}')" for t in ALL_TABLES for c, typ in RAW_COLS[t])
-ORACLE["schema_listing"] = f"SELECT * FROM (VALUES {_SCHEMA_VALUES}) v(\"table\", \"column\", sample_dtype)"
 
 _MISSING = {"missing": _missing_sql(RAW_COLS)}
 ORACLE["missing_profile"] = with_ctes(f"SELECT \"table\", \"column\", null_count, {rnd('null_pct', 'null_pct')} FROM missing",
@@ -274,7 +278,8 @@ ORACLE["scale_metrics"] = with_ctes(f"""
 SELECT users, items, interactions, users * items AS possible_user_item_pairs,
        CASE WHEN users * items > 0 THEN round(round(interactions / (users * items) * 100, 6), {R}) ELSE 0.0 END AS density_pct,
        CASE WHEN users * items > 0 THEN round(round((1 - interactions / (users * items)) * 100, 6), {R}) ELSE 0.0 END AS sparsity_pct
-FROM (SELECT CAST(count(DISTINCT userId) AS BIGINT) AS users, CAST(count(DISTINCT movieId) AS BIGINT) AS items,
+FROM (SELECT CAST(count(DISTINCT userId) + coalesce(max(CASE WHEN userId IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) AS users,
+             CAST(count(DISTINCT movieId) + coalesce(max(CASE WHEN movieId IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) AS items,
              CAST(count(*) AS BIGINT) AS interactions FROM ratings) s""", ["ratings"])
 
 ORACLE["score_distribution"] = with_ctes(
@@ -296,7 +301,7 @@ FROM (VALUES {_SCHEMA_VALUES}) s("table", "column", sample_dtype)
 LEFT JOIN missing m ON s."table" = m."table" AND s."column" = m."column" """, _ALL_RAW + ["missing"], _MISSING)
 
 ORACLE["processed_dictionary"] = with_ctes(
-    f"SELECT \"table\", \"column\", dtype, null_count, {rnd('null_pct', 'null_pct')} FROM pmissing",
+    f"SELECT CASE \"table\" {_STORED_CASE} END AS \"table\", \"column\", dtype, null_count, {rnd('null_pct', 'null_pct')} FROM pmissing",
     list(CLEAN_SCHEMAS) + ["pmissing"], {"pmissing": _missing_sql(CLEAN_SCHEMAS, with_type=True)})
 
 ORACLE["rows_before_after"] = with_ctes("""

@@ -19,11 +19,10 @@ from itemscope.plans.present import present
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def query(name: str, raw: bool = False):
+def query(name: str):
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            out = fn(Tables(spark, sf_dir))
-            return out if raw else present(out)
+            return present(fn(Tables(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -102,6 +101,15 @@ def _clean(t: Tables) -> dict[str, DataFrame]:
             "tags_clean": t.tags_clean, "item_genres": t.item_genres}
 
 
+#: The names the cleaned tables are stored and reported under.
+STORED_NAMES = {"catalog": "movies_catalog", "ratings_clean": "ratings_clean", "tags_clean": "tags_clean",
+                "item_genres": "movie_genres"}
+
+
+def _stored(t: Tables) -> dict[str, DataFrame]:
+    return {STORED_NAMES[k]: df for k, df in _clean(t).items()}
+
+
 @query("table_shapes")
 def table_shapes(t: Tables) -> DataFrame:
     """Q1: rows and columns of every input table."""
@@ -111,12 +119,7 @@ def table_shapes(t: Tables) -> DataFrame:
 @query("load_summary")
 def load_summary(t: Tables) -> DataFrame:
     """Rows and columns of the cleaned tables."""
-    return PR.table_shapes(_clean(t), core=tuple(_clean(t)))
-
-
-@query("schema_listing")
-def schema_listing(t: Tables) -> DataFrame:
-    return PR.schema_listing(t.spark, _raw(t))
+    return PR.table_shapes(_stored(t), core=tuple(STORED_NAMES.values()))
 
 
 @query("missing_profile")
@@ -191,7 +194,7 @@ def data_dictionary(t: Tables) -> DataFrame:
 
 @query("processed_dictionary")
 def processed_dictionary(t: Tables) -> DataFrame:
-    return PR.processed_dictionary(_clean(t))
+    return PR.processed_dictionary(_stored(t))
 
 
 @query("rows_before_after")
@@ -210,7 +213,7 @@ def uniqueness_report(t: Tables) -> DataFrame:
 
 
 def _spec(t: Tables) -> FE.ModelSpec:
-    return FE.model_spec(t.item_genres, t.feature_frame_saved)
+    return FE.model_spec(t.item_genres, t.item_tokens_saved)
 
 
 @query("category_vocab")
@@ -222,7 +225,7 @@ def category_vocab(t: Tables) -> DataFrame:
 @query("tag_vocab")
 def tag_vocab(t: Tables) -> DataFrame:
     """F8 + WN3: top-20 tokens by item frequency with feature names."""
-    return FE.tag_vocab(t.feature_frame, 20)
+    return FE.tag_vocab(FE.item_tokens(t.tags_clean, t.catalog), 20)
 
 
 @query("scaling_stats")
@@ -233,12 +236,12 @@ def scaling_stats(t: Tables) -> DataFrame:
 @query("model_matrix")
 def model_matrix(t: Tables) -> DataFrame:
     """F10 wide (column names depend on the vocabularies: rows-only check)."""
-    return FE.model_matrix(t.feature_frame_saved, _spec(t)).drop("genres_list", "tag_tokens")
+    return FE.model_matrix(t.model_frame_saved, _spec(t), t.item_genres, t.item_tokens_saved)
 
 
 @query("model_matrix_long")
 def model_matrix_long(t: Tables) -> DataFrame:
-    return FE.model_matrix_long(t.feature_frame_saved, t.item_genres, _spec(t))
+    return FE.model_matrix_long(t.model_frame_saved, t.item_genres, t.item_tokens_saved, _spec(t))
 
 
 @query("feature_catalog")
@@ -249,7 +252,7 @@ def feature_catalog(t: Tables) -> DataFrame:
 @query("feature_profile")
 def feature_profile(t: Tables) -> DataFrame:
     spec = _spec(t)
-    return FE.feature_profile(t.feature_frame_saved, spec)
+    return FE.feature_profile(t.model_frame_saved, spec)
 
 
 @query("category_pivot")
@@ -282,9 +285,9 @@ from itemscope.operators import decomposition as DC  # noqa: E402
 
 def _notebook_pca(t: Tables) -> tuple[FE.ModelSpec, DC.PCAFit]:
     spec = _spec(t)
-    mat = FE.model_matrix(t.feature_frame_saved, spec).select("movieId", "title", *spec.feature_columns)
-    # the matrix is a projection of the saved frame: its lineage is already cut
-    return spec, DC.fit_pca(mat, spec.feature_columns, checkpoint=False)
+    mat = FE.model_matrix(t.model_frame_saved, spec, t.item_genres, t.item_tokens_saved) \
+        .select("movieId", "title", *spec.feature_columns)
+    return spec, DC.fit_pca(mat, spec.feature_columns)
 
 
 def _script_pca(t: Tables) -> tuple[list[str], DC.PCAFit, int]:
@@ -373,7 +376,7 @@ def scatter_sample(t: Tables) -> DataFrame:
     """M17 + O4: seeded sample of min(10000, n) items: pc1, pc2, pc3, log1p(rating_count)."""
     _, fit = _notebook_pca(t)
     scores = DC.pca_scores(fit, ["movieId"], 3, pad_to=3)
-    counts = t.feature_frame_saved.select("movieId", F.log1p(F.col("rating_count").cast("double")).alias("rating_count"))
+    counts = t.model_frame_saved.select("movieId", F.log1p(F.col("rating_count").cast("double")).alias("rating_count"))
     return DC.scatter_sample(scores.join(counts, "movieId"), "movieId", 10000, 42)
 
 
@@ -410,10 +413,10 @@ def _corpus(t: Tables) -> DataFrame:
 
 
 def _text_parts(t: Tables) -> DataFrame:
-    """The corpus of F4 as parts: each title and each distinct (item, tag)."""
+    """The corpus of F4 as parts: each title and each distinct (item, tag) of the catalog's items."""
     titles = t.catalog.select("movieId", F.col("title").alias("text"))
     tags = t.tags_clean.select("movieId", F.col("tag").alias("text")).distinct()
-    return titles.unionByName(tags)
+    return titles.unionByName(tags.join(titles.select("movieId"), "movieId", "left_semi"))
 
 
 def _tfidf(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -513,12 +516,6 @@ def _sizes(t: Tables) -> DataFrame:
     return RD.input_sizes(t.spark, paths)
 
 
-@query("input_sizes")
-def input_sizes(t: Tables) -> DataFrame:
-    """Stored size of every input role in MB (file-system metadata)."""
-    return _sizes(t)
-
-
 @query("table_memory_estimate")
 def table_memory_estimate(t: Tables) -> DataFrame:
     """Q1 complete: rows, columns, size and scope per input table."""
@@ -533,7 +530,7 @@ def profile_report(t: Tables) -> DataFrame:
     shapes = PR.table_shapes(raw).join(F.broadcast(_sizes(t)), "table").select("table", "rows", "cols", "size_mb", "scope")
     return RP.profile_report(
         t.spark, shapes, PR.missing_nonzero(raw), PR.quality_checks(raw), PR.join_coverage(raw),
-        PR.scale_metrics(t.ratings), shapes, PR.score_distribution(t.ratings).orderBy("rating"),
+        PR.scale_metrics(t.ratings), shapes, PR.score_distribution(t.ratings),
         PR.top_categories_raw(t.movies, 15))
 
 
@@ -542,9 +539,8 @@ def cleaning_report(t: Tables) -> DataFrame:
     """Q15: input tables, row changes, join checks, decisions, outputs; one row."""
     raw = {k: t.raw(k) for k in ("ratings", "movies", "tags", "links")}
     inputs = PR.table_shapes(raw).join(F.broadcast(_sizes(t)), "table").select("table", "rows", "size_mb")
-    outputs = ["movies_catalog", "ratings_clean", "tags_clean", "movie_genres", "processed_dictionary_profile"]
     return RP.cleaning_report(t.spark, inputs, PR.rows_before_after(_raw(t), _clean(t)), PR.orphan_check(_clean(t)),
-                              outputs)
+                              list(_stored(t)))
 
 
 # --- extra shapes of the same operators -----------------------------------------------------

@@ -35,17 +35,13 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_before_explode(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Guard in front of a row-multiplying generator: a scan with fewer splits
-    than the cluster's parallelism (a small file with one row group) would
-    run the whole explosion in one task, so its rows are dealt round-robin
-    first. Inputs with enough splits (any large table) pass unchanged."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(target) if current < target else df
+def spread_before_explode(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows over the shuffle partitions by ``key`` in front of a
+    row-multiplying generator: whatever the file layout, no task explodes more
+    than its share. The count is explicit, so adaptive execution does not merge
+    partitions whose size says nothing about the rows they will make."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, key)
 
 
 def epoch_seconds(col: str | Column) -> Column:
@@ -86,7 +82,7 @@ def links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = spread_before_explode(_read(spark, sf_dir, "documents").select("doc_id", "n_chars", "text"))
+    d = spread_before_explode(_read(spark, sf_dir, "documents").select("doc_id", "n_chars", "text"), "doc_id")
     words = d.select(
         "doc_id", "n_chars",
         F.posexplode(F.regexp_extract_all(F.col("text"), F.lit(WORD_PATTERN), F.lit(0))).alias("pos", "tag"),

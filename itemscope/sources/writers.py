@@ -1,7 +1,6 @@
 """Sinks (S7-S10).
 
-Tables are written in parallel by the executors; only bounded reports are
-coalesced to one file.
+Everything is written in parallel by the executors, at any size.
 """
 
 from __future__ import annotations
@@ -9,9 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REPORT_ROW_LIMIT = 100_000
-
-
 def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None, global_sort: bool = False,
                 mode: str = "overwrite") -> None:
     """Parquet. ``sort_by`` orders rows inside every file; ``global_sort``
@@ -22,25 +18,18 @@ def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None, glob
     out.write.mode(mode).parquet(path)
 
 
-def _bounded(df: DataFrame, limit: int) -> DataFrame:
-    n = df.limit(limit + 1).count()
-    if n > limit:
-        raise ValueError(f"report has more than {limit} rows; write it with write_table instead")
-    return df.coalesce(1)
-
-
-def write_report_csv(df: DataFrame, path: str, sort_by: list[str] | None = None,
-                     limit: int = REPORT_ROW_LIMIT) -> None:
-    """A bounded report as one header CSV file."""
-    out = _bounded(df, limit)
-    if sort_by:
-        out = out.orderBy(*sort_by).coalesce(1)
+def write_report_csv(df: DataFrame, path: str, sort_by: list[str] | None = None, files: int | None = None) -> None:
+    """A report as header CSV, written in parallel; ``sort_by`` gives a total
+    order over the files. A caller that knows its report is small names the
+    number of files (1)."""
+    out = df.orderBy(*sort_by) if sort_by else df
+    out = out.coalesce(files) if files else out
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_report_json(df: DataFrame, path: str, limit: int = 1000) -> None:
+def write_report_json(df: DataFrame, path: str) -> None:
     """Nested report (structs / lists of structs) as JSON lines."""
-    _bounded(df, limit).write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path)
 
 
 def write_sparse_matrix(weights: DataFrame, vocab: DataFrame, path: str, id_col: str) -> None:
@@ -54,6 +43,21 @@ def read_sparse_matrix(spark, path: str) -> tuple[DataFrame, DataFrame]:
     return spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/vocabulary")
 
 
-def nest(df: DataFrame, name: str) -> DataFrame:
-    """One row holding all rows of a bounded result as a list of structs."""
-    return df.agg(F.collect_list(F.struct(*df.columns)).alias(name))
+def nest(df: DataFrame, name: str, order: list[tuple[str, bool]] | None = None) -> DataFrame:
+    """One row holding all rows of a bounded result as a list of structs, sorted
+    by the columns of ``order`` ((name, descending)) and then by all others: the
+    list itself is sorted, so no shuffle can change its order."""
+    order = order or []
+    keys = [F.struct(F.col(c).isNull() if not desc else F.col(c).isNotNull(), F.col(c)).alias(f"k{i}") for i, (c, desc) in enumerate(order)]
+    rest = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("all")
+    row = F.struct(*keys, rest, F.struct(*df.columns).alias("row"))
+
+    def before(x, y):
+        out = F.when(x["all"] < y["all"], -1).when(x["all"] > y["all"], 1).otherwise(0)
+        for i, (_, desc) in reversed(list(enumerate(order))):
+            a, b = (y, x) if desc else (x, y)
+            out = F.when(a[f"k{i}"] < b[f"k{i}"], -1).when(a[f"k{i}"] > b[f"k{i}"], 1).otherwise(out)
+        return out
+
+    rows = F.array_sort(F.collect_list(row), before)
+    return df.agg(F.transform(rows, lambda x: x["row"]).alias(name))

@@ -4,7 +4,7 @@ The reference has no streaming code; this module runs the *same* operators
 (C2 cleaning, A3 statistics without the distinct-rater count, which streaming
 aggregation does not support) over interaction files that keep arriving.
 State is one row per item (bounded by the catalog); progress and state live
-under the shared checkpoint folder, so a restarted query resumes exactly.
+in the checkpoint folder the caller names, so a restarted query resumes.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from itemscope.operators import clean as C
 from itemscope.roles import DEFAULT_ROLES, RATINGS_SCHEMA, Roles
-from itemscope.session import ensure_checkpoint_dir
 
 
 def interaction_stream(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -43,20 +42,30 @@ def rating_stats_stream(interactions: DataFrame, r: Roles = DEFAULT_ROLES) -> Da
     )
 
 
-def start_rating_stats(spark: SparkSession, source: str, target: str, name: str = "rating_stats",
+def start_rating_stats(spark: SparkSession, source: str, target: str, checkpoint: str, name: str = "rating_stats",
                        fmt: str = "parquet", available_now: bool = True,
                        processing_time: str | None = None) -> StreamingQuery:
-    """Keep ``target`` (parquet) equal to the statistics of all files seen in
-    ``source``. Each micro-batch rewrites the per-item table from the state
-    (complete mode: bounded by the number of items)."""
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    """Write the statistics of all files seen in ``source`` under ``target``, one
+    folder ``batch=<n>`` per micro-batch, the whole per-item table from the state
+    (complete mode: bounded by the number of items); ``latest_stats`` reads the newest.
+
+    ``checkpoint`` is a folder on shared storage that outlives the process: a
+    restarted query goes on from it, and a batch that runs again writes the
+    same folder again, never over an older one."""
     stats = rating_stats_stream(interaction_stream(spark, source, fmt))
 
-    def write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    writer = (stats.writeStream.outputMode("complete").option("checkpointLocation", ckpt)
+    writer = (stats.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
               .foreachBatch(write).queryName(name))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "1 minute")
     return writer.start()
+
+
+def latest_stats(spark: SparkSession, target: str) -> DataFrame:
+    """The table of the newest finished micro-batch."""
+    every = spark.read.parquet(target)
+    newest = every.agg(F.max("batch").alias("b")).select("b").scalar()
+    return every.filter(F.col("batch") == newest).drop("batch")

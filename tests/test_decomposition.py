@@ -114,14 +114,13 @@ def test_truncated_svd_matches_numpy(spark):
     x = spark.createDataFrame(rows, "rid bigint, col_idx int, value double")
     x = SV.prepare(x, "rid")
     k = 10
-    fit = SV.truncated_svd(x, "rid", n, m, k, n_iter=8)
+    fit = SV.truncated_svd(x, "rid", n, m, k, tol=1e-8)
     s = np.linalg.svd(dense, compute_uv=False)
-    # randomized subspace iteration: the leading value is tight, the tail of a
-    # flat random spectrum converges more slowly
-    assert fit.singular_values[0] == pytest.approx(s[0], rel=1e-9)
-    assert np.allclose(fit.singular_values, s[:k], rtol=1e-4)
-    # when the sketch spans all columns the result is exact
-    full = SV.truncated_svd(x, "rid", n, m, m - 1, n_iter=2)
+    assert np.allclose(fit.singular_values, s[:k], rtol=1e-9)
+    loose = SV.truncated_svd(x, "rid", n, m, k, oversamples=0)
+    assert np.allclose(loose.singular_values, s[:k], rtol=1e-6)
+    # when the blocks span all columns the result is exact
+    full = SV.truncated_svd(x, "rid", n, m, m - 1)
     assert np.allclose(full.singular_values, s[: m - 1], rtol=1e-9)
     ids = spark.createDataFrame([(i,) for i in range(n)], "rid bigint")
     emb = SV.embeddings(x, "rid", ids, fit)

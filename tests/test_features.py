@@ -41,10 +41,36 @@ def test_repeated_category(spark, small):
     cat, rc, tc, ig = small
     piv = {r.movieId: r for r in FE.category_pivot(ig, ["X", "Y"]).collect()}
     assert piv[2].genre_X == 2 and piv[1].genre_X == 1 and piv[1].genre_Y == 1
-    frame = FE.feature_frame(cat, rc, tc, ig)
-    spec = FE.model_spec(ig, frame, 20, 20)
-    mm = {r.movieId: r for r in FE.model_matrix(frame, spec).collect()}
+    pairs = FE.item_tokens(tc, cat)
+    frame = FE.model_frame(cat, rc, pairs, ig)
+    spec = FE.model_spec(ig, pairs, 20, 20)
+    mm = {r.movieId: r for r in FE.model_matrix(frame, spec, ig, pairs).collect()}
     assert mm[2]["genre_x"] == 1.0 and mm[3]["genre_x"] == 0.0
+    assert mm[1]["tag_000_fun"] == 1.0 and mm[2]["tag_000_fun"] == 0.0
+    long = {(x.movieId, x.feature): x.value for x in FE.model_matrix_long(frame, ig, pairs, spec).collect()}
+    assert all(mm[i][f] == v for (i, f), v in long.items())
+    assert sum(mm[i][f] for i in mm for f in spec.genre_features + spec.tag_features) == len(long) - 6 * len(mm)
+
+
+def test_model_frame_is_the_feature_frame_without_lists(small):
+    cat, rc, tc, ig = small
+    wide = {r.movieId: r.asDict() for r in FE.feature_frame(cat, rc, tc, ig).collect()}
+    slim = {r.movieId: r.asDict() for r in FE.model_frame(cat, rc, FE.item_tokens(tc, cat), ig).collect()}
+    assert slim == {k: {c: v for c, v in x.items() if c not in ("genres_list", "tag_tokens")} for k, x in wide.items()}
+
+
+def test_tags_of_unknown_items_stay_out(spark, small):
+    from itemscope.operators import text as TX
+    from itemscope.plans import queries as Q
+    cat, rc, tc, ig = small
+    stray = spark.createDataFrame([(9, 99, "fun stray", 10), (9, 1, "fun stray", 10)], "userId bigint, movieId bigint, tag string, timestamp bigint")
+    t = Tables(spark, SF001)
+    t.catalog, t.tags_clean = cat, C.clean_tags(stray)
+    weights, vocab = TX.tfidf(Q._text_parts(t), "movieId", "text", 10, 1, all_ids=cat.select("movieId"))
+    rows = {r.term: (r.df, r.idf) for r in vocab.collect()}
+    assert {r.movieId for r in weights.collect()} <= {1, 2, 3}
+    assert rows["stray"][0] == 1 and all(idf >= 1.0 and df <= 3 for df, idf in rows.values())
+    assert {r.movieId for r in FE.item_tokens(t.tags_clean, cat).collect()} == {1}
 
 
 def test_script_median_and_span(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from itemscope.operators import features as FE
 from itemscope.operators.clean import clean_interactions
 from itemscope.sources import fixtures as FX
-from itemscope.streaming.incremental import start_rating_stats
+from itemscope.streaming.incremental import latest_stats, start_rating_stats
 
 from conftest import SF001
 
@@ -19,13 +19,13 @@ def test_stream_matches_batch(spark):
     ratings = FX.ratings(spark, SF001)
     # two arrivals: the stream must accumulate across files
     ratings.filter(F.col("userId") % 2 == 0).write.mode("append").parquet(src)
-    name = f"t_stream_{uuid.uuid4().hex}"
-    q = start_rating_stats(spark, src, out, name=name)
+    name, ckpt = f"t_stream_{uuid.uuid4().hex}", tempfile.mkdtemp(prefix="itemscope-stream-")
+    q = start_rating_stats(spark, src, out, ckpt, name=name)
     q.awaitTermination()
     ratings.filter(F.col("userId") % 2 == 1).write.mode("append").parquet(src)
-    q = start_rating_stats(spark, src, out, name=name)
+    q = start_rating_stats(spark, src, out, ckpt, name=name)
     q.awaitTermination()
-    got = {r.movieId: r for r in spark.read.parquet(out).collect()}
+    got = {r.movieId: r for r in latest_stats(spark, out).collect()}
     want = {r.movieId: r for r in FE.rating_stats(clean_interactions(ratings)).collect()}
     assert set(got) == set(want)
     for k, w in want.items():
