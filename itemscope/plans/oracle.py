@@ -485,3 +485,39 @@ ORACLE["tag_features_events"] = with_ctes(f"""
 SELECT movieId, CAST(tag_event_count AS BIGINT) AS tag_event_count, {lst('tag_tokens', 'tag_tokens')},
        first_tag_ts, last_tag_ts, CAST(unique_tag_count AS BIGINT) AS unique_tag_count
 FROM tag_stats_ev""", ["tags_events", "tags_clean_ev", "tag_tok_ev", "tag_stats_ev"], _EV)
+
+
+# --- long forms -----------------------------------------------------------------------------------
+
+ORACLE["category_counts_long"] = with_ctes(
+    "SELECT movieId, genre, count(*) AS n FROM item_genres GROUP BY movieId, genre", ["item_genres"])
+
+ORACLE["numeric_features_long"] = with_ctes(f"""
+SELECT movieId, feature, {rnd('value', 'value')} FROM (
+  SELECT s.movieId, v.feature, coalesce(v.value, 0.0) AS value FROM (
+    SELECT movieId, CAST(count(*) AS DOUBLE) AS n, avg(rating) AS mean, stddev_samp(rating) AS sd, min(rating) AS lo, max(rating) AS hi,
+           median(rating) AS med, CAST(min("timestamp") AS DOUBLE) AS t0, CAST(max("timestamp") AS DOUBLE) AS t1,
+           (max("timestamp") - min("timestamp")) / 86400.0 AS days
+    FROM ratings_clean GROUP BY movieId) s,
+  LATERAL (VALUES ('rating_count', s.n), ('rating_mean', s.mean), ('rating_std', s.sd), ('rating_min', s.lo), ('rating_max', s.hi),
+                  ('rating_median', s.med), ('rating_first_ts', s.t0), ('rating_last_ts', s.t1), ('rating_span_days', s.days)) v(feature, value)
+  UNION ALL
+  SELECT movieId, 'genre_' || genre, CAST(count(*) AS DOUBLE) FROM item_genres
+  WHERE movieId IN (SELECT movieId FROM ratings_clean) GROUP BY movieId, genre
+  UNION ALL
+  SELECT movieId, 'tag_count', CAST(count(*) AS DOUBLE) FROM tags_clean
+  WHERE movieId IN (SELECT movieId FROM ratings_clean) GROUP BY movieId) x""", ["ratings_clean", "item_genres", "tags_clean"])
+
+ORACLE["redundancy_correlation"] = with_ctes(f"""
+SELECT p.feature_a, p.feature_b, p."check", {rnd('corr(a.value, b.value)', 'correlation')}
+FROM (VALUES ('rating_count_log', 'avg_rating_z', 'redundancy'), ('genre_count_log', 'rating_count_log', 'redundancy'),
+             ('genre_count_log', 'unique_tag_count_log', 'diversity')) p(feature_a, feature_b, "check")
+JOIN full_long a ON a.feature = p.feature_a JOIN full_long b ON b.feature = p.feature_b AND a.movieId = b.movieId
+GROUP BY p.feature_a, p.feature_b, p."check" """, _FULL_NEEDS, _FULL)
+
+ORACLE["scatter_sample_by_md5"] = with_ctes(f"""
+SELECT movieId, {rnd('ln(1 + n)', 'rating_count')} FROM (
+  SELECT movieId, CAST(count(*) AS DOUBLE) AS n FROM ratings_clean GROUP BY movieId
+  ORDER BY md5(CAST(movieId AS VARCHAR) || ':42'), movieId LIMIT 10000) x""", ["ratings_clean"])
+
+ORACLE["table_memory_rows"] = ORACLE["table_shapes"]

@@ -562,3 +562,49 @@ def genome_pca_summary(t: Tables) -> DataFrame:
         for i in tag_ids])
     fit = DC.fit_pca(wide, [f"tag_{i}" for i in tag_ids])
     return DC.variance_table(t.spark, fit)
+
+
+# --- long forms whose columns do not depend on the data -----------------------------------------
+
+
+@query("category_counts_long")
+def category_counts_long(t: Tables) -> DataFrame:
+    """A12 in long form: how often a category stands on an item (the non-zero pivot cells)."""
+    from itemscope.operators.aggregates import group_count
+    return group_count(t.item_genres, ["movieId", "genre"], "n")
+
+
+@query("numeric_features_long")
+def numeric_features_long(t: Tables) -> DataFrame:
+    """F5 in long form: (item, feature, value) of rated items, zero counts left out."""
+    stats = FE.rating_stats_script(t.ratings_clean)
+    names = [c for c in stats.columns if c != "movieId"]
+    cells = stats.select("movieId", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("value")) for c in names
+    ])).alias("kv")).select("movieId", "kv.feature", "kv.value")
+    counts = t.item_genres.groupBy("movieId", F.concat(F.lit("genre_"), "genre").alias("feature")).agg(F.count(F.lit(1)).cast("double").alias("value"))
+    tags = t.tags_clean.groupBy("movieId").agg(F.count(F.lit(1)).cast("double").alias("value")) \
+        .select("movieId", F.lit("tag_count").alias("feature"), "value")
+    return cells.unionByName(counts.unionByName(tags).join(stats.select("movieId"), "movieId", "left_semi"))
+
+
+@query("redundancy_correlation")
+def redundancy_correlation(t: Tables) -> DataFrame:
+    """The correlation part of the redundancy check."""
+    _, fit = _notebook_pca(t)
+    return DC.feature_redundancy(t.spark, fit).select("feature_a", "feature_b", "check", "correlation")
+
+
+@query("scatter_sample_by_md5")
+def scatter_sample_by_md5(t: Tables) -> DataFrame:
+    """O4 on a hash that other engines have: min(10000, n) items, the first by
+    md5 of the item and the seed, with log1p(rating_count) (the limit is the feature)."""
+    frame = FE.rating_stats(t.ratings_clean).select("movieId", F.log1p(F.col("rating_count").cast("double")).alias("rating_count"))
+    key = F.md5(F.concat_ws(":", F.col("movieId").cast("string"), F.lit("42")).cast("binary"))
+    return frame.orderBy(key, "movieId").limit(10000)
+
+
+@query("table_memory_rows")
+def table_memory_rows(t: Tables) -> DataFrame:
+    """Q1: the counted part of the memory estimate."""
+    return table_memory_estimate(t).drop("size_mb")

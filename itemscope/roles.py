@@ -1,7 +1,7 @@
 """Column roles and declared schemas.
 
-Operators never probe a table for column names at run time; the caller says
-which column plays which role. The defaults are the names of the reference's
+The caller says which column plays which role; only the runs from files to
+files look for the first of several names (``first_available``). The defaults are the names of the reference's
 catalog domain, so tables already in that shape need no mapping.
 """
 
@@ -74,3 +74,8 @@ RAW_SCHEMAS = {
 CORE_TABLES = ("movies", "ratings", "tags", "links")
 OPTIONAL_TABLES = ("genome_scores", "genome_tags")
 ALL_TABLES = CORE_TABLES + OPTIONAL_TABLES
+
+
+def first_available(df, names: list[str]) -> str | None:
+    """The first of ``names`` that is a column of ``df`` (its schema is looked at, no data)."""
+    return next((n for n in names if n in df.columns), None)

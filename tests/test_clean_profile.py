@@ -84,3 +84,20 @@ def test_top_categories_ties_are_deterministic(spark):
     movies = spark.createDataFrame([(1, "t", "b|a"), (2, "t", "a|b"), (3, "t", "c")], MOVIES_SCHEMA)
     out = [(r.genres, r.len) for r in PR.top_categories_raw(movies, 2).collect()]
     assert out == [("a", 2), ("b", 2)]
+
+
+def test_scale_metrics_counts_null_as_a_value(spark):
+    from itemscope.operators import profile as PR
+    df = spark.createDataFrame([(1, 1, 1.0, 1), (None, 1, 1.0, 1), (2, None, 1.0, 1), (None, None, 1.0, 1)],
+                               "userId bigint, movieId bigint, rating double, timestamp bigint")
+    row = PR.scale_metrics(df).first()
+    assert (row.users, row.items, row.interactions, row.possible_user_item_pairs) == (3, 2, 4, 6)
+    assert PR.scale_metrics(df.limit(0)).first().users == 0
+
+
+def test_nested_lists_are_sorted(spark):
+    from itemscope.sources.writers import nest
+    df = spark.createDataFrame([(i, i % 3) for i in range(30)], "a int, b int").repartition(7)
+    rows = nest(df, "rows", [("b", True), ("a", False)]).first().rows
+    assert [(r.b, r.a) for r in rows] == sorted([(i % 3, i) for i in range(30)], key=lambda x: (-x[0], x[1]))
+    assert nest(df.limit(0), "rows").first().rows == []
