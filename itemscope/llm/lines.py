@@ -12,10 +12,11 @@ Plan: texts are read once for hashes and bands (written to the shared folder;
 a line repeated inside a batch emits its bands once), once for the texts of
 candidate lines only, once to drop lines. Bands shuffle as two numbers a row and
 are read as a sorted stream that lets through buckets of two lines or more.
-Pairs are not made within a bucket: first every line meets the bucket's smallest
-and greatest line; then only lines of different components of the same bucket
-are paired, so a group of copies costs its size, and no link between different
-components is lost. Sides measured to be small are broadcast; others shuffle.
+Pairs are not emitted within a bucket: first every line meets the bucket's smallest
+and greatest line, which joins a group of copies at the cost of its size; then
+lines of one bucket that are still in different components are compared inside
+tasks, in blocks of bounded size, and only links leave the task, so no link between
+different components is lost. Sides measured to be small are broadcast; others shuffle.
 
 With 10 bands of 4 rows a pair at 0.8 similarity is a candidate with
 probability 0.995, at 0.9 with 0.99997.
@@ -44,9 +45,12 @@ MIN_CHARS = 32
 SHINGLE = 7
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
+#: Lines of a block in which the lines of a bucket are compared.
+BLOCK_LINES = 2000
 #: Characters whose hashes are held at once.
 SIGNED_CHARS = 1 << 19
 
+_NODE = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
 _ODD = np.random.default_rng(20).integers(1, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _FLIP = np.random.default_rng(21).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 
@@ -59,9 +63,8 @@ def shingles(line: str, n: int = SHINGLE) -> set[str]:
     return {line[i:i + n] for i in range(max(1, len(line) - n + 1))}
 
 
-def similar(a: str, b: str, n: int = SHINGLE, at_least: float = SIMILARITY) -> bool:
-    """Exact Jaccard similarity of the shingle sets against the threshold."""
-    x, y = shingles(a, n), shingles(b, n)
+def similar(x: set[str], y: set[str], at_least: float = SIMILARITY) -> bool:
+    """Exact Jaccard similarity of two shingle sets against the threshold."""
     if min(len(x), len(y)) < at_least * max(len(x), len(y)):
         return False
     both = len(x & y)
@@ -214,7 +217,9 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
     def run(batches):
         for batch in batches:
-            ok = [similar(a, b, at_least=similarity) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            sets = {x: shingles(x) for x in {*left, *right}}
+            ok = [similar(sets[a], sets[b], similarity) for a, b in zip(left, right)]
             keep = batch.filter(pa.array(ok, pa.bool_()))
             yield pa.RecordBatch.from_arrays([keep.column(0), keep.column(1)], names=["a", "b"])
 
@@ -238,20 +243,74 @@ def line_components(docs: DataFrame, text: str, table: DataFrame, similarity: fl
     links = saved(verified(stars, texts, similarity), "star-links")
     roots = components(links)
     # what the stars left apart: lines of one bucket in different components
-    named = texts.select("h1", F.struct("h1", "h2").alias("node")).join(roots, "node", "left") \
-        .select("h1", F.coalesce("root", "node").alias("root"))
-    placed = saved(buckets.join(named, "h1"), "placed")
-    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band")
-    apart = saved(placed.join(mixed, "band", "left_semi"), "mixed-buckets")
-    other = apart.select("band", F.col("h1").alias("other"), F.col("root").alias("other_root"))
-    cross = apart.join(other, "band").filter("root < other_root").select(*_pairs("h1", "other")).distinct() \
-        .join(stars, ["a", "b"], "left_anti")
-    more = saved(verified(saved(cross, "cross-pairs"), texts, similarity), "cross-links")
+    named = texts.select("h1", F.struct("h1", "h2").alias("node"), "line").join(roots, "node", "left") \
+        .withColumn("root", F.xxhash64(F.coalesce("root", "node")))
+    placed = buckets.join(named.select("h1", "root"), "h1")
+    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n")) \
+        .filter("x <> y").select("band", F.ceil(F.col("n") / BLOCK_LINES).cast("int").alias("m"))
+    apart = buckets.join(saved(mixed, "mixed-buckets"), "band").join(named, "h1")
+    more = saved(cross_links(apart, similarity), "cross-links")
     if more.isEmpty():
         return roots
     return components(links.unionByName(more))
 
 
+def cross_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(a, b): links between lines of one bucket that are in different components.
+
+    ``rows`` are (band, m, node, root, line). A bucket is cut into ``m`` blocks of about
+    BLOCK_LINES lines, and every two blocks meet in a group of their own, so no
+    group grows with its bucket; pairs are compared there and never leave the task."""
+    block = F.pmod(F.xxhash64("node", F.lit(7)), F.col("m")).cast("int")
+    each = rows.withColumn("mine", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+    dealt = each.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "line")
+
+    def compared(group):
+        """group: (mine, node, root, line) rows, i and j alike."""
+        apart = len({g[0] for g in group}) > 1  # two blocks: only across them
+        sets = [shingles(g[3]) for g in group]
+        parent = {g[2]: g[2] for g in group}
+
+        def top(r):
+            while parent[r] != r:
+                parent[r] = r = parent[parent[r]]
+            return r
+
+        order = sorted(range(len(group)), key=lambda x: len(sets[x]))
+        for n, x in enumerate(order):
+            for y in order[n + 1:]:
+                small, large = len(sets[x]), len(sets[y])
+                if small < similarity * large:
+                    break
+                if apart and group[x][0] == group[y][0]:
+                    continue
+                u, v = top(group[x][2]), top(group[y][2])
+                if u != v:
+                    both = len(sets[x] & sets[y])
+                    if both >= similarity * (small + large - both):
+                        parent[u] = v
+                        yield group[x][1], group[y][1]
+
+    def run(batches):
+        key, group = None, []
+        for batch in batches:
+            found = []
+            for band, i, j, mine, node, root, line in zip(*(c.to_pylist() for c in batch.columns)):
+                if (band, i, j) != key:
+                    found += compared(group)
+                    key, group = (band, i, j), []
+                group.append((mine, node, root, line))
+            yield _links_batch(found)
+        yield _links_batch(list(compared(group)))
+
+    def _links_batch(found):
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], _NODE) for k in (0, 1)], names=["a", "b"])
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    node = "struct<h1: bigint, h2: bigint>"
+    return dealt.repartition(n, "band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, f"a {node}, b {node}").distinct()
+
+
 def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS,
                   similarity: float = SIMILARITY) -> DataFrame:
     """(id, k1, k2, drop): for every document that loses lines, their places."""

@@ -80,6 +80,24 @@ def test_large_group_of_near_copies(spark):
     assert got[0] == rows[0][1] and all(not got[i] for i in range(1, 300))
 
 
+def test_lines_left_apart_by_the_stars_are_compared_in_blocks(spark, monkeypatch):
+    """Variants of one line, most pairs below the threshold: the same components for any block size."""
+    rng = random.Random(6)
+    words = [f"word{i}" for i in range(40)]
+    rows = []
+    for i in range(120):
+        w = list(words)
+        for at in rng.sample(range(40), rng.choice([1, 3, 5])):
+            w[at] = f"o{rng.randrange(10 ** 6)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = dict(zip(range(120), brute(rows)))
+    for size in (2000, 25):
+        monkeypatch.setattr(lines, "BLOCK_LINES", size)
+        got = {r.doc_id: r.text for r in lines.deduplicate(df).collect()}
+        assert sum(got[i] != want[i] for i in want) <= 2
+
+
 def test_signatures_do_not_depend_on_grouping(monkeypatch):
     texts = [lines.normal(t) for _, t in _corpus(random.Random(9))]
     whole = lines.signatures(texts)
