@@ -13,7 +13,7 @@ a line repeated inside a batch emits its bands once), once for the texts of
 candidate lines only, once to drop lines. Bands shuffle as two numbers a row and
 are read as a sorted stream that lets through buckets of two lines or more.
 Pairs are not emitted within a bucket: first every line meets the bucket's smallest
-and greatest line, which joins a group of copies at the cost of its size; then
+line, which joins a group of copies at the cost of its size; then
 lines of one bucket that are still in different components are compared inside
 tasks, in blocks of bounded size, and only links leave the task, so no link between
 different components is lost. Sides measured to be small are broadcast; others shuffle.
@@ -228,18 +228,13 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
     return both.mapInArrow(run, f"a {node}, b {node}")
 
 
-def _pairs(a, b) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
 def line_components(docs: DataFrame, text: str, table: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root): the component of every line with a near-duplicate."""
     emitted = table.filter(F.size("bands") > 0).select(F.explode("bands").alias("band"), "h1")
     buckets = saved(shared_buckets(emitted), "buckets")
     texts = candidate_texts(docs, text, table, buckets)
-    ends = buckets.groupBy("band").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
-    met = buckets.join(ends, "band").select("h1", F.explode(F.array("lo", "hi")).alias("end"))
-    stars = saved(met.filter("h1 <> end").select(*_pairs("h1", "end")).distinct(), "star-pairs")
+    ends = buckets.groupBy("band").agg(F.min("h1").alias("a"))
+    stars = buckets.join(ends, "band").filter("h1 <> a").select("a", F.col("h1").alias("b")).distinct()
     links = saved(verified(stars, texts, similarity), "star-links")
     roots = components(links)
     # what the stars left apart: lines of one bucket in different components
@@ -337,11 +332,12 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cou
     keyed = inner.select("*", *text_key(body), F.col(key).isNull().alias("_n"),
                          F.coalesce(key, F.lit(0).cast(inner.schema[key].dataType)).alias("id"))
     marked = join_measured(keyed, goes, ["id", "_n", "k1", "k2"], "left", 64 + 8 * F.size("drop"))
-    marked = marked.withColumn("_l", F.split(body, "\n"))
+    marked = marked.withColumn("_l", F.when(F.col("drop").isNotNull(), F.split(body, "\n")))
     left = F.array_except(F.sequence(F.lit(0), F.size("_l") - 1), F.col("drop"))
     rest = F.when(F.col("drop").isNull(), F.col(body)).otherwise(F.array_join(F.transform(left, lambda i: F.get(F.col("_l"), i)), "\n"))
     out = [(rest if f"c{i}" == body else F.col(f"c{i}")).alias(n) for i, n in enumerate(names)]
     if counts:
-        out += [F.coalesce(F.size("_l"), F.lit(0)).cast("bigint").alias("n_lines"),
+        breaks = F.octet_length(body) - F.octet_length(F.translate(body, "\n", ""))
+        out += [F.coalesce(breaks + 1, F.lit(0)).cast("bigint").alias("n_lines"),
                 F.coalesce(F.size("drop"), F.lit(0)).cast("bigint").alias("n_dropped")]
     return marked.select(*out)
