@@ -34,7 +34,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS = 800_000
+CACHE_WORDS = 300_000
+#: Token pairs whose fit is remembered by a task.
+CACHE_PAIRS = 500_000
 SLICE_CHARS = 1 << 20
 _ASCII_SPACE = re.compile(r"[ \t\n\x0b\x0c\r]+")
 #: The tokenizer file's split pattern, spelled for printable characters below
@@ -105,7 +107,7 @@ class _Vocabulary:
                     r = self.rank.get((x, y))
                     if r is not None and r < x_taken and r <= y_taken:
                         got = False
-            if len(self.follows) > 2_000_000:
+            if len(self.follows) > CACHE_PAIRS:
                 self.follows.clear()
             self.follows[a, b] = got
         return got
@@ -190,7 +192,7 @@ _LOADED: dict[int, _Vocabulary] = {}
 
 
 def _vocabulary(content: str) -> _Vocabulary:
-    """One parsed vocabulary per worker process."""
+    """One parsed vocabulary per task."""
     key = hash(content)
     if key not in _LOADED:
         _LOADED.clear()
@@ -223,6 +225,12 @@ def encoder(content: str, text: int, out: str) -> Step:
     """Adds the token ids of the text in column number ``text`` as list<int32>."""
 
     def run(batches):
+        try:
+            yield from coded(batches)
+        finally:
+            _LOADED.clear()  # an idle worker keeps no words
+
+    def coded(batches):
         v = _vocabulary(content)
         for batch in batches:
             texts = batch.column(text).to_pylist()
@@ -235,11 +243,11 @@ def encoder(content: str, text: int, out: str) -> Step:
                 v.cache.clear()
                 new = {c for chunks in short if chunks for c in chunks}
             v.learn(new)
-            coded = [v.encode(chunks) if chunks else b"".join(v.encode(_chunks(s)) for s in _slices(t or ""))
-                     for t, chunks in zip(texts, short)]
+            packed = [v.encode(chunks) if chunks else b"".join(v.encode(_chunks(s)) for s in _slices(t or ""))
+                      for t, chunks in zip(texts, short)]
             offsets = np.zeros(len(texts) + 1, dtype=np.int32)
-            np.cumsum([len(c) // 4 for c in coded], out=offsets[1:])
-            flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(coded))])
+            np.cumsum([len(c) // 4 for c in packed], out=offsets[1:])
+            flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(packed))])
             yield _with_column(batch, out, pa.ListArray.from_arrays(pa.array(offsets), flat))
 
     return run
