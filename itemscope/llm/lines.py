@@ -45,8 +45,8 @@ MIN_CHARS = 32
 SHINGLE = 7
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
-#: Lines of a block in which the lines of a bucket are compared.
-BLOCK_LINES = 2000
+#: Characters of a block in which the lines of a bucket are compared (some 2000 lines).
+BLOCK_CHARS = 600_000
 #: Characters whose hashes are held at once.
 SIGNED_CHARS = 1 << 19
 
@@ -217,9 +217,20 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
     def run(batches):
         for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            sets = {x: shingles(x) for x in {*left, *right}}
-            ok = [similar(sets[a], sets[b], similarity) for a, b in zip(left, right)]
+            known: dict[str, set[str]] = {}
+            held = 0
+
+            def of(line):
+                nonlocal held
+                if line not in known:
+                    if held > SIGNED_CHARS:
+                        known.clear()
+                        held = 0
+                    known[line] = shingles(line)
+                    held += len(line)
+                return known[line]
+
+            ok = [similar(of(a), of(b), similarity) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             keep = batch.filter(pa.array(ok, pa.bool_()))
             yield pa.RecordBatch.from_arrays([keep.column(0), keep.column(1)], names=["a", "b"])
 
@@ -240,9 +251,9 @@ def line_components(docs: DataFrame, text: str, table: DataFrame, similarity: fl
     # what the stars left apart: lines of one bucket in different components
     named = texts.select("h1", F.struct("h1", "h2").alias("node"), "line").join(roots, "node", "left") \
         .withColumn("root", F.xxhash64(F.coalesce("root", "node")))
-    placed = buckets.join(named.select("h1", "root"), "h1")
-    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n")) \
-        .filter("x <> y").select("band", F.ceil(F.col("n") / BLOCK_LINES).cast("int").alias("m"))
+    placed = buckets.join(named.select("h1", "root", F.char_length("line").alias("n")), "h1")
+    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum("n").alias("n")) \
+        .filter("x <> y").select("band", F.ceil(F.col("n") / BLOCK_CHARS).cast("int").alias("m"))
     apart = buckets.join(saved(mixed, "mixed-buckets"), "band").join(named, "h1")
     more = saved(cross_links(apart, similarity), "cross-links")
     if more.isEmpty():
@@ -254,7 +265,7 @@ def cross_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(a, b): links between lines of one bucket that are in different components.
 
     ``rows`` are (band, m, node, root, line). A bucket is cut into ``m`` blocks of about
-    BLOCK_LINES lines, and every two blocks meet in a group of their own, so no
+    BLOCK_CHARS characters, and every two blocks meet in a group of their own, so no
     group grows with its bucket; pairs are compared there and never leave the task."""
     block = F.pmod(F.xxhash64("node", F.lit(7)), F.col("m")).cast("int")
     each = rows.withColumn("mine", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))

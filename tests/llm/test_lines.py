@@ -92,8 +92,8 @@ def test_lines_left_apart_by_the_stars_are_compared_in_blocks(spark, monkeypatch
         rows.append((i, " ".join(w)))
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     want = dict(zip(range(120), brute(rows)))
-    for size in (2000, 25):
-        monkeypatch.setattr(lines, "BLOCK_LINES", size)
+    for size in (600_000, 7_000):
+        monkeypatch.setattr(lines, "BLOCK_CHARS", size)
         got = {r.doc_id: r.text for r in lines.deduplicate(df).collect()}
         assert sum(got[i] != want[i] for i in want) <= 2
 
