@@ -1,9 +1,9 @@
 """Fuzzy line deduplication by MinHash.
 
-Lines are compared in lower case with white space collapsed; a line shorter than
-``min_chars`` is structure rather than content and always stays. Every line
-gets a MinHash signature of its character shingles, signatures are cut into
-bands, lines that share a band are candidates, every candidate pair is
+Lines are compared in lower case with white space collapsed. Every line with a word
+takes part, whatever its length: repeats go by an exact hash, and a line of at least one
+shingle also gets a MinHash signature of its character shingles. (``min_chars`` leaves
+shorter lines alone; it is off by default.) Signatures are cut into bands, lines that share a band are candidates, every candidate pair is
 verified by the exact Jaccard similarity of its shingle sets, and distributed
 union-find joins the links. Of every component (and of every exactly repeated
 line) the first line stays: that of the smallest doc_id, then place.
@@ -41,7 +41,8 @@ from pyspark.sql import types as T
 from itemscope.llm.common import join_measured, saved, text_key
 from itemscope.llm.graph import components
 
-MIN_CHARS = 32
+#: Characters of the shortest line looked at; 1 is every line with a word.
+MIN_CHARS = 1
 SHINGLE = 7
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
@@ -49,6 +50,8 @@ BANDS, ROWS = 10, 4
 BLOCK_CHARS = 600_000
 #: Characters whose hashes are held at once.
 SIGNED_CHARS = 1 << 19
+#: Lines a task holds before it hands their rows on.
+HELD_LINES = 1 << 16
 
 _NODE = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
 _ODD = np.random.default_rng(20).integers(1, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -71,6 +74,15 @@ def similar(x: set[str], y: set[str], at_least: float = SIMILARITY) -> bool:
     return both >= at_least * (len(x) + len(y) - both)
 
 
+def _split(text: str) -> Iterator[str]:
+    """The lines of a text, one at a time."""
+    lo = 0
+    while (hi := text.find("\n", lo)) >= 0:
+        yield text[lo:hi]
+        lo = hi + 1
+    yield text[lo:]
+
+
 def _groups(lines: list[str]) -> Iterator[list[str]]:
     group, size = [], 0
     for line in lines:
@@ -117,20 +129,35 @@ def bands(sig: np.ndarray) -> np.ndarray:
 
 
 def line_table(docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(k1, k2, id, at, h1, h2, bands): every line of content, its place and hashes;
+    """(k1, k2, id, at, h1, h2, bands): every line with a word, its place and hashes;
     the bands stand on the first of equal lines of a batch."""
     narrow = docs.select(*text_key(text), F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"))
 
+    least, held = max(1, min_chars), HELD_LINES
+
+    def rows_of(batch, rows, places, digests, first, unique):
+        """The rows of some lines; ``unique`` are the texts of those marked ``first``."""
+        signed = np.array([len(line) >= SHINGLE for line in unique], dtype=bool)
+        keys = bands(signatures([line for line, ok in zip(unique, signed) if ok]))
+        counts = np.zeros(len(rows), dtype=np.int32)
+        counts[np.array(first)] = signed * BANDS
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(keys.ravel()))
+        h = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+        take = pa.array(np.array(rows))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take), pa.array(places, pa.int32()),
+             pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), lists], names=["k1", "k2", "id", "at", "h1", "h2", "bands"])
+
     def run(batches):
         for batch in batches:
             rows, places, digests, first, unique = [], [], [], [], []
             seen: set[bytes] = set()
             for row, t in enumerate(batch.column(3)):
-                for at, line in enumerate((t.as_py() or "").split("\n")):
-                    if len(line) < min_chars:
+                for at, line in enumerate(_split(t.as_py() or "")):
+                    if len(line) < least:
                         continue
                     line = normal(line)
-                    if len(line) < min_chars:
+                    if len(line) < least:
                         continue
                     digest = xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass"))
                     rows.append(row)
@@ -140,17 +167,11 @@ def line_table(docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHA
                     if first[-1]:
                         seen.add(digest)
                         unique.append(line)
-            if not rows:
-                continue
-            keys = bands(signatures(unique))
-            h = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-            first = np.array(first)
-            offsets = np.concatenate([[0], np.cumsum(first * BANDS)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
-            take = pa.array(np.array(rows))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take), pa.array(places, pa.int32()),
-                 pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), lists], names=["k1", "k2", "id", "at", "h1", "h2", "bands"])
+                    if len(rows) >= held:
+                        yield rows_of(batch, rows, places, digests, first, unique)
+                        rows, places, digests, first, unique = [], [], [], [], []
+            if rows:
+                yield rows_of(batch, rows, places, digests, first, unique)
 
     schema = T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
                            T.StructField("id", docs.schema[doc_id].dataType), T.StructField("at", T.IntegerType()),

@@ -123,3 +123,23 @@ def test_query_against_brute_force(spark):
     got = {r.doc_id: r.text for r in QUERIES["op4_line_dedup"](spark, sf).collect()}
     differ = [i for i in want if got[i] != want[i]]
     assert len(got) == len(want) and len(differ) <= 2  # banding finds a pair at 0.8 with probability 0.995
+
+
+def test_short_lines_are_deduplicated_too(spark):
+    short = ["All rights reserved.", "Licensed under CC BY-NC 4.0.", "}", "ok"]
+    rows = [(1, "\n".join([*short, "", " "])), (2, "\n".join(["own line", *(x.upper() for x in short), "", " "])),
+            (3, "all  rights reserved.\nOK\nall rights reserved!")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in lines.deduplicate(df).collect()}
+    assert got == {1: rows[0][1], 2: "own line\n\n ", 3: ""}
+    floor = {r.doc_id: r.text for r in lines.deduplicate(df, min_chars=32).collect()}
+    assert floor == dict(rows)
+
+
+def test_lines_are_handed_on_in_parts(spark, monkeypatch):
+    rows = _corpus(random.Random(8))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    whole = sorted(lines.line_table(df, "doc_id", "text").drop("bands").collect())
+    assert len(whole) == sum(bool(x.strip()) for _, t in rows for x in t.split("\n"))
+    monkeypatch.setattr(lines, "HELD_LINES", 7)
+    assert sorted(lines.line_table(df, "doc_id", "text").drop("bands").collect()) == whole
