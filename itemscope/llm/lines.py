@@ -18,8 +18,11 @@ lines of one bucket that are still in different components are compared inside
 tasks, in blocks of bounded size, and only links leave the task, so no link between
 different components is lost. Sides measured to be small are broadcast; others shuffle.
 
-With 10 bands of 4 rows a pair at 0.8 similarity is a candidate with
-probability 0.995, at 0.9 with 0.99997.
+Two lines are near if their shingles of 7 characters reach the similarity, or, where
+both have at most 128 characters, those of 3: one changed character takes 7 of a short
+line's long shingles, and under 69 characters too few are left to reach 0.8. With 10
+bands of 4 rows (20 of 6 for the short shingles, which unrelated lines share more of) a
+pair at 0.8 similarity is a candidate with probability 0.995 (0.998), at 0.9 with 0.99997.
 
 Defined results: null stays null; an empty text stays; rows equal in
 doc_id and text are one document here and stay equal; a document may end
@@ -44,8 +47,11 @@ from itemscope.llm.graph import components
 #: Characters of the shortest line looked at; 1 is every line with a word.
 MIN_CHARS = 1
 SHINGLE = 7
+#: Lines of at most SHORT_CHARS are compared by short shingles as well.
+SHORT_SHINGLE, SHORT_CHARS = 3, 128
 SIMILARITY = 0.8
 BANDS, ROWS = 10, 4
+SHORT_BANDS, SHORT_ROWS = 20, 6
 #: Characters of a block in which the lines of a bucket are compared (some 2000 lines).
 BLOCK_CHARS = 600_000
 #: Characters whose hashes are held at once.
@@ -54,8 +60,8 @@ SIGNED_CHARS = 1 << 19
 HELD_LINES = 1 << 16
 
 _NODE = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
-_ODD = np.random.default_rng(20).integers(1, 1 << 31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_FLIP = np.random.default_rng(21).integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
+_ODD = np.random.default_rng(20).integers(1, 1 << 31, max(BANDS * ROWS, SHORT_BANDS * SHORT_ROWS), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_FLIP = np.random.default_rng(21).integers(0, 1 << 32, len(_ODD), dtype=np.uint32)
 
 
 def normal(line: str) -> str:
@@ -74,6 +80,12 @@ def similar(x: set[str], y: set[str], at_least: float = SIMILARITY) -> bool:
     return both >= at_least * (len(x) + len(y) - both)
 
 
+def near(a: str, b: str, at_least: float = SIMILARITY) -> bool:
+    """True if two normal lines reach the similarity by a kind of shingle that both have."""
+    return similar(shingles(a), shingles(b), at_least) or max(len(a), len(b)) <= SHORT_CHARS \
+        and similar(shingles(a, SHORT_SHINGLE), shingles(b, SHORT_SHINGLE), at_least)
+
+
 def _split(text: str) -> Iterator[str]:
     """The lines of a text, one at a time."""
     lo = 0
@@ -95,8 +107,8 @@ def _groups(lines: list[str]) -> Iterator[list[str]]:
         yield group
 
 
-def signatures(lines: list[str], n: int = SHINGLE) -> np.ndarray:
-    """MinHash signatures (len(lines) x BANDS * ROWS) of normal lines of n or more characters."""
+def signatures(lines: list[str], n: int = SHINGLE, size: int = BANDS * ROWS) -> np.ndarray:
+    """MinHash signatures (len(lines) x size) of normal lines of n or more characters."""
     out = []
     for group in _groups(lines):
         chars = np.frombuffer("".join(group).encode("utf-32-le"), dtype=np.uint32)
@@ -111,23 +123,36 @@ def signatures(lines: list[str], n: int = SHINGLE) -> np.ndarray:
         h ^= h >> np.uint32(13)
         # a line's shingles are [start, end - n + 1); what lies between two lines is cut out
         cuts = np.stack([starts, ends - n + 1], axis=1).ravel()[:-1]
-        sig = np.empty((len(group), len(_ODD)), dtype=np.uint32)
-        for j, (odd, flip) in enumerate(zip(_ODD, _FLIP)):
+        sig = np.empty((len(group), size), dtype=np.uint32)
+        for j, (odd, flip) in enumerate(zip(_ODD[:size], _FLIP[:size])):
             sig[:, j] = np.minimum.reduceat((h ^ flip) * odd, cuts)[::2]
         out.append(sig)
-    return np.concatenate(out) if out else np.zeros((0, len(_ODD)), dtype=np.uint32)
+    return np.concatenate(out) if out else np.zeros((0, size), dtype=np.uint32)
 
 
-def bands(sig: np.ndarray) -> np.ndarray:
+def bands(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """One 64-bit key per band, different for different bands."""
-    parts = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
-    key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (len(sig), BANDS)).copy()
-    for i in range(ROWS):
+    count = sig.shape[1] // rows
+    parts = sig.reshape(len(sig), count, rows).astype(np.uint64)
+    key = np.broadcast_to(np.arange(1, count + 1, dtype=np.uint64), (len(sig), count)).copy()
+    for i in range(rows):
         key = (key ^ parts[:, :, i]) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(32)
     return key.view(np.int64)
 
 
+def line_bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The band keys of all lines in a row, and how many are each line's; keys of short shingles are odd."""
+    n = np.array([len(line) for line in lines])
+    usual, short = n >= SHINGLE, (n >= SHORT_SHINGLE) & (n <= SHORT_CHARS)
+    keys = np.zeros((len(lines), BANDS + SHORT_BANDS), dtype=np.int64)
+    pick = lambda mask: [line for line, ok in zip(lines, mask) if ok]
+    keys[usual, :BANDS] = bands(signatures(pick(usual))) & ~1
+    keys[short, BANDS:] = bands(signatures(pick(short), SHORT_SHINGLE, SHORT_BANDS * SHORT_ROWS), SHORT_ROWS) | 1
+    given = np.repeat(np.stack([usual, short], axis=1), [BANDS, SHORT_BANDS], axis=1)
+    return keys[given], given.sum(axis=1)
+
+
 def line_table(docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHARS) -> DataFrame:
     """(k1, k2, id, at, h1, h2, bands): every line with a word, its place and hashes;
     the bands stand on the first of equal lines of a batch."""
@@ -137,11 +162,9 @@ def line_table(docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHA
 
     def rows_of(batch, rows, places, digests, first, unique):
         """The rows of some lines; ``unique`` are the texts of those marked ``first``."""
-        signed = np.array([len(line) >= SHINGLE for line in unique], dtype=bool)
-        keys = bands(signatures([line for line, ok in zip(unique, signed) if ok]))
         counts = np.zeros(len(rows), dtype=np.int32)
-        counts[np.array(first)] = signed * BANDS
-        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(keys.ravel()))
+        keys, counts[np.array(first)] = line_bands(unique)
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(keys))
         h = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
         take = pa.array(np.array(rows))
         return pa.RecordBatch.from_arrays(
@@ -238,20 +261,22 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
     def run(batches):
         for batch in batches:
-            known: dict[str, set[str]] = {}
+            known: dict[tuple[str, int], set[str]] = {}
             held = 0
 
-            def of(line):
+            def of(line, n):
                 nonlocal held
-                if line not in known:
+                if (line, n) not in known:
                     if held > SIGNED_CHARS:
                         known.clear()
                         held = 0
-                    known[line] = shingles(line)
+                    known[line, n] = shingles(line, n)
                     held += len(line)
-                return known[line]
+                return known[line, n]
 
-            ok = [similar(of(a), of(b), similarity) for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            kinds = lambda a, b: (SHINGLE, SHORT_SHINGLE) if max(len(a), len(b)) <= SHORT_CHARS else (SHINGLE,)
+            ok = [any(similar(of(a, n), of(b, n), similarity) for n in kinds(a, b))
+                  for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
             keep = batch.filter(pa.array(ok, pa.bool_()))
             yield pa.RecordBatch.from_arrays([keep.column(0), keep.column(1)], names=["a", "b"])
 
@@ -292,10 +317,10 @@ def cross_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     each = rows.withColumn("mine", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     dealt = each.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "line")
 
-    def compared(group):
-        """group: (mine, node, root, line) rows, i and j alike."""
+    def compared(group, n):
+        """group: (mine, node, root, line) rows, band, i and j alike; n: the shingles of the band."""
         apart = len({g[0] for g in group}) > 1  # two blocks: only across them
-        sets = [shingles(g[3]) for g in group]
+        sets = [shingles(g[3], n) for g in group]
         parent = {g[2]: g[2] for g in group}
 
         def top(r):
@@ -304,8 +329,8 @@ def cross_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             return r
 
         order = sorted(range(len(group)), key=lambda x: len(sets[x]))
-        for n, x in enumerate(order):
-            for y in order[n + 1:]:
+        for at, x in enumerate(order):
+            for y in order[at + 1:]:
                 small, large = len(sets[x]), len(sets[y])
                 if small < similarity * large:
                     break
@@ -319,16 +344,17 @@ def cross_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                         yield group[x][1], group[y][1]
 
     def run(batches):
-        key, group = None, []
+        key, group = (0, 0, 0), []
+        of = lambda key: SHORT_SHINGLE if key[0] & 1 else SHINGLE
         for batch in batches:
             found = []
             for band, i, j, mine, node, root, line in zip(*(c.to_pylist() for c in batch.columns)):
                 if (band, i, j) != key:
-                    found += compared(group)
+                    found += compared(group, of(key))
                     key, group = (band, i, j), []
                 group.append((mine, node, root, line))
             yield _links_batch(found)
-        yield _links_batch(list(compared(group)))
+        yield _links_batch(list(compared(group, of(key))))
 
     def _links_batch(found):
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], _NODE) for k in (0, 1)], names=["a", "b"])

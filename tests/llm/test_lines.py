@@ -143,3 +143,30 @@ def test_lines_are_handed_on_in_parts(spark, monkeypatch):
     assert len(whole) == sum(bool(x.strip()) for _, t in rows for x in t.split("\n"))
     monkeypatch.setattr(lines, "HELD_LINES", 7)
     assert sorted(lines.line_table(df, "doc_id", "text").drop("bands").collect()) == whole
+
+
+def test_one_character_edits_of_short_lines_are_joined(spark):
+    rng = random.Random(12)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmno ") for _ in range(n - 2))
+    base = ["x" + letters(n) + "y" for n in range(32, 140, 3)]
+    edited = [x[:len(x) // 2] + "#" + x[len(x) // 2 + 1:] for x in base]
+    assert all(lines.near(lines.normal(x), lines.normal(y)) for x, y in zip(base, edited))
+    assert not lines.near(lines.normal(base[0]), lines.normal(base[1]))
+    df = spark.createDataFrame([(1, "\n".join(base)), (2, "\n".join(edited))], "doc_id bigint, text string")
+    got = {r.doc_id: r.text for r in lines.deduplicate(df).collect()}
+    assert got[1] == "\n".join(base) and not got[2]
+
+
+def test_bands_find_the_near_pairs_of_short_lines():
+    rng = random.Random(14)
+    found = total = 0
+    for _ in range(3000):
+        x = lines.normal("".join(rng.choice("abcdefgh ") for _ in range(rng.randint(8, 90))))
+        y = list(x)
+        y[rng.randrange(len(y))] = rng.choice("abcdefgh")
+        y = lines.normal("".join(y))
+        if x != y and lines.near(x, y):
+            keys, (n, _) = lines.line_bands([x, y])
+            total += 1
+            found += bool({*keys[:n]} & {*keys[n:]})
+    assert total > 1000 and found >= 0.98 * total
