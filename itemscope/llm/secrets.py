@@ -15,6 +15,12 @@ candidate has been decoded and its structure holds:
 ``wrapped`` base64 or hexadecimal text that decodes to printable text which itself
           holds an access key, a confirmed token or a confirmed key block
 
+Candidates are runs of 27 base64 characters (an access key, without padding) or 40
+hexadecimal digits and more; lines of equal width, the last one shorter, are joined
+before decoding (their breaks and indents are part of the span; the body of a reported
+``pem`` is not reported again); a base64 run is also tried from behind each of its
+separators ``/ - _ +``.
+
 Spans are (kind, start, end) in code points, end exclusive, ordered by start, then
 kind in the order of ``KINDS``; of one kind they are leftmost and do not overlap.
 
@@ -46,8 +52,14 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])e[w-z][A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 _PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,4}PRIVATE KEY)-----\s*((?:[A-Za-z-]+: [^\n]*\n)*)([A-Za-z0-9+/=\s]+)-----END \1-----")
-_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
-_ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){24,}(?![0-9A-Fa-f])")
+_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{27,}={0,2}")
+_ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){20,}(?![0-9A-Fa-f])")
+_FOLDED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+(?:(?:\r?\n[ \t]*)?=){0,2}")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+#: Usual line widths of folded text, for a block of two lines glued to the text before it.
+_WIDTHS = (60, 64, 70, 72, 76)
+_SEPARATOR = re.compile(r"[+/_-]")
+_UNPRINTABLE = re.compile(rb"[^\x20-\x7e\r\n\t]")
 _CREDENTIAL_WORDS = ("passw", "secret", "token", "api")
 
 INTEGER, BITS, OCTETS, OID, SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
@@ -185,13 +197,85 @@ def _is_wrapper(data: bytes) -> bool:
         or any(is_block(m[2], m[3]) for m in _PEM.finditer(text))
 
 
+def _kind(data: bytes | None) -> str | None:
+    if not data:
+        return None
+    return "key" if is_key(data) else "wrapped" if _is_wrapper(data) else None
+
+
 def _decoded(pattern: re.Pattern, decode, text: str, spans: list) -> None:
     for m in pattern.finditer(text):
-        data = decode(m[0])
-        if data:
-            kind = "key" if is_key(data) else "wrapped" if _is_wrapper(data) else None
-            if kind:
-                spans.append((kind, m.start(), m.end()))
+        kind = _kind(decode(m[0]))
+        if kind:
+            spans.append((kind, m.start(), m.end()))
+        elif decode is from_base64:
+            spans += [(kind, m.start() + at, m.end()) for kind, at in _behind_separators(m[0])]
+
+
+def _may_be_key(run: str, at: int, size: int) -> bool:
+    """Whether the base64 text run[at:size] starts as a key: DER of just that length, or OpenSSH."""
+    if run.startswith("b3BlbnNzaC1rZXktdjE", at):
+        return True
+    head = from_base64(run[at:at + 8]) if run[at] == "M" and size - at >= 20 else None
+    if not head:
+        return False
+    n = head[1] & 0x7F if head[1] & 0x80 else 0
+    return n <= 4 and 2 + n + (int.from_bytes(head[2:2 + n], "big") if n else head[1]) == (size - at) * 3 // 4
+
+
+def _behind_separators(run: str) -> list[tuple[str, int]]:
+    """(kind, place): what the rest of a base64 run behind one of its separators decodes to.
+
+    The rest is decoded only where it starts as a key or, of the places alike modulo 4,
+    at the first from which all is printable: linear in the run."""
+    size = len(run.rstrip("="))
+    starts = [m.end() for m in _SEPARATOR.finditer(run, 0, size) if size - m.end() >= 27]
+    out, clean = [], {}
+    for at in starts:
+        if _may_be_key(run, at, size) and _kind(from_base64(run[at:])) == "key":
+            out.append(("key", at))
+        if at % 4 not in clean:
+            data = from_base64(run[at:])
+            bad = [m.end() for m in _UNPRINTABLE.finditer(data)] if data else []
+            clean[at % 4] = (at + (bad[-1] + 2) // 3 * 4 if bad else at) if data else size
+        if at >= clean[at % 4]:
+            clean[at % 4] = size
+            if _kind(from_base64(run[at:])) == "wrapped":
+                out.append(("wrapped", at))
+    return out
+
+
+def _unfolded(text: str, inside: list[tuple[str, int, int]], spans: list) -> None:
+    """Spans of base64 or hexadecimal text folded into lines of one width."""
+    for m in _FOLDED.finditer(text):
+        if any(a <= m.start() and m.end() <= b for _, a, b in inside):
+            continue
+        runs = [r.span() for r in _RUN.finditer(text, m.start(), m.end())]
+        width = [b - a for a, b in runs]
+        i = 0
+        while i + 1 < len(runs):
+            j = i + 1
+            while j < len(runs) and width[j] == width[i + 1]:
+                j += 1
+            # runs[i + 1:j] are of one width; the first line may be glued to the text before it
+            full = width[i + 1]
+            lasts = [j] + ([j + 1] if j < len(runs) and width[j] < full else [])
+            firsts = {runs[i][0], runs[i][1] - full} if width[i] >= full else set()
+            if j == i + 2 and width[i] > full:  # one full line, maybe glued, and the rest
+                both = text[slice(*runs[i])] + text[slice(*runs[i + 1])]
+                cuts = [x.end() for x in _SEPARATOR.finditer(both, 0, width[i])]
+                firsts |= {runs[i][0] + c for n, c in enumerate(cuts) if n + 1 == len(cuts) or _may_be_key(both, c, len(both))}
+                firsts |= {runs[i][1] - w for w in _WIDTHS if width[i] >= w}
+            for last in lasts:
+                end = m.end() if last == len(runs) else runs[last - 1][1]
+                for first in firsts:
+                    body = text[first:runs[i][1]] + "".join([text[a:b] for a, b in runs[i + 1:last]])
+                    kind = _kind(from_base64(body)) if len(body) >= 27 else None
+                    if not kind and len(body) >= 40 and len(body) % 2 == 0 and _ANY_HEX.fullmatch(body):
+                        kind = _kind(bytes.fromhex(body))
+                    if kind:
+                        spans.append((kind, first, end))
+            i = j - 1 if j > i + 1 and width[i] != full else j
 
 
 def scan(text: str | None) -> list[tuple[str, int, int]]:
@@ -211,6 +295,7 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
     found: list[tuple[str, int, int]] = []
     _decoded(_BASE64, from_base64, text, found)
     _decoded(_ANY_HEX, bytes.fromhex, text, found)
+    _unfolded(text, [x for x in spans if x[0] == "pem"], found)
     spans += _apart(found)
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

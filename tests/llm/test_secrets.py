@@ -112,3 +112,33 @@ def test_edge_rows_and_query(spark):
         base = brute_base(docs[r.doc_id])
         assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == x for k, _, _ in base) for x in secrets.BASE_KINDS)
+
+
+def test_access_key_wrapped_on_its_own():
+    key = b"AKIA" + b"Z9" * 8
+    for wrapped in (base64.b64encode(key).decode(), base64.b64encode(key).decode().rstrip("="), key.hex()):
+        assert ("wrapped", wrapped) in kinds(f"see {wrapped} ok"), wrapped
+
+
+def test_folded_text_is_joined():
+    def fold(x, n, indent=""):
+        return ("\n" + indent).join(x[i:i + n] for i in range(0, len(x), n))
+    inner = pem("RSA PRIVATE KEY", PKCS1).encode()
+    for n in (64, 76, 70):
+        for data, kind in ((PKCS1, "key"), (PKCS8, "key"), (SEC1, "key"), (OPENSSH, "key"), (inner, "wrapped")):
+            for plain in (base64.b64encode(data).decode(), data.hex()):
+                for indent in ("", "  "):
+                    block = fold(plain, n, indent)
+                    for text in (f"say:\n{indent}{block}\nend of it", f"data: {block}", f"k/{block}"):
+                        assert (kind, block) in kinds(text), (n, kind, text)
+    assert [k for k, _ in kinds(pem("RSA PRIVATE KEY", PKCS1))] == ["pem"]
+    assert kinds(fold(base64.b64encode(PKCS1[:-3]).decode(), 64)) == []
+
+
+def test_keys_behind_a_separator():
+    for data in (PKCS1, PKCS8, SEC1, OPENSSH):
+        plain = base64.b64encode(data).decode()
+        for before in ("path/to/", "a-", "my_key_", "x+"):
+            assert ("key", plain) in kinds(f"see {before}{plain} ok"), before
+    wrapped = base64.b64encode(b"aws AKIA" + b"Z9" * 8 + b" x").decode()
+    assert ("wrapped", wrapped) in kinds(f"see v1/{wrapped}")
