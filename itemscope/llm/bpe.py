@@ -2,9 +2,9 @@
 
 A task collects the distinct words of a batch of documents and visits them in
 sorted order, which is a depth-first walk of their trie. For every prefix it
-keeps the last token of the prefix's encoding and the encoding itself; a word
-goes on from the prefix it shares with the word before, so shared prefixes are
-encoded once. A prefix's last token is the one vocabulary entry ``t`` ending
+keeps the last token of the prefix's encoding; a word goes on from the prefix it
+shares with the word before, so shared prefixes are encoded once, and its
+encoding is read backwards from its last token, so memory is linear in its length. A prefix's last token is the one vocabulary entry ``t`` ending
 there that may stand after the last token of what precedes ``t``. Two tokens
 may stand side by side unless the merges would join across their border before
 their own merges are through (``_Vocabulary.may_follow``).
@@ -128,7 +128,6 @@ class _Vocabulary:
         packed, end, longest, may_follow, follows = self.packed, self.end, self.longest, self.may_follow, self.follows
         out: dict[str, bytes] = {}
         last: list[str] = [""]       # by prefix length: the last token of the prefix's encoding
-        codes: list[bytes] = [b""]   # and its encoding
         before = ""
         for word in sorted(words):
             n = len(word)
@@ -136,7 +135,7 @@ class _Vocabulary:
             shared = 0
             while shared + 1 < known and before[shared] == word[shared]:
                 shared += 1
-            del last[shared + 1:], codes[shared + 1:]
+            del last[shared + 1:]
             for stop in range(shared + 1, n + 1):
                 tail = end if stop == n else ""
                 grown = stop - 1 - len(last[stop - 1])
@@ -152,10 +151,13 @@ class _Vocabulary:
                             if not fits:
                                 continue
                         if tail:
-                            out[word] = codes[start] + code
+                            parts = [code]
+                            while start:
+                                parts.append(packed[last[start]])
+                                start -= len(last[start])
+                            out[word] = b"".join(parts[::-1])
                         else:
                             last.append(token)
-                            codes.append(codes[start] + code)
                         break
             before = word
         return out

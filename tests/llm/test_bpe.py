@@ -66,3 +66,20 @@ def test_decode_alone_and_empty_table(spark, library):
     got = {r.k: r.decoded for r in bpe.decode(df, PATH).collect()}
     assert got == {1: library.decode([1, 2, 49407], skip_special_tokens=False), 2: "", 3: ""}
     assert bpe.apply(spark.createDataFrame([], "doc_id bigint, text string"), PATH).count() == 0
+
+
+def test_memory_is_linear_in_a_word(library):
+    import random
+    import tracemalloc
+
+    rng = random.Random(3)
+    word = "".join(rng.choice("etaoinshrdlu") for _ in range(20000))
+    v = bpe._vocabulary(bpe._read(PATH))
+    tracemalloc.start()
+    try:
+        packed = v.walk([word])[word]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [int.from_bytes(packed[i:i + 4], "little") for i in range(0, len(packed), 4)] == library.encode(word, add_special_tokens=False).ids
+    assert peak < 30_000_000
