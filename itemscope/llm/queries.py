@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from itemscope.llm import bpe, lines, pii, prefixes, quality, repair, secrets, sharding, simhash, toxicity, warc, winnowing
+from itemscope.llm import bpe, lines, packing, pii, prefixes, quality, repair, secrets, sharding, simhash, toxicity, warc, winnowing
 from itemscope.llm.common import ready, saved, shared_path, text_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,6 +227,14 @@ def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(docs, PII_KEY, counts="n_replaced").select("doc_id", "n_replaced", "text")
 
 
+# --- 11 best-fit packing ---------------------------------------------------------------------
+
+@query
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece's place in a sequence of 2048 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 # --- 12 conversation prefix trie ------------------------------------------------------------
 
 #: Unsigned CRC-32 of the ASCII string ``{0}`` in SQL, bit by bit.
