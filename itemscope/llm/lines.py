@@ -18,11 +18,12 @@ lines of one bucket that are still in different components are compared inside
 tasks, in blocks of bounded size, and only links leave the task, so no link between
 different components is lost. Sides measured to be small are broadcast; others shuffle.
 
-Two lines are near if their shingles of 7 characters reach the similarity, or, where
-both have at most 128 characters, those of 3: one changed character takes 7 of a short
-line's long shingles, and under 69 characters too few are left to reach 0.8. With 10
-bands of 4 rows (20 of 6 for the short shingles, which unrelated lines share more of) a
-pair at 0.8 similarity is a candidate with probability 0.995 (0.998), at 0.9 with 0.99997.
+Two lines are near if the sets of their shingles of 5 characters reach the similarity, whatever
+their lengths (a line shorter than a shingle is one shingle). Lines of one language share few
+shingles of 5, so the bands meet few unrelated lines; one changed character leaves a
+line of 49 characters or more at 0.8. With 20 bands of 6 rows a pair at 0.8 is a candidate with
+probability 0.998, at 0.9 with 0.99999. Signatures take one hash a shingle: it falls into one of 120 bins, the least of a bin is
+its row, and an empty bin borrows from another by a fixed order, equal for all lines.
 
 Defined results: null stays null; an empty text stays; rows equal in
 doc_id and text are one document here and stay equal; a document may end
@@ -46,12 +47,9 @@ from itemscope.llm.graph import components
 
 #: Characters of the shortest line looked at; 1 is every line with a word.
 MIN_CHARS = 1
-SHINGLE = 7
-#: Lines of at most SHORT_CHARS are compared by short shingles as well.
-SHORT_SHINGLE, SHORT_CHARS = 3, 128
+SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 10, 4
-SHORT_BANDS, SHORT_ROWS = 20, 6
+BANDS, ROWS = 20, 6
 #: Characters of a block in which the lines of a bucket are compared (some 2000 lines).
 BLOCK_CHARS = 600_000
 #: Characters whose hashes are held at once.
@@ -60,8 +58,9 @@ SIGNED_CHARS = 1 << 19
 HELD_LINES = 1 << 16
 
 _NODE = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
-_ODD = np.random.default_rng(20).integers(1, 1 << 31, max(BANDS * ROWS, SHORT_BANDS * SHORT_ROWS), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_FLIP = np.random.default_rng(21).integers(0, 1 << 32, len(_ODD), dtype=np.uint32)
+_EMPTY = np.uint32(0xFFFFFFFF)
+#: Where an empty bin looks for a value, try by try; then it takes the line's least.
+_BORROW = np.random.default_rng(20).integers(0, BANDS * ROWS, (24, BANDS * ROWS))
 
 
 def normal(line: str) -> str:
@@ -72,18 +71,41 @@ def shingles(line: str, n: int = SHINGLE) -> set[str]:
     return {line[i:i + n] for i in range(max(1, len(line) - n + 1))}
 
 
-def similar(x: set[str], y: set[str], at_least: float = SIMILARITY) -> bool:
+def hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles of all lines in a row, and where each line's start and end.
+    A line shorter than a shingle is filled up with null characters."""
+    lines = [x if len(x) >= SHINGLE else x.ljust(SHINGLE, "\0") for x in lines]
+    chars = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+    ends = np.cumsum([len(x) for x in lines])
+    starts = ends - [len(x) for x in lines]
+    count = max(0, len(chars) - SHINGLE + 1)
+    h = np.full(count, 0x9747B28C, dtype=np.uint64)
+    for i in range(SHINGLE):
+        h = (h ^ chars[i:i + count]) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+    return h, starts, ends - SHINGLE + 1
+
+
+def shingle_arrays(lines: list[str]) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of every line."""
+    h, starts, ends = hashed(lines)
+    return [np.unique(h[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+
+
+def similar(x: np.ndarray, y: np.ndarray, at_least: float = SIMILARITY) -> bool:
     """Exact Jaccard similarity of two shingle sets against the threshold."""
-    if min(len(x), len(y)) < at_least * max(len(x), len(y)):
+    small, large = sorted((len(x), len(y)))
+    if small < at_least * large:
         return False
-    both = len(x & y)
-    return both >= at_least * (len(x) + len(y) - both)
+    z = np.concatenate([x, y])
+    z.sort()
+    both = int(np.count_nonzero(z[1:] == z[:-1]))
+    return both >= at_least * (small + large - both)
 
 
 def near(a: str, b: str, at_least: float = SIMILARITY) -> bool:
-    """True if two normal lines reach the similarity by a kind of shingle that both have."""
-    return similar(shingles(a), shingles(b), at_least) or max(len(a), len(b)) <= SHORT_CHARS \
-        and similar(shingles(a, SHORT_SHINGLE), shingles(b, SHORT_SHINGLE), at_least)
+    """True if two normal lines reach the similarity."""
+    return similar(*shingle_arrays([a, b]), at_least)
 
 
 def _split(text: str) -> Iterator[str]:
@@ -107,25 +129,28 @@ def _groups(lines: list[str]) -> Iterator[list[str]]:
         yield group
 
 
-def signatures(lines: list[str], n: int = SHINGLE, size: int = BANDS * ROWS) -> np.ndarray:
-    """MinHash signatures (len(lines) x size) of normal lines of n or more characters."""
-    out = []
+def signatures(lines: list[str]) -> np.ndarray:
+    """MinHash signatures (len(lines) x BANDS * ROWS) of normal lines, by one hash a shingle."""
+    out, size = [], BANDS * ROWS
     for group in _groups(lines):
-        chars = np.frombuffer("".join(group).encode("utf-32-le"), dtype=np.uint32)
-        ends = np.cumsum([len(x) for x in group])
-        starts = ends - [len(x) for x in group]
-        count = len(chars) - n + 1
-        h = np.full(count, 0x9747B28C, dtype=np.uint32)
-        for i in range(n):
-            h = (h ^ chars[i:i + count]) * np.uint32(0x01000193)
-            h ^= h >> np.uint32(15)
-        h *= np.uint32(0x85EBCA6B)
-        h ^= h >> np.uint32(13)
-        # a line's shingles are [start, end - n + 1); what lies between two lines is cut out
-        cuts = np.stack([starts, ends - n + 1], axis=1).ravel()[:-1]
-        sig = np.empty((len(group), size), dtype=np.uint32)
-        for j, (odd, flip) in enumerate(zip(_ODD[:size], _FLIP[:size])):
-            sig[:, j] = np.minimum.reduceat((h ^ flip) * odd, cuts)[::2]
+        h, starts, ends = hashed(group)
+        # shingles that reach over a line's end go to a row of their own
+        owner = np.full(len(h), len(group))
+        counts = ends - starts
+        inside = np.repeat(starts - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
+        owner[inside] = np.repeat(np.arange(len(group)), counts)
+        bins = ((h & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+        sig = np.full((len(group) + 1, size), _EMPTY, dtype=np.uint32)
+        np.minimum.at(sig.reshape(-1), owner * size + bins, (h >> np.uint64(32)).astype(np.uint32))
+        sig = sig[:-1]
+        first = sig.copy()
+        for order in _BORROW:
+            row, col = np.nonzero(sig == _EMPTY)
+            if not len(row):
+                break
+            sig[row, col] = first[row, order[col]]
+        row, col = np.nonzero(sig == _EMPTY)
+        sig[row, col] = first.min(axis=1)[row]
         out.append(sig)
     return np.concatenate(out) if out else np.zeros((0, size), dtype=np.uint32)
 
@@ -142,15 +167,10 @@ def bands(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def line_bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The band keys of all lines in a row, and how many are each line's; keys of short shingles are odd."""
-    n = np.array([len(line) for line in lines])
-    usual, short = n >= SHINGLE, (n >= SHORT_SHINGLE) & (n <= SHORT_CHARS)
-    keys = np.zeros((len(lines), BANDS + SHORT_BANDS), dtype=np.int64)
-    pick = lambda mask: [line for line, ok in zip(lines, mask) if ok]
-    keys[usual, :BANDS] = bands(signatures(pick(usual))) & ~1
-    keys[short, BANDS:] = bands(signatures(pick(short), SHORT_SHINGLE, SHORT_BANDS * SHORT_ROWS), SHORT_ROWS) | 1
-    given = np.repeat(np.stack([usual, short], axis=1), [BANDS, SHORT_BANDS], axis=1)
-    return keys[given], given.sum(axis=1)
+    """The band keys of all lines in a row, and how many are each line's: none, if it is shorter than a shingle."""
+    given = np.array([len(line) >= SHINGLE for line in lines], dtype=bool)
+    keys = bands(signatures([line for line, ok in zip(lines, given) if ok]))
+    return keys.reshape(-1), given * BANDS
 
 
 def line_table(docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -261,22 +281,12 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
     def run(batches):
         for batch in batches:
-            known: dict[tuple[str, int], set[str]] = {}
-            held = 0
-
-            def of(line, n):
-                nonlocal held
-                if (line, n) not in known:
-                    if held > SIGNED_CHARS:
-                        known.clear()
-                        held = 0
-                    known[line, n] = shingles(line, n)
-                    held += len(line)
-                return known[line, n]
-
-            kinds = lambda a, b: (SHINGLE, SHORT_SHINGLE) if max(len(a), len(b)) <= SHORT_CHARS else (SHINGLE,)
-            ok = [any(similar(of(a, n), of(b, n), similarity) for n in kinds(a, b))
-                  for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            ok: list[bool] = []
+            for lo in range(0, batch.num_rows, 256):
+                left, right = (batch.column(i).slice(lo, 256).to_pylist() for i in (2, 3))
+                texts = list({*left, *right})
+                known = dict(zip(texts, shingle_arrays(texts)))
+                ok += [similar(known[a], known[b], similarity) for a, b in zip(left, right)]
             keep = batch.filter(pa.array(ok, pa.bool_()))
             yield pa.RecordBatch.from_arrays([keep.column(0), keep.column(1)], names=["a", "b"])
 
@@ -293,35 +303,40 @@ def line_components(docs: DataFrame, text: str, table: DataFrame, similarity: fl
     ends = buckets.groupBy("band").agg(F.min("h1").alias("a"))
     stars = buckets.join(ends, "band").filter("h1 <> a").select("a", F.col("h1").alias("b")).distinct()
     links = saved(verified(stars, texts, similarity), "star-links")
-    roots = components(links)
-    # what the stars left apart: lines of one bucket in different components
-    named = texts.select("h1", F.struct("h1", "h2").alias("node"), "line").join(roots, "node", "left") \
-        .withColumn("root", F.xxhash64(F.coalesce("root", "node")))
-    placed = buckets.join(named.select("h1", "root", F.char_length("line").alias("n")), "h1")
-    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum("n").alias("n")) \
-        .filter("x <> y").select("band", F.ceil(F.col("n") / BLOCK_CHARS).cast("int").alias("m"))
+    roots = saved(components(links), "star-roots")
+    # what the stars left apart: lines of one bucket in different components; a bucket of two has met
+    named = texts.select("h1", F.struct("h1", "h2").alias("node"), "line").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    label = F.xxhash64("root")
+    placed = buckets.join(named.select("h1", label.alias("root"), F.char_length("line").alias("n")), "h1")
+    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")) \
+        .filter("x <> y AND k > 2").select("band", F.ceil(F.col("n") / BLOCK_CHARS).cast("int").alias("m"))
     apart = buckets.join(saved(mixed, "mixed-buckets"), "band").join(named, "h1")
     more = saved(cross_links(apart, similarity), "cross-links")
     if more.isEmpty():
         return roots
-    return components(links.unionByName(more))
+    # components of components: links between their roots only
+    again = saved(components(more), "cross-roots")
+    alone = again.select("node").join(roots, "node", "left_anti").withColumn("root", F.col("node"))
+    return roots.unionByName(alone).join(again.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left") \
+        .select("node", F.coalesce("top", "root").alias("root"))
 
 
 def cross_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b): links between lines of one bucket that are in different components.
+    """(a, b): roots of two components that hold lines of one bucket at the similarity.
 
     ``rows`` are (band, m, node, root, line). A bucket is cut into ``m`` blocks of about
     BLOCK_CHARS characters, and every two blocks meet in a group of their own, so no
     group grows with its bucket; pairs are compared there and never leave the task."""
     block = F.pmod(F.xxhash64("node", F.lit(7)), F.col("m")).cast("int")
     each = rows.withColumn("mine", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    dealt = each.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "root", "line")
+    dealt = each.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine",
+                        F.col("root.h1").alias("r1"), F.col("root.h2").alias("r2"), "line")
 
-    def compared(group, n):
-        """group: (mine, node, root, line) rows, band, i and j alike; n: the shingles of the band."""
+    def compared(group):
+        """group: (mine, root, line) rows, band, i and j alike."""
         apart = len({g[0] for g in group}) > 1  # two blocks: only across them
-        sets = [shingles(g[3], n) for g in group]
-        parent = {g[2]: g[2] for g in group}
+        sets = shingle_arrays([g[2] for g in group])
+        parent = {g[1]: g[1] for g in group}
 
         def top(r):
             while parent[r] != r:
@@ -331,33 +346,29 @@ def cross_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         order = sorted(range(len(group)), key=lambda x: len(sets[x]))
         for at, x in enumerate(order):
             for y in order[at + 1:]:
-                small, large = len(sets[x]), len(sets[y])
-                if small < similarity * large:
+                if len(sets[x]) < similarity * len(sets[y]):
                     break
                 if apart and group[x][0] == group[y][0]:
                     continue
-                u, v = top(group[x][2]), top(group[y][2])
-                if u != v:
-                    both = len(sets[x] & sets[y])
-                    if both >= similarity * (small + large - both):
-                        parent[u] = v
-                        yield group[x][1], group[y][1]
+                u, v = top(group[x][1]), top(group[y][1])
+                if u != v and similar(sets[x], sets[y], similarity):
+                    parent[u] = v
+                    yield group[x][1], group[y][1]
 
     def run(batches):
-        key, group = (0, 0, 0), []
-        of = lambda key: SHORT_SHINGLE if key[0] & 1 else SHINGLE
+        key, group = None, []
         for batch in batches:
             found = []
-            for band, i, j, mine, node, root, line in zip(*(c.to_pylist() for c in batch.columns)):
+            for band, i, j, mine, r1, r2, line in zip(*(c.to_pylist() for c in batch.columns)):
                 if (band, i, j) != key:
-                    found += compared(group, of(key))
+                    found += compared(group)
                     key, group = (band, i, j), []
-                group.append((mine, node, root, line))
+                group.append((mine, (r1, r2), line))
             yield _links_batch(found)
-        yield _links_batch(list(compared(group, of(key))))
+        yield _links_batch(list(compared(group)))
 
     def _links_batch(found):
-        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], _NODE) for k in (0, 1)], names=["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array([dict(zip(("h1", "h2"), f[k])) for f in found], _NODE) for k in (0, 1)], names=["a", "b"])
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     node = "struct<h1: bigint, h2: bigint>"
