@@ -21,8 +21,8 @@ different components is lost. Sides measured to be small are broadcast; others s
 Two lines are near if the sets of their shingles of 5 characters reach the similarity, whatever
 their lengths (a line shorter than a shingle is one shingle). Lines of one language share few
 shingles of 5, so the bands meet few unrelated lines; one changed character leaves a
-line of 49 characters or more at 0.8. With 20 bands of 6 rows a pair at 0.8 is a candidate with
-probability 0.998, at 0.9 with 0.99999. Signatures take one hash a shingle: it falls into one of 120 bins, the least of a bin is
+line of 49 characters or more at 0.8. With 18 bands of 6 rows a pair at 0.8 is a candidate with
+probability 0.996, at 0.9 with 0.99999. Signatures take one hash a shingle: it falls into one of 108 bins, the least of a bin is
 its row, and an empty bin borrows from another by a fixed order, equal for all lines.
 
 Defined results: null stays null; an empty text stays; rows equal in
@@ -49,7 +49,7 @@ from itemscope.llm.graph import components
 MIN_CHARS = 1
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 20, 6
+BANDS, ROWS = 18, 6
 #: Characters of a block in which the lines of a bucket are compared (some 2000 lines).
 BLOCK_CHARS = 600_000
 #: Characters whose hashes are held at once.
@@ -58,6 +58,8 @@ SIGNED_CHARS = 1 << 19
 HELD_LINES = 1 << 16
 
 _NODE = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
+#: A shingle's hash is the sum of its characters times these odd numbers, mixed.
+_FACTORS = np.random.default_rng(22).integers(1 << 62, 1 << 63, SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _EMPTY = np.uint32(0xFFFFFFFF)
 #: Where an empty bin looks for a value, try by try; then it takes the line's least.
 _BORROW = np.random.default_rng(20).integers(0, BANDS * ROWS, (24, BANDS * ROWS))
@@ -79,10 +81,16 @@ def hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.cumsum([len(x) for x in lines])
     starts = ends - [len(x) for x in lines]
     count = max(0, len(chars) - SHINGLE + 1)
-    h = np.full(count, 0x9747B28C, dtype=np.uint64)
-    for i in range(SHINGLE):
-        h = (h ^ chars[i:i + count]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(29)
+    h = np.zeros(count, dtype=np.uint64)
+    part = np.empty(count, dtype=np.uint64)
+    for i, factor in enumerate(_FACTORS):
+        np.multiply(chars[i:i + count], factor, out=part)
+        np.add(h, part, out=h)
+    np.right_shift(h, np.uint64(32), out=part)
+    np.bitwise_xor(h, part, out=h)
+    np.multiply(h, np.uint64(0x9E3779B97F4A7C15), out=h)
+    np.right_shift(h, np.uint64(29), out=part)
+    np.bitwise_xor(h, part, out=h)
     return h, starts, ends - SHINGLE + 1
 
 
@@ -135,13 +143,12 @@ def signatures(lines: list[str]) -> np.ndarray:
     for group in _groups(lines):
         h, starts, ends = hashed(group)
         # shingles that reach over a line's end go to a row of their own
-        owner = np.full(len(h), len(group))
-        counts = ends - starts
-        inside = np.repeat(starts - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
-        owner[inside] = np.repeat(np.arange(len(group)), counts)
+        owner = np.repeat(np.arange(0, len(group) * size, size), np.diff(np.r_[starts, len(h) + SHINGLE - 1]))[:len(h)]
+        across = (ends[:-1, None] + np.arange(SHINGLE - 1)).reshape(-1)
+        owner[across] = len(group) * size
         bins = ((h & np.uint64(0xFFFFFFFF)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
         sig = np.full((len(group) + 1, size), _EMPTY, dtype=np.uint32)
-        np.minimum.at(sig.reshape(-1), owner * size + bins, (h >> np.uint64(32)).astype(np.uint32))
+        np.minimum.at(sig.reshape(-1), owner + bins, (h >> np.uint64(32)).astype(np.uint32))
         sig = sig[:-1]
         first = sig.copy()
         for order in _BORROW:
@@ -224,24 +231,33 @@ def line_table(docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHA
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """The distinct (band, h1) rows whose band holds two lines or more."""
+    """The distinct (band, h1) rows whose band holds two lines or more.
+
+    Rows come sorted by band alone; of the last band only the first line is held."""
 
     def run(batches):
-        held = np.zeros((0, 2), dtype=np.int64)      # the last row so far
-        joined = False                               # whether a row before it shares its band
+        held = np.zeros((0, 2), dtype=np.int64)      # a line of the last band
+        joined = False                               # whether another line of it was seen
         for batch in batches:
-            x = np.concatenate([held, np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)])
-            x = x[np.r_[True, (x[1:] != x[:-1]).any(axis=1)]] if len(x) else x
+            x = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)
+            x = np.concatenate([held, x])
+            x = x[np.lexsort((x[:, 1], x[:, 0]))]
             if not len(x):
                 continue
+            x = x[np.r_[True, (x[1:] != x[:-1]).any(axis=1)]]
+            # hashes sort by value here and rows arrive in the same order of bands, whatever their sign
             same = x[1:, 0] == x[:-1, 0]
-            many = np.r_[joined, same] | np.r_[same, False]
-            out, held, joined = x[:-1][many[:-1]], x[-1:], bool(many[-1])
-            yield _pairs_batch(out, ["band", "h1"])
-        if joined:
-            yield _pairs_batch(held, ["band", "h1"])
+            many = np.r_[False, same] | np.r_[same, False]
+            if joined and len(held):
+                many |= x[:, 0] == held[0, 0]
+            last = int(batch.column(0)[-1].as_py()) if batch.num_rows else int(held[0, 0])
+            own = x[:, 0] == last
+            joined = bool(many[own].any())
+            held = x[own][:1]
+            yield _pairs_batch(x[many], ["band", "h1"])
 
-    return rows.repartition("band").sortWithinPartitions("band", "h1").mapInArrow(run, "band bigint, h1 bigint")
+    found = rows.repartition("band").sortWithinPartitions("band").mapInArrow(run, "band bigint, h1 bigint")
+    return found.dropDuplicates(["band", "h1"])
 
 
 def _pairs_batch(x: np.ndarray, names: list[str]) -> pa.RecordBatch:
@@ -308,8 +324,11 @@ def line_components(docs: DataFrame, text: str, table: DataFrame, similarity: fl
     named = texts.select("h1", F.struct("h1", "h2").alias("node"), "line").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     label = F.xxhash64("root")
     placed = buckets.join(named.select("h1", label.alias("root"), F.char_length("line").alias("n")), "h1")
-    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")) \
-        .filter("x <> y AND k > 2").select("band", F.ceil(F.col("n") / BLOCK_CHARS).cast("int").alias("m"))
+    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
+                                         F.bit_xor(F.xxhash64("h1")).alias("members"), F.sum(F.shiftright("h1", 8)).alias("total")).filter("x <> y AND k > 2")
+    # bands that hold the same lines are one bucket
+    mixed = mixed.groupBy("members", "total", "k").agg(F.min("band").alias("band"), F.max("n").alias("n")) \
+        .select("band", F.ceil(F.col("n") / BLOCK_CHARS).cast("int").alias("m"))
     apart = buckets.join(saved(mixed, "mixed-buckets"), "band").join(named, "h1")
     more = saved(cross_links(apart, similarity), "cross-links")
     if more.isEmpty():
@@ -381,12 +400,14 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     table = saved(line_table(docs, doc_id, text, min_chars), "lines")
     roots = line_components(docs, text, table, similarity)
     place = F.struct(F.col("id").isNull().alias("n"), "id", "k1", "k2", "at")
-    each = table.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    rooted = each.withColumn("node", F.struct("h1", "h2")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rooted = saved(rooted.select("h1", "h2", "root", "first", "last"), "line-roots")
-    stays = rooted.groupBy("root").agg(F.min("first").alias("stay"), F.max("last").alias("end")).filter("stay <> end")
-    verdicts = saved(rooted.join(stays, "root").select("h1", "h2", "stay"), "verdicts")
-    goes = join_measured(table.drop("bands"), verdicts, ["h1", "h2"], "inner", F.lit(96)).filter(place != F.col("stay"))
+    # lines that stand once and are near to none keep their place
+    times = table.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times"))
+    near_ones = roots.select(F.col("node.h1").alias("h1"), F.col("node.h2").alias("h2"), "root")
+    rooted = times.join(near_ones, ["h1", "h2"], "left").filter("times > 1 OR root IS NOT NULL") \
+        .select("h1", "h2", F.coalesce("root", F.struct("h1", "h2")).alias("root"))
+    again = saved(join_measured(table.drop("bands"), saved(rooted, "line-roots"), ["h1", "h2"], "inner", F.lit(64)), "shared-lines")
+    stays = saved(again.groupBy("root").agg(F.min(place).alias("stay")), "first-lines")
+    goes = join_measured(again, stays, ["root"], "inner", F.lit(96)).filter(place != F.col("stay"))
     return saved(goes.groupBy("id", "k1", "k2").agg(F.array_sort(F.collect_set("at")).alias("drop")), "dropped-lines")
 
 
@@ -406,7 +427,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", cou
     rest = F.when(F.col("drop").isNull(), F.col(body)).otherwise(F.array_join(F.transform(left, lambda i: F.get(F.col("_l"), i)), "\n"))
     out = [(rest if f"c{i}" == body else F.col(f"c{i}")).alias(n) for i, n in enumerate(names)]
     if counts:
-        breaks = F.octet_length(body) - F.octet_length(F.translate(body, "\n", ""))
+        breaks = F.octet_length(body) - F.octet_length(F.replace(F.col(body), F.lit("\n"), F.lit("")))
         out += [F.coalesce(breaks + 1, F.lit(0)).cast("bigint").alias("n_lines"),
                 F.coalesce(F.size("drop"), F.lit(0)).cast("bigint").alias("n_dropped")]
     return marked.select(*out)
