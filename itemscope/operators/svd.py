@@ -9,18 +9,16 @@ singular triplets. It stops when the residuals of the k kept pairs are below
 the whole column space, so the answer does not hang on a number of iterations.
 
 The long-form matrix is hash-partitioned by row, sorted by row and checkpointed
-once; then every block is ONE distributed pass. A task reads its rows as a
-stream, batch by batch, and adds X_b'(X_b Z) into one n_cols x l sum, which is
-all it holds and all it emits (as row-block slices, summed in a two-level tree).
+once. One distributed pass over it builds X'X in blocks (``operators.gram``); every step
+then multiplies the stored blocks, n_cols^2 numbers whatever the number of rows, and sends n_cols x l back.
 
 Z (n_cols x l) travels as a broadcast bounded by n_cols * l; only n_cols x l
-matrices reach the driver. The n x k embeddings are one more pass and stay
+matrices reach the driver. The n x k embeddings are one more pass over X and stay
 distributed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -28,8 +26,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_ENTRIES = 32_768  # non-zeros per vectorised chunk inside a task (chunk x l doubles)
-FANOUT = 64             # groups in which the partial sums of a block meet first
+from itemscope.operators import gram as GR
+
+GRAM_COLS = 8192  # up to so many columns X'X is stored once and X is read no more
 
 
 @dataclass
@@ -49,106 +48,28 @@ class SVDFit:
         return self.explained_variance / self.col_var_total if self.col_var_total > 0 else np.zeros(self.k)
 
 
-class _Rows:
-    """Whole rows of the matrix, sorted by row: a stretch of a task's stream."""
-
-    def __init__(self, pdf: pd.DataFrame, row_id: str):
-        ids = pdf[row_id].to_numpy()
-        first = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        self.ids = ids[first]
-        self.rows = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(ids)]))
-        self.cols = pdf["col_idx"].to_numpy().astype(np.int64)
-        self.vals = pdf["value"].to_numpy().astype(float)
-
-    def times(self, mat: np.ndarray) -> np.ndarray:
-        """These rows times ``mat`` (one dense row per row), O(nnz * l)."""
-        out = np.zeros((len(self.ids), mat.shape[1]))
-        for lo in range(0, len(self.vals), CHUNK_ENTRIES):
-            hi = min(lo + CHUNK_ENTRIES, len(self.vals))
-            r = self.rows[lo:hi]
-            prod = self.vals[lo:hi, None] * mat[self.cols[lo:hi]]
-            starts = np.flatnonzero(np.r_[True, r[1:] != r[:-1]])
-            out[r[starts]] += np.add.reduceat(prod, starts, axis=0)
-        return out
-
-    def add_transpose_times(self, y: np.ndarray, out: np.ndarray) -> None:
-        """out += (these rows)' @ y, O(nnz * l)."""
-        for lo in range(0, len(self.vals), CHUNK_ENTRIES):
-            hi = min(lo + CHUNK_ENTRIES, len(self.vals))
-            o = np.argsort(self.cols[lo:hi], kind="stable")
-            c = self.cols[lo:hi][o]
-            prod = self.vals[lo:hi][o, None] * y[self.rows[lo:hi][o]]
-            starts = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
-            out[c[starts]] += np.add.reduceat(prod, starts, axis=0)
-
-
-def _whole_rows(batches, row_id: str) -> Iterator[_Rows]:
-    """The stream of a task as stretches of whole rows; a row that a batch cuts
-    goes over to the next stretch."""
-    held = None
-    for pdf in batches:
-        if held is not None:
-            pdf = pd.concat([held, pdf])
-        if not len(pdf):
-            continue
-        last = pdf[row_id].to_numpy() == pdf[row_id].iloc[-1]
-        held, whole = pdf[last], pdf[~last]
-        if len(whole):
-            yield _Rows(whole, row_id)
-    if held is not None and len(held):
-        yield _Rows(held, row_id)
-
-
-SUM_BLOCK_ROWS = 256  # rows of a partial matrix summed together in one group
-
-
-def _sum_partials(parts: DataFrame, n_rows_total: int, width: int) -> np.ndarray:
-    """Add the per-task partial matrices as a two-level tree.
-
-    ``parts`` rows are (grp, blk, data): ``data`` a flattened SUM_BLOCK_ROWS x
-    width slice of one task's partial, ``grp`` = task id modulo the fan-out.
-    Level 1 sums the slices of one (blk, grp) as a stream, level 2 the level-1
-    sums of one blk (at most ``fanout`` slices)."""
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum(np.stack(pdf["data"].to_numpy()), axis=0)
-        return pd.DataFrame({"blk": [int(pdf["blk"].iloc[0])], "data": [total]})
-
-    level1 = parts.groupBy("blk", "grp").applyInPandas(add, "blk int, data array<double>")
-    rows = level1.groupBy("blk").applyInPandas(add, "blk int, data array<double>").collect()
-    out = np.zeros((n_rows_total, width))
-    for r in rows:
-        lo = r["blk"] * SUM_BLOCK_ROWS
-        block = np.asarray(r["data"]).reshape(-1, width)
-        out[lo:lo + block.shape[0]] = block
-    return out
-
-
-def _emit_blocks(mat: np.ndarray, fanout: int) -> pd.DataFrame:
-    from pyspark import TaskContext
-    tc = TaskContext.get()
-    grp = (tc.partitionId() if tc is not None else 0) % max(fanout, 1)
-    blks = range(0, mat.shape[0], SUM_BLOCK_ROWS)
-    return pd.DataFrame({"grp": [grp] * len(blks), "blk": [b // SUM_BLOCK_ROWS for b in blks],
-                         "data": [mat[b:b + SUM_BLOCK_ROWS].ravel() for b in blks]})
-
-
-def _gram_times(x: DataFrame, row_id: str, z: np.ndarray, fanout: int) -> np.ndarray:
-    """One pass: X'(X z)."""
+def _gram_times(x: DataFrame, row_id: str, z: np.ndarray) -> np.ndarray:
+    """One pass over X: X'(X z), for vocabularies too wide for a stored Gram matrix. A task
+    emits the touched blocks of its n_cols x l sum; they are added as streams."""
     n_cols, l = z.shape
+    side = -(-n_cols // GR.BLOCK) * GR.BLOCK
     zb = x.sparkSession.sparkContext.broadcast(z)
 
     def partial(batches):
-        acc = np.zeros((n_cols, l))
-        any_rows = False
-        for rows in _whole_rows(batches, row_id):
-            any_rows = True
+        acc = np.zeros((side, l))
+        for rows in GR.whole_rows(batches, row_id):
             rows.add_transpose_times(rows.times(zb.value), acc)
-        if any_rows:
-            yield _emit_blocks(acc, fanout)
-
-    total = _sum_partials(x.mapInPandas(partial, "grp int, blk int, data array<double>"), n_cols, l)
+        group = GR.task_group()
+        touched = ((group, i // GR.BLOCK, acc[i:i + GR.BLOCK]) for i in range(0, side, GR.BLOCK) if acc[i:i + GR.BLOCK].any())
+        for b in GR.batches_of(touched, ["grp", "bi", "data"]):
+            yield b.to_pandas()
+
+    parts = GR.slots(x).mapInPandas(partial, "grp int, bi int, data binary")
+    out = np.zeros((side, l))
+    for r in GR.tree(parts, ["bi"], x).collect():
+        out[r["bi"] * GR.BLOCK:(r["bi"] + 1) * GR.BLOCK] = np.frombuffer(r["data"]).reshape(GR.BLOCK, l)
     zb.unpersist()
-    return total
+    return out[:n_cols]
 
 
 def prepare(x: DataFrame, row_id: str) -> DataFrame:
@@ -171,31 +92,38 @@ def _outside(block: np.ndarray, basis: np.ndarray, size: float, rtol: float = 1e
 
 
 def truncated_svd(x: DataFrame, row_id: str, n_rows: int, n_cols: int, k: int, tol: float = 1e-4,
-                  oversamples: int = 10, seed: int = 42, fanout: int = FANOUT) -> SVDFit:
+                  oversamples: int = 10, seed: int = 42, gram_cols: int = GRAM_COLS) -> SVDFit:
     """Top-k singular values/vectors of X (n_rows x n_cols). ``x`` must come
     from ``prepare`` (rows co-located); ``n_rows`` counts all-zero rows too.
 
     ``tol`` bounds the residual |X'Xv - s^2 v| / s^2 of every kept pair whose s^2
-    is above rounding."""
+    is above rounding. Up to ``gram_cols`` columns every step reads the stored X'X; beyond it, X."""
     k = max(1, min(k, n_cols))
     l = min(k + oversamples, n_cols)
+    gram = GR.blocks(x, row_id, n_cols) if n_cols <= gram_cols else None
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_cols, l)))[0]
-    images = np.zeros((n_cols, 0))
-    block = basis
+    images, small, block, steps = np.zeros((n_cols, 0)), np.zeros((0, 0)), basis, 0
     while True:
-        images = np.hstack([images, _gram_times(x, row_id, block, fanout)])
-        small = basis.T @ images
-        theta, s = np.linalg.eigh((small + small.T) / 2)
-        theta, s = theta[::-1][:k], s[:, ::-1][:, :k]
-        ritz = basis @ s
-        residual = np.linalg.norm(images @ s - ritz * theta, axis=0)
-        top = max(float(theta[0]), 0.0) if len(theta) else 0.0
-        done = residual <= tol * np.maximum(theta, 1e-9 * top)
-        if done.all() or basis.shape[1] >= n_cols:
+        new = GR.times(gram, block) if gram is not None else _gram_times(x, row_id, block)
+        images = np.hstack([images, new])
+        steps += 1
+        side = basis.T @ new            # the new columns of basis' X'X basis, which is symmetric
+        small = np.block([[small, side[:len(small)]], [side[:len(small)].T, side[len(small):]]])
+        top = float(np.linalg.norm(new, 2)) if steps == 1 else top
+        spans = basis.shape[1] >= n_cols
+        block = basis[:, :0] if spans else _outside(new, basis, top)
+        if steps % 2 and steps > 1 and block.shape[1]:
+            grow = True                 # the check costs more than a step: every other time
+        else:
+            theta, s = np.linalg.eigh((small + small.T) / 2)
+            theta, s = theta[::-1][:k], s[:, ::-1][:, :k]
+            ritz = basis @ s
+            residual = np.linalg.norm(images @ s - ritz * theta, axis=0)
+            largest = max(float(theta[0]), 0.0) if len(theta) else 0.0
+            # no block is left where the blocks span everything X'X reaches
+            grow = bool(block.shape[1]) and not (residual <= tol * np.maximum(theta, 1e-9 * largest)).all()
+        if not grow:
             break
-        block = _outside(images[:, -block.shape[1]:], basis, top)
-        if not block.shape[1]:
-            break  # the blocks span everything X'X reaches
         block = block[:, :n_cols - basis.shape[1]]
         basis = np.hstack([basis, block])
     vt = ritz.T.copy()
@@ -226,7 +154,7 @@ def embeddings(x: DataFrame, row_id: str, all_rows: DataFrame, fit: SVDFit, pref
     id_type = dict(x.dtypes)[row_id]
 
     def project(batches):
-        for rows in _whole_rows(batches, row_id):
+        for rows in GR.whole_rows(batches, row_id):
             out = pd.DataFrame(rows.times(vb.value), columns=names)
             out.insert(0, row_id, rows.ids)
             yield out

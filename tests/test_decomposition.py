@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from itemscope.operators import decomposition as DC
+from itemscope.operators import gram as GR
 from itemscope.operators import svd as SV
 from itemscope.operators import text as TX
 from itemscope.plans.context import Tables
@@ -119,6 +120,8 @@ def test_truncated_svd_matches_numpy(spark):
     assert np.allclose(fit.singular_values, s[:k], rtol=1e-9)
     loose = SV.truncated_svd(x, "rid", n, m, k, oversamples=0)
     assert np.allclose(loose.singular_values, s[:k], rtol=1e-6)
+    wide = SV.truncated_svd(x, "rid", n, m, k, tol=1e-8, gram_cols=0)  # every step reads X
+    assert np.allclose(wide.singular_values, s[:k], rtol=1e-9)
     # when the blocks span all columns the result is exact
     full = SV.truncated_svd(x, "rid", n, m, m - 1)
     assert np.allclose(full.singular_values, s[: m - 1], rtol=1e-9)
@@ -135,3 +138,18 @@ def test_truncated_svd_matches_numpy(spark):
     assert np.allclose(fit.explained_variance_ratio, exp_var / dense.var(axis=0).sum(), rtol=1e-9)
     err = ((dense - u @ fit.components) ** 2).sum() / n
     assert SV.reconstruction_error_per_row(fit) == pytest.approx(err, rel=1e-6, abs=1e-10)
+
+
+@pytest.mark.parametrize("density", [0.02, 0.6])
+def test_gram_blocks_match_numpy(spark, density):
+    rng = np.random.default_rng(3)
+    n, m = 700, 300
+    values = rng.normal(size=(n, m)) * (rng.random((n, m)) < density)
+    rows = [(int(i), int(j), float(values[i, j])) for i, j in zip(*np.nonzero(values))]
+    x = SV.prepare(spark.createDataFrame(rows, "rid bigint, col_idx int, value double"), "rid")
+    gram = GR.blocks(x, "rid", m)
+    assert np.allclose(GR.dense(gram, m), values.T @ values, atol=1e-9)
+    z = rng.normal(size=(m, 7))
+    assert np.allclose(GR.times(gram, z), values.T @ (values @ z), atol=1e-8)
+    empty = SV.prepare(spark.createDataFrame([], "rid bigint, col_idx int, value double"), "rid")
+    assert not GR.times(GR.blocks(empty, "rid", 3), np.ones((3, 2))).any()
