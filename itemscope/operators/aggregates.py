@@ -6,7 +6,7 @@ All of them are single grouped aggregates that Spark plans as partial
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemscope.functions import scalars as X
@@ -77,3 +77,22 @@ def coverage(child: DataFrame, parent: DataFrame, key: str, label: str,
         F.lit(label).alias("relationship_check"),
         F.col("u").cast("bigint").alias("unmatched_count"),
         F.round((F.lit(1.0) - F.col("u") / F.greatest(F.col("n"), F.lit(1))) * 100, digits).alias("coverage_pct"))
+
+
+def with_middle(counted: DataFrame, keys: list[str], value: str, count: str) -> DataFrame:
+    """``counted`` ((keys, value, count), one row a value) with ``_total``, the group's count, and ``_middle``: the value
+    times how many of the two middle ranks fall on it (0, 1 or 2). A NULL value must have count 0."""
+    own = Window.partitionBy(*keys)
+    total = F.sum(count).over(own)
+    upto = F.sum(count).over(own.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = counted.withColumn("_total", total).withColumn("_upto", upto)
+    holds = lambda rank: ((rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col(count))).cast("int")
+    lower, upper = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+    hits = holds(lower) + holds(upper)
+    return ranked.withColumn("_middle", F.when(hits > 0, hits * F.col(value))).drop("_upto")
+
+
+def median(df: DataFrame, value: str) -> DataFrame:
+    """The exact median of a column of few distinct values: counts per value, then ranks; one row, NULL if there is none."""
+    counted = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_k")).withColumn("_all", F.lit(0))
+    return with_middle(counted, ["_all"], value, "_k").agg((F.sum("_middle") / 2).alias("median"))

@@ -143,6 +143,37 @@ def fit_pca(df: DataFrame, cols: list[str], checkpoint: bool = True) -> PCAFit:
     return PCAFit(list(cols), n, means, stds, raw_stds, vals, vecs, g, mat)
 
 
+def column_index(names: DataFrame, key: str) -> DataFrame:
+    """(key, col_idx): the distinct values of a dictionary table numbered from 0 in their order (a table of p rows)."""
+    return names.select(key).filter(F.col(key).isNotNull()).distinct().select(key, (F.row_number().over(Window.orderBy(key)) - 1).cast("int").alias("col_idx"))
+
+
+def fit_pca_long(cells: DataFrame, row_id: str, p: int, n: int, names: list[str] | None = None) -> PCAFit:
+    """PCA of the standardised columns of a sparse matrix in long form (row_id, col_idx, value), p columns, n rows
+    (empty ones included), absent cells 0. No wide frame is built: X'X comes from ``operators.gram``, and
+    Z'Z/n = (X'X/n - m m') / (s s') from it and the column sums."""
+    from itemscope.operators import gram as GR
+    from itemscope.operators.svd import prepare
+    x = prepare(cells.select(row_id, "col_idx", F.col("value").cast("double").alias("value")), row_id)
+    sums = np.zeros(p)
+    for r in x.groupBy("col_idx").agg(F.sum("value").alias("s")).collect():  # p rows at most
+        sums[r["col_idx"]] = r["s"]
+    rows = max(n, 1)
+    second = GR.dense(GR.blocks(x, row_id, p), p) / rows
+    means = sums / rows
+    cov = second - np.outer(means, means)
+    # what rounding leaves of a constant column counts as nothing
+    raw = np.where(np.diag(cov) > 1e-14 * np.maximum(np.diag(second), 1e-300), np.diag(cov), 0.0)
+    stds = np.where(raw > 0, np.sqrt(raw), 1.0)
+    g = cov / np.outer(stds, stds)
+    g[raw == 0, :] = 0.0
+    g[:, raw == 0] = 0.0
+    vals, vecs = np.linalg.eigh((g + g.T) / 2)
+    order = np.argsort(vals)[::-1]
+    return PCAFit(names or [str(i) for i in range(p)], n, means, stds, np.sqrt(raw), np.clip(vals[order], 0.0, None),
+                  _fix_signs(vecs[:, order]), g)
+
+
 # --- outputs ------------------------------------------------------------------------
 
 def pca_scores(fit: PCAFit, keep: list[str], k: int, names: list[str] | None = None,

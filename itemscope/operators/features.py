@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from itemscope.functions import scalars as X
+from itemscope.operators import aggregates as A
 from itemscope.roles import DEFAULT_ROLES, Roles
 
 FEATURE_FRAME_COLUMNS = [
@@ -65,18 +66,27 @@ def rating_stats(ratings: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
 def rating_stats_script(ratings: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
     """A2 + X12 (F2): count, mean, std, min, max, exact median, first/last, span in days.
 
-    ``median`` keeps a value->count map per group (partial aggregation merges
-    maps), so its state is bounded by the distinct scores of an item.
+    Rows are counted per (item, score) first, which spreads a hot item and leaves the distinct
+    scores of an item; the median is the value (or the mean of the two) whose range of ranks
+    holds the middle, so no object aggregate is needed.
     """
-    return ratings.groupBy(r.item).agg(
-        F.count(F.lit(1)).alias("rating_count"),
-        F.avg(r.score).alias("rating_mean"),
-        F.stddev_samp(r.score).alias("rating_std"),
+    per_score = ratings.groupBy(r.item, r.score).agg(
+        F.count(F.lit(1)).alias("_c"), F.min(r.epoch).alias("_t0"), F.max(r.epoch).alias("_t1"))
+    own = Window.partitionBy(r.item)
+    scored = F.when(F.col(r.score).isNotNull(), F.col("_c")).otherwise(F.lit(0))
+    ranked = A.with_middle(per_score.withColumn("_k", scored), [r.item], r.score, "_k") \
+        .withColumn("_mean", F.sum(F.col("_k") * F.col(r.score)).over(own) / F.nullif(F.col("_total"), F.lit(0)))
+    spread = F.sum(F.col("_k") * (F.col(r.score) - F.col("_mean")) * (F.col(r.score) - F.col("_mean")))
+    n = F.max("_total")
+    return ranked.groupBy(r.item).agg(
+        F.sum("_c").cast("bigint").alias("rating_count"),
+        F.max("_mean").alias("rating_mean"),
+        F.when(n > 1, F.sqrt(spread / (n - 1))).alias("rating_std"),
         F.min(r.score).alias("rating_min"),
         F.max(r.score).alias("rating_max"),
-        F.median(r.score).alias("rating_median"),
-        F.min(r.epoch).alias("rating_first_ts"),
-        F.max(r.epoch).alias("rating_last_ts"),
+        (F.sum("_middle") / 2).alias("rating_median"),
+        F.min("_t0").alias("rating_first_ts"),
+        F.max("_t1").alias("rating_last_ts"),
     ).withColumn("rating_span_days", X.span_days("rating_first_ts", "rating_last_ts"))
 
 
@@ -139,7 +149,7 @@ def category_counts(item_categories: DataFrame, r: Roles = DEFAULT_ROLES) -> Dat
 def _frame(catalog: DataFrame, ra: DataFrame, ta: DataFrame, ga: DataFrame, r: Roles, lists: bool) -> DataFrame:
     # Global median of the year: a scalar subquery over a one-row aggregate
     # (its value->count map is bounded by the distinct years).
-    year_median = catalog.agg(F.median("release_year")).scalar()
+    year_median = A.median(catalog, "release_year").scalar()
     joined = catalog.join(ra, r.item, "left").join(ta, r.item, "left").join(ga, r.item, "left")
     whole = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
     columns = [

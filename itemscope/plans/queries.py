@@ -88,6 +88,7 @@ def sanity_checks(t: Tables) -> DataFrame:
 # --- phase 3: profile and audit --------------------------------------------------------
 
 from itemscope.operators import clean as CL  # noqa: E402
+from itemscope.operators import onepass as OP
 from itemscope.operators import profile as PR  # noqa: E402
 from itemscope.roles import ALL_TABLES  # noqa: E402
 
@@ -525,13 +526,14 @@ def table_memory_estimate(t: Tables) -> DataFrame:
 
 @query("profile_report")
 def profile_report(t: Tables) -> DataFrame:
-    """Q16 (+ Q18): the nested profile summary, one row."""
+    """Q16 (+ Q18): the nested profile summary, one row. Every table is scanned once for its facts and
+    once more, narrow, for the keys that relations share; movies a third time for its categories."""
     raw = _raw(t)
-    shapes = PR.table_shapes(raw).join(F.broadcast(_sizes(t)), "table").select("table", "rows", "cols", "size_mb", "scope")
-    return RP.profile_report(
-        t.spark, shapes, PR.missing_nonzero(raw), PR.quality_checks(raw), PR.join_coverage(raw),
-        PR.scale_metrics(t.ratings), shapes, PR.score_distribution(t.ratings),
-        PR.top_categories_raw(t.movies, 15))
+    known = OP.facts(raw)
+    shapes = OP.shapes(raw, known).join(F.broadcast(_sizes(t)), "table").select("table", "rows", "cols", "size_mb", "scope")
+    missing = OP.missing(raw, known).filter(F.col("null_count") > 0)
+    return RP.profile_report(t.spark, shapes, missing, OP.checks(known), OP.coverage(raw), OP.scale(known), shapes,
+                             OP.distribution(known), PR.top_categories_raw(t.movies, 15))
 
 
 @query("cleaning_report")
@@ -556,11 +558,10 @@ def tag_features_events(t: Tables) -> DataFrame:
 @query("genome_pca_summary")
 def genome_pca_summary(t: Tables) -> DataFrame:
     """M4 on the item x tag relevance matrix (genome scores, one column per tag)."""
-    tag_ids = [r[0] for r in t.genome_tags.select("tagId").orderBy("tagId").collect()]  # bounded: tag dictionary
-    wide = t.genome_scores.groupBy("movieId").agg(*[
-        F.coalesce(F.max(F.when(F.col("tagId") == i, F.col("relevance"))), F.lit(0.0)).alias(f"tag_{i}")
-        for i in tag_ids])
-    fit = DC.fit_pca(wide, [f"tag_{i}" for i in tag_ids])
+    index = DC.column_index(t.genome_tags, "tagId")
+    cells = t.genome_scores.filter(F.col("relevance").isNotNull()).groupBy("movieId", "tagId").agg(F.max("relevance").alias("value"))
+    n_rows = t.genome_scores.select("movieId").distinct().count()
+    fit = DC.fit_pca_long(cells.join(F.broadcast(index), "tagId").select("movieId", "col_idx", "value"), "movieId", index.count(), n_rows)
     return DC.variance_table(t.spark, fit)
 
 
