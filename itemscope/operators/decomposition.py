@@ -341,3 +341,22 @@ def scatter_sample(scores: DataFrame, id_col: str, n: int = 10000, seed: int = 4
     """Deterministic sample of min(n, rows) rows without replacement
     (top-n by a seeded hash; the limit is the feature)."""
     return scores.orderBy(F.xxhash64(F.col(id_col), F.lit(seed)), F.col(id_col)).limit(n)
+
+
+def certificate(fit: PCAFit) -> list[tuple[str, float]]:
+    """What must hold of the spectrum whoever computes it: its power sums are the traces of powers of the correlation
+    matrix, and the residuals of eigenvectors are 0."""
+    lam, v, g = fit.eigenvalues, fit.components, fit.gram
+    return [("items", float(fit.n)), ("features", float(fit.p)), ("trace", float(lam.sum())), ("trace_of_square", float((lam ** 2).sum())),
+            ("trace_of_cube", float((lam ** 3).sum())), ("eigen_residual", float(np.abs(g @ v - v * lam).max())),
+            ("orthogonality_residual", float(np.abs(v.T @ v - np.eye(fit.p)).max()))]
+
+
+def score_certificate(fit: PCAFit, k: int) -> list[tuple[str, float]]:
+    """The scores' mean squares are the eigenvalues, and the closed error is that of an explicit distributed pass."""
+    k = min(k, fit.p)
+    scores = pca_scores(fit, [], k)
+    row = scores.agg(*[F.avg(F.col(c) * F.col(c)).alias(c) for c in scores.columns]).first()
+    mse, _ = reconstruction_error_explicit(fit, k)
+    return [("score_residual", max(abs(row[f"pc{j + 1}"] - float(fit.eigenvalues[j])) for j in range(k))),
+            ("reconstruction_residual", abs(mse - fit.tail_variance(k) / fit.p))]

@@ -233,3 +233,12 @@ def dense(gram: DataFrame, n_cols: int) -> np.ndarray:
     for r in gram.toLocalIterator():
         out[r["bi"] * BLOCK:(r["bi"] + 1) * BLOCK, r["bj"] * BLOCK:(r["bj"] + 1) * BLOCK] = np.frombuffer(r["data"]).reshape(BLOCK, BLOCK)
     return out[:n_cols, :n_cols]
+
+
+def norm2(gram: DataFrame) -> float:
+    """The sum of the squares of all entries of X'X."""
+
+    def run(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([sum(float((np.frombuffer(d) ** 2).sum()) for b in batches for d in b.column(2).to_pylist())])], names=["s"])
+
+    return float(gram.mapInArrow(run, "s double").agg(F.sum("s")).first()[0] or 0.0)

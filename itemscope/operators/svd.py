@@ -42,6 +42,7 @@ class SVDFit:
     col_var_total: float             # sum of the population variances of the columns
     explained_variance: np.ndarray = field(default_factory=lambda: np.zeros(0))
     projected_norm2: float | None = None  # |X V_k|_F^2, set from the embeddings
+    gram: DataFrame | None = field(default=None, repr=False)  # the stored X'X
 
     @property
     def explained_variance_ratio(self) -> np.ndarray:
@@ -143,6 +144,7 @@ def truncated_svd(x: DataFrame, row_id: str, n_rows: int, n_cols: int, k: int, t
     means = (s1 @ vt.T) / nr
     fit = SVDFit(n_rows, n_cols, len(vt), np.sqrt(sq), vt, float(s2.sum()), float((s2 / nr - (s1 / nr) ** 2).sum()))
     fit.explained_variance = sq / nr - means ** 2
+    fit.gram = gram
     fit.projected_norm2 = float(sq.sum())
     return fit
 

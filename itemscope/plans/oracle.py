@@ -492,8 +492,7 @@ FROM tag_stats_ev""", ["tags_events", "tags_clean_ev", "tag_tok_ev", "tag_stats_
 ORACLE["category_counts_long"] = with_ctes(
     "SELECT movieId, genre, count(*) AS n FROM item_genres GROUP BY movieId, genre", ["item_genres"])
 
-ORACLE["numeric_features_long"] = with_ctes(f"""
-SELECT movieId, feature, {rnd('value', 'value')} FROM (
+_NUMERIC_CELLS = """
   SELECT s.movieId, v.feature, coalesce(v.value, 0.0) AS value FROM (
     SELECT movieId, CAST(count(*) AS DOUBLE) AS n, avg(rating) AS mean, stddev_samp(rating) AS sd, min(rating) AS lo, max(rating) AS hi,
            median(rating) AS med, CAST(min("timestamp") AS DOUBLE) AS t0, CAST(max("timestamp") AS DOUBLE) AS t1,
@@ -506,7 +505,9 @@ SELECT movieId, feature, {rnd('value', 'value')} FROM (
   WHERE movieId IN (SELECT movieId FROM ratings_clean) GROUP BY movieId, genre
   UNION ALL
   SELECT movieId, 'tag_count', CAST(count(*) AS DOUBLE) FROM tags_clean
-  WHERE movieId IN (SELECT movieId FROM ratings_clean) GROUP BY movieId) x""", ["ratings_clean", "item_genres", "tags_clean"])
+  WHERE movieId IN (SELECT movieId FROM ratings_clean) GROUP BY movieId"""
+ORACLE["numeric_features_long"] = with_ctes(f"SELECT movieId, feature, {rnd('value', 'value')} FROM ({_NUMERIC_CELLS}) x",
+                                            ["ratings_clean", "item_genres", "tags_clean"])
 
 ORACLE["redundancy_correlation"] = with_ctes(f"""
 SELECT p.feature_a, p.feature_b, p."check", {rnd('corr(a.value, b.value)', 'correlation')}
@@ -521,3 +522,56 @@ SELECT movieId, {rnd('ln(1 + n)', 'rating_count')} FROM (
   ORDER BY md5(CAST(movieId AS VARCHAR) || ':42'), movieId LIMIT 10000) x""", ["ratings_clean"])
 
 ORACLE["table_memory_rows"] = ORACLE["table_shapes"]
+
+
+# --- certificates -------------------------------------------------------------------------------
+
+_POWERS = """
+    SELECT (SELECT count(DISTINCT movieId) FROM {long}) AS items, (SELECT count(DISTINCT feature) FROM {long}) AS features,
+           (SELECT sum(r) FROM {r} WHERE a = b) AS trace, (SELECT sum(r * r) FROM {r}) AS square,
+           (SELECT sum(x.r * y.r * z.r) FROM {r} x JOIN {r} y ON x.b = y.a JOIN {r} z ON y.b = z.a AND z.b = x.a) AS cube"""
+
+
+def _certificate_sql(zlong: str, residuals: list[str], needs: list[str], ctes: dict[str, str]) -> str:
+    """Traces of the powers of the correlation matrix of a standardised long matrix; residuals are 0."""
+    own = dict(ctes)
+    own["corr_r"] = f"SELECT a.feature AS a, b.feature AS b, sum(a.z * b.z) / count(*) AS r FROM {zlong} a JOIN {zlong} b ON a.movieId = b.movieId GROUP BY a.feature, b.feature"
+    own["powers"] = _POWERS.format(long=zlong, r="corr_r")
+    rows = ["('items', CAST(p.items AS DOUBLE))", "('features', CAST(p.features AS DOUBLE))", "('trace', p.trace)", "('trace_of_square', p.square)",
+            "('trace_of_cube', p.cube)", *[f"('{r}', 0.0)" for r in residuals]]
+    return with_ctes(f"SELECT v.metric, {rnd('v.value', 'value')} FROM powers p, LATERAL (VALUES {', '.join(rows)}) v(metric, value)",
+                     [*needs, "corr_r", "powers"], own)
+
+
+_SPECTRUM, _SCORES = ["eigen_residual", "orthogonality_residual"], ["score_residual", "reconstruction_residual"]
+ORACLE["pca_certificate"] = _certificate_sql("zlong", _SPECTRUM + _SCORES, _FULL_NEEDS, _FULL)
+
+_ZED = """
+    SELECT movieId, feature, (value - avg(value) OVER (PARTITION BY feature)) /
+           CASE WHEN stddev_pop(value) OVER (PARTITION BY feature) > 1e-12 THEN stddev_pop(value) OVER (PARTITION BY feature) ELSE 1.0 END AS z
+    FROM {long}"""
+_GENOME = {"genome_cells": """
+    SELECT s.movieId, CAST(g.tagId AS VARCHAR) AS feature, coalesce(max(CASE WHEN s.tagId = g.tagId THEN s.relevance END), 0.0) AS value
+    FROM genome_scores s CROSS JOIN (SELECT DISTINCT tagId FROM genome_tags) g GROUP BY s.movieId, g.tagId""",
+           "genome_z": _ZED.format(long="genome_cells")}
+ORACLE["genome_pca_certificate"] = _certificate_sql("genome_z", _SPECTRUM, ["genome_scores", "genome_tags", "genome_cells", "genome_z"], _GENOME)
+
+_TARGET = {"target_cells": _NUMERIC_CELLS, "target_full": """
+    SELECT i.movieId, f.feature, coalesce(c.value, 0.0) AS value
+    FROM (SELECT DISTINCT movieId FROM target_cells) i CROSS JOIN (SELECT DISTINCT feature FROM target_cells) f
+    LEFT JOIN target_cells c ON c.movieId = i.movieId AND c.feature = f.feature""", "target_z": _ZED.format(long="target_full")}
+ORACLE["pca_target_certificate"] = _certificate_sql("target_z", _SPECTRUM + _SCORES,
+                                                    ["ratings_clean", "item_genres", "tags_clean", "target_cells", "target_full", "target_z"], _TARGET)
+
+_GRAM = dict(_TEXT)
+_GRAM["tfidf_w"] = """
+    SELECT movieId, term_idx, w / sqrt(sum(w * w) OVER (PARTITION BY movieId)) AS w
+    FROM (SELECT tf.movieId, v.term_idx, tf.tf * v.idf AS w FROM tf JOIN vocab v ON tf.term = v.term) x"""
+_GRAM["gram_x"] = "SELECT a.term_idx AS a, b.term_idx AS b, sum(a.w * b.w) AS g FROM tfidf_w a JOIN tfidf_w b ON a.movieId = b.movieId AND a.term_idx <= b.term_idx GROUP BY a.term_idx, b.term_idx"
+ORACLE["svd_certificate"] = with_ctes(f"""
+SELECT v.metric, {rnd('v.value', 'value')} FROM
+  (SELECT (SELECT CAST(count(*) AS DOUBLE) FROM catalog) AS items, (SELECT CAST(max(term_idx) + 1 AS DOUBLE) FROM tfidf_w) AS terms,
+          (SELECT sum(w * w) FROM tfidf_w) AS norm2, (SELECT sum(CASE WHEN a = b THEN g * g ELSE 2 * g * g END) FROM gram_x) AS gram2) p,
+  LATERAL (VALUES ('items', p.items), ('terms', p.terms), ('components', CASE WHEN p.terms > 1 THEN least(200.0, p.terms - 1) ELSE 1.0 END),
+    ('norm2', p.norm2), ('gram_norm2', p.gram2), ('triplet_residual', 0.0), ('orthogonality_residual', 0.0),
+    ('embedding_residual', 0.0), ('error_residual', 0.0)) v(metric, value)""", [*_TEXT_NEEDS, "tfidf_w", "gram_x"], _GRAM)

@@ -555,14 +555,61 @@ def tag_features_events(t: Tables) -> DataFrame:
     return FE.tag_stats(CL.clean_tags(t.tags_events))
 
 
-@query("genome_pca_summary")
-def genome_pca_summary(t: Tables) -> DataFrame:
-    """M4 on the item x tag relevance matrix (genome scores, one column per tag)."""
+def _genome_pca(t: Tables) -> DC.PCAFit:
     index = DC.column_index(t.genome_tags, "tagId")
     cells = t.genome_scores.filter(F.col("relevance").isNotNull()).groupBy("movieId", "tagId").agg(F.max("relevance").alias("value"))
     n_rows = t.genome_scores.select("movieId").distinct().count()
-    fit = DC.fit_pca_long(cells.join(F.broadcast(index), "tagId").select("movieId", "col_idx", "value"), "movieId", index.count(), n_rows)
-    return DC.variance_table(t.spark, fit)
+    return DC.fit_pca_long(cells.join(F.broadcast(index), "tagId").select("movieId", "col_idx", "value"), "movieId", index.count(), n_rows)
+
+
+@query("genome_pca_summary")
+def genome_pca_summary(t: Tables) -> DataFrame:
+    """M4 on the item x tag relevance matrix (genome scores), from its long form."""
+    return DC.variance_table(t.spark, _genome_pca(t))
+
+
+# --- certificates: what SQL can say of a spectrum --------------------------------------------
+
+
+def _metrics(t: Tables, rows: list[tuple[str, float]]) -> DataFrame:
+    return t.spark.createDataFrame(rows, "metric string, value double")
+
+
+@query("genome_pca_certificate")
+def genome_pca_certificate(t: Tables) -> DataFrame:
+    """M4 on the genome matrix: traces of powers of its correlation matrix, residuals."""
+    return _metrics(t, DC.certificate(_genome_pca(t)))
+
+
+@query("pca_certificate")
+def pca_certificate(t: Tables) -> DataFrame:
+    """M3-M8 on the model matrix: spectrum, scores and errors."""
+    _, fit = _notebook_pca(t)
+    return _metrics(t, DC.certificate(fit) + DC.score_certificate(fit, 3))
+
+
+@query("pca_target_certificate")
+def pca_target_certificate(t: Tables) -> DataFrame:
+    """M3, M6, M9 on the script's numeric matrix, with the components kept for > 90 %."""
+    _, fit, k = _script_pca(t)
+    return _metrics(t, DC.certificate(fit) + DC.score_certificate(fit, k))
+
+
+@query("svd_certificate")
+def svd_certificate(t: Tables) -> DataFrame:
+    """Norms of the TF-IDF matrix and its X'X, residuals of triplets, embeddings and error."""
+    import numpy as np
+    from itemscope.operators import gram as GR
+    fit, emb = _svd(t)
+    v, sq = fit.components.T, fit.singular_values ** 2
+    columns = [F.col(c) for c in emb.columns if c != "movieId"]
+    kept = float(emb.agg(F.sum(sum((c * c for c in columns), F.lit(0.0)))).first()[0] or 0.0)
+    error = SV.reconstruction_error_per_row(fit)
+    return _metrics(t, [
+        ("items", float(fit.n_rows)), ("terms", float(fit.n_cols)), ("components", float(fit.k)), ("norm2", fit.frob2), ("gram_norm2", GR.norm2(fit.gram)),
+        ("triplet_residual", round(float(np.abs(GR.times(fit.gram, v) - v * sq).max() / max(float(sq.max()), 1e-300)), 3)),
+        ("orthogonality_residual", float(np.abs(v.T @ v - np.eye(fit.k)).max())),
+        ("embedding_residual", abs(kept - float(sq.sum()))), ("error_residual", abs(error * fit.n_rows + float(sq.sum()) - fit.frob2))])
 
 
 # --- long forms whose columns do not depend on the data -----------------------------------------
