@@ -17,6 +17,14 @@ meet their surrogates, are gathered per text, and a last pass rewrites the texts
 Texts stand for themselves by two hashes, so copies are worked on once. Nothing is
 collected; sides measured to be small are broadcast, others shuffle.
 
+Names are known by a title in front (in any case; every capitalised word after it, up to three, is a name) or by a
+given name of the lists below. Not detected: names without a title whose given name is in no list,
+names in small letters, postal addresses, dates of birth, telephone numbers in other groupings than
++country forms, (555) 123-4567, 555-123-4567, 555 123 4567, 01 23 45 67 89, 912 345 678 and 030 1234567.
+A number with a country's code and the same number without it are one entity. A neutral title's given
+name takes the gender it has elsewhere. Texts of any length are scanned whole, in time linear in their length. Where a corpus
+fills a format (all 7-digit numbers, say), surrogates grow by a digit.
+
 Defined results: null stays null; texts without entities are unchanged; of
 overlapping mentions the one that starts first (the longer of two) is taken; repeated
 rows get equal texts; empty tables work; other columns are kept, whatever their names.
@@ -56,6 +64,15 @@ GIVEN = {
     ("han", "m"): "伟 强 磊 军 勇 杰 涛 明 超 刚".split(),
     ("han", "f"): "芳 娜 敏 静 丽 艳 娟 霞 玲 秀".split(),
 }
+#: Further given names that are known when met; surrogates do not draw them.
+KNOWN_ONLY = {
+    "m": "Adam Albert Alexander Alfred Anthony Arthur Benjamin Brian Charles Christian Christopher Claude Dennis Donald Edward Eric Frank Friedrich Gabriel "
+         "George Gregory Hans Harold Henry Jack Jacob Jean Joseph Joshua Juan Jürgen Kenneth Kevin Klaus Larry Luis Manuel Mark Nicholas Patrick Philip "
+         "Raymond Richard Ronald Ryan Samuel Scott Simon Stephen Steven Timothy Tobias Walter Wolfgang".split(),
+    "f": "Alice Amanda Amy Andrea Angela Barbara Betty Brigitte Carol Caroline Catherine Charlotte Christine Cynthia Deborah Diana Donna Dorothy Emma Eva "
+         "Franziska Helen Helga Isabella Jane Janet Johanna Katherine Kathleen Kimberly Lisa Louise Margaret Maria Martha Melissa Michelle Monika Nancy "
+         "Nicole Olivia Pamela Petra Rebecca Rosa Ruth Sabine Sandra Sharon Sofia Stephanie Susanne Ursula Victoria Virginia".split(),
+}
 FAMILY_HAN = "王 李 张 刘 陈 杨 赵 黄 周 吴 徐 孙 胡 朱 高 林 何 郭 马 罗".split()
 #: Syllables that make up family names (and further given names) of a script.
 SYLLABLES = {
@@ -75,13 +92,20 @@ _IP6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}:){2,7}(?::?[0-9A-Fa-f]{1,4})(?
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _LONG = re.compile(r"(?<![\w-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,3})?)(?![\w-])")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
-_PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])")
+_PHONE = re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}"
+                    r"|\d{3} \d{3} \d{4}|0\d(?: \d{2}){4}|[6-9]\d{2} \d{3} \d{3}|0\d{2,4}[ /-]\d{5,8})(?![\w-]| \d)")
+#: Country codes whose numbers are also written without them.
+_COUNTRIES = ("1", "7", "30", "33", "34", "39", "44", "49")
 _WORD = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
-_TITLED = re.compile(rf"(?<!\w)({'|'.join(sorted((re.escape(t) for ts in TITLES.values() for t in ts), key=len, reverse=True))})(\.? )({_WORD})( ({_WORD}))?")
+_PARTICLES = r"(?: (?:van|von|der|den|de|del|di|da|du|la|le|zu))*"
 _PAIR = re.compile(rf"(?<!\w)({_WORD}) ({_WORD})")
 _HAN = re.compile(r"([一-鿿])([一-鿿]{1,2})(先生|女士|小姐)")
 _GENDER = {t: g for g, ts in TITLES.items() for t in ts} | {t: g for g, ts in HAN_TITLES.items() for t in ts}
-_KNOWN = {name: gender for (script, gender), names in GIVEN.items() if script != "han" for name in names}
+_GENDER |= {form(t): g for t, g in list(_GENDER.items()) for form in (str.upper, str.lower)}
+_TITLED = re.compile(rf"(?<!\w)({'|'.join(sorted(map(re.escape, _GENDER), key=len, reverse=True))})\.? (?=[^\W\d_])")
+#: The names after a title: initials and words, with particles between.
+_NAME = re.compile(rf"([^\W\d_]\.|{_WORD})(?:({_PARTICLES}) (?=[^\W\d_]))?")
+_KNOWN = {name: gender for gender, names in KNOWN_ONLY.items() for name in names} | {name: gender for (script, gender), names in GIVEN.items() if script != "han" for name in names}
 
 
 def script_of(word: str) -> str:
@@ -105,21 +129,35 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if c.isdigit())
 
 
+def _titled(text: str, start: int) -> list[re.Match]:
+    """The capitalised words, three at most, that stand after a title: all in capitals or none, initials apart."""
+    names: list[re.Match] = []
+    at = start
+    while len(names) < 3 and (m := _NAME.match(text, at)):
+        word = m[1]
+        if not word[0].isupper() or (word.rstrip(".") in _GENDER and word.rstrip(".").lower() not in ("don", "miss", "sir")):
+            break
+        long = [n for n in names if len(n[1].rstrip(".")) > 1]
+        if long and len(word.rstrip(".")) > 1 and word.isupper() != long[0][1].isupper():
+            break
+        names.append(m)
+        if m[2] is None:
+            break
+        at = m.end()
+    return names
+
+
 def _named(text: str, out: list) -> None:
     words = set(text.split())
-    if any(w.rstrip(".") in _GENDER for w in words if w[:1].isupper() or w[:2] == "г-"):
+    if any(w.rstrip(".").lstrip("(\"'„“«") in _GENDER for w in words):
         for m in _TITLED.finditer(text):
-            gender, first, second = _GENDER[m[1]], m[3], m[5]
-            if not first[0].isupper():
-                continue
-            if second and second[0].isupper() and not second.isupper() == first.islower():
-                known = _KNOWN.get(first.title(), gender)
-                out.append((f"given_{known}", f"{script_of(first)}:{_fold(first)}", m.start(3), m.end(3)))
-                out.append(("family", f"{script_of(second)}:{_fold(second)}", m.start(5), m.end(5)))
-            elif first.title() in _KNOWN:
-                out.append((f"given_{_KNOWN[first.title()]}", f"{script_of(first)}:{_fold(first)}", m.start(3), m.end(3)))
-            else:
-                out.append(("family", f"{script_of(first)}:{_fold(first)}", m.start(3), m.end(3)))
+            names = _titled(text, m.end())
+            for i, n in enumerate(names):
+                word = n[1].rstrip(".")
+                # of several names the last is the family's; one alone is too, unless it is a known given name
+                known = _KNOWN.get(word.title())
+                kind = "family" if (i == len(names) - 1 and (i or not known)) else f"given_{known or _GENDER[m[1]]}"
+                out.append((kind, f"{script_of(word)}:{_fold(word)}", n.start(1), n.start(1) + len(word)))
     if not words.isdisjoint(_KNOWN):
         for m in _PAIR.finditer(text):
             for pair in (m, _PAIR.match(text, m.start(2))):  # the second word may begin the next pair
@@ -136,6 +174,15 @@ def _fold(word: str) -> str:
     return unicodedata.normalize("NFC", word).casefold()
 
 
+def _national(phone: str) -> str:
+    """A telephone number's digits without country code and trunk zero."""
+    digits = _digits(phone)
+    if phone.startswith("+"):
+        code = next((c for c in _COUNTRIES if digits.startswith(c) and len(digits) - len(c) >= 7), "")
+        digits = digits[len(code):]
+    return digits[1:] if digits.startswith("0") and len(digits) > 7 else digits
+
+
 def mentions(text: str | None) -> list[tuple[str, str, int, int]]:
     """(kind, normal form, start, end) of the entities of a whole text, apart from each other."""
     found: list[tuple[str, str, int, int]] = []
@@ -170,7 +217,7 @@ def mentions(text: str | None) -> list[tuple[str, str, int, int]]:
         found += [("ssn", _digits(m[0]), m.start(), m.end()) for m in _SSN.finditer(text)]
         for m in _PHONE.finditer(text):
             if 7 <= len(_digits(m[0])) <= 15:
-                found.append(("phone", _digits(m[0]), m.start(), m.end()))
+                found.append(("phone", _national(m[0]), m.start(), m.end()))
     _named(text, found)
     apart, end = [], 0
     for x in sorted(set(found), key=lambda x: (x[2], -x[3], x[0])):
@@ -218,9 +265,10 @@ def surrogate(kind: str, normal: str, attempt: int, key: bytes) -> str:
         local, _, domain = normal.partition("@")
         host, _, top = domain.rpartition(".")
         return d.like(local) + (str(d.below(10 ** (attempt - 2))) if attempt > 3 else "") + "@" + d.like(host) + "." + top
-    if kind == "ip4":
+    grown = "".join(str(d.below(10)) for _ in range(attempt // 32))  # a format that is full gives longer surrogates
+    if kind == "ip4" and not grown:
         return ".".join(str(1 + d.below(254)) for _ in range(4))
-    if kind == "ip6":
+    if kind in ("ip4", "ip6"):
         return ":".join(f"{d.below(1 << 16):04x}" for _ in range(8))
     if kind == "iban":
         body = "".join(str(d.below(10)) if c.isdigit() else chr(65 + d.below(26)) for c in normal[4:])
@@ -229,12 +277,15 @@ def surrogate(kind: str, normal: str, attempt: int, key: bytes) -> str:
     if kind in ("card", "account"):
         body = str(1 + d.below(9)) + "".join(str(d.below(10)) for _ in range(len(normal) - 2))
         check = next(c for c in "0123456789" if luhn(body + c))
+        if grown:
+            body += grown
+            check = next(c for c in "0123456789" if luhn(body + c))
         return body + (check if kind == "card" else str((int(check) + 1 + d.below(9)) % 10))
     if kind == "phone":
         keep = min(len(normal) - 6, 3) if len(normal) > 10 else 0
-        return normal[:keep] + "".join(str(d.below(10)) for _ in range(len(normal) - keep))
+        return normal[:keep] + "".join(str(d.below(10)) for _ in range(len(normal) - keep)) + grown
     if kind == "ssn":
-        return f"{1 + d.below(899):03d}{1 + d.below(99):02d}{1 + d.below(9999):04d}"
+        return f"{1 + d.below(899):03d}{1 + d.below(99):02d}{1 + d.below(9999):04d}" + grown
     script, _, _ = normal.partition(":")
     if kind == "family":
         parts = [d.of(SYLLABLES[script]) for _ in range(1 if script == "han" and not attempt else 2 + attempt // 4)]
@@ -249,12 +300,14 @@ def surrogate(kind: str, normal: str, attempt: int, key: bytes) -> str:
 def render(kind: str, mention: str, drawn: str) -> str:
     """The surrogate in the format of a mention: its grouping, case and spelling."""
     if kind in ("card", "account", "phone", "ssn"):
-        it = iter(drawn)
-        return "".join(next(it, "") if c.isdigit() else c for c in mention)
+        # a country code and a trunk zero stay
+        keep = max(0, len(_digits(mention)) - len(_national(mention))) if kind == "phone" else 0
+        it = iter(_digits(mention)[:keep] + drawn)
+        return "".join(next(it, "") if c.isdigit() else c for c in mention) + "".join(it)
     if kind == "iban":
         it = iter(drawn)
         return "".join(next(it, "") if c != " " else c for c in mention)
-    if kind == "ip6":
+    if kind == "ip6" or ":" in drawn and kind == "ip4":
         short = ipaddress.IPv6Address(drawn).compressed
         return short.upper() if any(c.isupper() for c in mention) else short
     name = drawn.partition(":")[2] if kind in NAME_KINDS else drawn
@@ -294,27 +347,36 @@ def surrogate_map(entities: DataFrame, key: bytes) -> DataFrame:
             drawn = [surrogate(k, n, a, key) for k, n, a in zip(*(batch.column(i).to_pylist() for i in range(3)))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(drawn, pa.string())], names=["kind", "normal", "attempt", "drawn"])
 
+    # names of all genders are drawn apart from each other, whatever kind they have
+    pool = lambda kind: F.when(F.startswith(kind, F.lit("given_")), F.lit("given")).otherwise(kind).alias("pool")
     originals = saved(entities.select("kind", "normal").distinct(), "entities")
+    real = originals.select(pool(F.col("kind")), F.col("normal").alias("drawn")).distinct()
     open_, kept = originals.withColumn("attempt", F.lit(0)), None
-    for _ in range(64):
+    while True:
         cast = saved(open_.mapInArrow(run, "kind string, normal string, attempt int, drawn string"), "drawn")
-        real = originals.select("kind", F.col("normal").alias("drawn"))
-        free = cast.join(real, ["kind", "drawn"], "left_anti")
+        free = cast.withColumn("pool", pool(F.col("kind"))).join(real, ["pool", "drawn"], "left_anti")
         if kept is not None:
-            free = free.join(kept.select("kind", "drawn"), ["kind", "drawn"], "left_anti")
-        won = saved(free.groupBy("kind", "drawn").agg(F.min("normal").alias("normal")).select("kind", "normal", "drawn"), "kept")
+            free = free.join(kept.select(pool(F.col("kind")), "drawn"), ["pool", "drawn"], "left_anti")
+        winner = F.min(F.struct("kind", "normal")).alias("w")
+        won = saved(free.groupBy("pool", "drawn").agg(winner).select("w.kind", "w.normal", "drawn"), "kept")
         kept = won if kept is None else kept.unionByName(won)
         open_ = saved(cast.join(won.select("kind", "normal"), ["kind", "normal"], "left_anti")
                       .select("kind", "normal", (F.col("attempt") + 1).alias("attempt")), "collided")
-        if open_.isEmpty():
+        if open_.isEmpty():  # in the end surrogates grow, so all find one
             return kept
-    raise ValueError("a kind has more distinct entities than surrogates of its format")
+
+
+def with_gender(each: DataFrame) -> DataFrame:
+    """Mentions whose neutral given names have the gender that the same name has elsewhere in the corpus (of two, the first)."""
+    known = saved(each.filter("kind IN ('given_f', 'given_m')").groupBy("normal").agg(F.min("kind").alias("as_kind")), "genders")
+    met = join_measured(each, known, ["normal"], "left", F.lit(96))
+    return met.withColumn("kind", F.when(F.col("kind") == "given_n", F.coalesce("as_kind", "kind")).otherwise(F.col("kind"))).drop("as_kind")
 
 
 def replacements(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """(k1, k2, spans): what is replaced in every text that has entities."""
     found = saved(mention_table(docs, text), "mentions")
-    each = found.select("k1", "k2", F.explode("mentions").alias("m")).select("k1", "k2", "m.*")
+    each = with_gender(found.select("k1", "k2", F.explode("mentions").alias("m")).select("k1", "k2", "m.*"))
     drawn = saved(surrogate_map(each, key), "surrogates")
     met = each.join(drawn, ["kind", "normal"])
     return saved(met.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", "end", "kind", "drawn"))).alias("spans")), "spans")
