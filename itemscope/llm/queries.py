@@ -70,12 +70,17 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (f &
 
 @query
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Eight shards by key, and where every row would be with nine."""
+    """Eight shards by key, and where every row would be with nine: both versions of the map are
+    stored and read back, and every row carries the bytes of its virtual slot."""
     items = saved(sharding.entries(table(spark, sf_dir, "documents")), "shard-entries")
+    maps = shared_path(spark, "shard-maps")
     eight = sharding.first_map(spark, 8)
-    rows = sharding.place(items, eight, sharding.grown(eight, 8))
+    sharding.save_map(eight, maps)
+    sharding.save_map(sharding.grown(eight, 8), maps)
+    loads = saved(sharding.slot_loads(items), "slot-loads")
+    rows = sharding.place(items, sharding.load_map(spark, maps, 8), sharding.load_map(spark, maps, 9), loads)
     return rows.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot",
-                       "grown_shard", "virtual_slot", "map_version")
+                       "grown_shard", "virtual_slot", "map_version", "slot_bytes")
 
 
 # --- 5 BPE encoding and decoding ------------------------------------------------------------

@@ -7,13 +7,13 @@ edited slots move. The byte load of every slot is aggregated, and
 ``rebalanced`` edits the map by it.
 
 Plan: rows are reduced to (slot, key, size, crc) and counted, so repeated rows
-meet as one; one shuffle brings a slot's entries together to number them. A
-slot holds about 1/SLOTS of the keys; rows without a key are spread by
-their content. Slot loads and maps have SLOTS rows, whatever the input.
+meet as one; a slot's entries are numbered in ``PARTS`` parts by content, so a key that
+holds a third of all rows is numbered by many tasks. Copies are written out from their count, in stretches of
+at most ``STRETCH`` that spread over tasks where there are more. Slot loads and maps have SLOTS rows, whatever the input.
 
 Defined results: a null text has size 1 and the checksum of no bytes; rows
 with a null key are placed by (size, checksum); equal rows get distinct places;
-an empty table gives no rows, and a map does not depend on the data unless
+texts of any length are only measured; other columns are ignored, whatever their names; an empty table gives no rows, and a map does not depend on the data unless
 ``rebalanced`` is asked for.
 """
 
@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLOTS = 8192
+#: Parts of a slot that are numbered apart; copies of a row that one task writes out.
+PARTS, STRETCH = 256, 1 << 16
 
 
 def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame:
@@ -107,17 +109,26 @@ def entries(docs: DataFrame, key: str = "doc_id", text: str = "text", slots: int
     return rows.groupBy(slot.alias("slot"), "key", "size", "text_crc32").agg(F.count(F.lit(1)).alias("copies"))
 
 
-def place(items: DataFrame, slot_map: DataFrame, grown_map: DataFrame) -> DataFrame:
-    """Every record's shard and its place there, gapless from 0.
+def place(items: DataFrame, slot_map: DataFrame, grown_map: DataFrame, loads: DataFrame | None = None, stretch: int = STRETCH) -> DataFrame:
+    """Every record's shard and its place there, gapless from 0; with ``loads`` also the bytes of its virtual slot.
 
-    A slot starts where the slots before it in its shard end; inside a slot
+    A part of a slot starts where the slots and parts before it in its shard end; inside a part
     entries are ordered by (key, size, checksum), copies of a row side by side."""
-    loads = items.groupBy("slot").agg(F.sum("copies").alias("records"))
-    before = Window.partitionBy("shard").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = slot_map.join(loads, "slot").join(grown_map.select("slot", F.col("shard").alias("grown_shard")), "slot") \
-        .select("slot", "version", "shard", "grown_shard", F.coalesce(F.sum("records").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy("slot").orderBy("key", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
-    rows = items.withColumn("_before", F.coalesce(F.sum("copies").over(inside), F.lit(0))).join(starts, "slot")
-    first = F.col("_start") + F.col("_before")
-    return rows.select("key", "size", "text_crc32", "shard", F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("slot"),
-                       "grown_shard", F.col("slot").alias("virtual_slot"), F.col("version").alias("map_version"))
+    items = items.withColumn("_part", F.pmod(F.xxhash64("size", "text_crc32", F.lit(3)), F.lit(PARTS)).cast("int"))
+    held = items.groupBy("slot", "_part").agg(F.sum("copies").alias("records"))
+    before = Window.partitionBy("shard").orderBy("slot", "_part").rowsBetween(Window.unboundedPreceding, -1)
+    known = slot_map.join(grown_map.select("slot", F.col("shard").alias("grown_shard")), "slot")
+    if loads is not None:
+        known = known.join(loads.select("slot", F.col("bytes").alias("slot_bytes")), "slot")
+    starts = held.join(F.broadcast(known), "slot").withColumn("_start", F.coalesce(F.sum("records").over(before), F.lit(0))).drop("records")
+    inside = Window.partitionBy("slot", "_part").orderBy("key", "size", "text_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    rows = items.withColumn("_before", F.coalesce(F.sum("copies").over(inside), F.lit(0))).join(starts, ["slot", "_part"])
+    rows = rows.withColumn("_first", F.col("_start") + F.col("_before")).withColumn("_end", F.col("_first") + F.col("copies"))
+    few = rows.filter(F.col("copies") <= stretch)
+    cuts = rows.filter(F.col("copies") > stretch).withColumn(
+        "_first", F.explode(F.sequence(F.col("_first"), F.col("_end") - 1, F.lit(stretch).cast("bigint"))))
+    many = cuts.withColumn("_end", F.least(F.col("_end"), F.col("_first") + stretch)).repartition("slot", "_first")
+    extra = ["slot_bytes"] if loads is not None else []
+    return few.unionByName(many).select(
+        "key", "size", "text_crc32", "shard", F.explode(F.sequence(F.col("_first"), F.col("_end") - 1)).alias("place"), "grown_shard",
+        F.col("slot").alias("virtual_slot"), F.col("version").alias("map_version"), *extra).withColumnRenamed("place", "slot")

@@ -3,6 +3,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+import xxhash
+
 from itemscope.llm import sharding
 
 
@@ -66,3 +68,51 @@ def test_empty_table(spark):
     assert _place(spark, []) == []
     loads = sharding.slot_loads(sharding.entries(spark.createDataFrame([], "doc_id bigint, text string")), 16)
     assert loads.count() == 16 and loads.selectExpr("sum(bytes)").first()[0] == 0
+
+
+def test_copies_are_written_in_stretches(spark):
+    rows = [(1, "same")] * 70 + [(2, "x")] * 3 + [(7, f"text {i}") for i in range(50)]  # one key, many texts
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    m = sharding.first_map(spark, 8)
+    got = sharding.place(sharding.entries(df), m, sharding.grown(m, 8), stretch=16).collect()
+    assert len(got) == len(rows)
+    places = defaultdict(list)
+    for r in got:
+        places[r.shard].append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def _xx(data, seed):
+    return xxhash.xxh64_intdigest(data, seed)
+
+
+def _brute_map(shards, slots=8192):
+    """slot -> shard by the growing rule, in plain Python."""
+    owner = [0] * slots
+    for n in range(1, shards):
+        rank = {s: _xx(n.to_bytes(4, "little"), _xx(s.to_bytes(4, "little"), 42)) for s in range(slots)}
+        signed = lambda h: h - (1 << 64) if h >> 63 else h
+        for shard in range(n):
+            own = sorted((s for s in range(slots) if owner[s] == shard), key=lambda s: (signed(rank[s]), s))
+            for i, s in enumerate(own, 1):
+                if i * (n + 1) <= len(own):
+                    owner[s] = n
+    return owner
+
+
+def test_query_against_brute_force(spark):
+    from itemscope.llm.queries import QUERIES
+    sf = "/root/testdata/sf0.001"
+    docs = [(d.doc_id, (d.text or "").encode()) for d in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    got = QUERIES["op8_sharding"](spark, sf).collect()
+    eight, nine = _brute_map(8), _brute_map(9)
+    virtual = lambda i: (h - (1 << 64) if (h := _xx(i.to_bytes(8, "little"), 42)) >> 63 else h) % 8192
+    held = Counter()
+    for i, t in docs:
+        held[virtual(i)] += len(t) + 1
+    want = Counter((i, len(t) + 1, zlib.crc32(t), "key", eight[virtual(i)], nine[virtual(i)], virtual(i), held[virtual(i)]) for i, t in docs)
+    assert Counter((r.doc_id, r.size, r.text_crc32, r.law, r.shard, r.grown_shard, r.virtual_slot, r.slot_bytes) for r in got) == want
+    places = defaultdict(list)
+    for r in got:
+        places[r.shard].append(r.slot)
+    assert all(sorted(p) == list(range(len(p))) for p in places.values()) and {r.map_version for r in got} == {8}
