@@ -151,12 +151,14 @@ def signatures(lines: list[str]) -> np.ndarray:
         np.minimum.at(sig.reshape(-1), owner + bins, (h >> np.uint64(32)).astype(np.uint32))
         sig = sig[:-1]
         first = sig.copy()
+        row, col = np.nonzero(sig == _EMPTY)
         for order in _BORROW:
-            row, col = np.nonzero(sig == _EMPTY)
             if not len(row):
                 break
-            sig[row, col] = first[row, order[col]]
-        row, col = np.nonzero(sig == _EMPTY)
+            lent = first[row, order[col]]
+            sig[row, col] = lent
+            short = lent == _EMPTY
+            row, col = row[short], col[short]
         sig[row, col] = first.min(axis=1)[row]
         out.append(sig)
     return np.concatenate(out) if out else np.zeros((0, size), dtype=np.uint32)
