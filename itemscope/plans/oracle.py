@@ -509,13 +509,36 @@ _NUMERIC_CELLS = """
 ORACLE["numeric_features_long"] = with_ctes(f"SELECT movieId, feature, {rnd('value', 'value')} FROM ({_NUMERIC_CELLS}) x",
                                             ["ratings_clean", "item_genres", "tags_clean"])
 
+ORACLE["category_vectors"] = with_ctes("""
+SELECT c.movieId, '[' || string_agg(CAST(v.idx AS VARCHAR), ',' ORDER BY v.idx) || ']' AS indices,
+       '[' || string_agg(CAST(c.n AS VARCHAR), ',' ORDER BY v.idx) || ']' AS "values"
+FROM (SELECT movieId, genre, count(*) AS n FROM item_genres GROUP BY movieId, genre) c
+JOIN (SELECT genre, row_number() OVER (ORDER BY genre) - 1 AS idx FROM (SELECT DISTINCT genre FROM item_genres) g) v ON c.genre = v.genre
+GROUP BY c.movieId""", ["item_genres"])
+
+ORACLE["numeric_feature_vectors"] = with_ctes(f"""
+SELECT c.movieId, CAST(v.idx AS INTEGER) AS idx, c.feature, {rnd('c.value', 'value')}
+FROM numeric_cells c
+JOIN (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS idx FROM (SELECT DISTINCT feature FROM numeric_cells) f) v ON c.feature = v.feature""",
+                                              ["ratings_clean", "item_genres", "tags_clean", "numeric_cells"], {"numeric_cells": _NUMERIC_CELLS})
+
+_PAIRS = """(VALUES ('rating_count_log', 'avg_rating_z', 'redundancy'), ('genre_count_log', 'rating_count_log', 'redundancy'),
+             ('genre_count_log', 'unique_tag_count_log', 'diversity')) p(feature_a, feature_b, "check")"""
 ORACLE["redundancy_correlation"] = with_ctes(f"""
 SELECT p.feature_a, p.feature_b, p."check", {rnd('corr(a.value, b.value)', 'correlation')}
-FROM (VALUES ('rating_count_log', 'avg_rating_z', 'redundancy'), ('genre_count_log', 'rating_count_log', 'redundancy'),
-             ('genre_count_log', 'unique_tag_count_log', 'diversity')) p(feature_a, feature_b, "check")
+FROM {_PAIRS}
 JOIN full_long a ON a.feature = p.feature_a JOIN full_long b ON b.feature = p.feature_b AND a.movieId = b.movieId
 GROUP BY p.feature_a, p.feature_b, p."check" """, _FULL_NEEDS, _FULL)
 
+ORACLE["redundancy_check"] = with_ctes(f"""
+SELECT feature_a, feature_b, "check", {rnd('r', 'correlation')},
+       CASE WHEN "check" = 'diversity' THEN CASE WHEN abs(r) > 0.6 THEN 'potentially redundant' ELSE 'diverse signals' END
+            WHEN abs(r) > 0.7 THEN 'highly correlated' WHEN abs(r) > 0.5 THEN 'moderately correlated' ELSE 'independent' END AS label,
+       CAST(0.0 AS DOUBLE) AS angle_residual
+FROM (SELECT p.feature_a, p.feature_b, p."check", corr(a.value, b.value) AS r FROM {_PAIRS}
+      JOIN full_long a ON a.feature = p.feature_a JOIN full_long b ON b.feature = p.feature_b AND a.movieId = b.movieId
+      GROUP BY p.feature_a, p.feature_b, p."check") x""", _FULL_NEEDS, _FULL)
+
 ORACLE["scatter_sample_by_md5"] = with_ctes(f"""
 SELECT movieId, {rnd('ln(1 + n)', 'rating_count')} FROM (
   SELECT movieId, CAST(count(*) AS DOUBLE) AS n FROM ratings_clean GROUP BY movieId

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from itemscope.operators import encoded as EN
 from itemscope.operators import features as FE
 from itemscope.plans.context import Tables
 from itemscope.plans.present import present
@@ -622,9 +623,7 @@ def category_counts_long(t: Tables) -> DataFrame:
     return group_count(t.item_genres, ["movieId", "genre"], "n")
 
 
-@query("numeric_features_long")
-def numeric_features_long(t: Tables) -> DataFrame:
-    """F5 in long form: (item, feature, value) of rated items, zero counts left out."""
+def _numeric_cells(t: Tables) -> DataFrame:
     stats = FE.rating_stats_script(t.ratings_clean)
     names = [c for c in stats.columns if c != "movieId"]
     cells = stats.select("movieId", F.explode(F.array(*[
@@ -636,6 +635,44 @@ def numeric_features_long(t: Tables) -> DataFrame:
     return cells.unionByName(counts.unionByName(tags).join(stats.select("movieId"), "movieId", "left_semi"))
 
 
+@query("numeric_features_long")
+def numeric_features_long(t: Tables) -> DataFrame:
+    """F5 in long form: (item, feature, value) of rated items, zero counts left out."""
+    return _numeric_cells(t)
+
+
+@query("category_vectors")
+def category_vectors(t: Tables) -> DataFrame:
+    """A12/F1 without a collected vocabulary: an item's category counts as one encoded vector."""
+    cells = t.item_genres.groupBy("movieId", "genre").agg(F.count(F.lit(1)).alias("n"))
+    return EN.encoded_vectors(cells, EN.vocabulary(cells, "genre"), "movieId", "genre", "n")
+
+
+@query("numeric_feature_vectors")
+def numeric_feature_vectors(t: Tables) -> DataFrame:
+    """F5 without a collected vocabulary: the encoded vectors of rated items, decoded through the vocabulary table."""
+    cells = _numeric_cells(t).checkpoint()
+    vocab = EN.vocabulary(cells)
+    return EN.decoded(EN.encoded_vectors(cells, vocab, "movieId"), vocab, "movieId")
+
+
+@query("redundancy_check")
+def redundancy_check(t: Tables) -> DataFrame:
+    """M15 (X19, X20): correlation and label; the angle is held against the difference of the
+    loadings' directions, taken by atan2, and the residual is 0."""
+    _, fit = _notebook_pca(t)
+    loads = DC.loadings_long(t.spark, fit, 2).groupBy("feature").agg(
+        *[F.sum(F.when(F.col("component") == c, F.col("loading"))).alias(c) for c in ("pc1", "pc2")])
+    way = loads.select("feature", F.degrees(F.atan2("pc2", "pc1")).alias("way"))
+    found = DC.feature_redundancy(t.spark, fit)
+    for side in ("a", "b"):
+        found = found.join(way.select(F.col("feature").alias(f"feature_{side}"), F.col("way").alias(f"way_{side}")), f"feature_{side}")
+    turn = F.abs(F.col("way_a") - F.col("way_b"))
+    between = F.when(turn > 180, 360 - turn).otherwise(turn)
+    return found.select("feature_a", "feature_b", "check", "correlation", "label",
+                        F.round(F.abs(F.col("angle_deg") - between), 1).alias("angle_residual"))
+
+
 @query("redundancy_correlation")
 def redundancy_correlation(t: Tables) -> DataFrame:
     """The correlation part of the redundancy check."""

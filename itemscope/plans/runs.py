@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from itemscope.operators import reports as RP
 from itemscope.operators import svd as SV
 from itemscope.operators import text as TX
 from itemscope.roles import DEFAULT_ROLES, RAW_SCHEMAS, Roles, first_available
-from itemscope.session import prepare
+from itemscope.session import ensure_checkpoint_dir, prepare
 from itemscope.sources import readers as RD
 from itemscope.sources import writers as WR
 
@@ -32,25 +34,42 @@ def clean_run(spark: SparkSession, inputs: dict[str, str], out: str, guard: str
 
     Cells are read as text and cast leniently, so a bad cell drops its row instead
     of failing the run. With ``guard="raise"`` duplicate keys end the run before
-    anything is written; with ``"report"`` they are only counted. ``decisions`` go
-    into the report as the caller words them."""
+    anything is written under ``out``; with ``"report"`` they are only counted. ``decisions`` go
+    into the report as the caller words them.
+
+    Every CSV is parsed once and every cleaning rule evaluated once: raw and cleaned rows are
+    landed as parquet in a folder of this run under ``spark.checkpoint.dir``, guards and counts read
+    only the columns they need there, and publishing copies the landed rows, sorted inside files.
+    The folder is removed when the run ends, also by an error."""
     prepare(spark)
     RD.preflight(spark, inputs)
-    raw = {role: RD.read_csv_text(spark, inputs[role], RAW_SCHEMAS[role].fieldNames()) for role in ("movies", "ratings", "tags", "links")}
-    catalog = CL.clean_catalog(raw["movies"], raw["links"], guard=guard)
-    ratings = CL.clean_interactions(raw["ratings"], guard=guard)
-    tags = CL.clean_tags(raw["tags"])
-    tables = dict(zip(CLEANED, (catalog, ratings, tags, CL.item_categories(catalog))))
-    sort = {"movies_catalog": ["movieId"], "ratings_clean": ["userId", "movieId"], "tags_clean": ["movieId", "userId"], "movie_genres": ["movieId"]}
-    for name, df in tables.items():
-        WR.write_table(df, f"{out}/{name}", sort_by=sort[name])
-    stored = {name: RD.read_parquet(spark, f"{out}/{name}") for name in CLEANED}
-    WR.write_report_csv(PR.processed_dictionary(stored), f"{out}/processed_dictionary", sort_by=["table", "column"], files=1)
-    sizes = RD.input_sizes(spark, {role: [path] for role, path in inputs.items()})
-    shapes = PR.table_shapes(raw).join(sizes, "table").select("table", "rows", "size_mb")
-    clean = {"catalog": stored["movies_catalog"], "ratings_clean": stored["ratings_clean"], "tags_clean": stored["tags_clean"]}
-    WR.write_report_json(RP.cleaning_report(spark, shapes, PR.rows_before_after(raw, clean), PR.orphan_check(clean),
-                                            list(CLEANED), list(decisions)), f"{out}/cleaning_report")
+    stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/clean-run-{uuid.uuid4().hex}"
+
+    def landed(df: DataFrame, name: str) -> DataFrame:
+        WR.write_table(df, f"{stage}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{stage}/{name}")
+
+    try:
+        raw = {role: landed(RD.read_csv_text(spark, inputs[role], RAW_SCHEMAS[role].fieldNames()), f"raw/{role}")
+               for role in ("movies", "ratings", "tags", "links")}
+        catalog = landed(CL.clean_catalog(raw["movies"], raw["links"]), "movies_catalog")
+        CL.uniqueness_guard(catalog, ["movieId"], "catalog", guard)
+        ratings = landed(CL.clean_interactions(raw["ratings"]), "ratings_clean")
+        CL.uniqueness_guard(ratings, ["userId", "movieId"], "interactions", guard)
+        tags = landed(CL.clean_tags(raw["tags"]), "tags_clean")
+        tables = dict(zip(CLEANED, (catalog, ratings, tags, CL.item_categories(catalog))))
+        sort = {"movies_catalog": ["movieId"], "ratings_clean": ["userId", "movieId"], "tags_clean": ["movieId", "userId"], "movie_genres": ["movieId"]}
+        for name, df in tables.items():
+            WR.write_table(df, f"{out}/{name}", sort_by=sort[name])
+        stored = {name: RD.read_parquet(spark, f"{out}/{name}") for name in CLEANED}
+        WR.write_report_csv(PR.processed_dictionary(stored), f"{out}/processed_dictionary", sort_by=["table", "column"], files=1)
+        sizes = RD.input_sizes(spark, {role: [path] for role, path in inputs.items()})
+        shapes = PR.table_shapes(raw).join(sizes, "table").select("table", "rows", "size_mb")
+        clean = {"catalog": stored["movies_catalog"], "ratings_clean": stored["ratings_clean"], "tags_clean": stored["tags_clean"]}
+        WR.write_report_json(RP.cleaning_report(spark, shapes, PR.rows_before_after(raw, clean), PR.orphan_check(clean),
+                                                list(CLEANED), list(decisions)), f"{out}/cleaning_report")
+    finally:
+        RD.remove_folder(spark, stage)
     return stored
 
 

@@ -58,6 +58,12 @@ def preflight(spark: SparkSession, paths: dict[str, str]) -> None:
         raise FileNotFoundError("Missing expected tables: " + ", ".join(missing))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller itself wrote; a missing one is no error."""
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def path_size_bytes(spark: SparkSession, path: str) -> int:
     """Total bytes under a file or folder (file-system metadata)."""
     fs, p = _fs_path(spark, path)

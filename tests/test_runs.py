@@ -10,6 +10,7 @@ from itemscope.operators.clean import DuplicateKeyError
 from itemscope.plans import runs
 from itemscope.plans.context import Tables
 from itemscope.roles import RAW_SCHEMAS, first_available
+from itemscope.session import ensure_checkpoint_dir
 
 from conftest import SF001
 
@@ -64,6 +65,37 @@ def test_guard_raises_before_anything_is_written(spark, raw, tmp_path):
         runs.clean_run(spark, {**raw, "links": str(tmp_path / "none")}, str(tmp_path / "out2"))
 
 
+def test_every_csv_is_parsed_once_and_the_landing_folder_goes(spark, raw, tmp_path, monkeypatch):
+    read, seen = runs.RD.read_csv_text, {}
+
+    def counting(session, path, columns):
+        seen[path] = session.sparkContext.accumulator(0)
+        passed = seen[path]
+
+        def run(batches):
+            for batch in batches:
+                passed.add(batch.num_rows)
+                yield batch
+
+        df = read(session, path, columns)
+        return df.mapInArrow(run, df.schema)
+
+    folder = ensure_checkpoint_dir(spark)
+    here = folder.removeprefix("file:")
+    before = set(os.listdir(here))
+    rows = {path: spark.read.option("header", True).option("escape", '"').csv(path).count() for path in raw.values()}
+    monkeypatch.setattr(runs.RD, "read_csv_text", counting)
+    runs.clean_run(spark, raw, str(tmp_path / "out"))
+    assert {path: n.value for path, n in seen.items()} == rows
+    assert not [x for x in set(os.listdir(here)) - before if x.startswith("clean-run")]
+    twice = str(tmp_path / "ratings")
+    df = spark.read.option("header", True).csv(raw["ratings"])
+    df.union(df.limit(1)).write.option("header", True).csv(twice)
+    with pytest.raises(DuplicateKeyError):
+        runs.clean_run(spark, {**raw, "ratings": twice}, str(tmp_path / "out2"))
+    assert not [x for x in set(os.listdir(here)) - before if x.startswith("clean-run")]
+
+
 def test_features_run(spark, cleaned, tmp_path):
     _, tables = cleaned
     out = str(tmp_path / "features")
