@@ -3,7 +3,7 @@ built from bounded profile results and written with ``write_report_json``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemscope.sources.writers import nest
@@ -47,6 +47,21 @@ def profile_report(spark: SparkSession, shapes: DataFrame, missing_nonzero: Data
     ])
 
 
+def profile_sections(shapes: DataFrame, missing_nonzero: DataFrame, checks: DataFrame, coverage: DataFrame, scale: DataFrame,
+                     distribution: DataFrame, top_categories: DataFrame) -> dict[str, tuple[DataFrame, list[Column]]]:
+    """Q16 for ``write_report_rows``: the same results as rows, for scores with any number of values."""
+    return {
+        "table_shapes": (shapes, [F.desc("rows")]),
+        "recommended_table_usage": (table_usage(shapes.sparkSession), []),
+        "missing_columns_nonzero": (missing_nonzero, [F.desc("table"), F.desc("null_count")]),
+        "quality_checks": (checks, [F.asc("check")]),
+        "join_coverage": (coverage, []),
+        "scale_metrics": (scale, []),
+        "rating_distribution": (distribution, [F.asc(distribution.columns[0])]),
+        "top_genres": (top_categories, [F.desc("len")]),
+    }
+
+
 def cleaning_report(spark: SparkSession, inputs: DataFrame, row_changes: DataFrame, join_checks: DataFrame,
                     outputs: list[str], decisions: list[str] = ()) -> DataFrame:
     """Q15: inputs, row changes, join checks, and what the caller says it

@@ -5,9 +5,10 @@ Everything is written in parallel by the executors, at any size.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+
 def write_table(df: DataFrame, path: str, sort_by: list[str] | None = None, global_sort: bool = False,
                 mode: str = "overwrite") -> None:
     """Parquet. ``sort_by`` orders rows inside every file; ``global_sort``
@@ -32,6 +33,15 @@ def write_report_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_report_rows(sections: dict[str, tuple[DataFrame, list[Column]]], path: str) -> None:
+    """S9 for results of any length: every section becomes a folder ``path/<name>`` of JSON
+    lines, one a row, in the total order given (ties by all columns). Nothing is collected into a list;
+    rows are sorted by range, so no task holds a section."""
+    for name, (df, order) in sections.items():
+        ties = [F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})] if df.columns else []
+        df.orderBy(*order, *ties).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/{name}")
+
+
 def write_sparse_matrix(weights: DataFrame, vocab: DataFrame, path: str, id_col: str) -> None:
     """Non-zero entries (id, term_idx, weight) plus the vocabulary
     (term, term_idx); unlike a bare matrix file, every row keeps its item id."""

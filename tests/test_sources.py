@@ -59,3 +59,28 @@ def test_spread_before_explode(spark):
     for layout in (spark.range(1000).coalesce(1), spark.range(1000).repartition(13)):
         spread = FX.spread_before_explode(layout, "id")
         assert spread.rdd.getNumPartitions() == n and spread.count() == 1000
+
+
+def test_report_rows_of_any_length(spark, tmp_path):
+    from itemscope.operators import onepass as OP
+    from itemscope.operators import profile as PR
+    from itemscope.operators import reports as RP
+    from itemscope.plans.context import Tables
+    from itemscope.plans.queries import _raw
+    t = Tables(spark, SF001)
+    raw = _raw(t)
+    known = OP.facts(raw)
+    many = spark.range(20_000).select((F.col("id") * 7919 % 20_000 / 8).alias("rating"), F.when(F.col("id") > 5, F.col("id")).alias("n"))
+    sections = RP.profile_sections(OP.shapes(raw, known), OP.missing(raw, known).filter("null_count > 0"), OP.checks(known), OP.coverage(raw),
+                                   OP.scale(known), many, PR.top_categories_raw(t.movies, 15))
+    WR.write_report_rows(sections, str(tmp_path / "p"))
+    assert set(os.listdir(tmp_path / "p")) == set(sections)
+
+    def rows(name):
+        folder = tmp_path / "p" / name
+        return [json.loads(x) for f in sorted(os.listdir(folder)) if f.endswith(".json") for x in open(folder / f)]
+
+    ratings = [r["rating"] for r in rows("rating_distribution")]
+    assert len(ratings) == 20_000 and ratings == sorted(ratings) and sum(r["n"] is None for r in rows("rating_distribution")) == 6
+    sizes = [r["rows"] for r in rows("table_shapes")]
+    assert sizes == sorted(sizes, reverse=True) and len(rows("top_genres")) <= 15 and len(rows("scale_metrics")) == 1
