@@ -10,8 +10,8 @@ line) the first line stays: that of the smallest doc_id, then place.
 
 Plan: texts are read once for hashes and bands (written to the shared folder;
 a line repeated inside a batch emits its bands once), once for the texts of
-candidate lines only, once to drop lines. Bands shuffle as two numbers a row and
-are read as a sorted stream that lets through buckets of two lines or more.
+candidate lines only, once to drop lines. Bands shuffle packed, thousands of (band, line) pairs
+a row, by ranges of band keys; a task keeps one line a band and lets through buckets of two lines or more.
 Pairs are not emitted within a bucket: first every line meets the bucket's smallest
 line, which joins a group of copies at the cost of its size; then
 lines of one bucket that are still in different components are compared inside
@@ -56,6 +56,9 @@ BLOCK_CHARS = 600_000
 SIGNED_CHARS = 1 << 19
 #: Lines a task holds before it hands their rows on.
 HELD_LINES = 1 << 16
+#: (Band, line) pairs a task holds before it hands them on; pairs of a part, at most on average.
+HELD_PAIRS = 1 << 20
+PART_PAIRS = 1 << 19
 
 _NODE = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
 #: A shingle's hash is the sum of its characters times these odd numbers, mixed.
@@ -232,34 +235,82 @@ def line_table(docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHA
     return narrow.mapInArrow(run, schema)
 
 
-def shared_buckets(rows: DataFrame) -> DataFrame:
-    """The distinct (band, h1) rows whose band holds two lines or more.
+def packed_bands(table: DataFrame, parts: int) -> DataFrame:
+    """(part, pairs): the (band, h1) pairs of many lines as one binary value a part.
 
-    Rows come sorted by band alone; of the last band only the first line is held."""
+    A part is a range of band keys, so equal bands meet in one part; a row of the
+    shuffle carries thousands of pairs instead of one."""
+    held_pairs = HELD_PAIRS
+
+    def dealt(held):
+        keys, lines = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(keys.view(np.uint64))
+        pairs = np.stack([keys[order], lines[order]], axis=1)
+        part = (pairs[:, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        offsets = (np.r_[starts, len(pairs)] * 16).astype(np.int32)
+        data = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())])
+        return pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), data], names=["part", "pairs"])
 
     def run(batches):
-        held = np.zeros((0, 2), dtype=np.int64)      # a line of the last band
-        joined = False                               # whether another line of it was seen
+        held, count = [], 0
         for batch in batches:
-            x = np.stack([batch.column(0).to_numpy(), batch.column(1).to_numpy()], axis=1)
-            x = np.concatenate([held, x])
-            x = x[np.lexsort((x[:, 1], x[:, 0]))]
-            if not len(x):
-                continue
-            x = x[np.r_[True, (x[1:] != x[:-1]).any(axis=1)]]
-            # hashes sort by value here and rows arrive in the same order of bands, whatever their sign
-            same = x[1:, 0] == x[:-1, 0]
-            many = np.r_[False, same] | np.r_[same, False]
-            if joined and len(held):
-                many |= x[:, 0] == held[0, 0]
-            last = int(batch.column(0)[-1].as_py()) if batch.num_rows else int(held[0, 0])
-            own = x[:, 0] == last
-            joined = bool(many[own].any())
-            held = x[own][:1]
-            yield _pairs_batch(x[many], ["band", "h1"])
-
-    found = rows.repartition("band").sortWithinPartitions("band").mapInArrow(run, "band bigint, h1 bigint")
-    return found.dropDuplicates(["band", "h1"])
+            lists = batch.column(0)
+            keys = lists.flatten().to_numpy()
+            if len(keys):
+                held.append((keys, np.repeat(batch.column(1).to_numpy(), lists.value_lengths().to_numpy())))
+                count += len(keys)
+            if count >= held_pairs:
+                yield dealt(held)
+                held, count = [], 0
+        if held:
+            yield dealt(held)
+
+    return table.select("bands", "h1").mapInArrow(run, "part int, pairs binary")
+
+
+def shared_buckets(table: DataFrame) -> DataFrame:
+    """The distinct (band, h1) rows of lines whose band holds two lines or more.
+
+    A task keeps one line of each band of its part: as soon as a band has met a second
+    line, its rows are handed on and not kept, so a band that a third of all lines share
+    needs no more memory than any other. The number of parts follows the number of lines."""
+    parts = max(1, -(-table.count() * BANDS // PART_PAIRS))
+    held_pairs = HELD_PAIRS
+
+    def merged(state, held):
+        """The rows to hand on, and the new state: bands, a line of each, whether it was handed on."""
+        pairs = np.concatenate(held)
+        keys = np.concatenate([state[0], pairs[:, 0]])
+        own = np.concatenate([state[1], pairs[:, 1]])
+        given = np.r_[state[2], np.zeros(len(pairs), dtype=bool)]
+        order = np.argsort(keys, kind="stable")  # the line kept of a band comes first
+        keys, own, given = keys[order], own[order], given[order]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        times = np.diff(np.r_[starts, len(keys)])
+        many = np.logical_or.reduceat(given | (own != np.repeat(own[starts], times)), starts)
+        out = np.stack([keys, own], axis=1)[np.repeat(many, times) & ~given]
+        out = out[np.lexsort((out[:, 1], out[:, 0]))]
+        if len(out):
+            out = out[np.r_[True, (out[1:] != out[:-1]).any(axis=1)]]
+        return out, (keys[starts], own[starts], many)
+
+    def run(batches):
+        state = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool))
+        held, count = [], 0
+        for batch in batches:
+            for value in batch.column(0):
+                held.append(np.frombuffer(value.as_buffer(), dtype=np.int64).reshape(-1, 2).copy())
+                count += len(held[-1])
+                if count >= held_pairs:
+                    out, state = merged(state, held)
+                    held, count = [], 0
+                    yield _pairs_batch(out, ["band", "h1"])
+        if held:
+            yield _pairs_batch(merged(state, held)[0], ["band", "h1"])
+
+    dealt = packed_bands(table, parts).repartitionById(parts, "part").select("pairs")
+    return dealt.mapInArrow(run, "band bigint, h1 bigint").dropDuplicates(["band", "h1"])
 
 
 def _pairs_batch(x: np.ndarray, names: list[str]) -> pa.RecordBatch:
@@ -315,8 +366,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
 def line_components(docs: DataFrame, text: str, table: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root): the component of every line with a near-duplicate."""
-    emitted = table.filter(F.size("bands") > 0).select(F.explode("bands").alias("band"), "h1")
-    buckets = saved(shared_buckets(emitted), "buckets")
+    buckets = saved(shared_buckets(table), "buckets")
     texts = candidate_texts(docs, text, table, buckets)
     ends = buckets.groupBy("band").agg(F.min("h1").alias("a"))
     stars = buckets.join(ends, "band").filter("h1 <> a").select("a", F.col("h1").alias("b")).distinct()
@@ -354,37 +404,49 @@ def cross_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                         F.col("root.h1").alias("r1"), F.col("root.h2").alias("r2"), "line")
 
     def compared(group):
-        """group: (mine, root, line) rows, band, i and j alike."""
-        apart = len({g[0] for g in group}) > 1  # two blocks: only across them
-        sets = shingle_arrays([g[2] for g in group])
-        parent = {g[1]: g[1] for g in group}
-
-        def top(r):
-            while parent[r] != r:
-                parent[r] = r = parent[parent[r]]
-            return r
-
-        order = sorted(range(len(group)), key=lambda x: len(sets[x]))
-        for at, x in enumerate(order):
-            for y in order[at + 1:]:
-                if len(sets[x]) < similarity * len(sets[y]):
-                    break
-                if apart and group[x][0] == group[y][0]:
-                    continue
-                u, v = top(group[x][1]), top(group[y][1])
-                if u != v and similar(sets[x], sets[y], similarity):
-                    parent[u] = v
-                    yield group[x][1], group[y][1]
+        """group: (mine, root, shingles) rows, band, i and j alike. Every line meets all longer
+        ones at once: their shingles are numbered, and those a line has are marked and counted."""
+        group.sort(key=lambda g: len(g[2]))
+        mine = np.array([g[0] for g in group])
+        roots = list(dict.fromkeys(g[1] for g in group))
+        number = {r: k for k, r in enumerate(roots)}
+        root = np.array([number[g[1]] for g in group])
+        label = root.copy()
+        if len(roots) < 2:
+            return
+        sizes = np.array([len(g[2]) for g in group])
+        ends = np.cumsum(sizes)
+        names, flat = np.unique(np.concatenate([g[2] for g in group]), return_inverse=True)
+        marks = np.zeros(len(names), dtype=np.int32)
+        last = np.searchsorted(similarity * sizes, sizes, side="right")  # lines too long for this one
+        apart = len({*mine.tolist()}) > 1  # two blocks: only across them
+        for x in range(len(group) - 1):
+            lo, hi = x + 1, int(last[x])
+            open_ = label[lo:hi] != label[x]
+            if apart:
+                open_ &= mine[lo:hi] != mine[x]
+            if not open_.any():
+                continue
+            own = flat[ends[x] - sizes[x]:ends[x]]
+            marks[own] = 1
+            both = np.add.reduceat(marks[flat[ends[x]:ends[hi - 1]]], ends[x:hi - 1] - ends[x])
+            marks[own] = 0
+            for y in (lo + np.flatnonzero(open_ & (both >= similarity * (sizes[x] + sizes[lo:hi] - both)))).tolist():
+                if label[y] != label[x]:
+                    label[label == label[y]] = label[x]
+                    yield roots[root[x]], roots[root[y]]
 
     def run(batches):
         key, group = None, []
         for batch in batches:
             found = []
-            for band, i, j, mine, r1, r2, line in zip(*(c.to_pylist() for c in batch.columns)):
+            *others, lines = (c.to_pylist() for c in batch.columns)
+            sets = (x for part in _groups(lines) for x in shingle_arrays(part))
+            for band, i, j, mine, r1, r2, own in zip(*others, sets):
                 if (band, i, j) != key:
                     found += compared(group)
                     key, group = (band, i, j), []
-                group.append((mine, (r1, r2), line))
+                group.append((mine, (r1, r2), own))
             yield _links_batch(found)
         yield _links_batch(list(compared(group)))
 

@@ -186,3 +186,50 @@ def test_bands_find_the_near_pairs_of_all_lengths(shortest, longest):
 def test_near_is_the_exact_similarity(a, b, at_least):
     x, y = lines.shingles(a), lines.shingles(b)
     assert lines.near(a, b, at_least) == (len(x & y) >= at_least * len(x | y))
+
+
+@pytest.mark.parametrize("held, part", [(1 << 20, 1 << 19), (50, 90)])
+def test_shared_buckets_are_those_of_two_lines(spark, monkeypatch, held, part):
+    """Bands in any number of parts and steps: the same buckets, a hot band included."""
+    monkeypatch.setattr(lines, "HELD_PAIRS", held)
+    monkeypatch.setattr(lines, "PART_PAIRS", part)
+    rng = random.Random(21)
+    keys = [rng.randrange(-2 ** 63, 2 ** 63) for _ in range(300)]
+    rows = [(h, [keys[0], *rng.sample(keys[1:], rng.randint(0, 3))]) for h in rng.sample(range(-10 ** 9, 10 ** 9), 200)]
+    rows += rows[:50] + [(5, []), (6, [2 ** 63 - 1]), (6, [2 ** 63 - 1])]
+    df = spark.createDataFrame(rows, "h1 bigint, bands array<bigint>").repartition(3)
+    members = {}
+    for h, bands in rows:
+        for b in bands:
+            members.setdefault(b, set()).add(h)
+    want = sorted((b, h) for b, m in members.items() if len(m) > 1 for h in m)
+    assert sorted(map(tuple, lines.shared_buckets(df).collect())) == want
+    assert lines.shared_buckets(df.limit(0)).count() == 0
+
+
+def test_blocks_link_what_single_pairs_link(spark):
+    """The comparison of one line with all longer ones joins the components that pairs one by one join."""
+    rng = random.Random(22)
+    texts = []
+    for _ in range(12):
+        base = "".join(rng.choice("abcdefgh ") for _ in range(rng.choice([3, 20, 60])))
+        for _ in range(rng.randint(1, 5)):
+            at = rng.randrange(len(base))
+            texts.append(base[:at] + rng.choice("xyz") * rng.randint(0, 2) + base[at:])
+    texts = sorted(set(texts))
+    for m in (1, 3):
+        df = spark.createDataFrame([(1, m, (k, k), (k, k), t) for k, t in enumerate(texts)],
+                                   "band bigint, m int, node struct<h1: bigint, h2: bigint>, root struct<h1: bigint, h2: bigint>, line string")
+        parent = list(range(len(texts)))
+
+        def top(x):
+            return x if parent[x] == x else top(parent[x])
+        for r in lines.cross_links(df).collect():
+            assert lines.near(texts[r.a.h1], texts[r.b.h1])
+            parent[top(r.a.h1)] = top(r.b.h1)
+        got = {frozenset(k for k in range(len(texts)) if top(k) == r) for r in range(len(texts))} - {frozenset()}
+        parent = list(range(len(texts)))
+        for a, b in itertools.combinations(range(len(texts)), 2):
+            if lines.near(texts[a], texts[b]):
+                parent[top(a)] = top(b)
+        assert got == {frozenset(k for k in range(len(texts)) if top(k) == r) for r in range(len(texts))} - {frozenset()}
