@@ -100,7 +100,14 @@ def hashed(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def shingle_arrays(lines: list[str]) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of every line."""
     h, starts, ends = hashed(lines)
-    return [np.unique(h[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+    return [_distinct(h[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """np.unique by sorting; on arrays of a few hundred numbers its hash table takes longer."""
+    x = np.sort(x)
+    repeated = x[1:] == x[:-1]
+    return x[np.r_[True, ~repeated]] if repeated.any() else x
 
 
 def similar(x: np.ndarray, y: np.ndarray, at_least: float = SIMILARITY) -> bool:
