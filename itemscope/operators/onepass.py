@@ -1,6 +1,6 @@
 """One scan per table for everything the profile asks of it (Q1, Q3, Q4, Q6, Q7, Q16).
 
-A table goes once through GROUPING SETS: no key (row count, NULL counts, conditional counts), the key
+A table whose key is the full row is grouped by it once. Any other goes once through GROUPING SETS: no key (row count, NULL counts, conditional counts), the key
 whose repeats are counted, the column whose values are counted, and each column
 whose distinct values are counted. Groups are partial aggregates before the only wide shuffle; a second
 grouped aggregate reduces them to a few rows a table, ``facts``, in long form:
@@ -51,6 +51,8 @@ def asked(r: Roles = DEFAULT_ROLES, lo: float = 0.5, hi: float = 5.0) -> dict[st
 
 def table_facts(df: DataFrame, table: str, a: Asked) -> DataFrame:
     """The facts of one table, from one scan."""
+    if a.key is None and not a.distribution and not a.distinct:
+        return _full_row_facts(df, table, a)
     key = list(a.key or df.columns)
     sets: list[list[str]] = [[], key]
     for one in ([a.distribution] if a.distribution else []) + list(a.distinct):
@@ -81,6 +83,21 @@ def table_facts(df: DataFrame, table: str, a: Asked) -> DataFrame:
     return second.select("bucket", F.explode(told).alias("f")).select(F.lit(table).alias("table"), "f.fact", "f.name", "bucket", "f.value")
 
 
+def _full_row_facts(df: DataFrame, table: str, a: Asked) -> DataFrame:
+    """The facts of a table whose key is the full row: its groups tell NULLs and conditions as well, so rows are
+    grouped once, as they are, and not sent a second time for the counts without a key. Rows dealt by one of
+    their columns meet where they are."""
+    groups = df.groupBy(*[F.col(c) for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0)).cast("bigint")
+    told = [("rows", None, total(F.lit(True))), *[("nulls", c, total(F.col(c).isNull())) for c in df.columns],
+            *[("check", name, total(cond)) for name, cond in a.checks], ("duplicates", a.duplicates, total(F.col("_n") > 1))]
+    one = groups.agg(*[value.alias(f"_v{i}") for i, (_, _, value) in enumerate(told)])
+    listed = F.array(*[F.struct(F.lit(kind).alias("fact"), F.lit(name).cast("string").alias("name"), F.col(f"_v{i}").alias("value"))
+                       for i, (kind, name, _) in enumerate(told)])
+    return one.select(F.explode(listed).alias("f")).select(F.lit(table).alias("table"), "f.fact", "f.name",
+                                                           F.lit(None).cast("double").alias("bucket"), "f.value")
+
+
 def facts(tables: dict[str, DataFrame], r: Roles = DEFAULT_ROLES) -> DataFrame:
     """The facts of all tables, computed once and stored: a few rows a table and one a score."""
     from itemscope.session import ensure_checkpoint_dir

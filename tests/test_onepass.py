@@ -91,3 +91,15 @@ def test_pca_of_a_long_matrix_matches_numpy(spark):
     z = (x - x.mean(axis=0)) / np.where(std > 1e-12, std, 1.0)
     want = np.sort(np.linalg.svd(z, compute_uv=False) ** 2 / n)[::-1]
     assert np.allclose(fit.eigenvalues[:len(want)], want, atol=1e-9) and fit.eigenvalues[len(want):].max() == pytest.approx(0, abs=1e-9)
+
+
+def test_full_rows_are_grouped_once_and_where_they_are(spark):
+    rows = spark.createDataFrame([(1, 1, "a", 1), (1, 1, "a", 1), (2, None, None, None), (2, 2, "b", 3)],
+                                 "userId bigint, movieId bigint, tag string, timestamp bigint").repartition(4, "movieId")
+    found = OP.table_facts(rows, "tags", OP.asked()["tags"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan                       # a row is not sent once more for the counts without a key
+    assert plan.count("Exchange hashpartitioning") == 1  # the given one: rows with equal columns are together already
+    assert {(r.fact, r.name): r.value for r in found.collect()} == {
+        ("rows", None): 4, ("nulls", "userId"): 0, ("nulls", "movieId"): 1, ("nulls", "tag"): 1, ("nulls", "timestamp"): 1,
+        ("check", "tags_missing_tag_text"): 1, ("duplicates", "tags_duplicate_full_rows"): 2}
