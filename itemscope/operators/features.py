@@ -122,12 +122,13 @@ def item_tokens(tags_clean: DataFrame, catalog: DataFrame, r: Roles = DEFAULT_RO
     of an item without a usable token stand in a row with a NULL token.
 
     This long form is what vocabularies, indicators and counts need; no list of
-    an item's tokens is built."""
-    norm = f"{r.tag}_normalized"
-    by_tag = tag_token_pairs(tags_clean, r).drop(norm)
-    return by_tag.groupBy(r.item, "tag_token").agg(
-        F.sum("events").cast("bigint").alias("events"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"),
-    ).join(catalog.select(r.item), r.item, "left_semi")
+    an item's tokens is built. Rows meet once, by (item, token): the token rule is cheap
+    for plain words, so they are not grouped by their spelling first. The catalog's keys
+    are hashed, so that the pairs need not be sorted to meet them."""
+    tokens = tags_clean.select(r.item, X.normalize_token(f"{r.tag}_normalized").alias("tag_token"), r.epoch)
+    return tokens.groupBy(r.item, "tag_token").agg(
+        F.count(F.lit(1)).alias("events"), F.min(r.epoch).alias("first_ts"), F.max(r.epoch).alias("last_ts"),
+    ).join(catalog.select(r.item).distinct().hint("shuffle_hash"), r.item, "left_semi")
 
 
 def tag_summary(pairs: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:

@@ -95,3 +95,18 @@ def test_golden_relations(spark):
     dist = t.ratings.groupBy("rating").count().agg(F.sum("count")).first()[0]
     assert dist == t.ratings.count()
     assert checks["feature cols"] == 17
+
+
+def test_item_tokens_group_rows_once(spark):
+    words = ["Fun", "fun", "a", "É", "é1x", "two  words", " pad ", "tab\there", "ﬁne", "FINE", "x", "ob\x1cle", "日本", "ok"]
+    rows = [(u, item, w, 10 * u + k) for u in (1, 2) for item in (1, 2, 9) for k, w in enumerate(words)]
+    tags = C.clean_tags(spark.createDataFrame(rows, "userId bigint, movieId bigint, tag string, timestamp bigint"))
+    catalog = spark.createDataFrame([(1,), (1,), (2,), (None,)], "movieId bigint")
+    found = FE.item_tokens(tags, catalog)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [" not in plan and plan.count("count(1)") == 2  # one partial and one final aggregate, no sort
+    by_tag = FE.tag_token_pairs(tags)
+    before = by_tag.groupBy("movieId", "tag_token").agg(F.sum("events").alias("events"), F.min("first_ts"), F.max("last_ts")) \
+        .filter("movieId <> 9")
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, before.collect())))
+    assert {r.tag_token for r in found.collect()} == {None, "fun", "e1x", "1x", "two words", "pad", "tab here", "fine", "ob le", "ok"} - {"e1x"}
