@@ -1,7 +1,7 @@
 """Gram matrix X'X of a sparse long-form matrix (row, col_idx, value), in square blocks.
 
-One distributed pass over X. A task streams its rows, sorted by row, and adds every row's outer
-product into an accumulator of which only touched memory pages exist; it emits the touched
+One distributed pass over X. A task streams its rows, sorted by row, and adds the outer products of
+thousands of rows at a time into an accumulator of which only touched memory pages exist; it emits the touched
 column blocks of the upper triangle, BLOCK x BLOCK numbers each. Partitions are coalesced to the
 cluster's slots first, so as many partial sums meet as tasks run at once, not as many as the
 input has partitions. Partial blocks are added as a two-level tree of streams: a fold holds one block, whatever its fan-in.
@@ -26,6 +26,7 @@ BLOCK = 128           # columns of a block: 128 KB of doubles
 FANOUT = 32           # groups in which the partial sums of a block meet first
 CHUNK_ENTRIES = 32_768  # non-zeros per vectorised chunk inside a task
 CHUNK_ROWS = 512      # rows multiplied at once where they are dense
+OUTER_ENTRIES = 1 << 19  # non-zeros whose outer products are added at once
 BATCH = 32            # blocks handed to Spark at once
 
 
@@ -79,22 +80,49 @@ def whole_rows(batches, row_id: str) -> Iterator[Rows]:
         yield Rows(held, row_id)
 
 
-def _add_outer(rows: Rows, acc: np.ndarray) -> None:
-    """acc += (rows)'(rows): dense products of the touched columns where rows fill an eighth of them, else row by row."""
-    bounds = np.flatnonzero(np.r_[True, rows.rows[1:] != rows.rows[:-1], True])
-    for at in range(0, len(bounds) - 1, CHUNK_ROWS):
-        part = bounds[at:at + CHUNK_ROWS + 1]
-        cols, vals = rows.cols[part[0]:part[-1]], rows.vals[part[0]:part[-1]]
-        touched, place = np.unique(cols, return_inverse=True)
-        n = len(part) - 1
-        if 8 * len(cols) >= n * len(touched):
-            dense = np.zeros((n, len(touched)))
-            dense[np.repeat(np.arange(n), np.diff(part)), place] = vals
+def _stretches(parts: Iterator[Rows]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows of many batches together, OUTER_ENTRIES at a time and a batch at most: where each row starts, columns, values."""
+    held, count = [], 0
+
+    def together():
+        lengths = np.concatenate([np.diff(np.flatnonzero(np.r_[True, p.rows[1:] != p.rows[:-1], True])) for p in held])
+        return np.r_[0, np.cumsum(lengths)], np.concatenate([p.cols for p in held]), np.concatenate([p.vals for p in held])
+
+    for rows in parts:
+        held.append(rows)
+        count += len(rows.cols)
+        if count >= OUTER_ENTRIES:
+            yield together()
+            held, count = [], 0
+    if held:
+        yield together()
+
+
+def _add_outer(bounds: np.ndarray, cols: np.ndarray, vals: np.ndarray, acc: np.ndarray) -> None:
+    """Adds the upper triangle of X'X to ``acc`` for the rows X that start at ``bounds`` (what is below the
+    diagonal is not meant). Where rows fill an eighth of the touched columns, by dense products; else column by column:
+    the rows that hold a column add up what they hold from there on, within one row of ``acc``, which stays in the cache."""
+    n, touched = len(bounds) - 1, np.unique(cols)
+    if 8 * len(cols) >= n * len(touched):
+        for at in range(0, n, CHUNK_ROWS):
+            part = bounds[at:at + CHUNK_ROWS + 1]
+            dense = np.zeros((len(part) - 1, len(touched)))
+            own = slice(part[0], part[-1])
+            dense[np.repeat(np.arange(len(part) - 1), np.diff(part)), np.searchsorted(touched, cols[own])] = vals[own]
             acc[np.ix_(touched, touched)] += dense.T @ dense
-        else:
-            for lo, hi in zip((part[:-1] - part[0]).tolist(), (part[1:] - part[0]).tolist()):
-                c, v = cols[lo:hi], vals[lo:hi]
-                acc[c[:, None], c] += v[:, None] * v
+        return
+    row = np.repeat(np.arange(n), np.diff(bounds))
+    order = np.lexsort((cols, row))
+    cols, vals = cols[order], vals[order]
+    left = bounds[1:][row] - np.arange(len(cols))       # entries of the row from this one on
+    by_column = np.argsort(cols, kind="stable")
+    ends = np.searchsorted(cols[by_column], touched, side="right")
+    for column, lo, hi in zip(touched.tolist(), np.r_[0, ends[:-1]].tolist(), ends.tolist()):
+        entries = by_column[lo:hi]
+        lengths = left[entries]
+        upto = np.cumsum(lengths)
+        at = np.arange(upto[-1]) + np.repeat(entries - upto + lengths, lengths)
+        acc[column, column:] += np.bincount(cols[at] - column, vals[at] * np.repeat(vals[entries], lengths), len(acc) - column)
 
 
 def batches_of(items: Iterator[tuple], names: list[str]) -> Iterator[pa.RecordBatch]:
@@ -164,14 +192,16 @@ def blocks(x: DataFrame, row_id: str, n_cols: int) -> DataFrame:
 
     def partial(batches):
         acc = np.zeros((side, side))
-        for rows in whole_rows(batches, row_id):
-            _add_outer(rows, acc)
+        for stretch in _stretches(whole_rows(batches, row_id)):
+            _add_outer(*stretch, acc)
         group = task_group()
 
         def touched():
             for i in range(0, side, BLOCK):
                 for j in range(i, side, BLOCK):
                     block = acc[i:i + BLOCK, j:j + BLOCK]
+                    if i == j:
+                        block = np.triu(block) + np.triu(block, 1).T
                     if block.any():
                         yield group, i // BLOCK, j // BLOCK, block
 

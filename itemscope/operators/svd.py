@@ -22,12 +22,13 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemscope.operators import gram as GR
 
+EMBEDDED_ROWS = 1024  # rows of embeddings handed to Spark at once
 GRAM_COLS = 8192  # up to so many columns X'X is stored once and X is read no more
 
 
@@ -156,14 +157,26 @@ def embeddings(x: DataFrame, row_id: str, all_rows: DataFrame, fit: SVDFit, pref
     id_type = dict(x.dtypes)[row_id]
 
     def project(batches):
-        for rows in GR.whole_rows(batches, row_id):
-            out = pd.DataFrame(rows.times(vb.value), columns=names)
-            out.insert(0, row_id, rows.ids)
-            yield out
+        held, count = [], 0
+
+        def together():
+            whole = np.concatenate([y for _, y in held])
+            ids = pa.concat_arrays([pa.array(i) for i, _ in held])
+            return pa.RecordBatch.from_arrays([ids, *(pa.array(np.ascontiguousarray(c)) for c in whole.T)], names=[row_id, *names])
+
+        for rows in GR.whole_rows((b.to_pandas() for b in batches), row_id):
+            held.append((rows.ids, rows.times(vb.value)))
+            count += len(rows.ids)
+            if count >= EMBEDDED_ROWS:
+                yield together()
+                held, count = [], 0
+        if held:
+            yield together()
 
     schema = f"`{row_id}` {id_type}, " + ", ".join(f"`{n}` double" for n in names)
-    y = x.mapInPandas(project, schema)
-    full = all_rows.select(row_id).join(y, row_id, "left")
+    y = x.mapInArrow(project, schema)
+    # the ids are hashed, so that the wide rows need not be sorted to meet them
+    full = all_rows.select(row_id).hint("shuffle_hash").join(y, row_id, "left")
     return full.select(row_id, *[F.coalesce(F.col(n), F.lit(0.0)).alias(n) for n in names])
 
 

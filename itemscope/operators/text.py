@@ -64,9 +64,8 @@ def tfidf(parts: DataFrame, id_col: str, text_col: str, max_features: int = 5000
     so the corpus is tokenised one time."""
     tf = term_counts(parts, id_col, text_col, stop_words=stop_words)
     if materialize:
-        from itemscope.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(parts.sparkSession)
-        tf = tf.checkpoint(eager=True)
+        from itemscope.session import stored
+        tf = stored(tf, "term-counts")
     ids = all_ids if all_ids is not None else parts.select(id_col).distinct()
     n_docs = ids.agg(F.count(F.lit(1)).cast("double").alias("n_docs"))
     vocab = vocabulary(tf, id_col, n_docs, max_features, min_df)

@@ -153,3 +153,36 @@ def test_gram_blocks_match_numpy(spark, density):
     assert np.allclose(GR.times(gram, z), values.T @ (values @ z), atol=1e-8)
     empty = SV.prepare(spark.createDataFrame([], "rid bigint, col_idx int, value double"), "rid")
     assert not GR.times(GR.blocks(empty, "rid", 3), np.ones((3, 2))).any()
+
+
+def test_outer_products_of_many_batches_at_once():
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    for density in (0.02, 0.6):  # column by column, and by dense products
+        values = rng.random((60, 300)) * (rng.random((60, 300)) < density)
+        rid, col = np.nonzero(values)
+        shuffled = rng.permutation(len(rid))
+        shuffled = shuffled[np.argsort(rid[shuffled], kind="stable")]  # rows together, their columns in any order
+        table = pd.DataFrame({"rid": rid[shuffled], "col_idx": col[shuffled], "value": values[rid, col][shuffled]})
+        batches = (table[lo:lo + 50] for lo in range(0, len(table), 50))
+        stretches = list(GR._stretches(GR.whole_rows(batches, "rid")))
+        assert len(stretches) == 1
+        acc = np.zeros((300, 300))
+        for s in stretches:
+            GR._add_outer(*s, acc)
+        assert np.allclose(np.triu(acc), np.triu(values.T @ values))
+
+
+def test_embeddings_meet_their_items_without_a_sort(spark):
+    cells = [(r, c, float(r + 2 * c + 1)) for r in range(40) for c in range(6) if (r + c) % 3]
+    x = SV.prepare(spark.createDataFrame(cells, "rid bigint, col_idx int, value double"), "rid")
+    ids = spark.createDataFrame([(r,) for r in [*range(40), 7, 90]], "rid bigint")  # an item twice, one without cells
+    fit = SV.truncated_svd(x, "rid", 41, 6, 3)
+    found = SV.embeddings(x, "rid", ids, fit)
+    assert "Sort [" not in found._jdf.queryExecution().executedPlan().toString().split("Scan ExistingRDD")[0].replace("LogicalRDD", "")
+    dense = np.zeros((91, 6))
+    for r, c, v in cells:
+        dense[r, c] = v
+    rows = sorted(map(tuple, found.collect()))
+    assert [r[0] for r in rows] == sorted([*range(40), 7, 90])
+    assert np.allclose([r[1:] for r in rows], [(dense @ fit.components.T)[r[0]] for r in rows])
