@@ -179,10 +179,18 @@ def test_embeddings_meet_their_items_without_a_sort(spark):
     ids = spark.createDataFrame([(r,) for r in [*range(40), 7, 90]], "rid bigint")  # an item twice, one without cells
     fit = SV.truncated_svd(x, "rid", 41, 6, 3)
     found = SV.embeddings(x, "rid", ids, fit)
-    assert "Sort [" not in found._jdf.queryExecution().executedPlan().toString().split("Scan ExistingRDD")[0].replace("LogicalRDD", "")
+    assert "Sort [" not in found._jdf.queryExecution().executedPlan().toString()
     dense = np.zeros((91, 6))
     for r, c, v in cells:
         dense[r, c] = v
     rows = sorted(map(tuple, found.collect()))
     assert [r[0] for r in rows] == sorted([*range(40), 7, 90])
     assert np.allclose([r[1:] for r in rows], [(dense @ fit.components.T)[r[0]] for r in rows])
+
+
+def test_terms_are_counted_where_the_words_are(spark):
+    from itemscope.plans import queries as Q
+    t = Tables(spark, SF001)
+    plan = TX.term_counts(Q._text_parts(t), "movieId", "text")._jdf.queryExecution().executedPlan().toString()
+    counted = plan[:plan.index("Union")]
+    assert counted.count("HashAggregate") == 2 and "Exchange" not in counted  # words stay in their item's partition
