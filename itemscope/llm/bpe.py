@@ -13,9 +13,9 @@ Normalisation and pre-tokenisation of words outside ASCII are those of the
 tokenizer file itself, through the tokenizers library; merges are done here.
 
 Plan: one pass, no shuffle. The tokenizer file (a few MB) is read on the driver
-and broadcast. Memory per task: one Arrow batch, its distinct words, and a word
-cache of at most ``CACHE_WORDS`` entries (emptied when full; it changes no
-result).
+and broadcast, and parsed once a Python worker. Memory per task: one Arrow batch, its distinct words, and a word
+cache of about ``CACHE_WORDS`` entries, which the worker keeps for its next task (it changes no
+result). Latin texts are split into pieces as a whole, others word by word.
 
 Defined results: a null or empty text has no tokens and decodes to ''; texts of
 any length are split in slices at white space; repeated rows give repeated
@@ -27,6 +27,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_WORDS = 300_000
+from itemscope.llm.common import Recent
+
+CACHE_WORDS = 600_000
 #: Token pairs whose fit is remembered by a task.
 CACHE_PAIRS = 500_000
 SLICE_CHARS = 1 << 20
@@ -42,6 +45,9 @@ _ASCII_SPACE = re.compile(r"[ \t\n\x0b\x0c\r]+")
 #: The tokenizer file's split pattern, spelled for printable characters below
 #: U+0250, where normalisation only lower-cases: contractions, letters, one number, the rest.
 _LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|[\W_]+")
+#: Whole texts of such characters and ASCII white space, and the same pattern for them, the most frequent kind first.
+_LATIN_TEXT = re.compile("[\t\n\x0b\x0c\r\x20-\x7e\xa1-\xac\xae-\u012f\u0131-\u024f]*")
+_TEXT_PIECES = re.compile(r"[^\W\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+|[0-9\u00b2\u00b3\u00b9\u00bc-\u00be]|'(?:s|t|re|ve|m|ll|d)|(?:[^\w\s]|_)+")
 _LATIN_END = "\u0250"
 #: ASCII separators that str.split() would add to the tokenizer's white space.
 _NOT_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -78,8 +84,10 @@ class _Vocabulary:
         self.tokens = pa.array([names.get(i, "") for i in range(size)], pa.string())
         self.right: dict[str, list[tuple[str, int]]] = {}
         self.left: dict[str, list[tuple[str, int]]] = {}
-        self.follows: dict[tuple[str, str], bool] = {}
-        self.cache: dict[str, bytes] = {}
+        #: Every token's packed id and what is known of the tokens before it (does it fit?).
+        self.entries: dict[str, tuple[bytes, dict[str, bool]]] = {t: (code, {}) for t, code in self.packed.items()}
+        self.pairs = 0
+        self.cache = Recent()
 
     def _spine(self, token: str, side: int, known: dict) -> list[tuple[str, int]]:
         """The tokens that stand at one border of ``token`` while it is built,
@@ -99,7 +107,7 @@ class _Vocabulary:
         """True if the merges leave ``a`` and ``b`` side by side: no pair at the
         border is merged while both its tokens still stand (of equal ranks the
         left merge comes first)."""
-        got = self.follows.get((a, b))
+        got = self.entries[b][1].get(a)
         if got is None:
             got = True
             for x, x_taken in self._spine(a, 1, self.right):
@@ -107,9 +115,12 @@ class _Vocabulary:
                     r = self.rank.get((x, y))
                     if r is not None and r < x_taken and r <= y_taken:
                         got = False
-            if len(self.follows) > CACHE_PAIRS:
-                self.follows.clear()
-            self.follows[a, b] = got
+            if self.pairs > CACHE_PAIRS:
+                for _, fits in self.entries.values():
+                    fits.clear()
+                self.pairs = 0
+            self.entries[b][1][a] = got
+            self.pairs += 1
         return got
 
     def pieces(self, chunk: str) -> list[str]:
@@ -125,7 +136,7 @@ class _Vocabulary:
         Exactly one start fits for a prefix, so the starts may be tried in
         any order: the likeliest are the last token grown by one letter and
         the letter alone."""
-        packed, end, longest, may_follow, follows = self.packed, self.end, self.longest, self.may_follow, self.follows
+        packed, entries, end, longest, may_follow = self.packed, self.entries, self.end, self.longest, self.may_follow
         out: dict[str, bytes] = {}
         last: list[str] = [""]       # by prefix length: the last token of the prefix's encoding
         before = ""
@@ -138,38 +149,45 @@ class _Vocabulary:
             del last[shared + 1:]
             for stop in range(shared + 1, n + 1):
                 tail = end if stop == n else ""
-                grown = stop - 1 - len(last[stop - 1])
-                for start in (grown, stop - 1, *range(grown + 1, stop - 1), *range(grown - 1, max(-1, stop - longest - 1), -1)):
+                start = grown = stop - 1 - len(last[stop - 1])
+                others = None
+                while True:
                     token = word[start:stop] + tail
-                    code = packed.get(token)
-                    if code is not None:
+                    entry = entries.get(token)
+                    if entry is not None:
                         prev = last[start]
-                        if prev:
-                            fits = follows.get((prev, token))
-                            if fits is None:
-                                fits = may_follow(prev, token)
-                            if not fits:
-                                continue
-                        if tail:
-                            parts = [code]
-                            while start:
-                                parts.append(packed[last[start]])
-                                start -= len(last[start])
-                            out[word] = b"".join(parts[::-1])
-                        else:
-                            last.append(token)
-                        break
+                        if not prev:
+                            break
+                        fits = entry[1].get(prev)
+                        if may_follow(prev, token) if fits is None else fits:
+                            break
+                    if others is None:
+                        others = chain((stop - 1,), range(grown + 1, stop - 1), range(grown - 1, max(-1, stop - longest - 1), -1))
+                    start = next(others)
+                if tail:
+                    parts = [entry[0]]
+                    while start:
+                        parts.append(packed[last[start]])
+                        start -= len(last[start])
+                    out[word] = b"".join(parts[::-1])
+                else:
+                    last.append(token)
             before = word
         return out
 
-    def learn(self, chunks: set[str]) -> None:
-        """Put the encodings of the chunks into the cache."""
-        chunks = chunks.difference(self.cache)
-        if len(self.cache) + len(chunks) > CACHE_WORDS:
-            self.cache.clear()
+    def units(self, text: str) -> tuple[bool, list[str]]:
+        """What a text is encoded by: (True, its pieces) if it is Latin, else (False, its chunks between white space)."""
+        if _LATIN_TEXT.fullmatch(text) and not ("<" in text and self.special_split is not None and self.special_split.search(text)):
+            return True, _TEXT_PIECES.findall(text.lower())
+        return False, _chunks(text)
+
+    def learn(self, chunks: set[str], pieces: set[str] = frozenset()) -> None:
+        """Put the encodings of the chunks and of the Latin pieces (which are chunks of one piece) into the cache."""
         parts: dict[str, list[str | int]] = {}
-        for chunk in chunks:
-            if self.special_split is not None and "<" in chunk and self.special_split.search(chunk):
+        for chunk in self.cache.missing(chunks | pieces, CACHE_WORDS):
+            if chunk in pieces:
+                parts[chunk] = [chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.letters)]
+            elif self.special_split is not None and "<" in chunk and self.special_split.search(chunk):
                 mixed: list[str | int] = []
                 for x in self.special_split.split(chunk):
                     mixed += [self.special[x]] if x in self.special else self.pieces(x) if x else []
@@ -178,23 +196,25 @@ class _Vocabulary:
                 parts[chunk] = self.pieces(chunk)
         codes = self.walk({p for ps in parts.values() for p in ps if isinstance(p, str)})
         for chunk, ps in parts.items():
-            self.cache[chunk] = codes[ps[0]] if len(ps) == 1 and isinstance(ps[0], str) else b"".join(
+            self.cache.now[chunk] = codes[ps[0]] if len(ps) == 1 and isinstance(ps[0], str) else b"".join(
                 [codes[p] if isinstance(p, str) else p.to_bytes(4, "little") for p in ps])
 
-    def encode(self, chunks: list[str]) -> bytes:
-        """The packed encoding of consecutive chunks."""
+    def encode(self, chunks: list[str], latin: bool = False) -> bytes:
+        """The packed encoding of consecutive chunks, or of the pieces of a Latin text."""
+        known = self.cache.now
         try:
-            return b"".join([self.cache[c] for c in chunks])
-        except KeyError:  # the cache was emptied meanwhile
-            self.learn(set(chunks))
-            return b"".join([self.cache[c] for c in chunks])
+            return b"".join([known[c] for c in chunks])
+        except KeyError:  # the cache has forgotten some meanwhile
+            self.learn(set() if latin else set(chunks), set(chunks) if latin else set())
+            known = self.cache.now
+            return b"".join([known[c] for c in chunks])
 
 
 _LOADED: dict[int, _Vocabulary] = {}
 
 
 def _vocabulary(content: str) -> _Vocabulary:
-    """One parsed vocabulary per task."""
+    """One parsed vocabulary per Python worker."""
     key = hash(content)
     if key not in _LOADED:
         _LOADED.clear()
@@ -227,26 +247,14 @@ def encoder(content: str, text: int, out: str) -> Step:
     """Adds the token ids of the text in column number ``text`` as list<int32>."""
 
     def run(batches):
-        try:
-            yield from coded(batches)
-        finally:
-            _LOADED.clear()  # an idle worker keeps no words
-
-    def coded(batches):
         v = _vocabulary(content)
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            short = [_chunks(t) if t and len(t) <= SLICE_CHARS else None for t in texts]
-            new: set[str] = set()
-            for chunks in short:
-                if chunks:
-                    new.update(set(chunks).difference(v.cache))
-            if len(v.cache) + len(new) > CACHE_WORDS:
-                v.cache.clear()
-                new = {c for chunks in short if chunks for c in chunks}
-            v.learn(new)
-            packed = [v.encode(chunks) if chunks else b"".join(v.encode(_chunks(s)) for s in _slices(t or ""))
-                      for t, chunks in zip(texts, short)]
+            short = [v.units(t) if t and len(t) <= SLICE_CHARS else None for t in texts]
+            v.learn(set().union(*[u for latin, u in filter(None, short) if not latin]),
+                    set().union(*[u for latin, u in filter(None, short) if latin]))
+            packed = [v.encode(u[1], u[0]) if u else b"".join(v.encode(units, latin) for latin, units in map(v.units, _slices(t or "")))
+                      for t, u in zip(texts, short)]
             offsets = np.zeros(len(texts) + 1, dtype=np.int32)
             np.cumsum([len(c) // 4 for c in packed], out=offsets[1:])
             flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(packed))])

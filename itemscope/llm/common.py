@@ -81,3 +81,22 @@ def join_measured(left: DataFrame, right: DataFrame, on: list[str], how: str, wi
     w = F.lit(64) if width is None else width
     size = right.agg(F.coalesce(F.sum(w), F.lit(0))).first()[0]
     return left.join(F.broadcast(right) if size <= limit else right, on, how)
+
+
+class Recent:
+    """What a Python worker remembers from batch to batch and from task to task: about ``size`` entries. When one half is
+    full, what was not asked for since the last time is forgotten; it changes no result."""
+
+    def __init__(self):
+        self.now: dict = {}
+        self.before: dict = {}
+
+    def missing(self, keys: set, size: int) -> set:
+        """The keys that ``now`` has to be given; it holds the others until the next call."""
+        new = keys.difference(self.now)
+        if 2 * (len(self.now) + len(new)) > size:
+            self.before, self.now, new = self.now, {}, keys
+        before = self.before
+        kept = {k: before[k] for k in new if k in before}
+        self.now.update(kept)
+        return new.difference(kept)

@@ -83,3 +83,42 @@ def test_memory_is_linear_in_a_word(library):
         tracemalloc.stop()
     assert [int.from_bytes(packed[i:i + 4], "little") for i in range(0, len(packed), 4)] == library.encode(word, add_special_tokens=False).ids
     assert peak < 30_000_000
+
+
+LATIN = "aeßñÉÀÿŁıſµªº 0129²½'sstreveml!?._-«»<|>\n\t"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=LATIN, max_size=80))
+def test_latin_text_as_a_whole(text):
+    v = bpe._vocabulary(bpe._read(PATH))
+    latin, units = v.units(text)
+    packed = v.encode(units, latin)
+    library = v.library.encode(text, add_special_tokens=False).ids
+    assert latin and [int.from_bytes(packed[i:i + 4], "little") for i in range(0, len(packed), 4)] == library
+
+
+def test_next_task_of_a_worker_walks_no_word_again(library, monkeypatch):
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array(["Some words, some 'words' again 12", None, "naïve ½ ﬁ words"])], names=["t"])
+    walked = []
+    plain = bpe._Vocabulary.walk
+    monkeypatch.setattr(bpe._Vocabulary, "walk", lambda self, words: walked.extend(words := list(words)) or plain(self, words))
+    bpe._LOADED.clear()
+    for _ in range(2):
+        out = next(bpe.encoder(bpe._read(PATH), 0, "ids")(iter([batch])))
+        assert out.column("ids").to_pylist() == [library.encode(t or "", add_special_tokens=False).ids for t in batch.column(0).to_pylist()]
+    assert len(walked) == len(set(walked)) > 5
+
+
+def test_recent_forgets_what_was_not_asked_for():
+    from itemscope.llm.common import Recent
+    known = Recent()
+    for keys in ({1, 2}, {2, 3}, {2, 4}, {2, 5}, {1, 2}):
+        new = known.missing(keys, 6)
+        known.now.update({k: -k for k in new})
+        assert {k: known.now[k] for k in keys} == {k: -k for k in keys}
+        assert len(known.now) <= 3
+        if keys == {2, 5}:
+            assert new == {5}
+    assert new == {1}
