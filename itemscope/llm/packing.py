@@ -15,7 +15,7 @@ by one task, so copies spread evenly. What a cell leaves open is dealt anew into
 cells until one is left or nothing settles any more. The driver sees counts only.
 
 Token ids are those of the tokenizers library: pieces of text are split here where the file's
-rules are known and the text is Latin, distinct pieces go through the library's model once a task; everything else goes through the library whole.
+rules are known and the text is Latin, distinct pieces go through the library's model once as long as a Python worker remembers them; everything else goes through the library whole.
 
 Defined results: a null text is empty; an empty text is the end mark alone; documents of equal key
 are packed each for themselves; texts of any length are read in slices; an empty table gives no rows; other
@@ -36,14 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from itemscope.llm.common import saved
+from itemscope.llm.common import Recent, saved
 
 #: Pieces that one task packs at once.
 CELL = 16_384
 #: Characters whose pieces are held at once.
 SLICE_CHARS = 1 << 20
-#: Distinct pieces whose ids a task remembers.
-KNOWN_PIECES = 300_000
+#: Distinct pieces whose ids a Python worker remembers.
+KNOWN_PIECES = 600_000
 _SPACE = re.compile(r"[ \t\n\x0b\x0c\r]")
 
 # The split pattern and the normalisation for which the short way below is right.
@@ -53,7 +53,8 @@ _NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 _LATIN = re.compile("[\t\n\x0b\x0c\r\x20-\x7e\xa1-\xac\xae-įı-ɏ]*")
 _NUMBERS = "0-9²³¹¼-¾"
 _MARKS = "".join(re.escape(c) for c in map(chr, range(0x21, 0x250)) if c == "_" or not (c.isalnum() or c.isspace()))
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[^\W_{_NUMBERS}]+|[{_NUMBERS}]|[{_MARKS}]+")
+# Letters first, as the most frequent: only a contraction and marks can begin alike.
+_PIECES = re.compile(rf"[^\W_{_NUMBERS}]+|[{_NUMBERS}]|'(?:s|t|re|ve|m|ll|d)|[{_MARKS}]+")
 
 
 class Coder:
@@ -70,7 +71,7 @@ class Coder:
         rules = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0].get("pattern")
         self.short_way = bool(suffix) and rules == _NORMALIZERS and split == {"Regex": _PATTERN}
-        self.known: dict[str, bytes] = {}
+        self.known = Recent()
         if self.short_way:
             self.special = [t["content"] for t in spec["added_tokens"]]
             bytes_only = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
@@ -87,9 +88,9 @@ class Coder:
         stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
         if len(stops) != len(pieces):
             raise ValueError("the tokenizer file does not end every word with its suffix")
-        raw, at = ids.tobytes(), 0
+        raw, at, known = ids.tobytes(), 0, self.known.now
         for piece, stop in zip(pieces, stops.tolist()):
-            self.known[piece] = raw[at:stop]
+            known[piece] = raw[at:stop]
             at = stop
 
     def _whole(self, text: str) -> bytes:
@@ -99,16 +100,24 @@ class Coder:
         """The ids of texts of bounded total length."""
         found = [_PIECES.findall(t.lower()) if self.short_way and _LATIN.fullmatch(t) and not any(s in t for s in self.special) else None
                  for t in texts]
-        new = set().union(*(p for p in found if p is not None))
-        if len(self.known) > KNOWN_PIECES:
-            self.known.clear()
-        new.difference_update(self.known)
+        new = self.known.missing(set().union(*(p for p in found if p is not None)), KNOWN_PIECES)
         if new:
             self._learn(list(new))
-        known = self.known
+        known = self.known.now
         return [self._whole(t) if p is None else b"".join([known[x] for x in p]) for t, p in zip(texts, found)]
 
 
+_LOADED: dict[str, Coder] = {}
+
+
+def _coder(content: str) -> Coder:
+    """One coder per Python worker."""
+    if content not in _LOADED:
+        _LOADED.clear()
+        _LOADED[content] = Coder(content)
+    return _LOADED[content]
+
+
 def _slices(texts: list[str | None]) -> Iterator[tuple[int, str]]:
     """(number of the text, a part of it): parts end at white space after SLICE_CHARS characters, or with the text."""
     for i, t in enumerate(texts):
@@ -153,7 +162,7 @@ def pieces(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
                            *[T.StructField(c, T.LongType()) for c in ("start", "length", "ids_crc32", "place")]])
 
     def run(batches):
-        coder = Coder(content.value)
+        coder = _coder(content.value)
         context = TaskContext.get()
         place = (context.partitionId() if context else 0) << 33
         for b in batches:

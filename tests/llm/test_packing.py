@@ -115,3 +115,17 @@ def test_odd_texts(spark, library, monkeypatch):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert packing.packed(docs, PATH).count() == 0
+
+
+def test_next_task_of_a_worker_learns_no_piece_again(library, monkeypatch):
+    learned = []
+    plain = packing.Coder._learn
+    monkeypatch.setattr(packing.Coder, "_learn", lambda self, pieces: learned.extend(pieces) or plain(self, pieces))
+    with open(PATH, encoding="utf-8") as f:
+        content = f.read()
+    packing._LOADED.clear()
+    texts = ["Some words, it's some 'words' again 12", "naïve ½ words"]
+    for _ in range(2):
+        got = packing._coder(content).encode(texts)
+        assert [np.frombuffer(g, "<i4").tolist() for g in got] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(learned) == len(set(learned)) > 5
