@@ -102,8 +102,8 @@ def clean_tags(tags: DataFrame, r: Roles = DEFAULT_ROLES) -> DataFrame:
         X.lenient_string(r.tag).alias(r.tag),
         X.lenient_long(r.epoch).alias(r.epoch))
         .filter(X.all_not_null(cols))
+        .filter(X.non_empty_stripped(r.tag))
         .withColumn(r.tag, X.strip_whitespace(r.tag))
-        .filter(X.non_empty_text(r.tag))
         .withColumns({
             f"{r.tag}_normalized": F.lower(F.col(r.tag)),
             "tagged_at": X.epoch_to_timestamp(r.epoch),
