@@ -12,11 +12,11 @@ Plan: texts are read once for hashes and bands (written to the shared folder;
 a line repeated inside a batch emits its bands once), once for the texts of
 candidate lines only, once to drop lines. Bands shuffle packed, thousands of (band, line) pairs
 a row, by ranges of band keys; a task keeps one line a band and lets through buckets of two lines or more.
-Pairs are not emitted within a bucket: first every line meets the bucket's smallest
-line, which joins a group of copies at the cost of its size; then
-lines of one bucket that are still in different components are compared inside
-tasks, in blocks of bounded size, and only links leave the task, so no link between
-different components is lost. Sides measured to be small are broadcast; others shuffle.
+Pairs are not emitted within a bucket: all buckets with the same first line are one group, in which a
+line stands once however many bands it shares, and a group is compared inside a task (its pairs without a common band too)
+and only links leave the task, so no link is lost. A group beyond one block is first met by its first
+line alone, which joins a group of copies at the cost of its size; if different components are left in it, they are
+compared in blocks of bounded size. Sides measured to be small are broadcast; others shuffle.
 
 Two lines are near if the sets of their shingles of 5 characters reach the similarity, whatever
 their lengths (a line shorter than a shingle is one shingle). Lines of one language share few
@@ -34,6 +34,7 @@ all other columns are kept, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -52,8 +53,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 18, 6
 #: Characters of a block in which the lines of a bucket are compared (some 2000 lines).
 BLOCK_CHARS = 600_000
-#: Characters whose hashes are held at once.
-SIGNED_CHARS = 1 << 19
+#: Characters whose hashes are held at once: arrays of half a MB stay in a core's cache.
+SIGNED_CHARS = 1 << 16
+#: Groups of up to so many lines are compared pair by pair.
+FEW_LINES = 5
 #: Lines a task holds before it hands their rows on.
 HELD_LINES = 1 << 16
 #: (Band, line) pairs a task holds before it hands them on; pairs of a part, at most on average.
@@ -276,8 +279,8 @@ def packed_bands(table: DataFrame, parts: int) -> DataFrame:
     return table.select("bands", "h1").mapInArrow(run, "part int, pairs binary")
 
 
-def shared_buckets(table: DataFrame) -> DataFrame:
-    """The distinct (band, h1) rows of lines whose band holds two lines or more.
+def met_lines(table: DataFrame) -> DataFrame:
+    """(band, h1, first): the lines whose band holds two lines or more, and the line kept of the band; rows may repeat.
 
     A task keeps one line of each band of its part: as soon as a band has met a second
     line, its rows are handed on and not kept, so a band that a third of all lines share
@@ -286,7 +289,7 @@ def shared_buckets(table: DataFrame) -> DataFrame:
     held_pairs = HELD_PAIRS
 
     def merged(state, held):
-        """The rows to hand on, and the new state: bands, a line of each, whether it was handed on."""
+        """The rows to hand on, and the new state: bands, a line of each (the least it came with), whether it was handed on."""
         pairs = np.concatenate(held)
         keys = np.concatenate([state[0], pairs[:, 0]])
         own = np.concatenate([state[1], pairs[:, 1]])
@@ -296,11 +299,12 @@ def shared_buckets(table: DataFrame) -> DataFrame:
         starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
         times = np.diff(np.r_[starts, len(keys)])
         many = np.logical_or.reduceat(given | (own != np.repeat(own[starts], times)), starts)
-        out = np.stack([keys, own], axis=1)[np.repeat(many, times) & ~given]
+        first = np.where(order[starts] < len(state[0]), own[starts], np.minimum.reduceat(own, starts))
+        out = np.stack([keys, own, np.repeat(first, times)], axis=1)[np.repeat(many, times) & ~given]
         out = out[np.lexsort((out[:, 1], out[:, 0]))]
         if len(out):
             out = out[np.r_[True, (out[1:] != out[:-1]).any(axis=1)]]
-        return out, (keys[starts], own[starts], many)
+        return out, (keys[starts], first, many)
 
     def run(batches):
         state = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=bool))
@@ -312,12 +316,22 @@ def shared_buckets(table: DataFrame) -> DataFrame:
                 if count >= held_pairs:
                     out, state = merged(state, held)
                     held, count = [], 0
-                    yield _pairs_batch(out, ["band", "h1"])
+                    yield _pairs_batch(out, ["band", "h1", "first"])
         if held:
-            yield _pairs_batch(merged(state, held)[0], ["band", "h1"])
+            yield _pairs_batch(merged(state, held)[0], ["band", "h1", "first"])
 
     dealt = packed_bands(table, parts).repartitionById(parts, "part").select("pairs")
-    return dealt.mapInArrow(run, "band bigint, h1 bigint").dropDuplicates(["band", "h1"])
+    return dealt.mapInArrow(run, "band bigint, h1 bigint, first bigint")
+
+
+def shared_buckets(table: DataFrame) -> DataFrame:
+    """The distinct (band, h1) rows of lines whose band holds two lines or more."""
+    return met_lines(table).select("band", "h1").dropDuplicates(["band", "h1"])
+
+
+def bucket_groups(table: DataFrame) -> DataFrame:
+    """The distinct (band, h1) rows where the buckets with the same first line are one, named by it."""
+    return met_lines(table).select(F.col("first").alias("band"), "h1").distinct()
 
 
 def _pairs_batch(x: np.ndarray, names: list[str]) -> pa.RecordBatch:
@@ -325,7 +339,7 @@ def _pairs_batch(x: np.ndarray, names: list[str]) -> pa.RecordBatch:
 
 
 def candidate_texts(docs: DataFrame, text: str, table: DataFrame, buckets: DataFrame) -> DataFrame:
-    """(h1, h2, line): the text of every candidate line, read where it first stands."""
+    """(h1, h2, line, n): the text of every candidate line, read where it first stands, and its length."""
     wanted = saved(buckets.select("h1").distinct(), "candidates")
     places = join_measured(table.select("k1", "k2", "at", "h1", "h2"), wanted, ["h1"], "left_semi", F.lit(24))
     first = places.groupBy("h1", "h2").agg(F.min(F.struct("k1", "k2", "at")).alias("p")).select("p.*", "h1", "h2")
@@ -344,10 +358,10 @@ def candidate_texts(docs: DataFrame, text: str, table: DataFrame, buckets: DataF
                     out += [(p["h1"], p["h2"], normal(split[p["at"]])) for p in places]
             if out:
                 a, b, c = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.string())],
-                                                 names=["h1", "h2", "line"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.string()),
+                                                  pa.array([len(x) for x in c], pa.int64())], names=["h1", "h2", "line", "n"])
 
-    lines = found.select("k1", "k2", "t", "places").mapInArrow(run, "h1 bigint, h2 bigint, line string")
+    lines = found.select("k1", "k2", "t", "places").mapInArrow(run, "h1 bigint, h2 bigint, line string, n bigint")
     return saved(lines.dropDuplicates(["h1", "h2"]), "candidate-lines")
 
 
@@ -373,22 +387,23 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
 def line_components(docs: DataFrame, text: str, table: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root): the component of every line with a near-duplicate."""
-    buckets = saved(shared_buckets(table), "buckets")
-    texts = candidate_texts(docs, text, table, buckets)
-    ends = buckets.groupBy("band").agg(F.min("h1").alias("a"))
-    stars = buckets.join(ends, "band").filter("h1 <> a").select("a", F.col("h1").alias("b")).distinct()
-    links = saved(verified(stars, texts, similarity), "star-links")
-    roots = saved(components(links), "star-roots")
-    # what the stars left apart: lines of one bucket in different components; a bucket of two has met
-    named = texts.select("h1", F.struct("h1", "h2").alias("node"), "line").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    groups = saved(bucket_groups(table), "groups")
+    texts = candidate_texts(docs, text, table, groups)
+    sizes = groups.join(texts.select("h1", "n"), "h1").groupBy("band").agg(F.sum("n").alias("n"))
+    large = saved(sizes.filter(F.col("n") > BLOCK_CHARS).select("band", F.ceil(F.col("n") / BLOCK_CHARS).cast("int").alias("m")), "large-groups")
+    named = texts.select("h1", F.struct("h1", "h2").alias("node"), "line")
+    if large.isEmpty():
+        links = cross_links(groups.withColumn("m", F.lit(1)).join(named.withColumn("root", F.col("node")), "h1"), similarity)
+        return saved(components(saved(links, "links-found")), "roots")
+    # large groups: what their first lines leave apart
+    stars = join_measured(groups, large, ["band"], "inner").filter("h1 <> band").select(F.col("band").alias("a"), F.col("h1").alias("b"))
+    roots = saved(components(saved(verified(stars, texts, similarity), "star-links")), "star-roots")
+    named = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     label = F.xxhash64("root")
-    placed = buckets.join(named.select("h1", label.alias("root"), F.char_length("line").alias("n")), "h1")
-    mixed = placed.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"),
-                                         F.bit_xor(F.xxhash64("h1")).alias("members"), F.sum(F.shiftright("h1", 8)).alias("total")).filter("x <> y AND k > 2")
-    # bands that hold the same lines are one bucket
-    mixed = mixed.groupBy("members", "total", "k").agg(F.min("band").alias("band"), F.max("n").alias("n")) \
-        .select("band", F.ceil(F.col("n") / BLOCK_CHARS).cast("int").alias("m"))
-    apart = buckets.join(saved(mixed, "mixed-buckets"), "band").join(named, "h1")
+    mixed = join_measured(groups, large, ["band"], "inner").join(named.select("h1", label.alias("root")), "h1").groupBy("band", "m") \
+        .agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("band", "m")
+    small = join_measured(groups, large, ["band"], "left_anti").withColumn("m", F.lit(1))
+    apart = small.unionByName(join_measured(groups, saved(mixed, "mixed-groups"), ["band"], "inner")).join(named, "h1")
     more = saved(cross_links(apart, similarity), "cross-links")
     if more.isEmpty():
         return roots
@@ -413,6 +428,13 @@ def cross_links(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     def compared(group):
         """group: (mine, root, shingles) rows, band, i and j alike. Every line meets all longer
         ones at once: their shingles are numbered, and those a line has are marked and counted."""
+        if len(group) <= FEW_LINES:
+            label = [g[1] for g in group]
+            for x, y in combinations(range(len(group)), 2):
+                if label[x] != label[y] and similar(group[x][2], group[y][2], similarity):
+                    label = [label[x] if r == label[y] else r for r in label]
+                    yield group[x][1], group[y][1]
+            return
         group.sort(key=lambda g: len(g[2]))
         mine = np.array([g[0] for g in group])
         roots = list(dict.fromkeys(g[1] for g in group))

@@ -233,3 +233,25 @@ def test_blocks_link_what_single_pairs_link(spark):
             if lines.near(texts[a], texts[b]):
                 parent[top(a)] = top(b)
         assert got == {frozenset(k for k in range(len(texts)) if top(k) == r) for r in range(len(texts))} - {frozenset()}
+
+
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_buckets_with_the_same_first_line_are_one_group(spark, monkeypatch, held):
+    """A line is compared once in a group, however many bands it shares; no bucket is torn apart."""
+    monkeypatch.setattr(lines, "HELD_PAIRS", held)
+    rng = random.Random(23)
+    keys = [rng.randrange(-2 ** 63, 2 ** 63) for _ in range(60)]
+    rows = [(h, keys[:18]) for h in (1, 2, 3)] + [(h, rng.sample(keys[18:], 3)) for h in range(10, 60)]
+    df = spark.createDataFrame(rows, "h1 bigint, bands array<bigint>").repartition(3)
+    groups = [(r.band, r.h1) for r in lines.bucket_groups(df).collect()]
+    assert len(groups) == len({*groups})
+    if held > 50:  # the first line is the least that came with the band's first pairs
+        assert sorted(g for g in groups if g[1] < 10) == [(1, 1), (1, 2), (1, 3)]
+    together = {}
+    for a, h in groups:
+        together.setdefault(a, set()).add(h)
+    members = {}
+    for h, bands in rows:
+        for b in bands:
+            members.setdefault(b, set()).add(h)
+    assert all(any(m <= g for g in together.values()) for m in members.values() if len(m) > 1)
