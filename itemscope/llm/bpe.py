@@ -13,7 +13,8 @@ Normalisation and pre-tokenisation of words outside ASCII are those of the
 tokenizer file itself, through the tokenizers library; merges are done here.
 
 Plan: one pass, no shuffle. The tokenizer file (a few MB) is read on the driver
-and broadcast, and parsed once a Python worker. Memory per task: one Arrow batch, its distinct words, and a word
+and broadcast, and parsed once a Python worker. Memory per task: one Arrow batch, the words of some
+``HELD_CHARS`` characters of it, and a word
 cache of about ``CACHE_WORDS`` entries, which the worker keeps for its next task (it changes no
 result). Latin texts are split into pieces as a whole, others word by word.
 
@@ -37,10 +38,12 @@ from pyspark.sql import types as T
 
 from itemscope.llm.common import Recent
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 #: Token pairs whose fit is remembered by a task.
-CACHE_PAIRS = 500_000
+CACHE_PAIRS = 150_000
 SLICE_CHARS = 1 << 20
+#: Characters of the texts whose words are held at once, a text of any length at least.
+HELD_CHARS = 1 << 20
 _ASCII_SPACE = re.compile(r"[ \t\n\x0b\x0c\r]+")
 #: The tokenizer file's split pattern, spelled for printable characters below
 #: U+0250, where normalisation only lower-cases: contractions, letters, one number, the rest.
@@ -230,6 +233,19 @@ def _slices(text: str) -> Iterator[str]:
     yield text[lo:]
 
 
+def _parts(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in a row, HELD_CHARS characters or one text at a time."""
+    part, size = [], 0
+    for text in texts:
+        part.append(text)
+        size += len(text or "")
+        if size >= HELD_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def _chunks(text: str) -> list[str]:
     if any(c in text for c in _NOT_SPACE):
         return [c for c in _ASCII_SPACE.split(text) if c]
@@ -250,11 +266,13 @@ def encoder(content: str, text: int, out: str) -> Step:
         v = _vocabulary(content)
         for batch in batches:
             texts = batch.column(text).to_pylist()
-            short = [v.units(t) if t and len(t) <= SLICE_CHARS else None for t in texts]
-            v.learn(set().union(*[u for latin, u in filter(None, short) if not latin]),
-                    set().union(*[u for latin, u in filter(None, short) if latin]))
-            packed = [v.encode(u[1], u[0]) if u else b"".join(v.encode(units, latin) for latin, units in map(v.units, _slices(t or "")))
-                      for t, u in zip(texts, short)]
+            packed: list[bytes] = []
+            for part in _parts(texts):
+                short = [v.units(t) if t and len(t) <= SLICE_CHARS else None for t in part]
+                v.learn(set().union(*[u for latin, u in filter(None, short) if not latin]),
+                        set().union(*[u for latin, u in filter(None, short) if latin]))
+                packed += [v.encode(u[1], u[0]) if u else b"".join(v.encode(units, latin) for latin, units in map(v.units, _slices(t or "")))
+                           for t, u in zip(part, short)]
             offsets = np.zeros(len(texts) + 1, dtype=np.int32)
             np.cumsum([len(c) // 4 for c in packed], out=offsets[1:])
             flat = pa.Array.from_buffers(pa.int32(), int(offsets[-1]), [None, pa.py_buffer(b"".join(packed))])

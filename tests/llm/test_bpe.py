@@ -122,3 +122,19 @@ def test_recent_forgets_what_was_not_asked_for():
         if keys == {2, 5}:
             assert new == {5}
     assert new == {1}
+
+
+def test_words_of_a_batch_are_learnt_in_parts(monkeypatch):
+    """A batch's words are not held at once: a part of it at a time, with the same ids."""
+    import pyarrow as pa
+
+    content = bpe._read(PATH)
+    texts = [" ".join(f"wörd{i}x{k} 漢字{i}" for k in "abcdefgh") if i % 9 else None for i in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["t"])
+    whole = next(bpe.encoder(content, 0, "ids")(iter([batch]))).column(1).to_pylist()
+    learnt = []
+    learn = bpe._Vocabulary.learn
+    monkeypatch.setattr(bpe._Vocabulary, "learn", lambda self, *a: (learnt.append(sum(map(len, a))), learn(self, *a))[1])
+    monkeypatch.setattr(bpe, "HELD_CHARS", 200, raising=False)
+    assert next(bpe.encoder(content, 0, "ids")(iter([batch]))).column(1).to_pylist() == whole
+    assert max(learnt) <= 60
