@@ -13,7 +13,8 @@ a line repeated inside a batch emits its bands once), once for the texts of
 candidate lines only, once to drop lines. Bands shuffle packed, thousands of (band, line) pairs
 a row, by ranges of band keys; a task keeps one line a band and lets through buckets of two lines or more.
 Pairs are not emitted within a bucket: all buckets with the same first line are one group, in which a
-line stands once however many bands it shares, and a group is compared inside a task (its pairs without a common band too)
+line stands once however many bands it shares. Unrelated lines that meet by chance grow with the square of the input, so
+texts are read only of lines that a sketch of 128 bits, a few bytes beside their group, leaves possible. A group is compared inside a task (its pairs without a common band too)
 and only links leave the task, so no link is lost. A group beyond one block is first met by its first
 line alone, which joins a group of copies at the cost of its size; if different components are left in it, they are
 compared in blocks of bounded size. Sides measured to be small are broadcast; others shuffle.
@@ -55,6 +56,12 @@ BANDS, ROWS = 18, 6
 BLOCK_CHARS = 600_000
 #: Characters whose hashes are held at once: arrays of half a MB stay in a core's cache.
 SIGNED_CHARS = 1 << 16
+#: Shorter lines have no sketch: too few shingles to tell by their signature.
+SKETCH_CHARS = 128
+#: A pair at the similarity differs in more bits only if it lies so many standard deviations off (1 of 10^9 pairs).
+SKETCH_DEVIATIONS = 6
+#: Lines of a group whose sketches are compared; larger groups keep all their lines.
+SIFTED_LINES = 1 << 12
 #: Groups of up to so many lines are compared pair by pair.
 FEW_LINES = 5
 #: Lines a task holds before it hands their rows on.
@@ -188,30 +195,56 @@ def bands(sig: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return key.view(np.int64)
 
 
-def line_bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The band keys of all lines in a row, and how many are each line's: none, if it is shorter than a shingle."""
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """The last bits of the values of a signature, filled up to two 64-bit numbers a line.
+    Two lines of similarity s differ in (1 - s) / 2 of them on average."""
+    bits = np.zeros((len(sig), 128), dtype=np.uint8)
+    bits[:, :sig.shape[1]] = sig & 1
+    return np.packbits(bits, axis=1).view(np.int64)
+
+
+def most_bits(similarity: float = SIMILARITY) -> int:
+    """The bits in which the sketches of two lines at the similarity may differ."""
+    n, p = BANDS * ROWS, (1 - similarity) / 2
+    return int(n * p + SKETCH_DEVIATIONS * (n * p * (1 - p)) ** 0.5)
+
+
+def line_marks(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The band keys of all lines in a row, how many are each line's (none, if it is shorter than a shingle), and their sketches."""
     given = np.array([len(line) >= SHINGLE for line in lines], dtype=bool)
-    keys = bands(signatures([line for line, ok in zip(lines, given) if ok]))
-    return keys.reshape(-1), given * BANDS
+    sig = signatures([line for line, ok in zip(lines, given) if ok])
+    sketch = np.zeros((len(lines), 2), dtype=np.int64)
+    sketch[given] = sketches(sig)
+    return bands(sig).reshape(-1), given * BANDS, sketch
+
+
+def line_bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The band keys of all lines in a row, and how many are each line's."""
+    return line_marks(lines)[:2]
 
 
 def line_table(docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(k1, k2, id, at, h1, h2, bands): every line with a word, its place and hashes;
-    the bands stand on the first of equal lines of a batch."""
+    """(k1, k2, id, at, h1, h2, bands, s1, s2): every line with a word, its place and hashes; the bands and the
+    sketch (null for lines under SKETCH_CHARS) stand on the first of equal lines of a batch."""
     narrow = docs.select(*text_key(text), F.col(doc_id).alias("id"), F.col(text).cast("string").alias("t"))
 
-    least, held = max(1, min_chars), HELD_LINES
+    least, held, sketched = max(1, min_chars), HELD_LINES, max(SHINGLE, SKETCH_CHARS)
 
     def rows_of(batch, rows, places, digests, first, unique):
         """The rows of some lines; ``unique`` are the texts of those marked ``first``."""
         counts = np.zeros(len(rows), dtype=np.int32)
-        keys, counts[np.array(first)] = line_bands(unique)
+        sketch = np.zeros((len(rows), 2), dtype=np.int64)
+        bare = np.ones(len(rows), dtype=bool)
+        at = np.flatnonzero(first)
+        keys, counts[at], sketch[at] = line_marks(unique)
+        bare[at] = [len(line) < sketched for line in unique]
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(keys))
         h = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
         take = pa.array(np.array(rows))
         return pa.RecordBatch.from_arrays(
             [batch.column(0).take(take), batch.column(1).take(take), batch.column(2).take(take), pa.array(places, pa.int32()),
-             pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), lists], names=["k1", "k2", "id", "at", "h1", "h2", "bands"])
+             pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy()), lists, pa.array(sketch[:, 0].copy(), mask=bare), pa.array(sketch[:, 1].copy(), mask=bare)],
+            names=["k1", "k2", "id", "at", "h1", "h2", "bands", "s1", "s2"])
 
     def run(batches):
         for batch in batches:
@@ -241,7 +274,8 @@ def line_table(docs: DataFrame, doc_id: str, text: str, min_chars: int = MIN_CHA
     schema = T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
                            T.StructField("id", docs.schema[doc_id].dataType), T.StructField("at", T.IntegerType()),
                            T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()),
-                           T.StructField("bands", T.ArrayType(T.LongType()))])
+                           T.StructField("bands", T.ArrayType(T.LongType())),
+                           T.StructField("s1", T.LongType()), T.StructField("s2", T.LongType())])
     return narrow.mapInArrow(run, schema)
 
 
@@ -338,11 +372,75 @@ def _pairs_batch(x: np.ndarray, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x[:, i].copy()) for i in range(x.shape[1])], names=names)
 
 
-def candidate_texts(docs: DataFrame, text: str, table: DataFrame, buckets: DataFrame) -> DataFrame:
-    """(h1, h2, line, n): the text of every candidate line, read where it first stands, and its length."""
-    wanted = saved(buckets.select("h1").distinct(), "candidates")
-    places = join_measured(table.select("k1", "k2", "at", "h1", "h2"), wanted, ["h1"], "left_semi", F.lit(24))
-    first = places.groupBy("h1", "h2").agg(F.min(F.struct("k1", "k2", "at")).alias("p")).select("p.*", "h1", "h2")
+def candidate_places(table: DataFrame, groups: DataFrame) -> DataFrame:
+    """(k1, k2, at, h1, h2, s1, s2): where every line of a group first stands, and its sketch."""
+    wanted = saved(groups.select("h1").distinct(), "candidates")
+    places = join_measured(table.drop("id", "bands"), wanted, ["h1"], "left_semi", F.lit(24))
+    first = places.groupBy("h1", "h2").agg(F.min(F.struct("k1", "k2", "at")).alias("p"), F.max("s1").alias("s1"), F.max("s2").alias("s2"))
+    return saved(first.select("p.*", "h1", "h2", "s1", "s2"), "candidate-places")
+
+
+def possible(group: np.ndarray, sketch: np.ndarray, bare: np.ndarray, most: int) -> np.ndarray:
+    """Which lines have another one in their group whose sketch differs in ``most`` bits at most; a line without a
+    sketch (``bare``) may be near to any. The lines of a group stand side by side."""
+    keep = np.zeros(len(group), dtype=bool)
+    sketch = sketch.view(np.uint64)
+    x, step = np.arange(len(group)), 0
+    while len(x):
+        step += 1
+        x = x[x + step < len(group)]
+        x = x[group[x] == group[x + step]]
+        y = x + step
+        ok = (np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1) <= most) | bare[x] | bare[y]
+        keep[x[ok]] = True
+        keep[y[ok]] = True
+    return keep
+
+
+def sifted(groups: DataFrame, places: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """The (band, h1) rows of ``groups`` without the lines that cannot be near to another one of their group.
+
+    Only numbers are shuffled here. A group of more than SIFTED_LINES lines keeps them all, so that no task
+    holds or compares more."""
+    large = saved(groups.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SIFTED_LINES).select("band"), "unsifted-groups")
+    none = large.isEmpty()
+    small = groups if none else join_measured(groups, large, ["band"], "left_anti")
+    most, held_rows = most_bits(similarity), HELD_LINES
+
+    def left(rows):
+        band, h1, s1, s2 = rows.columns
+        sketch = np.stack([s.fill_null(0).to_numpy() for s in (s1, s2)], axis=1)
+        keep = possible(band.to_numpy(), sketch, s1.is_null().to_numpy(zero_copy_only=False), most)
+        return pa.RecordBatch.from_arrays([band, h1], names=["band", "h1"]).filter(pa.array(keep))
+
+    def run(batches):
+        held, count = [], 0
+        for batch in batches:
+            held.append(batch)
+            count += len(batch)
+            if count >= held_rows:  # the last group may go on
+                rows = pa.concat_batches(held)
+                band = rows.column(0).to_numpy()
+                whole = int(np.searchsorted(band, band[-1]))
+                if whole:
+                    yield left(rows.slice(0, whole))
+                held = [rows.slice(whole)]
+                count = len(held[0])
+        if held:
+            yield left(pa.concat_batches(held))
+
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = join_measured(small, places.select("h1", "s1", "s2"), ["h1"], "inner", F.lit(24)).select("band", "h1", "s1", "s2")
+    kept = rows.repartition(n, "band").sortWithinPartitions("band").mapInArrow(run, "band bigint, h1 bigint")
+    if not none:
+        kept = kept.unionByName(join_measured(groups, large, ["band"], "left_semi"))
+    return saved(kept, "sifted-groups")
+
+
+def candidate_texts(docs: DataFrame, text: str, places: DataFrame, groups: DataFrame) -> DataFrame:
+    """(h1, h2, line, n): the text of every line of a group, read where it first stands, and its length."""
+    wanted = saved(groups.select("h1").distinct(), "candidates")
+    first = join_measured(places.select("k1", "k2", "at", "h1", "h2"), wanted, ["h1"], "left_semi", F.lit(24))
     where = saved(first.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "h1", "h2")).alias("places")), "places")
     keyed = docs.select(*text_key(text), F.col(text).cast("string").alias("t"))
     found = join_measured(keyed, where, ["k1", "k2"], "inner", 64 + 24 * F.size("places"))
@@ -388,7 +486,9 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 def line_components(docs: DataFrame, text: str, table: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, root): the component of every line with a near-duplicate."""
     groups = saved(bucket_groups(table), "groups")
-    texts = candidate_texts(docs, text, table, groups)
+    places = candidate_places(table, groups)
+    groups = sifted(groups, places, similarity)
+    texts = candidate_texts(docs, text, places, groups)
     sizes = groups.join(texts.select("h1", "n"), "h1").groupBy("band").agg(F.sum("n").alias("n"))
     large = saved(sizes.filter(F.col("n") > BLOCK_CHARS).select("band", F.ceil(F.col("n") / BLOCK_CHARS).cast("int").alias("m")), "large-groups")
     named = texts.select("h1", F.struct("h1", "h2").alias("node"), "line")
@@ -498,7 +598,7 @@ def dropped_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", m
     near_ones = roots.select(F.col("node.h1").alias("h1"), F.col("node.h2").alias("h2"), "root")
     rooted = times.join(near_ones, ["h1", "h2"], "left").filter("times > 1 OR root IS NOT NULL") \
         .select("h1", "h2", F.coalesce("root", F.struct("h1", "h2")).alias("root"))
-    again = saved(join_measured(table.drop("bands"), saved(rooted, "line-roots"), ["h1", "h2"], "inner", F.lit(64)), "shared-lines")
+    again = saved(join_measured(table.drop("bands", "s1", "s2"), saved(rooted, "line-roots"), ["h1", "h2"], "inner", F.lit(64)), "shared-lines")
     stays = saved(again.groupBy("root").agg(F.min(place).alias("stay")), "first-lines")
     goes = join_measured(again, stays, ["root"], "inner", F.lit(96)).filter(place != F.col("stay"))
     return saved(goes.groupBy("id", "k1", "k2").agg(F.array_sort(F.collect_set("at")).alias("drop")), "dropped-lines")

@@ -255,3 +255,79 @@ def test_buckets_with_the_same_first_line_are_one_group(spark, monkeypatch, held
         for b in bands:
             members.setdefault(b, set()).add(h)
     assert all(any(m <= g for g in together.values()) for m in members.values() if len(m) > 1)
+
+
+def _edited(rng, line, edits):
+    x = list(line)
+    for at in rng.sample(range(1, len(x) - 1), edits):
+        x[at] = rng.choice("ijklmnop")
+    return "".join(x)
+
+
+def _pairs_in_one_band(rng, count, edits, least, most):
+    """Pairs of lines of a similarity between the two that share a band."""
+    out = []
+    while len(out) < count:
+        x = "x" + "".join(rng.choice("abcdefgh ") for _ in range(300)) + "y"
+        x, y = (lines.normal(t) for t in (x, _edited(rng, x, edits)))
+        a, b = lines.shingles(x), lines.shingles(y)
+        keys, (n, _) = lines.line_bands([x, y])
+        if least <= len(a & b) / len(a | b) <= most and {*keys[:n]} & {*keys[n:]}:
+            out.append((x, y))
+    return out
+
+
+def test_texts_of_lines_that_meet_by_chance_are_not_read(spark, monkeypatch):
+    """Unrelated lines in one band grow with the square of the input: they leave the groups before their texts join them."""
+    rng = random.Random(31)
+    far, close = _pairs_in_one_band(rng, 20, 46, .2, .36), _pairs_in_one_band(rng, 10, 3, .82, .95)
+    rows = list(enumerate([t for pair in far + close for t in pair]))
+    read = []
+    compare = lines.cross_links
+    monkeypatch.setattr(lines, "cross_links", lambda rows, *a: [read.extend(r.line for r in rows.select("line").collect()), compare(rows, *a)][1])
+    got = {r.doc_id: r.text for r in lines.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == dict(zip(range(len(rows)), brute(rows)))
+    assert {t for pair in close for t in pair} <= {*read}
+    assert sum(t in read for pair in far for t in pair) <= 12
+
+
+def test_sketches_of_near_lines_are_never_apart():
+    rng = random.Random(32)
+    most = lines.most_bits()
+    for size in (lines.SKETCH_CHARS, 200, 600, 2000):
+        total = 0
+        while total < 300:
+            x = lines.normal("x" + "".join(rng.choice("abcdefgh ") for _ in range(size - 2)) + "y")
+            y = lines.normal(_edited(rng, x, max(1, int(len(x) * rng.uniform(.005, .025)))))
+            if lines.near(x, y):
+                total += 1
+                a, b = lines.sketches(lines.signatures([x, y])).view(np.uint64)
+                assert int(np.bitwise_count(a ^ b).sum()) <= most
+
+
+@pytest.mark.parametrize("held, largest", [(1 << 16, 1 << 12), (20, 1 << 12), (20, 8)])
+def test_groups_keep_what_may_be_near(spark, monkeypatch, held, largest):
+    """Any number of rows at once, groups beyond the bound whole: every line with a possible partner stays."""
+    monkeypatch.setattr(lines, "HELD_LINES", held)
+    monkeypatch.setattr(lines, "SIFTED_LINES", largest)
+    rng = random.Random(33)
+    full = lambda: rng.getrandbits(64) - (1 << 63)
+    base = [(full(), full() >> 40) for _ in range(6)]
+    place = {}
+    for h in range(120):
+        s1, s2 = rng.choice(base) if rng.random() < .4 else (full(), full() >> 40)
+        place[h] = (None, None) if h % 30 == 7 else (s1 ^ rng.getrandbits(3), s2)
+    groups = sorted({(g, h) for g in range(25) for h in rng.sample(range(120), rng.choice([2, 2, 3, 7, 30]))})
+    members = {}
+    for g, h in groups:
+        members.setdefault(g, []).append(h)
+
+    def may(a, b):
+        x, y = place[a], place[b]
+        return None in x or None in y or sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(x, y)) <= lines.most_bits()
+    want = [(g, h) for g, h in groups if len(members[g]) > largest or any(k != h and may(h, k) for k in members[g])]
+    df = spark.createDataFrame(groups, "band bigint, h1 bigint").repartition(3)
+    places = spark.createDataFrame([(h, h, *s) for h, s in place.items()], "h1 bigint, h2 bigint, s1 bigint, s2 bigint")
+    assert sorted(map(tuple, lines.sifted(df, places).collect())) == want
+    assert 0 < len(want) < len(groups)
+    assert lines.sifted(df.limit(0), places).count() == 0
